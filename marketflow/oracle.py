@@ -256,9 +256,197 @@ def with_models(body: str) -> str:
 
     visit(body)
     ctes = [f"{name} as ({sql}\n)" for name, sql in _CHAIN if name in needed]
-    return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    if not ctes:
+        return body
+    head = body.lstrip()
+    if head[:5].lower() == "with ":
+        return "with " + ",\n".join(ctes) + ",\n" + head[5:]
+    return "with " + ",\n".join(ctes) + "\n" + body
 
 
 QUERIES: dict[str, str] = {}
 for _name in [*STAGING, *MARTS]:
     QUERIES[_name] = with_models(f"select * from {_name}")
+
+
+# --- operators and consumers ---------------------------------------------------
+
+from marketflow.operators import quality as _qy  # noqa: E402
+from marketflow.plans import catalog as _cat  # noqa: E402
+
+_LP, _HP = _cat.LANE_PARAMS, _cat.HIGH_VALUE_LANE_PARAMS
+# model names used by the checks -> CTE names here
+_CTE = {"agg_flip_opportunities": "flip_opportunities", "raw.item_mapping": "raw_item_mapping",
+        "raw.prices_5m": "raw_prices_5m", "raw.prices_latest": "raw_prices_latest",
+        "raw.prices_1h": "raw_prices_1h", "raw.realized_fills": "raw_realized_fills"}
+
+
+def _t(model: str) -> str:
+    return _CTE.get(model, model)
+
+
+def _age_us(col: str) -> str:
+    return f"(epoch_us({AS_OF}) - epoch_us({col}))"
+
+
+def _rate(part: str) -> str:
+    return dec(rdiv(f"{part} * 10000", "count(*)"), 4, 10)
+
+
+_NOT_NULL = "\nunion all\n".join(
+    f"select '{m}' as model, '{c}' as column_name, count(*) filter (where \"{c}\" is null) as failures from {_t(m)}"
+    for m, cols in _qy.NOT_NULL.items() for c in cols)
+_UNIQUE = "\nunion all\n".join(
+    f"select '{m}' as model, '{c}' as column_name, count(*) as failures from "
+    f"(select {c} from {_t(m)} where {c} is not null group by {c} having count(*) > 1)"
+    for m, c in _qy.UNIQUE.items())
+_ACCEPTED = "\nunion all\n".join(
+    f"select '{m}' as model, '{c}' as column_name, count(*) as failing_values, "
+    f"cast(coalesce(sum(n), 0) as bigint) as failing_rows from "
+    f"(select {c}, count(*) n from {_t(m)} where {c} not in ({', '.join(repr(v) for v in vals)}) group by {c})"
+    for (m, c), vals in _qy.ACCEPTED_VALUES.items())
+_UNIQUE_COMB = "\nunion all\n".join(
+    f"select '{m}' as model, '{','.join(cols)}' as column_name, count(*) as failures from "
+    f"(select {', '.join(cols)} from {_t(m)} group by {', '.join(cols)} having count(*) > 1)"
+    for m, cols in _qy.UNIQUE_COMBINATION.items())
+
+
+def _fresh_sql(src: str, lim) -> str:
+    warn_us = int(lim.warn_after.total_seconds() * 1_000_000)
+    err_us = int(lim.error_after.total_seconds() * 1_000_000)
+    age = _age_us("max(loaded_at)")
+    return (f"select '{src}' as source_name, max(loaded_at) as max_loaded_at, "
+            f"{dec(rdiv(age, '6000000'), 1, 18)} as age_minutes, "
+            f"{int(lim.warn_after.total_seconds() // 60)} as warn_after_minutes, "
+            f"{int(lim.error_after.total_seconds() // 60)} as error_after_minutes, "
+            f"case when {age} is null or {age} > {err_us} then 'error' when {age} > {warn_us} then 'warn' "
+            f"else 'pass' end as status from {_t(src)}")
+
+
+_FRESH = "\nunion all\n".join(_fresh_sql(s, lim) for s, lim in _qy.FRESHNESS.items())
+_INVERSIONS = """select item_id, price_timestamp, avg_high_price, avg_low_price from fct_prices
+where avg_high_price is not null and avg_low_price is not null and avg_high_price < avg_low_price"""
+_ORPHANS = """select item_id, count(*) as orphan_rows, min(price_timestamp) as first_price_timestamp,
+  max(price_timestamp) as last_price_timestamp
+from stg_prices_5m p where not exists (select 1 from dim_items d where d.item_id = p.item_id)
+group by item_id"""
+
+
+def _report_rows(sql: str, check: str, severity: str, failures: str = "failures") -> str:
+    bad = "'fail'" if severity == "error" else "'warn'"
+    return (f"select '{check}' as check_name, model, column_name, '{severity}' as severity, "
+            f"cast({failures} as bigint) as failures, "
+            f"case when {failures} = 0 then 'pass' else {bad} end as status from ({sql})")
+
+
+_REPORT = "\nunion all\n".join([
+    _report_rows(_NOT_NULL, "not_null", "error"),
+    _report_rows(_UNIQUE, "unique", "error"),
+    _report_rows(_ACCEPTED, "accepted_values", "error", "failing_values"),
+    _report_rows(_UNIQUE_COMB, "unique_combination_of_columns", "error"),
+    _report_rows(f"select 'fct_prices' as model, 'avg_high_price,avg_low_price' as column_name, "
+                 f"count(*) as failures from ({_INVERSIONS})", "assert_price_high_gte_low", "warn"),
+    _report_rows(f"select 'fct_prices' as model, 'item_id' as column_name, count(*) as failures "
+                 f"from ({_ORPHANS})", "orphan_prices", "warn"),
+    f"""select 'source_freshness' as check_name, source_name as model, 'loaded_at' as column_name,
+  case when status = 'error' then 'error' else 'warn' end as severity,
+  cast(case when status = 'pass' then 0 else 1 end as bigint) as failures,
+  case when status = 'error' then 'fail' else status end as status from ({_FRESH})""",
+])
+
+_LEG = ["event_id", "item_id", "event", "filled_qty", "avg_fill_price", "offer_placed_at",
+        "filled_at", "realized_profit"]
+_LEG_COLS = ",\n  ".join(f"max(case when leg = '{lg}' then {c} end) as {lg}_{c}"
+                         for lg in ("buy", "sell") for c in _LEG)
+
+CONSUMERS = {
+    "latest_per_key": f"""
+select distinct on (item_id) item_id, loaded_at, high_price, low_price, spread_gp, spread_pct, high_time, low_time
+from stg_prices_latest where loaded_at <= {AS_OF} order by item_id, loaded_at desc""",
+    "sale_tax": """
+select s.item_id, s.loaded_at, s.high_price, d.is_tax_exempt,
+  cast(case when d.is_tax_exempt then 0 when s.high_price < 50 then 0
+       else least(s.high_price // 50, 5000000) end as bigint) as tax_gp
+from stg_prices_latest s join dim_items d using (item_id)""",
+    "top_flips": """
+select * from flip_opportunities order by max_profit_per_limit desc nulls last, item_id limit 20""",
+    "recent_fills": """
+select event_id, flip_id, leg, item_name, event, fill_ratio, slippage_gp, time_to_fill_hours,
+  realized_profit, recorded_at
+from realized_fills order by recorded_at desc, event_id desc limit 10""",
+    "fills_count": "select count(*) as n_events from raw_realized_fills",
+    "standard_lane": f"""
+select * from flip_opportunities
+where not is_high_value and coalesce(high_price_volume, 0) > {_LP['min_5m_volume']}
+  and coalesce(low_price_volume, 0) > {_LP['min_5m_volume']} and not coalesce(is_stale, false)
+  and (price_age_minutes is null or price_age_minutes <= {_LP['max_price_age_minutes']})""",
+    "high_value_lane": f"""
+select * from flip_opportunities
+where is_high_value and coalesce(volume_per_hour, 0) >= {_HP['min_volume_per_hour']}
+  and est_hours_to_fill_limit <= {_HP['max_est_hours']} and not coalesce(is_stale, false)
+  and (price_age_minutes is null or price_age_minutes <= {_HP['max_price_age_minutes']})""",
+    "fill_rates_by_cadence": f"""
+select monitor_ms, tolerance_ms, relist_count, bot_version, count(*) as events,
+  count(*) filter (where is_filled) as filled, count(*) filter (where is_partial) as partial,
+  count(*) filter (where is_cancelled) as cancelled,
+  count(*) filter (where event = 'cancelled_deadline') as deadline_cancels,
+  count(*) filter (where event = 'cancelled_pricemove') as pricemove_cancels,
+  count(*) filter (where event = 'cancelled_manual') as manual_cancels,
+  {_rate("count(*) filter (where is_filled)")} as fill_rate,
+  {_rate("count(*) filter (where is_partial)")} as partial_rate,
+  {_rate("count(*) filter (where is_cancelled)")} as cancel_rate,
+  {_rate("count(*) filter (where event = 'cancelled_deadline')")} as deadline_cancel_rate,
+  case when count(fill_ratio) > 0 then
+    {dec(rdiv('sum(cast(fill_ratio * 10000 as bigint))', 'count(fill_ratio)'), 4, 14)} end as avg_fill_ratio
+from realized_fills group by monitor_ms, tolerance_ms, relist_count, bot_version""",
+    "fill_time_vs_estimate": f"""
+with agg as (
+  select item_id, count(*) as filled_events, sum(epoch_us(filled_at) - epoch_us(offer_placed_at)) as us
+  from realized_fills where is_filled and time_to_fill_seconds is not null group by item_id),
+j as (
+  select a.item_id, f.item_name, a.filled_events,
+    {dec(rdiv('a.us', 'a.filled_events * 360000'), 4, 20)} as avg_time_to_fill_hours,
+    f.est_hours_to_fill_limit
+  from agg a join flip_opportunities f using (item_id))
+select *, cast(avg_time_to_fill_hours - est_hours_to_fill_limit as decimal(20,4)) as fill_time_gap_hours from j""",
+    "profit_realized_vs_predicted": """
+with agg as (
+  select item_id, count(*) as sell_events, cast(sum(filled_qty) as bigint) as units_sold,
+    cast(sum(realized_profit) as bigint) as realized_profit
+  from realized_fills where leg = 'sell' group by item_id)
+select a.item_id, a.sell_events, a.units_sold, a.realized_profit, f.profit_per_item,
+  f.profit_per_item * a.units_sold as predicted_profit,
+  a.realized_profit - f.profit_per_item * a.units_sold as profit_gap
+from agg a left join flip_opportunities f using (item_id)""",
+    "buy_slippage": f"""
+select item_id, count(*) as buy_fills,
+  {dec(rdiv('sum(cast(slippage_gp * 10000 as bigint))', 'count(*)'), 4, 18)} as avg_slippage_gp,
+  min(slippage_gp) as min_slippage_gp, max(slippage_gp) as max_slippage_gp,
+  count(*) filter (where slippage_gp < 0) as favourable_fills
+from realized_fills where leg = 'buy' and slippage_gp is not null group by item_id""",
+    "flip_round_trips": f"""
+with legs as (
+  select distinct on (flip_id, leg) * from realized_fills order by flip_id, leg, event_id desc),
+p as (
+  select flip_id,
+  {_LEG_COLS}
+  from legs group by flip_id)
+select flip_id, coalesce(buy_item_id, sell_item_id) as item_id, buy_event_id, sell_event_id,
+  buy_event, sell_event, buy_filled_qty, sell_filled_qty, buy_avg_fill_price as buy_fill_price,
+  sell_avg_fill_price as sell_fill_price, sell_realized_profit as realized_profit,
+  cast(cast(epoch_us(sell_filled_at) - epoch_us(buy_offer_placed_at) as decimal(20,0))
+       * cast('0.000001' as decimal(6,6)) as decimal(20,6)) as hold_seconds,
+  (coalesce(buy_event = 'filled', false) and coalesce(sell_event = 'filled', false)) as is_complete
+from p""",
+    "dq_not_null": _NOT_NULL,
+    "dq_unique": _UNIQUE,
+    "dq_accepted_values": _ACCEPTED,
+    "dq_unique_combination": _UNIQUE_COMB,
+    "dq_price_inversions": _INVERSIONS,
+    "dq_freshness": _FRESH,
+    "dq_orphans": _ORPHANS,
+    "dq_report": _REPORT,
+}
+
+for _name, _sql in CONSUMERS.items():
+    QUERIES[_name] = with_models(_sql)

@@ -37,3 +37,130 @@ for _attr in ["stg_item_mapping", "stg_prices_5m", "stg_prices_latest", "stg_pri
               "stg_realized_fills", "dim_items", "fct_prices", "agg_item_liquidity",
               "agg_item_volatility", "flip_opportunities", "realized_fills"]:
     QUERIES[_attr] = _model(_attr)
+
+
+# --- operators and consumers --------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from marketflow.functions.prices import tax_gp  # noqa: E402
+from marketflow.operators import quality  # noqa: E402
+from marketflow.plans import consumers, marts  # noqa: E402
+
+# Consumer thresholds used on the fixtures (volumes there are per quarter).
+LANE_PARAMS = dict(min_5m_volume=20, max_price_age_minutes=300_000)
+HIGH_VALUE_LANE_PARAMS = dict(min_volume_per_hour=10, max_est_hours=2.0,
+                              max_price_age_minutes=300_000)
+
+
+def _q(fn):
+    """Register ``fn(models) -> DataFrame`` under its own name."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(fixture_models(spark, sf_dir))
+    run.__name__ = fn.__name__
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+@_q
+def latest_per_key(m: Models) -> DataFrame:
+    return marts.current_prices(m.stg_prices_latest, m.params.as_of)
+
+
+@_q
+def sale_tax(m: Models) -> DataFrame:
+    dim = m.dim_items.select("item_id", "is_tax_exempt")
+    return (m.stg_prices_latest.join(dim, "item_id", "inner")
+            .select("item_id", "loaded_at", "high_price", "is_tax_exempt",
+                    tax_gp("high_price", "is_tax_exempt").alias("tax_gp")))
+
+
+@_q
+def top_flips(m: Models) -> DataFrame:
+    return consumers.top_flips(m.flip_opportunities, 20)
+
+
+@_q
+def recent_fills(m: Models) -> DataFrame:
+    return consumers.recent_fills(m.realized_fills, 10)
+
+
+@_q
+def fills_count(m: Models) -> DataFrame:
+    return consumers.fills_count(m.raw.realized_fills)
+
+
+@_q
+def standard_lane(m: Models) -> DataFrame:
+    return consumers.standard_lane(m.flip_opportunities, **LANE_PARAMS)
+
+
+@_q
+def high_value_lane(m: Models) -> DataFrame:
+    return consumers.high_value_lane(m.flip_opportunities, **HIGH_VALUE_LANE_PARAMS)
+
+
+@_q
+def fill_rates_by_cadence(m: Models) -> DataFrame:
+    return consumers.fill_rates_by_cadence(m.realized_fills)
+
+
+@_q
+def fill_time_vs_estimate(m: Models) -> DataFrame:
+    return consumers.fill_time_vs_estimate(m.realized_fills, m.flip_opportunities)
+
+
+@_q
+def profit_realized_vs_predicted(m: Models) -> DataFrame:
+    return consumers.profit_realized_vs_predicted(m.realized_fills, m.flip_opportunities)
+
+
+@_q
+def buy_slippage(m: Models) -> DataFrame:
+    return consumers.buy_slippage(m.realized_fills)
+
+
+@_q
+def flip_round_trips(m: Models) -> DataFrame:
+    return consumers.flip_round_trips(m.realized_fills)
+
+
+@_q
+def dq_not_null(m: Models) -> DataFrame:
+    return quality.not_null_suite(m)
+
+
+@_q
+def dq_unique(m: Models) -> DataFrame:
+    return quality.unique_suite(m)
+
+
+@_q
+def dq_accepted_values(m: Models) -> DataFrame:
+    return quality.accepted_values_suite(m)
+
+
+@_q
+def dq_unique_combination(m: Models) -> DataFrame:
+    return quality.unique_combination_suite(m)
+
+
+@_q
+def dq_price_inversions(m: Models) -> DataFrame:
+    return quality.price_inversions(m.fct_prices)
+
+
+@_q
+def dq_freshness(m: Models) -> DataFrame:
+    return quality.freshness_suite(m, m.params.as_of)
+
+
+@_q
+def dq_orphans(m: Models) -> DataFrame:
+    return quality.orphans(m.stg_prices_5m, m.dim_items)
+
+
+@_q
+def dq_report(m: Models) -> DataFrame:
+    return quality.report(m, m.params.as_of)
