@@ -450,3 +450,77 @@ from p""",
 
 for _name, _sql in CONSUMERS.items():
     QUERIES[_name] = with_models(_sql)
+
+
+# --- sources and write modes ----------------------------------------------------
+
+_FILL_COLS = ("flip_id, leg, item_id, bot_version, event, requested_qty, filled_qty, offer_price, "
+              "avg_fill_price, tax_paid, realized_profit, offer_placed_at, filled_at, monitor_ms, "
+              "tolerance_ms, relist_count")
+_UID = ("sha256(concat_ws('|', flip_id, leg, event, cast(filled_qty as varchar), "
+        "cast(epoch_us(offer_placed_at) as varchar), cast(epoch_us(filled_at) as varchar)))")
+_MAP_A = """select cast(p_partkey as int) item_id, 'stale ' || p_name as name, p_brand examine,
+  (p_size % 2 = 0) members, cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
+  cast(p_size as int) buy_limit, cast(floor(p_retailprice) as int) value, p_type icon,
+  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'a' as pg from part where p_partkey % 5 = 0"""
+_MAP_B = """select cast(p_partkey as int) item_id, upper(p_name) as name,
+  case when p_size % 3 <> 0 then p_brand end examine,
+  (p_size % 2 = 0) members, cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
+  cast(p_size as int) buy_limit, cast(floor(p_retailprice) as int) value, p_type icon,
+  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'b' as pg from part where p_partkey % 10 = 0"""
+
+WRITES = {
+    "ingest_latest_payload": """
+select item_id, high_price, high_time, low_price, low_time, loaded_at from raw_prices_latest
+where high_price is not null or low_price is not null""",
+    "ingest_window_payload": "select * from raw_prices_5m",
+    "ingest_mapping_payload": "select * from raw_item_mapping",
+    "upsert_items": f"""
+with batch as ({_MAP_A}
+  union all
+  {_MAP_B}),
+dedup as (select distinct on (item_id) * from batch order by item_id, pg desc)
+select t.* from raw_item_mapping t where not exists (select 1 from dedup d where d.item_id = t.item_id)
+union all
+select item_id, name, examine, members, lowalch, highalch, buy_limit, value, icon, loaded_at from dedup""",
+    "insert_ignore_prices": """
+with target as (select * from raw_prices_5m where "timestamp" < TIMESTAMP '2000-01-01 00:00:00'),
+batch as (
+  select item_id, avg_high_price + 1 as avg_high_price, high_price_volume, avg_low_price + 1 as avg_low_price,
+    low_price_volume, "timestamp", loaded_at
+  from raw_prices_5m where "timestamp" >= TIMESTAMP '1999-07-01 00:00:00')
+select * from target
+union all
+select * from batch b where not exists
+  (select 1 from target t where t.item_id = b.item_id and t."timestamp" = b."timestamp")""",
+    "insert_if_changed": """
+with polls as (select * from poll_latest where high_price is not null or low_price is not null),
+l as (
+  select *, lag(high_price) over w as ph, lag(low_price) over w as pl, row_number() over w as rn
+  from polls window w as (partition by item_id order by loaded_at))
+select item_id, high_price, high_time, low_price, low_time, loaded_at from l
+where rn = 1 or not (high_price is not distinct from ph and low_price is not distinct from pl)""",
+    "append_fills": f"""
+with done as (
+  select flip_id, leg, item_id, bot_version, 'filled' as event, requested_qty, requested_qty as filled_qty,
+    offer_price, avg_fill_price, tax_paid, realized_profit, offer_placed_at,
+    coalesce(filled_at, offer_placed_at) as filled_at, monitor_ms, tolerance_ms, relist_count
+  from raw_realized_fills where event = 'partial'),
+batch as (
+  select * from done union all select * from done
+  union all select {_FILL_COLS} from raw_realized_fills where event = 'filled'),
+uid as (select *, {_UID} as event_uid from batch),
+stored as (select {_UID} as event_uid from raw_realized_fills),
+new as (
+  select distinct on (event_uid) * from uid
+  where event_uid not in (select event_uid from stored) order by event_uid)
+select (select coalesce(max(event_id), 0) from raw_realized_fills)
+    + row_number() over (order by flip_id nulls first, leg nulls first, event nulls first,
+      filled_qty nulls first, offer_placed_at nulls first, filled_at nulls first, event_uid nulls first)
+    as event_id,
+  {_FILL_COLS}, TIMESTAMP '2001-11-05 00:00:00' as recorded_at, event_uid
+from new""",
+}
+
+for _name, _sql in WRITES.items():
+    QUERIES[_name] = with_models(_sql)

@@ -164,3 +164,78 @@ def dq_orphans(m: Models) -> DataFrame:
 @_q
 def dq_report(m: Models) -> DataFrame:
     return quality.report(m, m.params.as_of)
+
+
+# --- sources and write modes --------------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+from marketflow.operators import writers  # noqa: E402
+from marketflow.sources import fixtures, payloads  # noqa: E402
+
+
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Instants as UTC wall-clock ``timestamp_ntz`` (the driver tables' type),
+    so results compare 1:1 with the fixture tables."""
+    return df.select(*[F.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _src(fn):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` under its own name."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return wall_clock(fn(spark, sf_dir))
+    run.__name__ = fn.__name__
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+@_src
+def ingest_latest_payload(spark, sf_dir):
+    docs = fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf_dir))
+    return payloads.parse_latest_payload(docs, loaded_at="loaded_at")
+
+
+@_src
+def ingest_window_payload(spark, sf_dir):
+    docs = fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m")
+    return payloads.parse_window_payload(docs, loaded_at="loaded_at")
+
+
+@_src
+def ingest_mapping_payload(spark, sf_dir):
+    docs = fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir))
+    return payloads.parse_mapping_payload(docs, loaded_at="loaded_at")
+
+
+@_src
+def upsert_items(spark, sf_dir):
+    target = fixtures.raw_item_mapping(spark, sf_dir)
+    docs = fixtures.mapping_update_batch(spark, sf_dir)
+    batch = payloads.parse_mapping_payload(docs, loaded_at="loaded_at", keep_position=True)
+    return writers.upsert(target, batch, "item_id", position=["payload_id", "pos"])
+
+
+@_src
+def insert_ignore_prices(spark, sf_dir):
+    target = fixtures.prices_5m_target(spark, sf_dir)
+    batch = fixtures.prices_5m_batch(spark, sf_dir)
+    return target.unionByName(writers.insert_ignore(target, batch, ["item_id", "timestamp"]))
+
+
+@_src
+def insert_if_changed(spark, sf_dir):
+    polls = fixtures.poll_latest(spark, sf_dir)
+    polls = polls.filter(F.col("high_price").isNotNull() | F.col("low_price").isNotNull())
+    return writers.changed_rows(polls, "item_id", "loaded_at")
+
+
+@_src
+def append_fills(spark, sf_dir):
+    import datetime as dt
+    existing = fixtures.raw_realized_fills(spark, sf_dir)
+    batch = fixtures.fills_completion_batch(spark, sf_dir)
+    return writers.append_fills(existing, batch,
+                                recorded_at=dt.datetime.fromisoformat(fixtures.FILLS_BATCH_RECORDED_AT))

@@ -173,3 +173,118 @@ RAW_TABLES = {
     "prices_latest": raw_prices_latest,
     "realized_fills": raw_realized_fills,
 }
+
+
+# --- landed payload documents built from the raw fixtures ---------------------------
+#
+# One document per (poll time, page of item ids): pages bound every document to
+# PAYLOAD_PAGE_ITEMS entries, like an API page, so no group grows with the data.
+
+PAYLOAD_PAGE_ITEMS = 1000
+
+
+def _page() -> F.Column:
+    return F.floor(F.col("item_id") / PAYLOAD_PAGE_ITEMS)
+
+
+def _epoch(col: str) -> F.Column:
+    return F.unix_seconds(F.col(col).cast(T.TimestampType()))
+
+
+def latest_payloads(raw_latest: DataFrame) -> DataFrame:
+    """``/latest`` documents: ``(payload_id, value, loaded_at)``."""
+    entry = F.struct(F.col("item_id").cast("string"),
+                     F.struct(F.col("high_price").alias("high"), _epoch("high_time").alias("highTime"),
+                              F.col("low_price").alias("low"), _epoch("low_time").alias("lowTime")))
+    docs = raw_latest.groupBy("loaded_at", _page().alias("page")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("data"))
+    return docs.select(
+        F.concat_ws("/", F.lit("latest"), F.col("loaded_at").cast("string"), F.col("page").cast("string"))
+        .alias("payload_id"),
+        F.to_json(F.struct("data")).alias("value"), "loaded_at")
+
+
+def window_payloads(raw_window: DataFrame, feed: str = "5m") -> DataFrame:
+    """``/5m`` or ``/1h`` documents: ``(payload_id, value, loaded_at)``."""
+    entry = F.struct(F.col("item_id").cast("string"),
+                     F.struct(F.col("avg_high_price").alias("avgHighPrice"),
+                              F.col("high_price_volume").alias("highPriceVolume"),
+                              F.col("avg_low_price").alias("avgLowPrice"),
+                              F.col("low_price_volume").alias("lowPriceVolume")))
+    docs = raw_window.groupBy("timestamp", "loaded_at", _page().alias("page")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("data"))
+    return docs.select(
+        F.concat_ws("/", F.lit(feed), F.col("timestamp").cast("string"), F.col("page").cast("string"))
+        .alias("payload_id"),
+        F.to_json(F.struct(_epoch("timestamp").alias("timestamp"), "data")).alias("value"),
+        "loaded_at")
+
+
+def mapping_payloads(raw_mapping: DataFrame, name: str = "mapping") -> DataFrame:
+    """``/mapping`` documents (arrays of records): ``(payload_id, value, loaded_at)``."""
+    rec = F.struct(F.col("item_id").alias("id"), "name", "examine", "members", "lowalch",
+                   "highalch", F.col("buy_limit").alias("limit"), "value", "icon")
+    docs = raw_mapping.groupBy("loaded_at", _page().alias("page")).agg(
+        F.sort_array(F.collect_list(rec)).alias("records"))
+    return docs.select(
+        F.concat_ws("/", F.lit(name), F.lpad(F.col("page").cast("string"), 6, "0")).alias("payload_id"),
+        F.to_json("records").alias("value"), "loaded_at")
+
+
+# --- write-mode inputs ---------------------------------------------------------------
+
+UPSERT_LOADED_AT = "2001-11-02 00:00:00"
+
+
+def mapping_update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping refresh for W-1, as two landed pages: page ``a`` renames every
+    5th part (some new: key % 7 == 0), page ``b`` — later in the batch —
+    renames every 10th part again and clears ``examine`` of sizes divisible by 3."""
+    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 5 == 0)
+    retail = F.floor("p_retailprice").cast("int")
+    base = p.select(F.col("p_partkey").cast("int").alias("item_id"),
+                    F.concat(F.lit("stale "), F.col("p_name")).alias("name"),
+                    F.col("p_brand").alias("examine"), (F.col("p_size") % 2 == 0).alias("members"),
+                    F.col("p_size").cast("int").alias("lowalch"), retail.alias("highalch"),
+                    F.col("p_size").cast("int").alias("buy_limit"), retail.alias("value"),
+                    F.col("p_type").alias("icon"),
+                    F.lit(UPSERT_LOADED_AT).cast(NTZ).alias("loaded_at"),
+                    F.col("p_size").alias("_size"))
+    later = (base.filter(F.col("item_id") % 10 == 0)
+             .withColumn("name", F.upper(F.substring("name", 7, 1000)))
+             .withColumn("examine", F.when(F.col("_size") % 3 != 0, F.col("examine"))))
+    a = mapping_payloads(base.drop("_size"), "mapping-a")
+    b = mapping_payloads(later.drop("_size"), "mapping-b")
+    return a.unionByName(b)
+
+
+def prices_5m_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored 5-minute history before 2000 (W-2 target)."""
+    raw = raw_prices_5m(spark, sf_dir)
+    return raw.filter(F.col("timestamp") < F.lit("2000-01-01 00:00:00").cast(NTZ))
+
+
+def prices_5m_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A re-poll from mid-1999 on with prices shifted by +1 gp: overlapping keys
+    must keep the stored values (first write wins)."""
+    raw = raw_prices_5m(spark, sf_dir)
+    return (raw.filter(F.col("timestamp") >= F.lit("1999-07-01 00:00:00").cast(NTZ))
+            .withColumn("avg_high_price", F.col("avg_high_price") + 1)
+            .withColumn("avg_low_price", F.col("avg_low_price") + 1))
+
+
+FILLS_BATCH_RECORDED_AT = "2001-11-05 00:00:00"
+
+
+def fills_completion_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill events a bot sends later (W-5): every partial leg completes; the
+    batch arrives twice (a retry), and also repeats events already stored."""
+    fills = raw_realized_fills(spark, sf_dir)
+    cols = [c for c in fills.columns if c not in ("event_id", "recorded_at")]
+    done = (fills.filter(F.col("event") == "partial")
+            .withColumn("event", F.lit("filled"))
+            .withColumn("filled_qty", F.col("requested_qty"))
+            .withColumn("filled_at", F.coalesce("filled_at", "offer_placed_at"))
+            .select(*cols))
+    resent = fills.filter(F.col("event") == "filled").select(*cols)
+    return done.unionByName(done).unionByName(resent)
