@@ -47,13 +47,15 @@ def upsert(target: DataFrame, batch: DataFrame, keys="item_id",
 
 # --- W-2: insert-ignore -----------------------------------------------------------
 
-def dedupe_first(batch: DataFrame, keys, position) -> DataFrame:
-    """Within one batch the first row of a key wins (``ON CONFLICT DO NOTHING``)."""
+def dedupe_first(batch: DataFrame, keys, position, drop: Sequence[str] = ()) -> DataFrame:
+    """Within one batch the first row of a key wins (``ON CONFLICT DO NOTHING``).
+    Like ``latest_per_key`` this is a rank-1 window, so a partial
+    ``WindowGroupLimit`` runs before the shuffle."""
     keys = _cols(keys)
     pos = _cols(position)
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in pos])
     return (batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .drop("_rn", *[c for c in pos if c not in keys]))
+            .drop("_rn", *drop))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys=("item_id", "timestamp"),

@@ -524,3 +524,82 @@ from new""",
 
 for _name, _sql in WRITES.items():
     QUERIES[_name] = with_models(_sql)
+
+
+# --- streaming operators and refresh jobs -------------------------------------------
+
+_DAY_US = 86_400_000_000
+
+
+def _hop(size_days: int, slide_days: int) -> tuple[int, int, int]:
+    return size_days * _DAY_US, slide_days * _DAY_US, size_days // slide_days
+
+
+def _days(text: str) -> int:
+    return int(text.split()[0])
+
+
+_VS, _VL, _VK = _hop(_days(_cat.HOPPING_VOLATILITY["size"]), _days(_cat.HOPPING_VOLATILITY["slide"]))
+_LS, _LL, _LK = _hop(_days(_cat.HOPPING_LIQUIDITY["size"]), _days(_cat.HOPPING_LIQUIDITY["slide"]))
+
+# change-detected /latest history, as the ingest jobs store it
+_CHAIN.append(("detected_latest", """
+select item_id, high_price, high_time, low_price, low_time, loaded_at from (
+  select *, lag(high_price) over w as ph, lag(low_price) over w as pl, row_number() over w as rn
+  from raw_prices_latest where high_price is not null or low_price is not null
+  window w as (partition by item_id order by loaded_at))
+where rn = 1 or not (high_price is not distinct from ph and low_price is not distinct from pl)"""))
+_CHAIN.append(("stg_detected_latest",
+               STAGING["stg_prices_latest"].replace("from raw_prices_latest", "from detected_latest")))
+_CHAIN.append(("refreshed_flips",
+               MARTS["flip_opportunities"].replace("from stg_prices_latest", "from stg_detected_latest")))
+
+STREAMS = {
+    "hopping_volatility": f"""
+with snaps as (
+  select item_id, epoch_us(price_timestamp) as t, cast(avg_high_price as bigint) + avg_low_price as s
+  from fct_prices where avg_high_price is not null and avg_low_price is not null),
+win as (select item_id, s, t - (t % {_VL}) - k * {_VL} as ws from snaps, range(0, {_VK}) r(k)),
+agg as (
+  select item_id, ws, count(*) as n, cast(sum(s) as bigint) as S, cast(sum(cast(s as hugeint) * s) as hugeint) as Q
+  from win group by item_id, ws),
+moments as (
+  select *, cast(n as hugeint) * Q - cast(S as hugeint) * S as v, cast(4 * n * (n - 1) as hugeint) as d from agg),
+est as (select *, case when n >= 2 then {_R0} end as r0 from moments),
+rounded as (
+  select item_id, ws, n, {rdiv('S * 50', 'n')} as m,
+    case when n < 2 then null
+         when 40000 * v >= cast(2 * r0 + 1 as hugeint) * (2 * r0 + 1) * d then r0 + 1
+         when r0 > 0 and 40000 * v < cast(2 * r0 - 1 as hugeint) * (2 * r0 - 1) * d then r0 - 1
+         else r0 end as vv
+  from est)
+select item_id, make_timestamp(ws) as window_start, make_timestamp(ws + {_VS}) as window_end,
+  n as snapshots, {dec('m', 2, 14)} as mid_mean, {dec('vv', 2, 14)} as mid_volatility,
+  case when m > 0 and vv is not null then {dec(rdiv('vv * 100000', 'm'), 3, 16)} end as mid_volatility_pct
+from rounded""",
+    "hopping_liquidity": f"""
+with win as (
+  select item_id, total_volume, epoch_us(price_timestamp) - (epoch_us(price_timestamp) % {_LL}) - k * {_LL} as ws
+  from stg_prices_1h, range(0, {_LK}) r(k))
+select item_id, make_timestamp(ws) as window_start, make_timestamp(ws + {_LS}) as window_end,
+  {rdiv('sum(total_volume)', 'count(*)')} as avg_volume_per_hour, count(*) as hours_observed
+from win group by item_id, ws""",
+    "late_rows": f"""
+with r as (
+  select event_id, item_id, filled_at, recorded_at, date_trunc('day', recorded_at) as b
+  from realized_fills where filled_at is not null),
+batches as (select b, max(filled_at) as mx from r group by b),
+marks as (select b, max(mx) over (order by b rows between unbounded preceding and 1 preceding) as seen from batches)
+select r.event_id, r.item_id, r.filled_at, r.recorded_at, m.seen as max_event_time_before
+from r join marks m using (b)
+where epoch_us(r.filled_at) < epoch_us(m.seen) - {_cat.LATE_DELAY_DAYS * _DAY_US}""",
+    "stream_dedupe": "select * from raw_prices_5m",
+    "stream_change_detect": WRITES["insert_if_changed"],
+    "refresh_daily": "select * from refreshed_flips",
+    "refresh_latest": "select * from refreshed_flips",
+    "refresh_5m": "select * from refreshed_flips",
+    "refresh_1h": "select * from refreshed_flips",
+}
+
+for _name, _sql in STREAMS.items():
+    QUERIES[_name] = with_models(_sql)

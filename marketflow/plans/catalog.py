@@ -239,3 +239,148 @@ def append_fills(spark, sf_dir):
     batch = fixtures.fills_completion_batch(spark, sf_dir)
     return writers.append_fills(existing, batch,
                                 recorded_at=dt.datetime.fromisoformat(fixtures.FILLS_BATCH_RECORDED_AT))
+
+
+# --- streaming operators and refresh jobs --------------------------------------------
+
+import uuid  # noqa: E402
+
+from marketflow.operators.store import TableStore  # noqa: E402
+from marketflow.plans.jobs import Refresh, read_landed  # noqa: E402
+from marketflow.plans.models import FIXTURE_PARAMS  # noqa: E402
+from marketflow.session import checkpoint_dir  # noqa: E402
+from marketflow.streaming import ingest  # noqa: E402
+
+# Fixed window sizes for the fixtures (their rows are quarterly / daily).
+HOPPING_VOLATILITY = dict(size="360 days", slide="90 days")
+HOPPING_LIQUIDITY = dict(size="30 days", slide="10 days")
+LATE_DELAY_DAYS = 30
+
+
+def run_root(spark: SparkSession) -> str:
+    """A fresh folder for one run, inside the shared checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/marketflow-runs/{uuid.uuid4().hex}"
+
+
+@_src
+def hopping_volatility(spark, sf_dir):
+    m = fixture_models(spark, sf_dir)
+    return ingest.hopping_volatility(m.fct_prices, **HOPPING_VOLATILITY)
+
+
+@_src
+def hopping_liquidity(spark, sf_dir):
+    m = fixture_models(spark, sf_dir)
+    return ingest.hopping_liquidity(m.stg_prices_1h, **HOPPING_LIQUIDITY)
+
+
+@_src
+def late_rows(spark, sf_dir):
+    import datetime as dt
+    fills = fixture_models(spark, sf_dir).realized_fills
+    rows = fills.select("event_id", "item_id", "filled_at", "recorded_at").filter(
+        F.col("filled_at").isNotNull())
+    return ingest.late_rows(rows, "recorded_at", "filled_at", dt.timedelta(days=LATE_DELAY_DAYS))
+
+
+@_src
+def stream_dedupe(spark, sf_dir):
+    """T-2: the 5-minute feed landed twice (a re-poll) and deduplicated by a
+    watermarked stream into Parquet."""
+    root = run_root(spark)
+    docs = fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir))
+    ingest.land_payloads(docs, f"{root}/landing")
+    ingest.land_payloads(docs, f"{root}/landing", mode="append")
+    stream = ingest.payload_stream(spark, f"{root}/landing")
+    rows = payloads.parse_window_payload(stream, loaded_at=F.timestamp_seconds("poll_time"),
+                                         last_key_wins=False)
+    q = (ingest.dedupe_within_watermark(rows).writeStream.format("parquet")
+         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+def _refresh(spark, sf_dir, root) -> Refresh:
+    return Refresh(spark, TableStore(spark, f"{root}/store"), FIXTURE_PARAMS,
+                   tax_exempt=fixtures.seed_tax_exempt_items(spark, sf_dir),
+                   buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir))
+
+
+def _land_all(spark, sf_dir, root) -> dict[str, str]:
+    feeds = {
+        "mapping": fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir)),
+        "latest": fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf_dir)),
+        "5m": fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m"),
+        "1h": fixtures.window_payloads(fixtures.raw_prices_1h(spark, sf_dir), "1h"),
+    }
+    paths = {}
+    for feed, docs in feeds.items():
+        paths[feed] = f"{root}/landing/{feed}"
+        ingest.land_payloads(docs, paths[feed])
+    return paths
+
+
+@_src
+def refresh_daily(spark, sf_dir):
+    """B-4 end to end: landed files → raw tables → state → marts → flips view."""
+    root = run_root(spark)
+    land = _land_all(spark, sf_dir, root)
+    r = _refresh(spark, sf_dir, root)
+    return r.refresh_daily(*(read_landed(spark, land[f]) for f in ("mapping", "latest", "5m", "1h")),
+                           batch_id=1)
+
+
+def _streamed(spark, sf_dir, feed: str, job: str):
+    root = run_root(spark)
+    land = _land_all(spark, sf_dir, root)
+    r = _refresh(spark, sf_dir, root)
+    r.load_mapping(read_landed(spark, land["mapping"]))
+    if feed != "latest":
+        r.load_latest(read_landed(spark, land["latest"]), 0)
+    if feed != "5m":
+        r.load_window("5m", read_landed(spark, land["5m"]), 0)
+        r.rebuild_volatility()
+    if feed != "1h":
+        r.load_window("1h", read_landed(spark, land["1h"]), 0)
+        r.rebuild_liquidity()
+    q = ingest.start_refresh_stream(spark, land[feed], f"{root}/checkpoint/{feed}",
+                                    getattr(r, job))
+    q.awaitTermination()
+    return r.flip_opportunities()
+
+
+@_src
+def refresh_latest(spark, sf_dir):
+    """B-1 driven by T-1: the /latest landing folder as a stream."""
+    return _streamed(spark, sf_dir, "latest", "refresh_latest")
+
+
+@_src
+def refresh_5m(spark, sf_dir):
+    """B-2 driven by T-1: the /5m landing folder as a stream."""
+    return _streamed(spark, sf_dir, "5m", "refresh_5m")
+
+
+@_src
+def refresh_1h(spark, sf_dir):
+    """B-3 driven by T-1: the /1h landing folder as a stream."""
+    return _streamed(spark, sf_dir, "1h", "refresh_1h")
+
+
+@_src
+def stream_change_detect(spark, sf_dir):
+    """T-3: the /latest poll log streamed through ``foreachBatch`` change
+    detection against the per-item state table; returns the stored rows."""
+    root = run_root(spark)
+    polls = fixtures.poll_latest(spark, sf_dir).filter(
+        F.col("high_price").isNotNull() | F.col("low_price").isNotNull())
+    (polls.withColumn("day", F.to_date("loaded_at")).write.partitionBy("day")
+     .parquet(f"{root}/landing/polls"))
+    r = _refresh(spark, sf_dir, root)
+    schema = polls.schema.add("day", T.DateType())
+    stream = spark.readStream.schema(schema).parquet(f"{root}/landing/polls")
+    q = (stream.writeStream.foreachBatch(lambda df, bid: r.store_latest_rows(df, bid))
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return r.raw("prices_latest")

@@ -223,3 +223,27 @@ def realized_fills(stg_fills: DataFrame, dim: DataFrame) -> DataFrame:
         to_decimal(round_div(delta_us, 360_000), 4, 20).alias("time_to_fill_hours"),
         "monitor_ms", "tolerance_ms", "relist_count", "is_filled", "is_partial",
         "is_cancelled", "recorded_at")
+
+
+def liquidity_from_parts(latest_hours: DataFrame, window_rows: DataFrame,
+                         params: MartParams = MartParams()) -> DataFrame:
+    """D-3 from a per-item state of the last active hour plus the rows of the
+    trailing window only (the incremental job's form; same result as
+    ``agg_item_liquidity`` over the full history)."""
+    in_window = (window_rows.filter(lower_bound(window_rows, "price_timestamp", params.as_of,
+                                                params.liquidity_lookback)
+                                    & upper_bound(window_rows, "price_timestamp", params.as_of))
+                 .groupBy("item_id")
+                 .agg(F.sum("total_volume").alias("_s"), F.count(F.lit(1)).alias("_n")))
+    latest = latest_hours.select(
+        "item_id", F.col("price_timestamp").alias("latest_hour_ts"),
+        F.col("total_volume").alias("volume_per_hour"),
+        F.col("high_price_volume").alias("high_volume_per_hour"),
+        F.col("low_price_volume").alias("low_volume_per_hour"))
+    out = latest.join(in_window, "item_id", "left").select(
+        "item_id", "latest_hour_ts", "volume_per_hour", "high_volume_per_hour",
+        "low_volume_per_hour", round_div("_s", "_n").alias("avg_volume_per_hour_24h"),
+        F.col("_n").alias("hours_observed_24h"))
+    if params.latest_hour_max_age is not None:
+        out = out.filter(lower_bound(out, "latest_hour_ts", params.as_of, params.latest_hour_max_age))
+    return out

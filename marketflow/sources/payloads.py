@@ -72,7 +72,8 @@ def parse_latest_payload(payloads: DataFrame, value: str = "value",
 
 
 def parse_window_payload(payloads: DataFrame, value: str = "value",
-                         loaded_at: str | Column | None = None) -> DataFrame:
+                         loaded_at: str | Column | None = None,
+                         with_source: bool = False, last_key_wins: bool = True) -> DataFrame:
     """S-2: ``{"timestamp": epoch, "data": {id: {avgHighPrice, ...}}}`` → raw
     prices_5m / prices_1h rows.  The payload timestamp applies to every row
     (missing → epoch 0); no row filter."""
@@ -80,13 +81,15 @@ def parse_window_payload(payloads: DataFrame, value: str = "value",
     x = e.select("payload_id", "loaded_at",
                  F.timestamp_seconds(F.coalesce("timestamp", F.lit(0).cast("long"))).alias("ts"),
                  F.posexplode("data").alias("pos", "key", "v"))
-    x = _last_per_key(x)
+    # on a stream (no row_number) a later watermarked dedupe resolves repeats
+    x = _last_per_key(x) if last_key_wins else x.drop("pos")
     return x.select(F.col("key").cast("int").alias("item_id"),
                     F.col("v.avgHighPrice").alias("avg_high_price"),
                     F.col("v.highPriceVolume").alias("high_price_volume"),
                     F.col("v.avgLowPrice").alias("avg_low_price"),
                     F.col("v.lowPriceVolume").alias("low_price_volume"),
-                    F.col("ts").alias("timestamp"), "loaded_at")
+                    F.col("ts").alias("timestamp"), "loaded_at",
+                    *(["payload_id"] if with_source else []))
 
 
 def parse_mapping_payload(payloads: DataFrame, value: str = "value",
