@@ -16,7 +16,6 @@ Without a table format there is no MERGE and no multi-file atomic commit, so:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -59,6 +58,8 @@ class TableStore:
     def write_version(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
         taken = [int(c.split("=", 1)[1]) for c in self._children(self.path(name), "version=")]
         version = (max(taken) + 1) if taken else 1
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -78,13 +79,17 @@ class TableStore:
 
     # --- append-only tables ---------------------------------------------------------
     def append_batch(self, df: DataFrame, name: str, batch_id: str | int,
-                     time_col: str | None = None) -> None:
+                     partition_col: str | None = None) -> None:
+        """Write one batch; rows are partitioned by ``partition_col`` (a date
+        column) inside the batch directory."""
         out = df
-        if time_col is not None:
-            out = out.withColumn("event_date", F.to_date(F.col(time_col)))
+        if partition_col is not None:
+            # rebalance on the partition column: one file per period instead of
+            # one per (task, period); AQE still splits a period that is too large
+            out = out.hint("rebalance", partition_col)
         w = out.write.mode("overwrite")
-        if time_col is not None:
-            w = w.partitionBy("event_date")
+        if partition_col is not None:
+            w = w.partitionBy(partition_col)
         w.parquet(f"{self.path(name)}/batch={batch_id}")
 
     def read_appends(self, name: str, schema: T.StructType | None = None) -> DataFrame:

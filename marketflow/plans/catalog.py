@@ -292,8 +292,7 @@ def stream_dedupe(spark, sf_dir):
     ingest.land_payloads(docs, f"{root}/landing")
     ingest.land_payloads(docs, f"{root}/landing", mode="append")
     stream = ingest.payload_stream(spark, f"{root}/landing")
-    rows = payloads.parse_window_payload(stream, loaded_at=F.timestamp_seconds("poll_time"),
-                                         last_key_wins=False)
+    rows = payloads.parse_window_payload(stream, last_key_wins=False, envelope=True)
     q = (ingest.dedupe_within_watermark(rows).writeStream.format("parquet")
          .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
          .trigger(availableNow=True).start())

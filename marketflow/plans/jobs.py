@@ -39,10 +39,10 @@ from marketflow.session import checkpoint_dir
 
 
 def read_landed(spark: SparkSession, path: str, wholetext: bool = False) -> DataFrame:
-    """Landed payload documents.  JSON-lines files (one document per line) are
-    split across tasks; ``wholetext`` reads one pretty-printed document per
-    file.  A ``poll_time=<epoch s>`` directory level, when present, is the
-    load time of its documents."""
+    """Landed payload documents.  The landing format is JSON lines of
+    ``{"poll_time": <epoch s>, "payload": <API document>}`` (split across
+    tasks).  ``wholetext`` reads raw API documents, one per file, whose load
+    time is the time of the load."""
     docs = spark.read.text(path, wholetext=wholetext)
     return with_payload_id(docs)
 
@@ -55,8 +55,17 @@ def with_payload_id(docs: DataFrame) -> DataFrame:
         ":", F.col("_metadata.file_path"), F.xxhash64("value").cast("string")))
 
 
-def _loaded_at(df: DataFrame):
-    return F.timestamp_seconds(F.col("poll_time")) if "poll_time" in df.columns else None
+# Partition period of each append-only raw table, sized by volume: the 5-minute
+# feed is ~25k rows per tick (~7 M rows a day) and gets daily partitions; the
+# hourly feed, the /latest change log and the fill log are a few MB a day and
+# get monthly partitions (daily ones would be thousands of tiny files).
+PARTITION_PERIOD = {"prices_5m": "day", "prices_1h": "month", "prices_latest": "month",
+                    "realized_fills": "month"}
+
+
+def period_start(col, unit: str):
+    """Start date of the partition period holding ``col``."""
+    return F.trunc(F.to_date(instant(col)), unit) if unit != "day" else F.to_date(instant(col))
 
 
 @dataclasses.dataclass
@@ -66,6 +75,9 @@ class Refresh:
     params: MartParams = MartParams()
     tax_exempt: DataFrame | None = None
     buy_limit_overrides: DataFrame | None = None
+    # landed lines carry a {"poll_time", "payload"} envelope; False = raw API
+    # documents read whole, loaded at the time of the load
+    landing_envelope: bool = True
 
     def __post_init__(self):
         checkpoint_dir(self.spark)
@@ -89,7 +101,10 @@ class Refresh:
             return self.spark.createDataFrame([], schemas.WINDOW_PRICES)
         df = (self.spark.read.option("basePath", path)
               .parquet(*[f"{path}/{b}" for b in batches]))
-        df = df.filter((F.col("event_date") >= F.lit(since.date().isoformat()).cast("date"))
+        first = F.lit(since.date().isoformat()).cast("date")
+        if PARTITION_PERIOD[name] != "day":
+            first = F.trunc(first, PARTITION_PERIOD[name])
+        df = df.filter((F.col("event_date") >= first)
                        & (F.col("timestamp") >= ts_literal(since, df.schema["timestamp"].dataType)))
         return df.select(*schemas.WINDOW_PRICES.fieldNames())
 
@@ -104,11 +119,12 @@ class Refresh:
 
     # --- feed loaders ----------------------------------------------------------------
     def _append(self, rows: DataFrame, name: str, batch_id, time_col: str) -> None:
-        self.store.append_batch(rows, f"raw/{name}", batch_id, time_col)
+        rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
+        self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
 
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
-        self.store_latest_rows(pl.parse_latest_payload(docs, loaded_at=_loaded_at(docs)), batch_id)
+        self.store_latest_rows(pl.parse_latest_payload(docs, envelope=self.landing_envelope), batch_id)
 
     def store_latest_rows(self, batch: DataFrame, batch_id) -> None:
         """W-3 for flat /latest rows (T-3 calls this from ``foreachBatch``)."""
@@ -131,11 +147,11 @@ class Refresh:
     def load_window(self, feed: str, docs: DataFrame, batch_id) -> None:
         """S-2 + W-2 for ``prices_5m`` / ``prices_1h``; advances the feed's latest-row state."""
         name = f"prices_{feed}"
-        batch = pl.parse_window_payload(docs, loaded_at=_loaded_at(docs), with_source=True)
+        batch = pl.parse_window_payload(docs, with_source=True, envelope=self.landing_envelope)
         # first write wins, also between documents of one batch (arrival order)
         batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
                                      drop=["payload_id"])
-        batch = batch.withColumn("event_date", F.to_date(instant("timestamp")))
+        batch = batch.withColumn("event_date", period_start("timestamp", PARTITION_PERIOD[name]))
         if self.store.exists(f"raw/{name}"):
             path = self.store.path(f"raw/{name}")
             target = self.spark.read.option("basePath", path).parquet(
@@ -154,7 +170,7 @@ class Refresh:
 
     def load_mapping(self, docs: DataFrame) -> None:
         """S-3 + W-1: upsert the mapping (new version) and rebuild dim_items."""
-        batch = pl.parse_mapping_payload(docs, loaded_at=_loaded_at(docs), keep_position=True)
+        batch = pl.parse_mapping_payload(docs, keep_position=True, envelope=self.landing_envelope)
         position = ["payload_id", "pos"]
         if self.store.exists("raw/item_mapping"):
             table = writers.upsert(self.store.read("raw/item_mapping"), batch, "item_id", position)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow import schemas
 
@@ -38,12 +39,29 @@ def _epoch_or_null(epoch: Column) -> Column:
     return F.timestamp_seconds(F.nullif(epoch, F.lit(0).cast("long")))
 
 
-def _entries(payloads: DataFrame, schema, value: str, loaded_at) -> DataFrame:
-    parsed = payloads.select(
-        F.col("payload_id") if "payload_id" in payloads.columns else F.lit(None).alias("payload_id"),
-        F.from_json(F.col(value), schema).alias("p"),
-        _loaded_at(loaded_at).alias("loaded_at"))
-    return parsed.select("payload_id", "loaded_at", F.col("p.*"))
+def envelope_schema(payload_schema) -> T.StructType:
+    """Landed line ``{"poll_time": <epoch s>, "payload": <API document>}``."""
+    return T.StructType([T.StructField("poll_time", T.LongType()),
+                         T.StructField("payload", payload_schema)])
+
+
+def _parse(payloads: DataFrame, schema, value: str, loaded_at, envelope: bool):
+    """``(payload_id, loaded_at, doc)``; with ``envelope`` the load time is the
+    envelope's ``poll_time`` unless ``loaded_at`` is given."""
+    pid = (F.col("payload_id") if "payload_id" in payloads.columns
+           else F.lit(None).cast("string").alias("payload_id"))
+    if not envelope:
+        return payloads.select(pid, _loaded_at(loaded_at).alias("loaded_at"),
+                               F.from_json(F.col(value), schema).alias("doc"))
+    e = payloads.select(pid, F.from_json(F.col(value), envelope_schema(schema)).alias("e"))
+    at = (F.timestamp_seconds(F.col("e.poll_time")) if loaded_at is None
+          else _loaded_at(loaded_at))
+    return e.select("payload_id", at.alias("loaded_at"), F.col("e.payload").alias("doc"))
+
+
+def _entries(payloads: DataFrame, schema, value: str, loaded_at, envelope: bool = False) -> DataFrame:
+    return _parse(payloads, schema, value, loaded_at, envelope).select(
+        "payload_id", "loaded_at", F.col("doc.*"))
 
 
 def _last_per_key(exploded: DataFrame) -> DataFrame:
@@ -54,12 +72,13 @@ def _last_per_key(exploded: DataFrame) -> DataFrame:
 
 
 def parse_latest_payload(payloads: DataFrame, value: str = "value",
-                         loaded_at: str | Column | None = None) -> DataFrame:
+                         loaded_at: str | Column | None = None,
+                         envelope: bool = False) -> DataFrame:
     """S-1: ``{"data": {id: {high, highTime, low, lowTime}}}`` → raw.prices_latest rows.
 
     Items with neither price are dropped; epoch 0 / NULL times become NULL.
     """
-    e = _entries(payloads, schemas.LATEST_PAYLOAD, value, loaded_at)
+    e = _entries(payloads, schemas.LATEST_PAYLOAD, value, loaded_at, envelope)
     x = e.select("payload_id", "loaded_at", F.posexplode("data").alias("pos", "key", "v"))
     x = _last_per_key(x)
     return (x.select(F.col("key").cast("int").alias("item_id"),
@@ -73,11 +92,12 @@ def parse_latest_payload(payloads: DataFrame, value: str = "value",
 
 def parse_window_payload(payloads: DataFrame, value: str = "value",
                          loaded_at: str | Column | None = None,
-                         with_source: bool = False, last_key_wins: bool = True) -> DataFrame:
+                         with_source: bool = False, last_key_wins: bool = True,
+                         envelope: bool = False) -> DataFrame:
     """S-2: ``{"timestamp": epoch, "data": {id: {avgHighPrice, ...}}}`` → raw
     prices_5m / prices_1h rows.  The payload timestamp applies to every row
     (missing → epoch 0); no row filter."""
-    e = _entries(payloads, schemas.WINDOW_PAYLOAD, value, loaded_at)
+    e = _entries(payloads, schemas.WINDOW_PAYLOAD, value, loaded_at, envelope)
     x = e.select("payload_id", "loaded_at",
                  F.timestamp_seconds(F.coalesce("timestamp", F.lit(0).cast("long"))).alias("ts"),
                  F.posexplode("data").alias("pos", "key", "v"))
@@ -94,7 +114,7 @@ def parse_window_payload(payloads: DataFrame, value: str = "value",
 
 def parse_mapping_payload(payloads: DataFrame, value: str = "value",
                           loaded_at: str | Column | None = None,
-                          keep_position: bool = False) -> DataFrame:
+                          keep_position: bool = False, envelope: bool = False) -> DataFrame:
     """S-3: ``[{id, name, examine, members, lowalch, highalch, limit, value, icon}]``
     → raw.item_mapping rows (``id``→``item_id``, ``limit``→``buy_limit``).
 
@@ -102,11 +122,8 @@ def parse_mapping_payload(payloads: DataFrame, value: str = "value",
     and counted by ``invalid_mapping_records``.  ``keep_position`` adds
     ``(payload_id, pos)`` so an upsert can apply "last record wins".
     """
-    parsed = payloads.select(
-        F.col("payload_id") if "payload_id" in payloads.columns else F.lit(None).alias("payload_id"),
-        F.from_json(F.col(value), schemas.MAPPING_PAYLOAD).alias("records"),
-        _loaded_at(loaded_at).alias("loaded_at"))
-    x = parsed.select("payload_id", "loaded_at", F.posexplode("records").alias("pos", "r"))
+    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, loaded_at, envelope)
+    x = parsed.select("payload_id", "loaded_at", F.posexplode("doc").alias("pos", "r"))
     x = x.filter(F.col("r.id").isNotNull() & F.col("r.name").isNotNull())
     out = x.select(F.col("r.id").alias("item_id"), F.col("r.name").alias("name"),
                    F.col("r.examine").alias("examine"), F.col("r.members").alias("members"),

@@ -30,18 +30,18 @@ from marketflow.plans.jobs import with_payload_id
 
 
 def land_payloads(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write payload documents in the landing layout: JSON lines under
-    ``poll_time=<epoch seconds>/`` (the poller's load time)."""
-    (docs.select("value", F.unix_seconds(instant("loaded_at")).alias("poll_time"))
-     .write.mode(mode).partitionBy("poll_time").text(path))
+    """Write payload documents in the landing layout: JSON lines
+    ``{"poll_time": <epoch s>, "payload": <document>}`` (the poller's load
+    time travels with its document, so folders stay flat)."""
+    line = F.concat(F.lit('{"poll_time":'), F.unix_seconds(instant("loaded_at")).cast("string"),
+                    F.lit(',"payload":'), F.col("value"), F.lit("}"))
+    docs.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                    wholetext: bool = False) -> DataFrame:
-    """Streaming DataFrame of landed documents (``poll_time`` discovered from
-    the directory layout, ``payload_id`` per document)."""
-    schema = T.StructType([T.StructField("value", T.StringType()),
-                           T.StructField("poll_time", T.LongType())])
+    """Streaming DataFrame of landed documents with a ``payload_id`` each."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
     r = spark.readStream.format("text").schema(schema).option("wholetext", wholetext)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
