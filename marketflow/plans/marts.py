@@ -87,21 +87,23 @@ def agg_item_liquidity(stg_1h: DataFrame, params: MartParams = MartParams()) ->
 
     One scan and one shuffle: a single ``groupBy(item_id)`` computes both the
     latest hour (``max_by`` on the timestamp) and the windowed sum/count, with
-    partial aggregation before the shuffle.
+    partial aggregation before the shuffle (a hot item costs one row per task).
     """
     hourly = stg_1h.filter(upper_bound(stg_1h, "price_timestamp", params.as_of))
     in_window = lower_bound(hourly, "price_timestamp", params.as_of, params.liquidity_lookback)
-    latest = F.struct("total_volume", "high_price_volume", "low_price_volume")
+    # (item_id, price_timestamp) is the feed's key, so the three max_by pick the
+    # same row; primitive buffers keep this a (partial) HashAggregate
+    ts = "price_timestamp"
     agg = hourly.groupBy("item_id").agg(
-        F.max("price_timestamp").alias("latest_hour_ts"),
-        F.max_by(latest, "price_timestamp").alias("_latest"),
+        F.max(ts).alias("latest_hour_ts"),
+        F.max_by("total_volume", ts).alias("volume_per_hour"),
+        F.max_by("high_price_volume", ts).alias("high_volume_per_hour"),
+        F.max_by("low_price_volume", ts).alias("low_volume_per_hour"),
         F.sum(F.when(in_window, F.col("total_volume"))).alias("_sum24"),
         F.count_if(in_window).alias("_n24"))
     out = agg.select(
-        "item_id", "latest_hour_ts",
-        F.col("_latest.total_volume").alias("volume_per_hour"),
-        F.col("_latest.high_price_volume").alias("high_volume_per_hour"),
-        F.col("_latest.low_price_volume").alias("low_volume_per_hour"),
+        "item_id", "latest_hour_ts", "volume_per_hour", "high_volume_per_hour",
+        "low_volume_per_hour",
         F.when(F.col("_n24") > 0, round_div("_sum24", "_n24")).alias("avg_volume_per_hour_24h"),
         F.when(F.col("_n24") > 0, F.col("_n24")).alias("hours_observed_24h"))
     if params.latest_hour_max_age is not None:
