@@ -383,3 +383,27 @@ def stream_change_detect(spark, sf_dir):
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return r.raw("prices_latest")
+
+
+@_src
+def seed_tax_exempt(spark, sf_dir):
+    """S-5: the item dimension built with the packaged seed lists (the
+    reference's own exemptions and limit overrides) over the fixture mapping."""
+    from marketflow.plans import staging
+    from marketflow.sources import seeds
+    mapping = staging.stg_item_mapping(fixtures.raw_item_mapping(spark, sf_dir))
+    return marts.dim_items(mapping, seeds.tax_exempt_items(spark), seeds.buy_limit_overrides(spark))
+
+
+@_src
+def stream_ingest(spark, sf_dir):
+    """T-1: landed /5m documents streamed into the raw table (``foreachBatch``
+    → insert-ignore → idempotent batch directory); returns the stored rows."""
+    root = run_root(spark)
+    path = f"{root}/landing/5m"
+    ingest.land_payloads(fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir)), path)
+    r = _refresh(spark, sf_dir, root)
+    q = ingest.start_refresh_stream(spark, path, f"{root}/checkpoint",
+                                    lambda df, bid: r.load_window("5m", df, bid))
+    q.awaitTermination()
+    return r.raw("prices_5m")

@@ -111,6 +111,24 @@ class Models:
     def realized_fills(self) -> DataFrame:
         return marts.realized_fills(self.stg_realized_fills, self.dim_items)
 
+    VIEW_NAMES = {
+        "stg_item_mapping": "stg_item_mapping", "stg_prices_5m": "stg_prices_5m",
+        "stg_prices_1h": "stg_prices_1h", "stg_prices_latest": "stg_prices_latest",
+        "stg_realized_fills": "stg_realized_fills", "dim_items": "dim_items",
+        "fct_prices": "fct_prices", "agg_item_liquidity": "agg_item_liquidity",
+        "agg_item_volatility": "agg_item_volatility",
+        "flip_opportunities": "agg_flip_opportunities", "realized_fills": "realized_fills",
+    }
+
+    def register_views(self) -> list[str]:
+        """W-6: expose every model as a temp view under its reference name, so
+        SQL consumers run unchanged (``spark.sql("select ... from
+        agg_flip_opportunities order by max_profit_per_limit desc limit 20")``).
+        Views are lazy: each read recomputes from the current inputs."""
+        for attr, view in self.VIEW_NAMES.items():
+            getattr(self, attr).createOrReplaceTempView(view)
+        return list(self.VIEW_NAMES.values())
+
 
 def fixture_models(spark: SparkSession, sf_dir: str, params: MartParams = FIXTURE_PARAMS) -> Models:
     return Models(fixture_raw(spark, sf_dir), params)

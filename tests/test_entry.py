@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "lineitem", "orders", "events"]
 # keys that write landing/store folders are covered at sf0.01 by tools/oracle_check.py
-SLOW = {"refresh_daily", "refresh_latest", "refresh_5m", "refresh_1h", "stream_dedupe",
+SLOW = {"refresh_daily", "refresh_latest", "refresh_5m", "refresh_1h", "stream_dedupe", "stream_ingest",
         "stream_change_detect"}
 
 

@@ -126,3 +126,14 @@ def test_realized_fills_edges(spark):
     assert r.fill_ratio == Decimal("0.4000") and r.is_cancelled and not r.is_filled
     assert r.time_to_fill_seconds is None and r.time_to_fill_hours is None
     assert r.item_name is None
+
+
+def test_views_run_reference_sql(spark):
+    from marketflow.plans.models import fixture_models
+    m = fixture_models(spark, "/root/testdata/sf0.001")
+    assert "agg_flip_opportunities" in m.register_views()
+    top = spark.sql("select item_id from agg_flip_opportunities "
+                    "order by max_profit_per_limit desc nulls last, item_id limit 20").collect()
+    ours = [r.item_id for r in m.flip_opportunities.orderBy(
+        m.flip_opportunities.max_profit_per_limit.desc_nulls_last(), "item_id").limit(20).collect()]
+    assert [r.item_id for r in top] == ours
