@@ -29,17 +29,30 @@ class RawTables:
     buy_limit_overrides: DataFrame
 
 
-def fixture_raw(spark: SparkSession, sf_dir: str) -> RawTables:
-    """Raw layer derived from the driver tables at ``sf_dir``."""
-    return RawTables(
-        item_mapping=fixtures.raw_item_mapping(spark, sf_dir),
-        prices_5m=fixtures.raw_prices_5m(spark, sf_dir),
-        prices_1h=fixtures.raw_prices_1h(spark, sf_dir),
-        prices_latest=fixtures.raw_prices_latest(spark, sf_dir),
-        realized_fills=fixtures.raw_realized_fills(spark, sf_dir),
-        tax_exempt_items=fixtures.seed_tax_exempt_items(spark, sf_dir),
-        buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir),
-    )
+class FixtureRaw:
+    """Raw layer derived from the driver tables at ``sf_dir``; each table is
+    built only when a model first needs it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def _get(self, fn):
+        return fn(self.spark, self.sf_dir)
+
+    item_mapping = functools.cached_property(lambda self: self._get(fixtures.raw_item_mapping))
+    prices_5m = functools.cached_property(lambda self: self._get(fixtures.raw_prices_5m))
+    prices_1h = functools.cached_property(lambda self: self._get(fixtures.raw_prices_1h))
+    prices_latest = functools.cached_property(lambda self: self._get(fixtures.raw_prices_latest))
+    realized_fills = functools.cached_property(lambda self: self._get(fixtures.raw_realized_fills))
+    tax_exempt_items = functools.cached_property(
+        lambda self: self._get(fixtures.seed_tax_exempt_items))
+    buy_limit_overrides = functools.cached_property(
+        lambda self: self._get(fixtures.seed_buy_limit_overrides))
+
+
+def fixture_raw(spark: SparkSession, sf_dir: str) -> FixtureRaw:
+    """Raw layer derived from the driver tables at ``sf_dir`` (lazy)."""
+    return FixtureRaw(spark, sf_dir)
 
 
 # Parameters used against the fixtures: the driver data ends 2001-11-04 and is
@@ -58,7 +71,7 @@ FIXTURE_PARAMS = MartParams(
 
 
 class Models:
-    def __init__(self, raw: RawTables, params: MartParams = MartParams()):
+    def __init__(self, raw: RawTables | FixtureRaw, params: MartParams = MartParams()):
         self.raw = raw
         self.params = params
 

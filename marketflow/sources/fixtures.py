@@ -29,8 +29,18 @@ TAX_EXEMPT_PART_MODULUS = 97     # parts with key % 97 == 0 are tax exempt
 LIMIT_OVERRIDE_PART_MODULUS = 89  # parts with key % 89 == 0 get buy limit 1
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The reader (resolved schema, file index) is reused per
+    session: the inputs are read-only, and re-resolving the Parquet footer for
+    every derived table dominated query set-up time."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def raw_item_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
