@@ -92,6 +92,11 @@ class TableStore:
             w = w.partitionBy(partition_col)
         w.parquet(f"{self.path(name)}/batch={batch_id}")
 
+    def read_batch(self, name: str, batch_id: str | int, columns: list[str]) -> DataFrame:
+        """The rows one ``append_batch`` wrote (a lineage cut: later steps of the
+        job read back exactly what was committed)."""
+        return self.spark.read.parquet(f"{self.path(name)}/batch={batch_id}").select(*columns)
+
     def read_appends(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         batches = [c for c in self._children(self.path(name), "batch=")
                    if self._committed(f"{self.path(name)}/{c}")]

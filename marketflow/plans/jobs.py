@@ -118,9 +118,15 @@ class Refresh:
         return self.store.read("marts/dim_items")
 
     # --- feed loaders ----------------------------------------------------------------
-    def _append(self, rows: DataFrame, name: str, batch_id, time_col: str) -> None:
+    def _append(self, rows: DataFrame, name: str, batch_id, time_col: str) -> DataFrame:
+        """Append one batch and return the committed rows, read back from the
+        batch directory.  The written batch is the lineage cut: the state
+        update sees exactly the stored rows (and the same load time), and a
+        lost executor never recomputes the change detection."""
+        cols = rows.columns
         rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
         self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
+        return self.store.read_batch(f"raw/{name}", batch_id, cols)
 
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
@@ -135,13 +141,9 @@ class Refresh:
         else:
             state = None
             inserted = writers.changed_rows(batch)
-        # fix the rows (and their load time) once: they are both appended and
-        # folded into the state
-        inserted = inserted.checkpoint(eager=True)
-        self._append(inserted, "prices_latest", batch_id, "loaded_at")
-        new_state = inserted if state is None else writers.next_state(state, inserted)
-        if state is not None:
-            new_state = latest_per_key(new_state, "item_id", "loaded_at")
+        inserted = self._append(inserted, "prices_latest", batch_id, "loaded_at")
+        new_state = (latest_per_key(inserted, "item_id", "loaded_at") if state is None
+                     else writers.next_state(state, inserted))
         self.store.write_version(new_state, "state/latest_price")
 
     def load_window(self, feed: str, docs: DataFrame, batch_id) -> None:
@@ -160,8 +162,7 @@ class Refresh:
             new = writers.insert_ignore(target, batch, ["item_id", "timestamp"], prune_on="event_date")
         else:
             new = batch
-        new = new.drop("event_date").checkpoint(eager=True)
-        self._append(new, name, batch_id, "timestamp")
+        new = self._append(new.drop("event_date"), name, batch_id, "timestamp")
         staged = (staging.stg_prices_5m(new) if feed == "5m" else staging.stg_prices_1h(new))
         state_name = f"state/latest_{feed}"
         if self.store.exists(state_name):
