@@ -2,20 +2,22 @@
 
 Without a table format there is no MERGE and no multi-file atomic commit, so:
 
-* **Rebuilt tables** (marts, the upserted mapping, the change-detection state)
-  are written to a new ``version=<n>`` directory; readers take the highest
-  version whose ``_SUCCESS`` marker exists (Spark's job-commit marker).  A
-  failed or running write is never visible and nothing being read is ever
-  overwritten.
-* **Append-only tables** (raw price feeds, fill events) get one
-  ``batch=<id>`` directory per batch, written in overwrite mode: a retried
-  batch replaces its own files, so appends are idempotent.  Inside a batch,
-  rows are partitioned by ``event_date`` so time-bounded reads prune.
+* **Rebuilt tables** (marts, the upserted mapping, state tables) are written to
+  a new ``version=<n>`` directory; readers take the highest version whose
+  ``_SUCCESS`` marker exists (Spark's job-commit marker).  A failed or running
+  write is never visible and nothing being read is ever overwritten.
+* **Append-only tables** (raw feeds, fill events) are laid out
+  ``<period col>=<period>/batch=<id>/``, written with *dynamic* partition
+  overwrite: a retried batch replaces exactly its own ``(period, batch)``
+  directories (idempotent), and uncommitted output stays in a hidden staging
+  folder.  Period first means a time-bounded read lists only the periods it
+  needs, however many batches have landed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -53,7 +55,12 @@ class TableStore:
         return sorted(out)
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name)) or bool(self._children(self.path(name), "batch="))
+        return bool(self.versions(name)) or bool(self._periods(name))
+
+    def _periods(self, name: str) -> list[str]:
+        """Period directories (``<col>=<value>``) of an append-only table."""
+        return [d for d in self._children(self.path(name), "")
+                if "=" in d and not d.startswith(("_", ".", "version="))]
 
     def write_version(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
         taken = [int(c.split("=", 1)[1]) for c in self._children(self.path(name), "version=")]
@@ -67,7 +74,7 @@ class TableStore:
         return version
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """Latest committed version of a rebuilt table, or all batches of an
+        """Latest committed version of a rebuilt table, or all rows of an
         append-only table."""
         versions = self.versions(name)
         if versions:
@@ -79,34 +86,55 @@ class TableStore:
 
     # --- append-only tables ---------------------------------------------------------
     def append_batch(self, df: DataFrame, name: str, batch_id: str | int,
-                     partition_col: str | None = None) -> None:
-        """Write one batch; rows are partitioned by ``partition_col`` (a date
-        column) inside the batch directory."""
-        out = df
-        if partition_col is not None:
-            # rebalance on the partition column: one file per period instead of
-            # one per (task, period); AQE still splits a period that is too large
-            out = out.hint("rebalance", partition_col)
-        w = out.write.mode("overwrite")
-        if partition_col is not None:
-            w = w.partitionBy(partition_col)
-        w.parquet(f"{self.path(name)}/batch={batch_id}")
+                     partition_col: str) -> list[str]:
+        """Write one batch under ``<partition_col>=<period>/batch=<id>`` and
+        return the period directories it wrote."""
+        out = (df.withColumn("batch", F.lit(str(batch_id)))
+               # one file per period instead of one per (task, period); AQE
+               # still splits a period that is too large
+               .hint("rebalance", partition_col))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col, "batch").parquet(self.path(name)))
+        return self.batch_periods(name, batch_id)
+
+    def batch_periods(self, name: str, batch_id: str | int) -> list[str]:
+        fs, p = self._fs_path(f"{self.path(name)}/*/batch={batch_id}")
+        found = fs.globStatus(p) or []
+        return sorted(s.getPath().getParent().getName() for s in found)
 
     def read_batch(self, name: str, batch_id: str | int, columns: list[str]) -> DataFrame:
-        """The rows one ``append_batch`` wrote (a lineage cut: later steps of the
+        """The rows one ``append_batch`` wrote (a lineage cut: later steps of a
         job read back exactly what was committed)."""
-        return self.spark.read.parquet(f"{self.path(name)}/batch={batch_id}").select(*columns)
-
-    def read_appends(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        batches = [c for c in self._children(self.path(name), "batch=")
-                   if self._committed(f"{self.path(name)}/{c}")]
-        if not batches:
+        periods = self.batch_periods(name, batch_id)
+        if not periods:
+            return None
+        paths = [f"{self.path(name)}/{d}/batch={batch_id}" for d in periods]
+        return (self.spark.read.option("basePath", self.path(name)).parquet(*paths)
+                .select(*columns))
+
+    def read_appends(self, name: str, schema: T.StructType | None = None,
+                     periods: list[str] | None = None) -> DataFrame:
+        """Rows of an append-only table; ``periods`` (``"<col>=<value>"``
+        directory names) restricts the listing and the scan to those periods."""
+        present = self._periods(name)
+        if periods is not None:
+            present = [d for d in present if d in set(periods)]
+        if not present:
             if schema is None:
                 raise FileNotFoundError(self.path(name))
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path(name)}/{b}" for b in batches]
-        df = (self.spark.read.option("basePath", self.path(name))
-              .option("mergeSchema", False).parquet(*paths))
+        r = self.spark.read.option("basePath", self.path(name))
+        df = r.parquet(*[f"{self.path(name)}/{d}" for d in present])
         keep = schema.fieldNames() if schema is not None else [
-            c for c in df.columns if c not in ("batch", "event_date")]
+            c for c in df.columns if c not in ("batch",) and c != present[0].split("=")[0]]
         return df.select(*keep)
+
+    def read_appends_with_period(self, name: str, periods: list[str] | None = None) -> DataFrame:
+        """Like ``read_appends`` but keeps the period column (for pruning joins)."""
+        present = self._periods(name)
+        if periods is not None:
+            present = [d for d in present if d in set(periods)]
+        if not present:
+            return None
+        return (self.spark.read.option("basePath", self.path(name))
+                .parquet(*[f"{self.path(name)}/{d}" for d in present]).drop("batch"))

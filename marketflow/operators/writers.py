@@ -180,18 +180,22 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> Data
 
 
 def append_fills(existing: DataFrame, batch: DataFrame,
-                 recorded_at: dt.datetime | None = None) -> DataFrame:
+                 recorded_at: dt.datetime | None = None, id_base: Column | None = None) -> DataFrame:
     """W-5: new fill events to append, with ``event_id`` and ``recorded_at``
     stamped on write.  Events already stored (same ``event_uid``) and repeats
     inside the batch are dropped, so a retried batch appends nothing twice.
-    ``event_id`` continues from the stored maximum, densely, in natural-key order.
+    ``event_id`` continues from the stored maximum (or ``id_base``), densely,
+    in natural-key order.  ``existing`` only needs the partitions a re-sent
+    event can be in (see ``Refresh.append_fill_events``).
     """
     b = batch.withColumn("event_uid", event_uid())
     b = b.dropDuplicates(["event_uid"])
     stored = existing.withColumn("event_uid", event_uid()).select("event_uid")
     new = b.join(stored, "event_uid", "left_anti")
-    # scalar subquery: evaluated once, no join
-    base = existing.agg(F.coalesce(F.max("event_id"), F.lit(0)).cast("long")).scalar()
+    # scalar subquery: evaluated once, no join.  ``id_base`` (the stored
+    # high-water mark) avoids scanning the log for its maximum.
+    base = (id_base if id_base is not None
+            else existing.agg(F.coalesce(F.max("event_id"), F.lit(0)).cast("long")).scalar())
     indexed = dense_index(new, [*NATURAL_KEY, "event_uid"])
     return indexed.select(
         (base + F.col("_idx")).alias("event_id"),

@@ -2,7 +2,7 @@
 
 Scale design (what each job reads):
 
-* Raw feeds are append-only (``batch=<id>/event_date=<d>``).  An insert-ignore
+* Raw feeds are append-only (``event_date=<period>/batch=<id>``).  An insert-ignore
   only reads the stored keys of the batch's own dates.
 * Per-item "latest" lookups never scan history: the jobs keep three small
   state tables, one row per item — ``latest_price`` (last stored /latest row,
@@ -90,23 +90,23 @@ class Refresh:
         return self.store.read(f"raw/{name}", schema)
 
     def _window_rows(self, name: str, lookback: dt.timedelta) -> DataFrame:
-        """Rows of a feed inside a trailing window: the date-partition filter
-        prunes whole directories, the timestamp filter is pushed to the scan."""
+        """Rows of a feed inside a trailing window: only the period directories
+        the window touches are listed and read; the timestamp bound is pushed
+        to the scan."""
         as_of = self.params.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         since = as_of - lookback
-        path = self.store.path(f"raw/{name}")
-        batches = [c for c in self.store._children(path, "batch=")
-                   if self.store._committed(f"{path}/{c}")]
-        if not batches:
-            return self.spark.createDataFrame([], schemas.WINDOW_PRICES)
-        df = (self.spark.read.option("basePath", path)
-              .parquet(*[f"{path}/{b}" for b in batches]))
-        first = F.lit(since.date().isoformat()).cast("date")
-        if PARTITION_PERIOD[name] != "day":
-            first = F.trunc(first, PARTITION_PERIOD[name])
-        df = df.filter((F.col("event_date") >= first)
-                       & (F.col("timestamp") >= ts_literal(since, df.schema["timestamp"].dataType)))
-        return df.select(*schemas.WINDOW_PRICES.fieldNames())
+        unit = PARTITION_PERIOD[name]
+        first = since.date() if unit == "day" else since.date().replace(day=1)
+        periods = [d for d in self.store._periods(f"raw/{name}")
+                   if d.split("=", 1)[1] >= first.isoformat()]
+        df = self.store.read_appends(f"raw/{name}", schemas.WINDOW_PRICES, periods)
+        return df.filter(F.col("timestamp") >= ts_literal(since, df.schema["timestamp"].dataType))
+
+    @staticmethod
+    def _period_dirs(df: DataFrame, col: str = "event_date") -> list[str]:
+        """Period directories a batch touches (a handful of values per batch)."""
+        return [f"{col}={r[0].isoformat() if r[0] is not None else '__HIVE_DEFAULT_PARTITION__'}"
+                for r in df.select(col).distinct().collect()]
 
     def _seeds(self):
         te = self.tax_exempt if self.tax_exempt is not None else seeds.tax_exempt_items(self.spark)
@@ -120,13 +120,15 @@ class Refresh:
     # --- feed loaders ----------------------------------------------------------------
     def _append(self, rows: DataFrame, name: str, batch_id, time_col: str) -> DataFrame:
         """Append one batch and return the committed rows, read back from the
-        batch directory.  The written batch is the lineage cut: the state
+        batch's directories.  The written batch is the lineage cut: the state
         update sees exactly the stored rows (and the same load time), and a
         lost executor never recomputes the change detection."""
-        cols = rows.columns
-        rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
+        cols = [c for c in rows.columns if c != "event_date"]
+        if "event_date" not in rows.columns:
+            rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
         self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
-        return self.store.read_batch(f"raw/{name}", batch_id, cols)
+        written = self.store.read_batch(f"raw/{name}", batch_id, cols)
+        return written if written is not None else self.spark.createDataFrame([], rows.select(*cols).schema)
 
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
@@ -154,15 +156,12 @@ class Refresh:
         batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
                                      drop=["payload_id"])
         batch = batch.withColumn("event_date", period_start("timestamp", PARTITION_PERIOD[name]))
-        if self.store.exists(f"raw/{name}"):
-            path = self.store.path(f"raw/{name}")
-            target = self.spark.read.option("basePath", path).parquet(
-                *[f"{path}/{b}" for b in self.store._children(path, "batch=")
-                  if self.store._committed(f"{path}/{b}")])
-            new = writers.insert_ignore(target, batch, ["item_id", "timestamp"], prune_on="event_date")
-        else:
-            new = batch
-        new = self._append(new.drop("event_date"), name, batch_id, "timestamp")
+        # stored keys of the batch's own periods only: the listing and the scan
+        # never grow with the history
+        target = self.store.read_appends_with_period(f"raw/{name}", self._period_dirs(batch))
+        new = (writers.insert_ignore(target, batch, ["item_id", "timestamp"])
+               if target is not None else batch)
+        new = self._append(new, name, batch_id, "timestamp")
         staged = (staging.stg_prices_5m(new) if feed == "5m" else staging.stg_prices_1h(new))
         state_name = f"state/latest_{feed}"
         if self.store.exists(state_name):
@@ -181,14 +180,32 @@ class Refresh:
         self.store.write_version(table, "raw/item_mapping")
         self.rebuild_dim()
 
-    def append_fill_events(self, events: DataFrame, batch_id) -> None:
-        """W-5: append bot fill events (idempotent on ``event_uid``)."""
-        if self.store.exists("raw/realized_fills"):
-            existing = self.store.read("raw/realized_fills")
-        else:
+    def append_fill_events(self, events: DataFrame, batch_id) -> DataFrame:
+        """W-5: append bot fill events, idempotent on ``event_uid``.
+
+        The fill log is partitioned by the month of ``offer_placed_at`` — part
+        of the natural key — so a re-sent event always falls in the same
+        partition: the duplicate check reads only the batch's own months and
+        stays exact.  The id high-water mark lives in a one-row state table.
+        """
+        events = events.withColumn("event_date", period_start("offer_placed_at", "month"))
+        months = self._period_dirs(events)
+        existing = self.store.read_appends_with_period("raw/realized_fills", months)
+        if existing is None:
             existing = self.spark.createDataFrame([], schemas.REALIZED_FILLS)
-        rows = writers.append_fills(existing, events, self.params.as_of)
-        self._append(rows.drop("event_uid"), "realized_fills", batch_id, "recorded_at")
+        base = (self.store.read("state/fill_ids").agg(F.max("max_event_id")).scalar()
+                if self.store.exists("state/fill_ids") else None)
+        rows = writers.append_fills(existing.select(*schemas.REALIZED_FILLS.fieldNames()),
+                                    events.drop("event_date"), self.params.as_of, id_base=base)
+        rows = rows.drop("event_uid").withColumn(
+            "event_date", period_start("offer_placed_at", "month"))
+        written = self._append(rows, "realized_fills", batch_id, "offer_placed_at")
+        high = written.agg(F.max("event_id").alias("max_event_id"))
+        if base is not None:
+            high = high.select(F.greatest(F.col("max_event_id"), base).alias("max_event_id"))
+        self.store.write_version(high.select(F.coalesce("max_event_id", F.lit(0)).cast("long")
+                                             .alias("max_event_id")), "state/fill_ids")
+        return written
 
     # --- mart rebuilds -------------------------------------------------------------------
     def rebuild_dim(self) -> None:
