@@ -64,11 +64,31 @@ def _entries(payloads: DataFrame, schema, value: str, loaded_at, envelope: bool
         "payload_id", "loaded_at", F.col("doc.*"))
 
 
-def _last_per_key(exploded: DataFrame) -> DataFrame:
-    """Duplicate keys inside one JSON object: the last one wins (as in a dict).
-    ``from_json`` keeps both entries, so keep the highest position."""
-    from marketflow.operators.latest import latest_per_key
-    return latest_per_key(exploded, ["payload_id", "key"], "pos").drop("pos")
+def _last_per_key(data: Column) -> Column:
+    """Entries of a parsed JSON object with duplicate keys resolved as a dict
+    does: the last one wins (``from_json`` keeps both).
+
+    Row-local, no shuffle: the entries are tagged with their negated position,
+    sorted by (key, -position), and the first entry of each key run is kept.
+    Works the same on batch and streaming DataFrames.
+    """
+    tagged = F.transform(F.map_entries(data),
+                         lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("neg_pos"),
+                                               e["value"].alias("v")))
+    return F.array_sort(tagged)
+
+
+def _explode_last_wins(df: DataFrame, data: str, keep: list[str]) -> DataFrame:
+    """One row per distinct key.  No lambda refers to the whole array (the
+    optimizer may inline it into the lambda, making the step quadratic): the
+    previous key comes from a shifted copy combined element-wise."""
+    sorted_df = df.select(*keep, _last_per_key(F.col(data)).alias("_s"))   # sorted once
+    s = F.col("_s")
+    keys = F.transform(s, lambda x: x["key"])
+    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), keys), 1, F.size(s))
+    first = F.zip_with(s, prev, lambda x, p: F.when(p.isNull() | (p != x["key"]), x))
+    kept = F.filter(first, lambda x: x.isNotNull())
+    return sorted_df.select(*keep, F.inline(kept)).drop("neg_pos")
 
 
 def parse_latest_payload(payloads: DataFrame, value: str = "value",
@@ -79,8 +99,7 @@ def parse_latest_payload(payloads: DataFrame, value: str = "value",
     Items with neither price are dropped; epoch 0 / NULL times become NULL.
     """
     e = _entries(payloads, schemas.LATEST_PAYLOAD, value, loaded_at, envelope)
-    x = e.select("payload_id", "loaded_at", F.posexplode("data").alias("pos", "key", "v"))
-    x = _last_per_key(x)
+    x = _explode_last_wins(e, "data", ["payload_id", "loaded_at"])
     return (x.select(F.col("key").cast("int").alias("item_id"),
                      F.col("v.high").alias("high_price"),
                      _epoch_or_null(F.col("v.highTime")).alias("high_time"),
@@ -94,15 +113,17 @@ def parse_window_payload(payloads: DataFrame, value: str = "value",
                          loaded_at: str | Column | None = None,
                          with_source: bool = False, last_key_wins: bool = True,
                          envelope: bool = False) -> DataFrame:
+    # ``last_key_wins=False`` skips resolving duplicate keys (cheaper when a
+    # later dedupe on (item_id, timestamp) handles repeats anyway)
     """S-2: ``{"timestamp": epoch, "data": {id: {avgHighPrice, ...}}}`` → raw
     prices_5m / prices_1h rows.  The payload timestamp applies to every row
     (missing → epoch 0); no row filter."""
     e = _entries(payloads, schemas.WINDOW_PAYLOAD, value, loaded_at, envelope)
-    x = e.select("payload_id", "loaded_at",
-                 F.timestamp_seconds(F.coalesce("timestamp", F.lit(0).cast("long"))).alias("ts"),
-                 F.posexplode("data").alias("pos", "key", "v"))
-    # on a stream (no row_number) a later watermarked dedupe resolves repeats
-    x = _last_per_key(x) if last_key_wins else x.drop("pos")
+    e = e.withColumn("ts", F.timestamp_seconds(F.coalesce("timestamp", F.lit(0).cast("long"))))
+    if last_key_wins:
+        x = _explode_last_wins(e, "data", ["payload_id", "loaded_at", "ts"])
+    else:
+        x = e.select("payload_id", "loaded_at", "ts", F.explode("data").alias("key", "v"))
     return x.select(F.col("key").cast("int").alias("item_id"),
                     F.col("v.avgHighPrice").alias("avg_high_price"),
                     F.col("v.highPriceVolume").alias("high_price_volume"),
