@@ -143,5 +143,14 @@ class Models:
         return list(self.VIEW_NAMES.values())
 
 
+_GRAPHS: dict[tuple, Models] = {}
+
+
 def fixture_models(spark: SparkSession, sf_dir: str, params: MartParams = FIXTURE_PARAMS) -> Models:
-    return Models(fixture_raw(spark, sf_dir), params)
+    """The model graph over the fixtures, built once per (session, folder,
+    parameters).  DataFrames are immutable and lazy, so queries share the
+    built plans; every query still executes in full."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    if key not in _GRAPHS:
+        _GRAPHS[key] = Models(fixture_raw(spark, sf_dir), params)
+    return _GRAPHS[key]
