@@ -128,7 +128,21 @@ class Refresh:
             rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
         self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
         written = self.store.read_batch(f"raw/{name}", batch_id, cols)
-        return written if written is not None else self.spark.createDataFrame([], rows.select(*cols).schema)
+        if written is None:
+            return self.spark.createDataFrame([], rows.select(*cols).schema)
+        if "loaded_at" in cols:
+            self._advance_load_mark(name, written)
+        return written
+
+    def _advance_load_mark(self, name: str, written: DataFrame) -> None:
+        """Per-feed high-water mark of ``loaded_at`` (one row per feed), so the
+        freshness check reads a tiny table instead of scanning the feed."""
+        new = written.agg(F.max(instant("loaded_at")).alias("max_loaded_at")).select(
+            F.lit(f"raw.{name}").alias("source_name"), "max_loaded_at")
+        if self.store.exists("state/load_marks"):
+            new = self.store.read("state/load_marks").unionByName(new)
+        marks = new.groupBy("source_name").agg(F.max("max_loaded_at").alias("max_loaded_at"))
+        self.store.write_version(marks, "state/load_marks")
 
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
@@ -224,16 +238,65 @@ class Refresh:
         liq = marts.liquidity_from_parts(latest, window, self.params)
         self.store.write_version(liq, "marts/agg_item_liquidity")
 
+    # --- quality -----------------------------------------------------------------------
+    def quality_report(self) -> DataFrame:
+        """Q-8 over the stored tables: the same checks as ``quality.report``;
+        freshness reads the per-feed high-water marks."""
+        from types import SimpleNamespace
+
+        from marketflow.operators import quality
+
+        dim = self.dim_items()
+        stg5 = staging.stg_prices_5m(self.raw("prices_5m"))
+        marks = self.store.read("state/load_marks") if self.store.exists("state/load_marks") else None
+
+        def mark(src):
+            if marks is None:
+                return self.spark.createDataFrame([], "loaded_at timestamp")
+            return marks.filter(F.col("source_name") == src).select(
+                F.col("max_loaded_at").alias("loaded_at"))
+
+        graph = SimpleNamespace(
+            dim_items=dim, stg_prices_5m=stg5, fct_prices=marts.fct_prices(stg5, dim),
+            flip_opportunities=self.flip_opportunities(),
+            agg_item_liquidity=self._stored("marts/agg_item_liquidity", marts.agg_item_liquidity(
+                staging.stg_prices_1h(self._empty(schemas.WINDOW_PRICES)), self.params)),
+            agg_item_volatility=self._stored("marts/agg_item_volatility", marts.agg_item_volatility(
+                marts.fct_prices(staging.stg_prices_5m(self._empty(schemas.WINDOW_PRICES)), dim),
+                self.params)),
+            realized_fills=(marts.realized_fills(staging.stg_realized_fills(self.raw("realized_fills")), dim)
+                            if self.store.exists("raw/realized_fills")
+                            else self.spark.createDataFrame([], "event_id long, flip_id string, item_id int")),
+            raw=SimpleNamespace(**{n: (self.raw(n) if self.store.exists(f"raw/{n}") else
+                                       self.spark.createDataFrame([], s_))
+                                   for n, s_ in [("item_mapping", schemas.ITEM_MAPPING),
+                                                 ("prices_5m", schemas.WINDOW_PRICES),
+                                                 ("prices_latest", schemas.PRICES_LATEST),
+                                                 ("prices_1h", schemas.WINDOW_PRICES),
+                                                 ("realized_fills", schemas.REALIZED_FILLS)]}),
+            freshness_sources={s_: mark(s_) for s_ in quality.FRESHNESS})
+        return quality.report(graph, self.params.as_of)
+
     # --- views ------------------------------------------------------------------------------
+    def _empty(self, schema) -> DataFrame:
+        return self.spark.createDataFrame([], schema)
+
+    def _stored(self, name: str, empty: DataFrame) -> DataFrame:
+        """A stored table, or an empty one of the same shape before its first load."""
+        return self.store.read(name) if self.store.exists(name) else empty
+
     def flip_opportunities(self) -> DataFrame:
         """F-1 over the state tables and the stored marts (lazy)."""
         dim = self.dim_items()
-        current = staging.stg_prices_latest(self.store.read("state/latest_price"))
-        recent = marts.fct_prices(self.store.read("state/latest_5m"), dim)
-        return marts.flip_opportunities(current, recent, dim,
-                                        self.store.read("marts/agg_item_liquidity"),
-                                        self.store.read("marts/agg_item_volatility"),
-                                        self.params)
+        stg5 = staging.stg_prices_5m(self._empty(schemas.WINDOW_PRICES))
+        stg1 = staging.stg_prices_1h(self._empty(schemas.WINDOW_PRICES))
+        current = staging.stg_prices_latest(
+            self._stored("state/latest_price", self._empty(schemas.PRICES_LATEST)))
+        recent = marts.fct_prices(self._stored("state/latest_5m", stg5), dim)
+        liq = self._stored("marts/agg_item_liquidity", marts.agg_item_liquidity(stg1, self.params))
+        vol = self._stored("marts/agg_item_volatility",
+                           marts.agg_item_volatility(marts.fct_prices(stg5, dim), self.params))
+        return marts.flip_opportunities(current, recent, dim, liq, vol, self.params)
 
     # --- schedules ------------------------------------------------------------------------
     def refresh_latest(self, docs: DataFrame, batch_id) -> DataFrame:

@@ -121,3 +121,18 @@ def test_fill_log_ids_continue_and_retries_are_exact(spark, scratch):
     r.append_fill_events(b2, 2)          # re-sends one event of batch 1
     got = sorted((x.event_id, x.flip_id, x.leg) for x in r.raw("realized_fills").collect())
     assert got == [(1, "a", "buy"), (2, "a", "sell"), (3, "b", "buy")]
+
+
+def test_quality_report_over_stored_tables(spark, scratch):
+    """Q-8 in the job path: freshness comes from the per-feed load marks."""
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0 + dt.timedelta(minutes=10)))
+    mapping = ('{"poll_time": %d, "payload": [{"id": 1, "name": "a", "limit": 5}]}'
+               % int(T0.replace(tzinfo=dt.timezone.utc).timestamp()))
+    latest = ('{"poll_time": %d, "payload": {"data": {"1": {"high": 300, "low": 200}}}}'
+              % int(T0.replace(tzinfo=dt.timezone.utc).timestamp()))
+    r.load_mapping(spark.createDataFrame([("m", mapping)], "payload_id string, value string"))
+    r.load_latest(spark.createDataFrame([("l", latest)], "payload_id string, value string"), 1)
+    rep = {(x.check_name, x.model): x for x in r.quality_report().collect()}
+    assert rep[("source_freshness", "raw.prices_latest")].status == "warn"   # 10 min > 5 min
+    assert rep[("source_freshness", "raw.prices_5m")].status == "fail"       # never loaded
+    assert rep[("not_null", "dim_items")].status == "pass"
