@@ -211,4 +211,9 @@ def report(models, as_of: dt.datetime | None = None) -> DataFrame:
         F.when(F.col("status") == "error", "error").otherwise("warn").alias("severity"),
         F.when(F.col("status") == "pass", 0).otherwise(1).cast("long").alias("failures"),
         F.when(F.col("status") == "error", "fail").otherwise(F.col("status")).alias("status"))
+    for name, rows_df in (getattr(models, "quarantine", None) or {}).items():
+        # documents / records that could not be loaded (dead-letter tables)
+        parts.append(rows(rows_df.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(name).alias("model"), F.lit("value").alias("column_name"), "failures"),
+            "payload_quarantine", "warn"))
     return _union(parts + [fresh])

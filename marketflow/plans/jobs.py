@@ -144,8 +144,17 @@ class Refresh:
         marks = new.groupBy("source_name").agg(F.max("max_loaded_at").alias("max_loaded_at"))
         self.store.write_version(marks, "state/load_marks")
 
+    def _quarantine(self, docs: DataFrame, feed: str, schema, batch_id) -> None:
+        """Dead-letter table of documents that did not parse (one batch
+        directory per load, like the raw feeds)."""
+        bad = pl.quarantined(docs, schema, envelope=self.landing_envelope)
+        bad = bad.select(F.lit(feed).alias("feed"), F.col("value"),
+                         F.current_date().alias("event_date"))
+        self.store.append_batch(bad, f"quarantine/{feed}", batch_id, "event_date")
+
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
+        self._quarantine(docs, "latest", schemas.LATEST_PAYLOAD, batch_id)
         self.store_latest_rows(pl.parse_latest_payload(docs, envelope=self.landing_envelope), batch_id)
 
     def store_latest_rows(self, batch: DataFrame, batch_id) -> None:
@@ -165,6 +174,7 @@ class Refresh:
     def load_window(self, feed: str, docs: DataFrame, batch_id) -> None:
         """S-2 + W-2 for ``prices_5m`` / ``prices_1h``; advances the feed's latest-row state."""
         name = f"prices_{feed}"
+        self._quarantine(docs, feed, schemas.WINDOW_PAYLOAD, batch_id)
         batch = pl.parse_window_payload(docs, with_source=True, envelope=self.landing_envelope)
         # first write wins, also between documents of one batch (arrival order)
         batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
@@ -184,6 +194,12 @@ class Refresh:
 
     def load_mapping(self, docs: DataFrame) -> None:
         """S-3 + W-1: upsert the mapping (new version) and rebuild dim_items."""
+        self._quarantine(docs, "mapping", schemas.MAPPING_PAYLOAD, "mapping")
+        invalid = pl.invalid_mapping_records(docs, envelope=self.landing_envelope)
+        self.store.append_batch(
+            invalid.select(F.lit("mapping-record").alias("feed"), F.to_json(F.struct("*")).alias("value"),
+                           F.current_date().alias("event_date")),
+            "quarantine/mapping_records", "mapping", "event_date")
         batch = pl.parse_mapping_payload(docs, keep_position=True, envelope=self.landing_envelope)
         position = ["payload_id", "pos"]
         if self.store.exists("raw/item_mapping"):
@@ -274,7 +290,10 @@ class Refresh:
                                                  ("prices_latest", schemas.PRICES_LATEST),
                                                  ("prices_1h", schemas.WINDOW_PRICES),
                                                  ("realized_fills", schemas.REALIZED_FILLS)]}),
-            freshness_sources={s_: mark(s_) for s_ in quality.FRESHNESS})
+            freshness_sources={s_: mark(s_) for s_ in quality.FRESHNESS},
+            quarantine={f"quarantine.{q}": self.store.read_appends(f"quarantine/{q}")
+                        for q in ("latest", "5m", "1h", "mapping", "mapping_records")
+                        if self.store._periods(f"quarantine/{q}")})
         return quality.report(graph, self.params.as_of)
 
     # --- views ------------------------------------------------------------------------------

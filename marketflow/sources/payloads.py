@@ -155,16 +155,20 @@ def parse_mapping_payload(payloads: DataFrame, value: str = "value",
     return out
 
 
-def invalid_mapping_records(payloads: DataFrame, value: str = "value") -> DataFrame:
+def invalid_mapping_records(payloads: DataFrame, value: str = "value",
+                            envelope: bool = False) -> DataFrame:
     """Mapping records missing a required field (``id`` or ``name``)."""
-    parsed = payloads.select(F.from_json(F.col(value), schemas.MAPPING_PAYLOAD).alias("records"))
-    x = parsed.select(F.explode("records").alias("r"))
+    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, None, envelope)
+    x = parsed.select(F.explode("doc").alias("r"))
     return x.filter(F.col("r.id").isNull() | F.col("r.name").isNull()).select("r.*")
 
 
-def quarantined(payloads: DataFrame, schema=schemas.LATEST_PAYLOAD, value: str = "value") -> DataFrame:
-    """Payload documents that did not parse (``data`` NULL)."""
+def quarantined(payloads: DataFrame, schema=schemas.LATEST_PAYLOAD, value: str = "value",
+                envelope: bool = False) -> DataFrame:
+    """Payload documents that did not parse (no ``data`` map / no record array)."""
     cols = [c for c in payloads.columns if c != value]
-    p = payloads.select(*cols, F.col(value), F.from_json(F.col(value), schema).alias("p"))
-    bad = F.col("p").isNull() if not hasattr(schema, "fieldNames") else F.col("p.data").isNull()
-    return p.filter(bad).select(*cols, F.col(value))
+    target = envelope_schema(schema) if envelope else schema
+    p = payloads.select(*cols, F.col(value), F.from_json(F.col(value), target).alias("p"))
+    doc = F.col("p.payload") if envelope else F.col("p")
+    bad = doc["data"].isNull() if isinstance(schema, T.StructType) else doc.isNull()
+    return p.filter(F.col("p").isNull() | bad).select(*cols, F.col(value))

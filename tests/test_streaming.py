@@ -131,11 +131,13 @@ def test_quality_report_over_stored_tables(spark, scratch):
     latest = ('{"poll_time": %d, "payload": {"data": {"1": {"high": 300, "low": 200}}}}'
               % int(T0.replace(tzinfo=dt.timezone.utc).timestamp()))
     r.load_mapping(spark.createDataFrame([("m", mapping)], "payload_id string, value string"))
-    r.load_latest(spark.createDataFrame([("l", latest)], "payload_id string, value string"), 1)
+    r.load_latest(spark.createDataFrame([("l", latest), ("bad", "{oops")],
+                                        "payload_id string, value string"), 1)
     rep = {(x.check_name, x.model): x for x in r.quality_report().collect()}
     assert rep[("source_freshness", "raw.prices_latest")].status == "warn"   # 10 min > 5 min
     assert rep[("source_freshness", "raw.prices_5m")].status == "fail"       # never loaded
     assert rep[("not_null", "dim_items")].status == "pass"
+    assert rep[("payload_quarantine", "quarantine.latest")].failures == 1
 
 
 def test_hopping_liquidity_on_a_stream_equals_batch(spark, scratch):
