@@ -7,12 +7,23 @@ twin of every key is in ``marketflow.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from marketflow.plans.models import Models, fixture_models
-from marketflow.session import configure
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marketflow.functions.prices import tax_gp
+from marketflow.operators import quality, writers
+from marketflow.operators.store import TableStore
+from marketflow.plans import consumers, marts, staging
+from marketflow.plans.jobs import Refresh, read_landed
+from marketflow.plans.models import FIXTURE_PARAMS, Models, fixture_models
+from marketflow.session import checkpoint_dir, configure
+from marketflow.sources import fixtures, payloads, seeds
+from marketflow.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,11 +52,6 @@ for _attr in ["stg_item_mapping", "stg_prices_5m", "stg_prices_latest", "stg_pri
 
 # --- operators and consumers --------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from marketflow.functions.prices import tax_gp  # noqa: E402
-from marketflow.operators import quality  # noqa: E402
-from marketflow.plans import consumers, marts  # noqa: E402
 
 # Consumer thresholds used on the fixtures (volumes there are per quarter).
 LANE_PARAMS = dict(min_5m_volume=20, max_price_age_minutes=300_000)
@@ -168,11 +174,6 @@ def dq_report(m: Models) -> DataFrame:
 
 # --- sources and write modes --------------------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
-from marketflow.operators import writers  # noqa: E402
-from marketflow.sources import fixtures, payloads  # noqa: E402
-
 
 def wall_clock(df: DataFrame) -> DataFrame:
     """Instants as UTC wall-clock ``timestamp_ntz`` (the driver tables' type),
@@ -234,7 +235,6 @@ def insert_if_changed(spark, sf_dir):
 
 @_src
 def append_fills(spark, sf_dir):
-    import datetime as dt
     existing = fixtures.raw_realized_fills(spark, sf_dir)
     batch = fixtures.fills_completion_batch(spark, sf_dir)
     return writers.append_fills(existing, batch,
@@ -243,13 +243,6 @@ def append_fills(spark, sf_dir):
 
 # --- streaming operators and refresh jobs --------------------------------------------
 
-import uuid  # noqa: E402
-
-from marketflow.operators.store import TableStore  # noqa: E402
-from marketflow.plans.jobs import Refresh, read_landed  # noqa: E402
-from marketflow.plans.models import FIXTURE_PARAMS  # noqa: E402
-from marketflow.session import checkpoint_dir  # noqa: E402
-from marketflow.streaming import ingest  # noqa: E402
 
 # Fixed window sizes for the fixtures (their rows are quarterly / daily).
 HOPPING_VOLATILITY = dict(size="360 days", slide="90 days")
@@ -276,7 +269,6 @@ def hopping_liquidity(spark, sf_dir):
 
 @_src
 def late_rows(spark, sf_dir):
-    import datetime as dt
     fills = fixture_models(spark, sf_dir).realized_fills
     rows = fills.select("event_id", "item_id", "filled_at", "recorded_at").filter(
         F.col("filled_at").isNotNull())
@@ -389,8 +381,6 @@ def stream_change_detect(spark, sf_dir):
 def seed_tax_exempt(spark, sf_dir):
     """S-5: the item dimension built with the packaged seed lists (the
     reference's own exemptions and limit overrides) over the fixture mapping."""
-    from marketflow.plans import staging
-    from marketflow.sources import seeds
     mapping = staging.stg_item_mapping(fixtures.raw_item_mapping(spark, sf_dir))
     return marts.dim_items(mapping, seeds.tax_exempt_items(spark), seeds.buy_limit_overrides(spark))
 
