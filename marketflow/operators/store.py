@@ -22,9 +22,16 @@ from pyspark.sql import types as T
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep_versions``: committed versions kept per rebuilt table.  State
+    tables are rewritten every few minutes; without retention the listing a
+    reader does would grow without bound.  Older versions are removed only
+    after a newer one has committed, and enough remain for readers that
+    started on an older one to finish."""
+
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = keep_versions
 
     # --- filesystem --------------------------------------------------------------
     def _fs_path(self, path: str):
@@ -71,8 +78,18 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path(name)}/version={version}")
+        self.expire_versions(name)
         return version
 
+    def expire_versions(self, name: str) -> list[int]:
+        """Remove committed versions older than the newest ``keep_versions``."""
+        committed = self.versions(name)
+        old = committed[:-self.keep_versions] if self.keep_versions > 0 else []
+        for v in old:
+            fs, p = self._fs_path(f"{self.path(name)}/version={v}")
+            fs.delete(p, True)
+        return old
+
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Latest committed version of a rebuilt table, or all rows of an
         append-only table."""
@@ -86,26 +103,31 @@ class TableStore:
 
     # --- append-only tables ---------------------------------------------------------
     def append_batch(self, df: DataFrame, name: str, batch_id: str | int,
-                     partition_col: str) -> list[str]:
-        """Write one batch under ``<partition_col>=<period>/batch=<id>`` and
-        return the period directories it wrote."""
+                     partition_col: str) -> None:
+        """Write one batch under ``<partition_col>=<period>/batch=<id>``."""
         out = (df.withColumn("batch", F.lit(str(batch_id)))
                # one file per period instead of one per (task, period); AQE
                # still splits a period that is too large
                .hint("rebalance", partition_col))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col, "batch").parquet(self.path(name)))
-        return self.batch_periods(name, batch_id)
 
     def batch_periods(self, name: str, batch_id: str | int) -> list[str]:
         fs, p = self._fs_path(f"{self.path(name)}/*/batch={batch_id}")
         found = fs.globStatus(p) or []
         return sorted(s.getPath().getParent().getName() for s in found)
 
-    def read_batch(self, name: str, batch_id: str | int, columns: list[str]) -> DataFrame:
+    def read_batch(self, name: str, batch_id: str | int, columns: list[str],
+                   periods: list[str] | None = None) -> DataFrame:
         """The rows one ``append_batch`` wrote (a lineage cut: later steps of a
-        job read back exactly what was committed)."""
-        periods = self.batch_periods(name, batch_id)
+        job read back exactly what was committed).  ``periods``, when the job
+        knows them, avoids globbing every period directory of the table."""
+        if periods is None:
+            periods = self.batch_periods(name, batch_id)
+        else:
+            periods = [d for d in periods
+                       if self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[0].exists(
+                           self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[1])]
         if not periods:
             return None
         paths = [f"{self.path(name)}/{d}/batch={batch_id}" for d in periods]

@@ -118,7 +118,8 @@ class Refresh:
         return self.store.read("marts/dim_items")
 
     # --- feed loaders ----------------------------------------------------------------
-    def _append(self, rows: DataFrame, name: str, batch_id, time_col: str) -> DataFrame:
+    def _append(self, rows: DataFrame, name: str, batch_id, time_col: str,
+                periods: list[str] | None = None) -> DataFrame:
         """Append one batch and return the committed rows, read back from the
         batch's directories.  The written batch is the lineage cut: the state
         update sees exactly the stored rows (and the same load time), and a
@@ -127,7 +128,7 @@ class Refresh:
         if "event_date" not in rows.columns:
             rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
         self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
-        written = self.store.read_batch(f"raw/{name}", batch_id, cols)
+        written = self.store.read_batch(f"raw/{name}", batch_id, cols, periods)
         if written is None:
             return self.spark.createDataFrame([], rows.select(*cols).schema)
         if "loaded_at" in cols:
@@ -144,6 +145,13 @@ class Refresh:
         marks = new.groupBy("source_name").agg(F.max("max_loaded_at").alias("max_loaded_at"))
         self.store.write_version(marks, "state/load_marks")
 
+    def _load_time(self):
+        """Load time of raw (non-envelope) documents: one value per load, fixed
+        on the driver, so every job of the load sees the same instant."""
+        if self.landing_envelope:
+            return None
+        return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
+
     def _quarantine(self, docs: DataFrame, feed: str, schema, batch_id) -> None:
         """Dead-letter table of documents that did not parse (one batch
         directory per load, like the raw feeds)."""
@@ -155,18 +163,21 @@ class Refresh:
     def load_latest(self, docs: DataFrame, batch_id) -> None:
         """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
         self._quarantine(docs, "latest", schemas.LATEST_PAYLOAD, batch_id)
-        self.store_latest_rows(pl.parse_latest_payload(docs, envelope=self.landing_envelope), batch_id)
+        self.store_latest_rows(pl.parse_latest_payload(docs, loaded_at=self._load_time(),
+                                                       envelope=self.landing_envelope), batch_id)
 
     def store_latest_rows(self, batch: DataFrame, batch_id) -> None:
         """W-3 for flat /latest rows (T-3 calls this from ``foreachBatch``)."""
         batch = batch.select(*schemas.PRICES_LATEST.fieldNames())
+        periods = self._period_dirs(
+            batch.select(period_start("loaded_at", PARTITION_PERIOD["prices_latest"]).alias("event_date")))
         if self.store.exists("state/latest_price"):
             state = self.store.read("state/latest_price")
             inserted = writers.changed_vs_state(state, batch.select(*state.columns))
         else:
             state = None
             inserted = writers.changed_rows(batch)
-        inserted = self._append(inserted, "prices_latest", batch_id, "loaded_at")
+        inserted = self._append(inserted, "prices_latest", batch_id, "loaded_at", periods)
         new_state = (latest_per_key(inserted, "item_id", "loaded_at") if state is None
                      else writers.next_state(state, inserted))
         self.store.write_version(new_state, "state/latest_price")
@@ -175,17 +186,19 @@ class Refresh:
         """S-2 + W-2 for ``prices_5m`` / ``prices_1h``; advances the feed's latest-row state."""
         name = f"prices_{feed}"
         self._quarantine(docs, feed, schemas.WINDOW_PAYLOAD, batch_id)
-        batch = pl.parse_window_payload(docs, with_source=True, envelope=self.landing_envelope)
+        batch = pl.parse_window_payload(docs, loaded_at=self._load_time(), with_source=True,
+                                        envelope=self.landing_envelope)
         # first write wins, also between documents of one batch (arrival order)
         batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
                                      drop=["payload_id"])
         batch = batch.withColumn("event_date", period_start("timestamp", PARTITION_PERIOD[name]))
         # stored keys of the batch's own periods only: the listing and the scan
         # never grow with the history
-        target = self.store.read_appends_with_period(f"raw/{name}", self._period_dirs(batch))
+        periods = self._period_dirs(batch)
+        target = self.store.read_appends_with_period(f"raw/{name}", periods)
         new = (writers.insert_ignore(target, batch, ["item_id", "timestamp"])
                if target is not None else batch)
-        new = self._append(new, name, batch_id, "timestamp")
+        new = self._append(new, name, batch_id, "timestamp", periods)
         staged = (staging.stg_prices_5m(new) if feed == "5m" else staging.stg_prices_1h(new))
         state_name = f"state/latest_{feed}"
         if self.store.exists(state_name):
@@ -200,7 +213,8 @@ class Refresh:
             invalid.select(F.lit("mapping-record").alias("feed"), F.to_json(F.struct("*")).alias("value"),
                            F.current_date().alias("event_date")),
             "quarantine/mapping_records", "mapping", "event_date")
-        batch = pl.parse_mapping_payload(docs, keep_position=True, envelope=self.landing_envelope)
+        batch = pl.parse_mapping_payload(docs, loaded_at=self._load_time(), keep_position=True,
+                                         envelope=self.landing_envelope)
         position = ["payload_id", "pos"]
         if self.store.exists("raw/item_mapping"):
             table = writers.upsert(self.store.read("raw/item_mapping"), batch, "item_id", position)
@@ -229,7 +243,7 @@ class Refresh:
                                     events.drop("event_date"), self.params.as_of, id_base=base)
         rows = rows.drop("event_uid").withColumn(
             "event_date", period_start("offer_placed_at", "month"))
-        written = self._append(rows, "realized_fills", batch_id, "offer_placed_at")
+        written = self._append(rows, "realized_fills", batch_id, "offer_placed_at", months)
         high = written.agg(F.max("event_id").alias("max_event_id"))
         if base is not None:
             high = high.select(F.greatest(F.col("max_event_id"), base).alias("max_event_id"))

@@ -164,3 +164,27 @@ def test_hopping_liquidity_on_a_stream_equals_batch(spark, scratch):
     assert got and got <= want
     last = max(r.window_end for r in batch.collect())
     assert {w for w in want if w[2] < last - dt.timedelta(hours=6)} <= got
+
+
+def test_version_retention(spark, scratch):
+    store = TableStore(spark, scratch, keep_versions=2)
+    df = spark.range(3)
+    for _ in range(5):
+        store.write_version(df, "state/x")
+    assert store.versions("state/x") == [4, 5]
+    assert store.read("state/x").count() == 3
+
+
+def test_raw_documents_get_one_load_time(spark, scratch):
+    """Raw API documents (no envelope): every row of a load carries the same
+    load time, fixed once per load."""
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0), landing_envelope=False)
+    docs = spark.createDataFrame([("a", _doc([(1, 5, 4), (2, 6, 5)])), ("b", _doc([(3, 7, 6)]))],
+                                 "payload_id string, value string")
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    r.load_latest(docs, 1)
+    times = {x.loaded_at for x in r.raw("prices_latest").collect()}
+    assert len(times) == 1
+    (t,) = times
+    assert abs((t - before).total_seconds()) < 600
+    assert r.store.read("state/latest_price").count() == 3
