@@ -63,6 +63,11 @@ PARTITION_PERIOD = {"prices_5m": "day", "prices_1h": "month", "prices_latest": "
                     "realized_fills": "month"}
 
 
+# A batch with more distinct payload timestamps than this (a backfill) relies on
+# period pruning alone.
+MAX_PUSHED_TIMESTAMPS = 1000
+
+
 def period_start(col, unit: str):
     """Start date of the partition period holding ``col``."""
     return F.trunc(F.to_date(instant(col)), unit) if unit != "day" else F.to_date(instant(col))
@@ -196,6 +201,14 @@ class Refresh:
         # never grow with the history
         periods = self._period_dirs(batch)
         target = self.store.read_appends_with_period(f"raw/{name}", periods)
+        if target is not None:
+            # every row of a document shares its timestamp, so a batch has a few
+            # distinct ones: only stored rows at those instants can collide
+            # (pushed to the scan; a day of the 5m feed is ~7 M rows, a tick 25k)
+            stamps = [r[0] for r in batch.select("timestamp").distinct().limit(
+                MAX_PUSHED_TIMESTAMPS + 1).collect()]
+            if len(stamps) <= MAX_PUSHED_TIMESTAMPS:
+                target = target.filter(F.col("timestamp").isin(stamps))
         new = (writers.insert_ignore(target, batch, ["item_id", "timestamp"])
                if target is not None else batch)
         new = self._append(new, name, batch_id, "timestamp", periods)

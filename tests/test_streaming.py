@@ -188,3 +188,25 @@ def test_raw_documents_get_one_load_time(spark, scratch):
     (t,) = times
     assert abs((t - before).total_seconds()) < 600
     assert r.store.read("state/latest_price").count() == 3
+
+
+def test_window_loads_first_write_wins_across_batches(spark, scratch):
+    """W-2 in the job path: a later batch re-sending a stored (item, timestamp)
+    keeps the stored values; new keys land."""
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    epoch = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+
+    def line(ts, items):
+        inner = ", ".join(f'"{i}": {{"avgHighPrice": {p}}}' for i, p in items)
+        return f'{{"poll_time": {ts}, "payload": {{"timestamp": {ts}, "data": {{{inner}}}}}}}'
+
+    first = spark.createDataFrame([("a", line(epoch, [(1, 10), (2, 20)]))], "payload_id string, value string")
+    second = spark.createDataFrame([("b", line(epoch, [(1, 99), (3, 30)])),
+                                    ("c", line(epoch + 300, [(1, 11)]))], "payload_id string, value string")
+    r.load_window("5m", first, 1)
+    r.load_window("5m", second, 2)
+    got = sorted((x.item_id, x.timestamp, x.avg_high_price) for x in r.raw("prices_5m").collect())
+    t1 = T0 + dt.timedelta(minutes=5)
+    assert got == [(1, T0, 10), (1, t1, 11), (2, T0, 20), (3, T0, 30)]
+    latest = {x.item_id: x.avg_high_price for x in r.store.read("state/latest_5m").collect()}
+    assert latest == {1: 11, 2: 20, 3: 30}
