@@ -281,6 +281,24 @@ class Refresh:
         liq = marts.liquidity_from_parts(latest, window, self.params)
         self.store.write_version(liq, "marts/agg_item_liquidity")
 
+    def models(self):
+        """The full model graph (staging views and marts) over the stored raw
+        layer — the lazy equivalent of the reference's views, for analysts."""
+        from marketflow.plans.models import Models, RawTables
+
+        te, blo = self._seeds()
+
+        def raw_or_empty(name, schema):
+            return self.raw(name) if self.store.exists(f"raw/{name}") else self._empty(schema)
+
+        return Models(RawTables(
+            item_mapping=raw_or_empty("item_mapping", schemas.ITEM_MAPPING),
+            prices_5m=raw_or_empty("prices_5m", schemas.WINDOW_PRICES),
+            prices_1h=raw_or_empty("prices_1h", schemas.WINDOW_PRICES),
+            prices_latest=raw_or_empty("prices_latest", schemas.PRICES_LATEST),
+            realized_fills=raw_or_empty("realized_fills", schemas.REALIZED_FILLS),
+            tax_exempt_items=te, buy_limit_overrides=blo), self.params)
+
     # --- quality -----------------------------------------------------------------------
     def quality_report(self) -> DataFrame:
         """Q-8 over the stored tables: the same checks as ``quality.report``;

@@ -54,3 +54,23 @@ def test_flip_mart_has_no_cartesian_product(spark):
     plan = _plan(entry.queries()["flip_opportunities"](spark, "/root/testdata/sf0.001"))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
         assert bad not in plan
+
+
+def test_job_window_reads_only_its_periods(spark, scratch):
+    """The volatility rebuild's read lists and scans only the day partitions of
+    its trailing hour, with the timestamp bound pushed into the scan."""
+    from marketflow.operators.store import TableStore
+    from marketflow.plans.jobs import Refresh
+
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=NOW))
+    for day, batch in ((3, 1), (1, 2), (0, 3)):
+        t = NOW - dt.timedelta(days=day)
+        rows = spark.createDataFrame([(1, 10, 1, 9, 1, t, t)], schemas.WINDOW_PRICES)
+        r._append(rows, "prices_5m", batch, "timestamp")
+    df = r._window_rows("prices_5m", dt.timedelta(hours=1))
+    plan = _plan(df)
+    assert f"event_date={NOW.date().isoformat()}" in plan
+    assert f"event_date={(NOW - dt.timedelta(days=1)).date().isoformat()}" not in plan
+    assert "GreaterThanOrEqual(timestamp" in plan
+    assert df.count() == 1
+    assert r.models().fct_prices.count() == 0   # no mapping loaded: no known items
