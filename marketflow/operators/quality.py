@@ -132,20 +132,50 @@ def orphans(stg_5m: DataFrame, dim: DataFrame) -> DataFrame:
 
 # --- batched suites over a model graph ----------------------------------------
 
+def _small(df: DataFrame) -> DataFrame:
+    """Per-item marts (one row per item) are read by several checks; over lazy
+    views they are materialized once into the shared checkpoint folder instead
+    of being recomputed per check.  Fact and event tables stay lazy."""
+    if not getattr(df, "isStreaming", False) and df.sparkSession is not None:
+        from marketflow.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
+
+_SMALL = {"dim_items": "dim_items", "agg_flip_opportunities": "flip_opportunities",
+          "agg_item_liquidity": "agg_item_liquidity", "agg_item_volatility": "agg_item_volatility"}
+
+
+class _Tables(dict):
+    """Model name -> DataFrame; the small marts are materialized on first use
+    (and shared through ``models._quality_small`` when present)."""
+
+    def __init__(self, models):
+        super().__init__()
+        self.models = models
+        self.small = getattr(models, "_quality_small", None)
+        if self.small is None:
+            self.small = {}
+
+    def __missing__(self, name):
+        m = self.models
+        if name in _SMALL:
+            if name not in self.small:
+                self.small[name] = _small(getattr(m, _SMALL[name]))
+            value = self.small[name]
+        elif name == "fct_prices":
+            value = m.fct_prices
+        elif name == "realized_fills":
+            value = m.realized_fills
+        else:   # raw.<table>
+            value = getattr(m.raw, name.split(".", 1)[1])
+        self[name] = value
+        return value
+
+
 def _tables(models) -> dict[str, DataFrame]:
-    return {
-        "dim_items": models.dim_items,
-        "fct_prices": models.fct_prices,
-        "agg_flip_opportunities": models.flip_opportunities,
-        "agg_item_liquidity": models.agg_item_liquidity,
-        "agg_item_volatility": models.agg_item_volatility,
-        "realized_fills": models.realized_fills,
-        "raw.item_mapping": models.raw.item_mapping,
-        "raw.prices_5m": models.raw.prices_5m,
-        "raw.prices_latest": models.raw.prices_latest,
-        "raw.prices_1h": models.raw.prices_1h,
-        "raw.realized_fills": models.raw.realized_fills,
-    }
+    return _Tables(models)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -184,6 +214,20 @@ def freshness_suite(models, as_of: dt.datetime | None = None) -> DataFrame:
 
 def report(models, as_of: dt.datetime | None = None) -> DataFrame:
     """Q-8: every check as ``(check_name, model, column_name, severity, failures, status)``."""
+    from types import SimpleNamespace
+
+    # one set of materialized small marts for all check groups of this report
+    shared: dict[str, DataFrame] = dict(getattr(models, "_quality_small", None) or {})
+    t = _Tables(SimpleNamespace(**{k: getattr(models, k) for k in (
+        "dim_items", "flip_opportunities", "agg_item_liquidity", "agg_item_volatility",
+        "fct_prices", "realized_fills", "raw")}, _quality_small=shared))
+    models = SimpleNamespace(**{k: getattr(models, k) for k in (
+        "fct_prices", "stg_prices_5m", "realized_fills", "raw")},
+        dim_items=t["dim_items"], flip_opportunities=t["agg_flip_opportunities"],
+        agg_item_liquidity=t["agg_item_liquidity"], agg_item_volatility=t["agg_item_volatility"],
+        freshness_sources=getattr(models, "freshness_sources", None),
+        quarantine=getattr(models, "quarantine", None), _quality_small=shared)
+
     def rows(df, check, severity, failures="failures"):
         f = F.col(failures).cast("long")
         status = F.when(f == 0, "pass").otherwise("fail" if severity == "error" else "warn")
