@@ -143,12 +143,15 @@ class Refresh:
     def _advance_load_mark(self, name: str, written: DataFrame) -> None:
         """Per-feed high-water mark of ``loaded_at`` (one row per feed), so the
         freshness check reads a tiny table instead of scanning the feed."""
+        # one table per feed: each has a single writer, so feeds refreshed by
+        # concurrent streams never race on it
+        table = f"state/load_marks/{name}"
         new = written.agg(F.max(instant("loaded_at")).alias("max_loaded_at")).select(
             F.lit(f"raw.{name}").alias("source_name"), "max_loaded_at")
-        if self.store.exists("state/load_marks"):
-            new = self.store.read("state/load_marks").unionByName(new)
+        if self.store.exists(table):
+            new = self.store.read(table).unionByName(new)
         marks = new.groupBy("source_name").agg(F.max("max_loaded_at").alias("max_loaded_at"))
-        self.store.write_version(marks, "state/load_marks")
+        self.store.write_version(marks, table)
 
     def _load_time(self):
         """Load time of raw (non-envelope) documents: one value per load, fixed
@@ -309,13 +312,11 @@ class Refresh:
 
         dim = self.dim_items()
         stg5 = staging.stg_prices_5m(self.raw("prices_5m"))
-        marks = self.store.read("state/load_marks") if self.store.exists("state/load_marks") else None
-
         def mark(src):
-            if marks is None:
+            table = f"state/load_marks/{src.split('.', 1)[1]}"
+            if not self.store.exists(table):
                 return self.spark.createDataFrame([], "loaded_at timestamp")
-            return marks.filter(F.col("source_name") == src).select(
-                F.col("max_loaded_at").alias("loaded_at"))
+            return self.store.read(table).select(F.col("max_loaded_at").alias("loaded_at"))
 
         graph = SimpleNamespace(
             dim_items=dim, stg_prices_5m=stg5, fct_prices=marts.fct_prices(stg5, dim),
