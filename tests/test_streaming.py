@@ -210,3 +210,17 @@ def test_window_loads_first_write_wins_across_batches(spark, scratch):
     assert got == [(1, T0, 10), (1, t1, 11), (2, T0, 20), (3, T0, 30)]
     latest = {x.item_id: x.avg_high_price for x in r.store.read("state/latest_5m").collect()}
     assert latest == {1: 11, 2: 20, 3: 30}
+
+
+def test_mapping_load_quarantines_invalid_records(spark, scratch):
+    """S-3 in the job path: records without id/name are dead-lettered, the rest
+    upserted; the report counts them."""
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    epoch = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    line = ('{"poll_time": %d, "payload": [{"id": 1, "name": "a"}, {"id": 2}, '
+            '{"name": "nameless"}, {"id": 3, "name": "c", "limit": 7}]}' % epoch)
+    r.load_mapping(spark.createDataFrame([("m", line)], "payload_id string, value string"))
+    assert sorted(x.item_id for x in r.raw("item_mapping").collect()) == [1, 3]
+    assert r.store.read_appends("quarantine/mapping_records").count() == 2
+    rep = {(x.check_name, x.model): x for x in r.quality_report().collect()}
+    assert rep[("payload_quarantine", "quarantine.mapping_records")].failures == 2
