@@ -157,3 +157,22 @@ def test_upsert_matches_dict_replay(spark):
     out = writers.upsert(spark.createDataFrame(target, schemas.ITEM_MAPPING),
                          spark.createDataFrame(batch, schema), "item_id", ["payload_id", "pos"])
     assert sorted(map(tuple, out.collect())) == sorted(state.values())
+
+
+def test_insert_ignore_matches_first_write_replay(spark):
+    """Randomized W-2: equals inserting row by row with ON CONFLICT DO NOTHING."""
+    import random
+    rnd = random.Random(9)
+    stamps = [T0 + dt.timedelta(minutes=5 * k) for k in range(6)]
+    target = [(i, rnd.randint(1, 9), 1, 1, 1, s, T0) for i in range(5) for s in stamps[:3]]
+    batch = [(rnd.randint(0, 7), rnd.randint(10, 99), 1, 1, 1, rnd.choice(stamps), _t(9), k)
+             for k in range(80)]
+    table = {(r[0], r[5]): r for r in target}
+    for r in sorted(batch, key=lambda r: r[7]):
+        table.setdefault((r[0], r[5]), r[:7])
+    schema = T.StructType(schemas.WINDOW_PRICES.fields + [T.StructField("pos", T.IntegerType())])
+    tdf = spark.createDataFrame(target, schemas.WINDOW_PRICES)
+    new = writers.insert_ignore(tdf, spark.createDataFrame(batch, schema),
+                                ["item_id", "timestamp"], position="pos")
+    out = tdf.unionByName(new.drop("pos"))
+    assert sorted(map(tuple, out.collect())) == sorted(table.values())
