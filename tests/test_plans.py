@@ -74,3 +74,20 @@ def test_job_window_reads_only_its_periods(spark, scratch):
     assert "GreaterThanOrEqual(timestamp" in plan
     assert df.count() == 1
     assert r.models().fct_prices.count() == 0   # no mapping loaded: no known items
+
+
+def test_latest_per_key_matches_python(spark):
+    import random
+
+    from marketflow.operators.latest import latest_per_key
+    rnd = random.Random(21)
+    rows = [(rnd.randint(0, 30), NOW - dt.timedelta(minutes=rnd.randint(0, 10_000)), rnd.randint(0, 9))
+            for _ in range(3000)]
+    rows = list({(k, t): (k, t, v) for k, t, v in rows}.values())   # (key, time) is the key
+    want = {}
+    for k, t, v in rows:
+        if k not in want or t > want[k][0]:
+            want[k] = (t, v)
+    df = spark.createDataFrame(rows, "k int, t timestamp, v int").repartition(7)
+    got = {r.k: (r.t, r.v) for r in latest_per_key(df, "k", "t").collect()}
+    assert got == want
