@@ -34,12 +34,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a fresh temporary folder
-    set; on a cluster the setting must point at shared storage.
+    Only a local session without the setting gets a fresh temporary folder; on a
+    cluster a folder of the driver's machine would be lost to the executors, so the
+    setting must be there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         current = tempfile.mkdtemp(prefix="marketflow-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
