@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.session import checkpoint_dir
@@ -41,6 +41,16 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def text_key(text: Column) -> Column:
+    """Digest of a text (null: of the empty one).  With the id it names a row's content:
+    rows that share both are copies of each other and are treated alike."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def with_text_key(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_key", text_key(F.col("text")))
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]], schema: str,
                 rows: int = ARROW_ROWS) -> DataFrame:
     """Run ``fn`` on column lists of at most ``rows`` rows; its columns become ``schema``."""

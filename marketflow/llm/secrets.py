@@ -26,10 +26,10 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_batches, stored
+from .common import documents, map_batches, stored, text_key, with_text_key
 
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("login", "short", "endpoint")
@@ -90,14 +90,16 @@ def _scan(cols: dict) -> dict:
         scopes = _scopes(text or "", [p[1] for p in parts])
         found.append([{"kind": k, "role": ROLE[k], "scope": c, "start": s, "end": e}
                       for (k, s, e), c in zip(parts, scopes)])
-    return {"doc_id": cols["doc_id"], "parts": found}
+    return {"doc_id": cols["doc_id"], "text_key": cols["text_key"], "parts": found}
 
 
 def scan_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_id, doc_id, parts): one row per input row, written once to the shared folder."""
+    """(row_id, doc_id, text_key, parts): one row per input row, written once to the shared
+    folder; ``text_key`` is the text's digest."""
     found = map_batches(
-        documents(docs, id_col, text_col), _scan,
-        "doc_id bigint, parts array<struct<kind:string,role:string,scope:bigint,start:bigint,end:bigint>>")
+        with_text_key(documents(docs, id_col, text_col)), _scan,
+        "doc_id bigint, text_key string, "
+        "parts array<struct<kind:string,role:string,scope:bigint,start:bigint,end:bigint>>")
     return stored(found.withColumn("row_id", F.monotonically_increasing_id()), "secret-parts")
 
 
@@ -133,56 +135,53 @@ def linked_parts(scanned: DataFrame, window: int = 200) -> DataFrame:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  window: int = 200) -> DataFrame:
-    """(doc_id, findings array<struct<kind,start,end,linked>>): one row per input row;
-    findings by start, then kind as listed in ``KINDS``."""
+    """(doc_id, text_key, findings array<struct<kind,start,end,linked>>): one row per input
+    row; findings by start, then kind as listed in ``KINDS``."""
     scanned = scan_parts(docs, id_col, text_col)
     linked = linked_parts(scanned, window).groupBy("row_id").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("linked"))
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
-    keep = F.filter("parts", lambda p: p["kind"].isin(*BASE_KINDS) | F.coalesce(F.array_contains(
-        F.col("linked"), F.struct(p["kind"], p["start"], p["end"])), F.lit(False)))
-    findings = F.array_sort(F.transform(keep, lambda p: F.struct(
+
+    def has_link(p):
+        return F.coalesce(F.array_contains("linked", F.struct(p["kind"], p["start"], p["end"])), F.lit(False))
+
+    keep = F.filter("parts", lambda p: p["kind"].isin(*BASE_KINDS) | has_link(p))
+    findings = F.array_sort(F.array_distinct(F.transform(keep, lambda p: F.struct(
         p["start"].alias("start"), rank[p["kind"]].alias("rank"), p["end"].alias("end"),
-        p["kind"].alias("kind"),
-        F.coalesce(F.array_contains(F.col("linked"), F.struct(p["kind"], p["start"], p["end"])),
-                   F.lit(False)).alias("linked"))))
-    return scanned.join(linked, "row_id", "left").select("doc_id", F.transform(
-        F.array_distinct(findings),
-        lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"), f["end"].alias("end"),
-                           f["linked"].alias("linked"))).alias("findings"))
+        p["kind"].alias("kind"), has_link(p).alias("linked")))))
+    return scanned.join(linked, "row_id", "left").select("doc_id", "text_key", F.transform(
+        findings, lambda f: F.struct(f["kind"].alias("kind"), f["start"].alias("start"),
+                                     f["end"].alias("end"), f["linked"].alias("linked"))).alias("findings"))
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = 200) -> DataFrame:
-    """``docs`` with every finding in ``text`` replaced by ``mask`` and ``n_chars`` counted
-    anew; overlapping findings become one mask.  All rows and columns stay.
+    """``docs`` (columns doc_id and text, others kept) with every finding in ``text`` replaced
+    by ``mask`` and ``n_chars``, if there, counted anew; overlapping findings become one mask.
 
-    The linking needs one row key for both scans, so ``docs`` is written once first.
+    Rows meet their findings by (doc_id, digest of the text), so repeated rows are alike.
+    The findings are written first: a small table is broadcast, a large one is not.
     """
-    kept = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "secret-docs")
-    scanned = find_secrets(kept, id_col="_row").filter(F.size("findings") > 0)
-    marked = kept.join(scanned.withColumnRenamed("doc_id", "_row"), "_row", "left")
-    clean = map_batches(
-        marked.filter("findings is not null").select("_row", "text", "findings"),
-        lambda cols: {"_row": cols["_row"], "clean": [
-            mask_spans(t, [(f["start"], f["end"]) for f in fs], mask)
-            for t, fs in zip(cols["text"], cols["findings"])]}, "_row bigint, clean string")
-    out = kept.join(clean, "_row", "left").withColumn("text", F.coalesce("clean", "text"))
+    found = find_secrets(docs, window=window).filter(F.size("findings") > 0).dropDuplicates(["doc_id", "text_key"])
+    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "findings"), "secret-findings")
+    rows = docs.withColumn("_text_key", text_key(F.col("text")))
+    rows = rows.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+
+    def cut(begin: Column, length: Column) -> Column:
+        return F.substr(F.col("text"), (begin + 1).cast("int"), length.cast("int"))
+
+    masked = F.aggregate(
+        "findings", F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
+        lambda acc, f: F.when(f["start"] >= acc["at"], F.struct(
+            F.concat(acc["out"], cut(acc["at"], f["start"] - acc["at"]), F.lit(mask)).alias("out"), f["end"].alias("at")))
+        .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], f["end"]).alias("at"))),
+        lambda acc: F.concat(acc["out"], cut(acc["at"], F.length("text") - acc["at"])))
+    out = rows.withColumn("text", F.when(F.col("findings").isNull(), F.col("text")).otherwise(masked))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("clean").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("clean").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col("findings").isNull(), F.col("n_chars"))
+                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
 
 
-def mask_spans(text: str, spans: list[tuple[int, int]], mask: str) -> str:
-    out, at = [], 0
-    last = 0
-    for s, e in sorted(spans):
-        if s >= last:
-            out += [text[at:s], mask]
-        at = last = max(last, e)
-    return "".join(out) + text[at:]
-
-
 def span_text(findings: list[dict], kinds: tuple[str, ...]) -> str:
     return ",".join(f"{f['kind']}:{f['start']}:{f['end']}" for f in findings if f["kind"] in kinds)
 

@@ -24,12 +24,14 @@ row; an empty table gives an empty table; columns other than the id and the text
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_batches, stored
+from .common import documents, map_batches, stored, text_key, with_text_key
 
 SEED = 42
 PAIR_BIN = 32
@@ -56,8 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp bigint): one row per input row; the bits as a signed 64-bit integer."""
 
     def run(cols: dict) -> dict:
-        fps = [fingerprint(t, shingle_words) for t in cols["text"]]
-        return {"doc_id": cols["doc_id"], "fp": [f - (1 << 64) if f >> 63 else f for f in fps]}
+        return {"doc_id": cols["doc_id"], "fp": _signed(fingerprint(t, shingle_words) for t in cols["text"])}
 
     return map_batches(documents(docs, id_col, text_col), run, "doc_id bigint, fp bigint")
 
@@ -74,18 +75,22 @@ def _without(fp: Column, bit: Column) -> Column:
     return fp.bitwiseAND(F.bitwise_not(_one(bit)))
 
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
-
-
 def _variants(fps: DataFrame) -> DataFrame:
-    """(seg, bit, part, fp): 2 x (1 + 32) index rows of a fingerprint; ``bit`` is the deleted
-    place in the fingerprint, -1 for the segment as it is."""
+    """(key, seg, bit, fp): 2 x (1 + 32) index rows of a fingerprint; ``bit`` is the deleted
+    place in the fingerprint, -1 for the segment as it is.  ``key`` packs segment, place and
+    what is left of the segment into one integer."""
     rows = fps.select("fp", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg"))
     rows = rows.withColumn("part", F.when(F.col("seg") == 0, _segment(0, F.col("fp"))).otherwise(_segment(1, F.col("fp"))))
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(-1), F.lit(SEGMENT - 1))))
-    return rows.select("seg", F.when(F.col("at") < 0, F.lit(-1)).otherwise(F.col("at") + SEGMENT * F.col("seg")).alias("bit"),
-                       F.when(F.col("at") < 0, F.col("part")).otherwise(_without(F.col("part"), F.col("at"))).alias("part"), "fp")
+    left = F.when(F.col("at") < 0, F.col("part")).otherwise(_without(F.col("part"), F.col("at")))
+    code = F.when(F.col("at") < 0, 64 + F.col("seg")).otherwise(F.col("at") + SEGMENT * F.col("seg"))
+    return rows.select((left * 128 + code).alias("key"), "fp")
+
+
+def _unpacked(index: DataFrame) -> DataFrame:
+    code = F.col("key").bitwiseAND(F.lit(127))
+    return index.withColumn("seg", F.when(code < 64, F.floor(code / SEGMENT)).otherwise(code - 64).cast("int")) \
+        .withColumn("bit", F.when(code < 64, code).otherwise(-1).cast("int"))
 
 
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -93,24 +98,21 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     ``fps`` (column fp) within ``max_bits`` (0, 1 or 2) differing bits."""
     if not 0 <= max_bits <= 2:
         raise ValueError("two segments with one wildcard cover at most 2 differing bits")
-    none = fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     if max_bits == 0:
-        return none
-    key = ["seg", "bit", "part"]
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("a < b")
     # bins of one fingerprint link nothing: they go before anything is joined
-    bins = _variants(fps).groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
-    index = stored(_variants(fps).join(bins, key), "simhash-index")
-    small, large = index.filter(F.col("n") <= PAIR_BIN), index.filter(F.col("n") > PAIR_BIN)
-    a = small.select(*key, F.col("fp").alias("a"))
-    b = small.select(*key, F.col("fp").alias("b"))
-    place = F.when(F.col("bit") < 0, F.lit(0).cast("bigint")).otherwise(
-        _one(F.greatest(F.col("bit"), F.lit(0))))
+    bins = _variants(fps).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    index = stored(_variants(fps).join(bins, "key"), "simhash-index")
+    small, large = (_unpacked(index.filter(c)) for c in (F.col("n") <= PAIR_BIN, F.col("n") > PAIR_BIN))
+    a = small.select("key", "seg", "bit", F.col("fp").alias("a"))
+    b = small.select("key", F.col("fp").alias("b"))
+    place = F.when(F.col("bit") < 0, F.lit(0).cast("bigint")).otherwise(_one(F.greatest(F.col("bit"), F.lit(0))))
     low = F.lit((1 << SEGMENT) - 1)
     within = F.when(F.col("seg") == 0, low).otherwise(F.bitwise_not(low))
     differ = F.col("a").bitwiseXOR(F.col("b"))
     # a pair counts in the one bin of a segment whose wildcard is just where it differs
-    pairs = a.join(b, key).filter((F.col("a") < F.col("b")) & (differ.bitwiseAND(within) == place)
-                                  & (F.bit_count(differ) <= max_bits)).select("a", "b")
+    pairs = a.join(b, "key").filter((F.col("a") < F.col("b")) & (differ.bitwiseAND(within) == place)
+                                    & (F.bit_count(differ) <= max_bits)).select("a", "b")
     return pairs.unionByName(_stars(large, max_bits)).distinct()
 
 
@@ -172,8 +174,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The last join carries 16 bytes a document; a fingerprint that many rows share makes a
     skewed key, which adaptive execution splits on the documents' side.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fp")
-    return label_rows(rows, max_bits)
+    return label_rows(stored(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fp"), max_bits)
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` (columns doc_id and text, others kept) with one row of each group: the one of
+    the smallest id (null ids last), then of the smallest text digest; of repeats of that row
+    one, whichever.
+
+    Only narrow rows meet in the grouping; the documents are then joined once by
+    (doc_id, digest of the text) with the rows to keep.
+    """
+    rows = stored(map_batches(
+        with_text_key(documents(docs)),
+        lambda cols: {"doc_id": cols["doc_id"], "text_key": cols["text_key"],
+                      "fp": _signed(fingerprint(t, shingle_words) for t in cols["text"])},
+        "doc_id bigint, text_key string, fp bigint"), "simhash-fp")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    # the best row of a fingerprint before the best of a component: copies meet as partial sums
+    best = rows.groupBy("fp").agg(F.min(order).alias("best"))
+    roots = components(links(best.select("fp"), max_bits))
+    best = best.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
+    copies = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    best = stored(best.select("best.doc_id", "best.text_key").alias("b").join(copies.alias("c"), (
+        F.col("b.doc_id").eqNullSafe(F.col("c.doc_id"))) & (F.col("b.text_key") == F.col("c.text_key"))).select(
+        F.col("b.doc_id").alias("_id"), F.col("b.text_key").alias("_key"), "copies"), "simhash-kept")
+    found = docs.withColumn("_text_key", text_key(F.col("text"))).join(
+        best, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    once = found.filter("copies = 1").select(*docs.columns)
+    return once.unionByName(found.filter("copies > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+
+
+def _signed(fps: Iterable[int]) -> list[int]:
+    return [f - (1 << 64) if f >> 63 else f for f in fps]
 
 
 def label_rows(rows: DataFrame, max_bits: int = 2) -> DataFrame:
