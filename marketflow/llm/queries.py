@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets, simhash
+from . import decontaminate, language_id, packing, secrets, simhash
+from .common import crc_mod
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,14 +19,58 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", crc_mod("doc_id", 3) == 1)
+    labels, profile = language_id.prototypes(docs, train=~docs["held_out"])
+    return language_id.predict(docs, labels, profile, keep=("doc_id", "held_out"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_language_id": op2_language_id,
+    "op4_decontamination": op4_decontamination,
     "op6_simhash": op6_simhash,
+    "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Exact containment of all pairs: distinct five-word shingles of items (fewer words: all of
+# them) looked for among the documents' shingles.
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": r"""
+with d as (
+  select distinct doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  from documents),
+i as (
+  select distinct item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  from benchmark),
+n as (select item_id, w, least(len(w), 5) as size from i where len(w) > 0),
+si as (
+  select distinct item_id, w, size, array_to_string(w[k:k + size - 1], ' ') as s
+  from (select *, unnest(range(1, len(w) - size + 2)) as k from n)),
+sd as (
+  select distinct doc_id, w, size, array_to_string(w[k:k + size - 1], ' ') as s
+  from (select d.*, size, unnest(range(1, len(w) - size + 2)) as k
+        from d cross join (select distinct size from n) where len(w) >= size)),
+c as (select item_id, w, count(*) as n_shingles from si group by all)
+select sd.doc_id, si.item_id, cast(any_value(c.n_shingles) as integer) as n_shingles,
+       cast(count(*) as integer) as n_shared, count(*) / any_value(c.n_shingles) as containment
+from si join sd on si.s = sd.s and si.size = sd.size
+join c on c.item_id is not distinct from si.item_id and c.w = si.w
+group by sd.doc_id, sd.w, si.item_id, si.w
+having count(*) / any_value(c.n_shingles) >= 0.8
+""",
+}
