@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, packing, secrets, simhash
+from . import decontaminate, html_extract, language_id, packing, secrets, simhash, weighted_sampling
 from .common import crc_mod
 
 
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, labels, profile, keep=("doc_id", "held_out"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
@@ -39,12 +43,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.near_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
+    "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op6_simhash": op6_simhash,
     "op9_packing": op9_packing,
+    "op10_weighted_sampling": op10_weighted_sampling,
 }
 
 # Exact containment of all pairs: distinct five-word shingles of items (fewer words: all of
