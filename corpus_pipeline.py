@@ -11,26 +11,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketflow.llm import secrets, simhash
-from marketflow.llm.common import stored
+from marketflow.llm import decontaminate, language_id, packing, secrets, simhash
+from marketflow.llm.common import crc_mod, stored
 
 # The language profiles, the SimHash linking and the packing plan have no SQL form.
 ORACLE_SQL = None
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found stay.  The profiles are learned from the labelled two
+    thirds of the stage's own documents."""
+    labels, profile = language_id.prototypes(docs, train=crc_mod("doc_id", 3) != 1)
+    return language_id.keep_known(docs, labels, profile)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_one(docs)
 
 
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Findings become a mask; every document stays."""
     return secrets.redact(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("simhash near-dedup", drop_near_duplicates),
+    ("language ID", identify_language),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_benchmark),
     ("secret scan", redact_secrets),
+    ("best-fit packing", pack_sequences),
 ]
 
 

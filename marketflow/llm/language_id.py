@@ -138,11 +138,13 @@ def predict(docs: DataFrame, labels: list[str], profile: np.ndarray, text_col: s
     is negative."""
     schema = [f for f in docs.schema.fields if f.name in keep]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    rows = docs.select(*[F.col(f"`{f.name}`") for f in schema], F.col(text_col).cast("string").alias("_text"))
+    apart = text_col not in keep
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in schema],
+                       *([F.col(text_col).cast("string").alias("_text")] if apart else []))
     dim = profile.shape[1]
 
     def run(cols: dict) -> dict:
-        texts = cols.pop("_text")
+        texts = cols.pop("_text") if apart else cols[text_col]
         if not labels:
             return cols | {"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)}
         unit = _unit(bundles(texts, dim))
@@ -153,3 +155,9 @@ def predict(docs: DataFrame, labels: list[str], profile: np.ndarray, text_col: s
                        "score": np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0).astype(np.float64)}
 
     return map_batches(rows, run, f"{ddl}{', ' * bool(ddl)}lang_pred string, score double", rows=_ROWS)
+
+
+def keep_known(docs: DataFrame, labels: list[str], profile: np.ndarray, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language is unknown: those without a letter."""
+    return predict(docs, labels, profile, text_col, keep=tuple(docs.columns)) \
+        .filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, packing, secrets, simhash, weighted_sampling
+from . import (chat_format, decontaminate, html_extract, language_id, line_dedup, packing, quality, secrets, simhash,
+               weighted_sampling)
 from .common import crc_mod
 
 
@@ -34,11 +35,31 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_units(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "unit", "start", "end", "first_doc_id", "first_unit")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.digests(chat_format.format_records(chat_format.as_records(rows)))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality.document_statistics(table(spark, sf_dir, "documents"))
+    stats = stats.withColumn("held_out", crc_mod("doc_id", 5) == 0)
+    model = quality.fit(stats, table(spark, sf_dir, "labels"), train=~stats["held_out"])
+    return quality.score(stats, model, keep=("doc_id", "held_out"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -52,7 +73,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_chat_format": op7_chat_format,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_weighted_sampling": op10_weighted_sampling,
 }
@@ -62,10 +86,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": r"""
 with d as (
-  select distinct doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select distinct doc_id, [x for x in string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') if x <> ''] as w
   from documents),
 i as (
-  select distinct item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select distinct item_id, [x for x in string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') if x <> ''] as w
   from benchmark),
 n as (select item_id, w, least(len(w), 5) as size from i where len(w) > 0),
 si as (
@@ -82,5 +106,21 @@ from si join sd on si.s = sd.s and si.size = sd.size
 join c on c.item_id is not distinct from si.item_id and c.w = si.w
 group by sd.doc_id, sd.w, si.item_id, si.w
 having count(*) / any_value(c.n_shingles) >= 0.8
+""",
+    "op5_line_dedup": r"""
+with d as (select distinct doc_id, text, string_split(text, chr(10)) as lines from documents where text is not null),
+u as (
+  select doc_id, text, k - 1 as unit,
+         coalesce(list_sum([length(x) + 1 for x in lines[1:k - 1]]), 0) as start, lines[k] as line
+  from (select *, unnest(range(1, len(lines) + 1)) as k from d)),
+n as (
+  select *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm from u),
+f as (
+  select *, row_number() over (partition by norm order by doc_id nulls last, md5(text), unit) as place,
+         first_value(doc_id) over (partition by norm order by doc_id nulls last, md5(text), unit) as first_doc_id,
+         first_value(unit) over (partition by norm order by doc_id nulls last, md5(text), unit) as first_unit
+  from n where len(string_split(norm, ' ')) >= 8 and norm <> '')
+select doc_id, unit, cast(start as bigint) as start, cast(start + length(line) as bigint) as "end", first_doc_id, first_unit
+from f where place > 1
 """,
 }
