@@ -41,6 +41,20 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text, text_key): each whole row as one struct beside its key, so that no
+    column of ``docs``, whatever its name, clashes in a join."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row")).select(
+        "row", F.col("row.doc_id").cast("bigint").alias("doc_id"), F.col("row.text").cast("string").alias("text")) \
+        .withColumn("text_key", text_key(F.col("text")))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from ``packed`` rows, some of them changed."""
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def text_key(text: Column) -> Column:
     """Digest of a text (null: of the empty one).  With the id it names a row's content:
     rows that share both are copies of each other and are treated alike."""

@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, stored, text_key, with_text_key
+from .common import documents, packed, stored, unpacked, with_text_key
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -127,7 +127,6 @@ def _candidates(rows: DataFrame, known: DataFrame, sizes: list[int], threshold:
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (columns doc_id and text, others kept) without the rows that contain an item."""
     bad = stored(contained(docs, items, threshold).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "benchmark-bad")
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
-    return keyed.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
-                      "left_anti").select(*docs.columns)
+        F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct(), "benchmark-bad")
+    clean = packed(docs).join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("text_key") == F.col("bad_key")), "left_anti")
+    return unpacked(clean, docs)

@@ -159,5 +159,7 @@ def predict(docs: DataFrame, labels: list[str], profile: np.ndarray, text_col: s
 
 def keep_known(docs: DataFrame, labels: list[str], profile: np.ndarray, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose language is unknown: those without a letter."""
-    return predict(docs, labels, profile, text_col, keep=tuple(docs.columns)) \
-        .filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    names = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name clashes with the prediction's
+    found = predict(numbered, labels, profile, f"c{names.index(text_col)}", keep=tuple(numbered.columns))
+    return found.filter(F.col("lang_pred") != UNKNOWN).select(*numbered.columns).toDF(*names)

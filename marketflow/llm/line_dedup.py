@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_batches, stored
+from .common import documents, map_batches, packed, stored
 
 MIN_WORDS = 8
 HOT_DIGESTS = 1_000
@@ -88,14 +88,17 @@ def repeated_units(docs: DataFrame, boundary: str = LINE, min_words: int = MIN_W
 
 def remove_repeats(docs: DataFrame, boundary: str = LINE, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (columns doc_id and text, others kept) without the repeated units, each with
-    the boundary after it; ``removed`` holds their (start, end) in the original text."""
+    the boundary after it; the result's last column, ``removed``, holds their (start, end) in
+    the original text and replaces a column of that name."""
     gone = repeated_units(docs, boundary, min_words).groupBy("doc_id", "text_id").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    gone = stored(gone.select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"), "removed"), "line-removed")
-    rows = docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_text")), "left")
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_id").alias("gone_text"), "removed"), "line-removed")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "removed"])
+    rows = packed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_text")), "left")
     cut = F.udf(cutter(boundary), "string")
-    return rows.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut("text", "removed"))) \
-        .select(*docs.columns, F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
+    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut("text", "removed"))
+    rest = [text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return rows.select(*rest, F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
 
 
 def cutter(boundary: str) -> Callable[[str | None, list | None], str | None]:

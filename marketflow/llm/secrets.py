@@ -29,7 +29,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_batches, stored, text_key, with_text_key
+from .common import documents, map_batches, packed, stored, unpacked, with_text_key
 
 BASE_KINDS = ("assign", "access", "hex")
 WEAK_KINDS = ("login", "short", "endpoint")
@@ -162,9 +162,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = 200) -> DataFr
     The findings are written first: a small table is broadcast, a large one is not.
     """
     found = find_secrets(docs, window=window).filter(F.size("findings") > 0).dropDuplicates(["doc_id", "text_key"])
-    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "findings"), "secret-findings")
-    rows = docs.withColumn("_text_key", text_key(F.col("text")))
-    rows = rows.join(found, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
+    found = stored(found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key"), "findings"), "secret-findings")
+    rows = packed(docs).join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_key") == F.col("found_key")), "left")
 
     def cut(begin: Column, length: Column) -> Column:
         return F.substr(F.col("text"), (begin + 1).cast("int"), length.cast("int"))
@@ -175,11 +174,11 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = 200) -> DataFr
             F.concat(acc["out"], cut(acc["at"], f["start"] - acc["at"]), F.lit(mask)).alias("out"), f["end"].alias("at")))
         .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], f["end"]).alias("at"))),
         lambda acc: F.concat(acc["out"], cut(acc["at"], F.length("text") - acc["at"])))
-    out = rows.withColumn("text", F.when(F.col("findings").isNull(), F.col("text")).otherwise(masked))
+    rows = rows.withColumn("masked", F.when(F.col("findings").isNotNull(), masked))
+    changed = {"text": F.coalesce("masked", F.col("row.text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("findings").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.coalesce(F.length("masked").cast(docs.schema["n_chars"].dataType), F.col("row.n_chars"))
+    return unpacked(rows, docs, **changed)
 
 
 def span_text(findings: list[dict], kinds: tuple[str, ...]) -> str:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_batches, stored, text_key, with_text_key
+from .common import documents, map_batches, packed, stored, unpacked, with_text_key
 
 SEED = 42
 PAIR_BIN = 32
@@ -198,11 +198,10 @@ def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> Data
     copies = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
     best = stored(best.select("best.doc_id", "best.text_key").alias("b").join(copies.alias("c"), (
         F.col("b.doc_id").eqNullSafe(F.col("c.doc_id"))) & (F.col("b.text_key") == F.col("c.text_key"))).select(
-        F.col("b.doc_id").alias("_id"), F.col("b.text_key").alias("_key"), "copies"), "simhash-kept")
-    found = docs.withColumn("_text_key", text_key(F.col("text"))).join(
-        best, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    once = found.filter("copies = 1").select(*docs.columns)
-    return once.unionByName(found.filter("copies > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+        F.col("b.doc_id").alias("kept_id"), F.col("b.text_key").alias("kept_key"), "copies"), "simhash-kept")
+    found = packed(docs).join(best, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")))
+    once = found.filter("copies = 1").select("row")
+    return unpacked(once.unionByName(found.filter("copies > 1").dropDuplicates(["kept_id", "kept_key"]).select("row")), docs)
 
 
 def _signed(fps: Iterable[int]) -> list[int]:
