@@ -37,7 +37,7 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 # Pieces of one length and salt bucket that are ranked in one group, about.
-RANK_BUCKET = 20_000
+RANK_BUCKET = 1_000
 
 
 class Encoder:
@@ -208,8 +208,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     runs = plan(counts, capacity)
     table = np.array(sorted(runs), dtype=np.int64).reshape(-1, 5)
 
-    salts = max(1, -(-max(counts.values(), default=0) // RANK_BUCKET))
-    salted = cutted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "piece"), F.lit(salts)))
+    # as many salts for a length as it has buckets of pieces; equal rows share one
+    salts = [(n, max(1, -(-c // RANK_BUCKET))) for n, c in counts.items()]
+    salts = F.broadcast(cutted.sparkSession.createDataFrame(salts, "length bigint, salts bigint"))
+    salted = cutted.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "piece"), "salts"))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     base = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "text_key", "piece")

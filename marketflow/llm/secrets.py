@@ -181,6 +181,16 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", window: int = 200) -> DataFr
     return unpacked(rows, docs, **changed)
 
 
+def mask_spans(text: str, spans: list[tuple[int, int]], mask: str) -> str:
+    """``redact`` for one text: overlapping spans become one mask."""
+    out, at = [], 0
+    for s, e in sorted(spans):
+        if s >= at:
+            out += [text[at:s], mask]
+        at = max(at, e)
+    return "".join(out) + text[at:]
+
+
 def span_text(findings: list[dict], kinds: tuple[str, ...]) -> str:
     return ",".join(f"{f['kind']}:{f['start']}:{f['end']}" for f in findings if f["kind"] in kinds)
 
