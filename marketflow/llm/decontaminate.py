@@ -86,42 +86,41 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
     known = items_of(items)
     # one row: the shingle lengths in use, at most WORDS of them
     sizes = known.agg(F.sort_array(F.collect_set("size")).alias("sizes")).first()["sizes"] or [WORDS]
-    candidates = _candidates(rows, known, sizes, threshold)
-    # an item's shingles go to the documents to verify, which meet their text once
     of_item = reduce(DataFrame.unionByName, [
         known.filter(F.col("size") == s).select("item", "item_id", "size", F.array_distinct(_texts("w", s)).alias("s"))
         for s in sizes])
-    found = candidates.join(of_item, "item").groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("item_id", "size", "s")).alias("found"))
-    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "found"), "benchmark-found")
-    texts = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))) \
-        .select("doc_id", "text_key", "found", words(F.col("text")).alias("w"))
-    texts = texts.select("doc_id", "text_key", "found", *[F.array_distinct(_texts("w", s)).alias(f"s{s}") for s in sizes])
-    pairs = texts.withColumn("f", F.explode("found"))
-    own = reduce(lambda rest, s: F.when(F.col("f.size") == s, F.col(f"s{s}")).otherwise(rest), sizes, F.array().cast("array<string>"))
-    return pairs.select("doc_id", "text_key", "f.item_id", F.size("f.s").alias("n_shingles"),
-                        F.size(F.array_intersect(F.col("f.s"), own)).alias("n_shared")) \
+    texts = _candidates(rows, known, sizes, threshold).withColumn("w", words(F.col("text")))
+    texts = texts.select("doc_id", "text_key", "items", *[F.array_distinct(_texts("w", s)).alias(f"s{s}") for s in sizes])
+    pairs = texts.withColumn("item", F.explode("items")).join(of_item, "item")
+    own = reduce(lambda rest, s: F.when(F.col("size") == s, F.col(f"s{s}")).otherwise(rest), sizes, F.array().cast("array<string>"))
+    return pairs.select("doc_id", "text_key", "item_id", F.size("s").alias("n_shingles"),
+                        F.size(F.array_intersect(F.col("s"), own)).alias("n_shared")) \
         .withColumn("containment", F.col("n_shared") / F.col("n_shingles")) \
         .filter(F.col("containment") >= threshold).distinct()
 
 
 def _candidates(rows: DataFrame, known: DataFrame, sizes: list[int], threshold: float) -> DataFrame:
-    """(doc_id, text_key, item): documents that hold a shingle of the item's sketch.
+    """(doc_id, text_key, text, items): documents that hold a shingle of the items' sketches.
 
     The sketch entries are split by hash into blocks of about ``BLOCK_ENTRIES``, so what is
-    broadcast has that bound however many or long the items are.
+    broadcast has that bound however many or long the items are.  Only rows that pass the join
+    are written with their text, once per task, so no other text is shuffled.
     """
     sketch = stored(sketches(known, sizes, threshold), "benchmark-sketch")
     blocks = max(1, -(-sketch.count() // BLOCK_ENTRIES))
-    docs = rows.select("doc_id", "text_key", words(F.col("text")).alias("w"))
+    docs = rows.select("doc_id", "text_key", "text", words(F.col("text")).alias("w"))
     found = []
     for size in sizes:
-        shingles = docs.select("doc_id", "text_key", F.explode(_hashes("w", size)).alias("hash"))
+        # hashed before the explode, which then runs in one generated loop with the join; the
+        # outer one, as for the inner one the hashes would be made once more to test their number
+        hashed = docs.select("doc_id", "text_key", "text", _hashes("w", size).alias("h"))
+        shingles = hashed.select("doc_id", "text_key", "text", F.explode_outer("h").alias("hash"))
         entries = sketch.filter(F.col("size") == size).select("hash", "item")
         for b in range(blocks):
             here = F.pmod("hash", F.lit(blocks)) == b
-            found.append(shingles.join(F.broadcast(entries.filter(here)), "hash").select("doc_id", "text_key", "item"))
-    return reduce(DataFrame.unionByName, found).distinct()
+            found.append(shingles.join(F.broadcast(entries.filter(here)), "hash").select("doc_id", "text_key", "text", "item"))
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_key").agg(
+        F.first("text").alias("text"), F.collect_set("item").alias("items"))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
