@@ -16,22 +16,20 @@ Without a table format there is no MERGE and no multi-file atomic commit, so:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 class TableStore:
-    """``keep_versions``: committed versions kept per rebuilt table.  State
-    tables are rewritten every few minutes; without retention the listing a
-    reader does would grow without bound.  Older versions are removed only
-    after a newer one has committed, and enough remain for readers that
-    started on an older one to finish."""
+    """Tables under one root folder.  A write never removes anything: old versions go with
+    ``expire``, a maintenance call of its own."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep_versions = keep_versions
 
     # --- filesystem --------------------------------------------------------------
     def _fs_path(self, path: str):
@@ -78,17 +76,44 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path(name)}/version={version}")
-        self.expire_versions(name)
         return version
 
-    def expire_versions(self, name: str) -> list[int]:
-        """Remove committed versions older than the newest ``keep_versions``."""
+    def expire(self, name: str, older_than: dt.timedelta) -> list[int]:
+        """Maintenance: remove versions that a newer one replaced longer than ``older_than``
+        ago; no reader or replay may be older than that."""
         committed = self.versions(name)
-        old = committed[:-self.keep_versions] if self.keep_versions > 0 else []
-        for v in old:
-            fs, p = self._fs_path(f"{self.path(name)}/version={v}")
-            fs.delete(p, True)
-        return old
+        now_ms = dt.datetime.now(dt.timezone.utc).timestamp() * 1000
+        removed = []
+        for version, newer in zip(committed, committed[1:]):
+            fs, done = self._fs_path(f"{self.path(name)}/version={newer}/_SUCCESS")
+            if now_ms - fs.getFileStatus(done).getModificationTime() > older_than.total_seconds() * 1000:
+                fs.delete(self._fs_path(f"{self.path(name)}/version={version}")[1], True)
+                removed.append(version)
+        return removed
+
+    def base_version(self, name: str, key: str) -> int:
+        """The version (0: none) that was the newest when ``key`` first asked: a replayed batch
+        gets the state from before it.  Kept as an empty folder per key."""
+        folder = f"{self.path(name)}/_base/{key}"
+        pinned = self._children(folder, "")
+        if not pinned:
+            pinned = [str((self.versions(name) or [0])[-1])]
+            fs, p = self._fs_path(f"{folder}/{pinned[0]}")
+            fs.mkdirs(p)
+        return int(pinned[0])
+
+    def read_version(self, name: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path(name)}/version={version}")
+
+    def write_scratch(self, df: DataFrame, name: str) -> DataFrame:
+        """A table of one load: written once, read by the load's steps, dropped after it."""
+        path = f"{self.root}/_scratch/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_scratch(self, name: str) -> None:
+        fs, p = self._fs_path(f"{self.root}/_scratch/{name}")
+        fs.delete(p, True)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """Latest committed version of a rebuilt table, or all rows of an

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketflow.functions.time import as_of_column, instant
 from marketflow.operators.latest import latest_per_key
+from marketflow.schemas import FILL_EVENT_COLUMNS
 from marketflow.session import checkpoint_dir
 
 
@@ -85,28 +86,27 @@ def _changed(cur_h: Column, cur_l: Column, prev_h: Column, prev_l: Column, has_p
 
 def changed_rows(history: DataFrame, key: str = "item_id", time_col: str = "loaded_at",
                  compare: Sequence[str] = ("high_price", "low_price"),
-                 bucket_unit: str = "day") -> DataFrame:
+                 bucket_unit: str = "day", before: Sequence[str] = ()) -> DataFrame:
     """W-3 over a batch of history: keep a row when its compared columns differ
     (null-safely) from the item's previous row; an item's first row always stays.
 
     Equal to replaying the polls one by one against the stored table, because a
-    skipped poll always equals the stored row it was compared with.
+    skipped poll always equals the stored row it was compared with.  Rows of one time are
+    ordered by ``before`` and then by their values.
 
-    Skew: a key's rows are split into time buckets.  ``lag`` runs inside
-    ``(key, bucket)``; the first row of a bucket compares with the last row of
-    the key's previous non-empty bucket, found from a per-bucket aggregate (one
-    row per bucket), so no task ever holds a whole hot key.
+    Skew: a key's rows are split into time buckets.  One window per ``(key, bucket)`` finds
+    each row's predecessor and marks the bucket's last row; the first row of a bucket
+    compares with the last row of the key's previous non-empty bucket, taken from those marks
+    (one row per bucket), so no task ever holds a whole hot key.
     """
     h, l = compare
-    order = [time_col, *[c for c in history.columns if c not in (key, time_col)]]
+    order = [time_col, *before, *[c for c in history.columns if c not in (key, time_col, *before)]]
     rows = history.withColumn("_b", F.date_trunc(bucket_unit, instant(time_col)))
     w = Window.partitionBy(key, "_b").orderBy(*order)
-    rows = (rows.withColumn("_ph", F.lag(h).over(w)).withColumn("_pl", F.lag(l).over(w))
-            .withColumn("_first", F.row_number().over(w) == 1))
-    # last row of each (key, bucket), then the previous bucket's last row per key
-    last = (rows.groupBy(key, "_b")
-            .agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_last"))
-            .select(key, "_b", F.col(f"_last.{h}").alias("_bh"), F.col(f"_last.{l}").alias("_bl")))
+    rows = rows.select("*", F.lag(h).over(w).alias("_ph"), F.lag(l).over(w).alias("_pl"),
+                       (F.row_number().over(w) == 1).alias("_first"),
+                       F.lead(F.lit(True), 1, False).over(w).alias("_more"))
+    last = rows.filter(~F.col("_more")).select(key, "_b", F.col(h).alias("_bh"), F.col(l).alias("_bl"))
     wb = Window.partitionBy(key).orderBy("_b")
     boundary = last.select(key, "_b", F.lag("_bh").over(wb).alias("_ph0"),
                            F.lag("_bl").over(wb).alias("_pl0"),
@@ -123,14 +123,23 @@ def changed_rows(history: DataFrame, key: str = "item_id", time_col: str = "load
 def changed_vs_state(state: DataFrame, batch: DataFrame, key: str = "item_id",
                      time_col: str = "loaded_at",
                      compare: Sequence[str] = ("high_price", "low_price")) -> DataFrame:
-    """W-3 incremental: rows of a new batch that differ from the stored state
-    (one row per key: the latest stored row) and from earlier rows of the same
-    batch.  The state row precedes the batch in time, so it is simply prepended
-    to the key's history and dropped from the result."""
+    """W-3 incremental: rows of a new batch to store, given the state before the batch (one
+    row per key: the stored row of the latest time).
+
+    A row is compared with the latest stored row at its turn.  Rows from the state's time on
+    form a chain that starts at the state row; a row that arrives late, older than the state,
+    is compared with the state row itself, which stays the latest.
+    """
     cols = batch.columns
-    both = (state.select(*cols).withColumn("_state", F.lit(True))
-            .unionByName(batch.withColumn("_state", F.lit(False))))
-    return changed_rows(both, key, time_col, compare).filter(~F.col("_state")).select(*cols)
+    h, l = compare
+    marks = state.select(key, F.col(time_col).alias("_at"), F.col(h).alias("_sh"), F.col(l).alias("_sl"))
+    placed = batch.join(marks, key, "left")
+    old = F.coalesce(F.col(time_col) < F.col("_at"), F.lit(False))
+    late = placed.filter(old & _changed(F.col(h), F.col(l), F.col("_sh"), F.col("_sl"), F.lit(True))).select(*cols)
+    both = (state.select(*cols).withColumn("_after", F.lit(0))
+            .unionByName(placed.filter(~old).select(*cols).withColumn("_after", F.lit(1))))
+    chain = changed_rows(both, key, time_col, compare, before=["_after"]).filter("_after = 1").select(*cols)
+    return chain.unionByName(late)
 
 
 def next_state(state: DataFrame, inserted: DataFrame, key: str = "item_id",
@@ -144,16 +153,18 @@ def next_state(state: DataFrame, inserted: DataFrame, key: str = "item_id",
 NATURAL_KEY = ["flip_id", "leg", "event", "filled_qty", "offer_placed_at", "filled_at"]
 
 
-def event_uid(cols: Sequence[str] = NATURAL_KEY) -> Column:
-    """Idempotency key of a fill event: SHA-256 of its natural key (times as
-    epoch microseconds, so every engine renders the same text)."""
+def event_uid(df: DataFrame) -> Column:
+    """Idempotency key of a fill event: the ``event_uid`` that the producer sends, where it
+    does; else SHA-256 of every sent column, each with its length, and a mark for NULL, so
+    only identical events share one (times as epoch microseconds, so every engine renders
+    the same text)."""
     parts = []
-    for c in cols:
-        col = F.col(c)
-        if c in ("offer_placed_at", "filled_at"):
-            col = F.unix_micros(instant(c))
-        parts.append(col.cast("string"))
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    for f in FILL_EVENT_COLUMNS:
+        col = F.col(f)
+        text = (F.unix_micros(instant(f)) if f in ("offer_placed_at", "filled_at") else col).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
+    computed = F.sha2(F.concat_ws("|", *parts), 256)
+    return F.coalesce(F.col("event_uid"), computed) if "event_uid" in df.columns else computed
 
 
 def dense_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> DataFrame:
@@ -188,9 +199,8 @@ def append_fills(existing: DataFrame, batch: DataFrame,
     in natural-key order.  ``existing`` only needs the partitions a re-sent
     event can be in (see ``Refresh.append_fill_events``).
     """
-    b = batch.withColumn("event_uid", event_uid())
-    b = b.dropDuplicates(["event_uid"])
-    stored = existing.withColumn("event_uid", event_uid()).select("event_uid")
+    b = batch.withColumn("event_uid", event_uid(batch)).dropDuplicates(["event_uid"])
+    stored = existing.withColumn("event_uid", event_uid(existing)).select("event_uid")
     new = b.join(stored, "event_uid", "left_anti")
     # scalar subquery: evaluated once, no join.  ``id_base`` (the stored
     # high-water mark) avoids scanning the log for its maximum.
@@ -199,6 +209,6 @@ def append_fills(existing: DataFrame, batch: DataFrame,
     indexed = dense_index(new, [*NATURAL_KEY, "event_uid"])
     return indexed.select(
         (base + F.col("_idx")).alias("event_id"),
-        *[c for c in batch.columns if c not in ("event_id", "recorded_at")],
+        *[c for c in batch.columns if c not in ("event_id", "recorded_at", "event_uid")],
         as_of_column(recorded_at).alias("recorded_at"),
         "event_uid")

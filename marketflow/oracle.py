@@ -449,8 +449,13 @@ for _name, _sql in CONSUMERS.items():
 _FILL_COLS = ("flip_id, leg, item_id, bot_version, event, requested_qty, filled_qty, offer_price, "
               "avg_fill_price, tax_paid, realized_profit, offer_placed_at, filled_at, monitor_ms, "
               "tolerance_ms, relist_count")
-_UID = ("sha256(concat_ws('|', flip_id, leg, event, cast(filled_qty as varchar), "
-        "cast(epoch_us(offer_placed_at) as varchar), cast(epoch_us(filled_at) as varchar)))")
+def _uid_part(col: str) -> str:
+    text = f"epoch_us({col})" if col in ("offer_placed_at", "filled_at") else col
+    text = f"cast({text} as varchar)"
+    return f"coalesce(cast(length({text}) as varchar) || ':' || {text}, 'N')"
+
+
+_UID = "sha256(concat_ws('|', " + ", ".join(_uid_part(c.strip()) for c in _FILL_COLS.split(",")) + "))"
 _MAP_A = """select cast(p_partkey as int) item_id, 'stale ' || p_name as name, p_brand examine,
   (p_size % 2 = 0) members, cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
   cast(p_size as int) buy_limit, cast(floor(p_retailprice) as int) value, p_type icon,
@@ -569,21 +574,16 @@ with win as (
 select item_id, make_timestamp(ws) as window_start, make_timestamp(ws + {_LS}) as window_end,
   {rdiv('sum(total_volume)', 'count(*)')} as avg_volume_per_hour, count(*) as hours_observed
 from win group by item_id, ws""",
-    "late_rows": f"""
-with r as (
-  select event_id, item_id, filled_at, recorded_at, date_trunc('day', recorded_at) as b
-  from realized_fills where filled_at is not null),
-batches as (select b, max(filled_at) as mx from r group by b),
-marks as (select b, max(mx) over (order by b rows between unbounded preceding and 1 preceding) as seen from batches)
-select r.event_id, r.item_id, r.filled_at, r.recorded_at, m.seen as max_event_time_before
-from r join marks m using (b)
-where epoch_us(r.filled_at) < epoch_us(m.seen) - {_cat.LATE_DELAY_DAYS * _DAY_US}""",
     "stream_dedupe": "select * from raw_prices_5m",
     "stream_change_detect": WRITES["insert_if_changed"],
     "refresh_daily": "select * from refreshed_flips",
     "refresh_latest": "select * from refreshed_flips",
     "refresh_5m": "select * from refreshed_flips",
     "refresh_1h": "select * from refreshed_flips",
+    "refresh_mixed": "select * from refreshed_flips",
+    "views_over_store": """
+select p.item_id, p.price_timestamp, p.spread_gp, f.profit_per_item
+from fct_prices p left join refreshed_flips f on f.item_id = p.item_id""",
 }
 
 for _name, _sql in STREAMS.items():

@@ -247,7 +247,10 @@ def append_fills(spark, sf_dir):
 # Fixed window sizes for the fixtures (their rows are quarterly / daily).
 HOPPING_VOLATILITY = dict(size="360 days", slide="90 days")
 HOPPING_LIQUIDITY = dict(size="30 days", slide="10 days")
-LATE_DELAY_DAYS = 30
+# Landed files of a streamed fixture, two micro-batches or more.
+STREAM_FILES = 4
+# Documents from here on come by the streams in the mixed refresh.
+MIXED_CUT = "1997-01-01 00:00:00"
 
 
 def run_root(spark: SparkSession) -> str:
@@ -267,29 +270,20 @@ def hopping_liquidity(spark, sf_dir):
     return ingest.hopping_liquidity(m.stg_prices_1h, **HOPPING_LIQUIDITY)
 
 
-@_src
-def late_rows(spark, sf_dir):
-    fills = fixture_models(spark, sf_dir).realized_fills
-    rows = fills.select("event_id", "item_id", "filled_at", "recorded_at").filter(
-        F.col("filled_at").isNotNull())
-    return ingest.late_rows(rows, "recorded_at", "filled_at", dt.timedelta(days=LATE_DELAY_DAYS))
-
-
 @_src
 def stream_dedupe(spark, sf_dir):
-    """T-2: the 5-minute feed landed twice (a re-poll) and deduplicated by a
-    watermarked stream into Parquet."""
+    """T-2: the 5-minute feed landed twice (a re-poll) and streamed in several micro-batches;
+    the first write of a key wins against the stored keys, so the stored table is complete."""
     root = run_root(spark)
-    docs = fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir))
+    docs = fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir)).repartition(STREAM_FILES)
     ingest.land_payloads(docs, f"{root}/landing")
     ingest.land_payloads(docs, f"{root}/landing", mode="append")
-    stream = ingest.payload_stream(spark, f"{root}/landing")
-    rows = payloads.parse_window_payload(stream, last_key_wins=False, envelope=True)
-    q = (ingest.dedupe_within_watermark(rows).writeStream.format("parquet")
-         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
-         .trigger(availableNow=True).start())
+    r = _refresh(spark, sf_dir, root)
+    q = ingest.start_refresh_stream(spark, f"{root}/landing", f"{root}/checkpoint",
+                                    lambda df, bid: r.load_window("5m", df, bid),
+                                    max_files_per_trigger=STREAM_FILES // 2)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return r.raw("prices_5m")
 
 
 def _refresh(spark, sf_dir, root) -> Refresh:
@@ -359,6 +353,41 @@ def refresh_1h(spark, sf_dir):
     return _streamed(spark, sf_dir, "1h", "refresh_1h")
 
 
+def _mixed(spark, sf_dir) -> Refresh:
+    """One store loaded by the daily job (documents before a cut) and by three streams (the
+    rest), whose batch ids overlap with the daily job's and each other's."""
+    root = run_root(spark)
+    cut = F.lit(MIXED_CUT).cast(T.TimestampNTZType())
+    feeds = {"latest": fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf_dir)),
+             "5m": fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m"),
+             "1h": fixtures.window_payloads(fixtures.raw_prices_1h(spark, sf_dir), "1h")}
+    for feed, docs in feeds.items():
+        ingest.land_payloads(docs.filter(F.col("loaded_at") < cut), f"{root}/early/{feed}")
+        ingest.land_payloads(docs.filter(F.col("loaded_at") >= cut), f"{root}/late/{feed}")
+    ingest.land_payloads(fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir)), f"{root}/early/mapping")
+    r = _refresh(spark, sf_dir, root)
+    r.refresh_daily(*(read_landed(spark, f"{root}/early/{f}") for f in ("mapping", "latest", "5m", "1h")), batch_id=0)
+    for feed in feeds:
+        ingest.start_refresh_stream(spark, f"{root}/late/{feed}", f"{root}/checkpoint/{feed}",
+                                    getattr(r, f"refresh_{feed}")).awaitTermination()
+    return r
+
+
+@_src
+def refresh_mixed(spark, sf_dir):
+    """B-4 and B-1 … B-3 over one store: no writer touches another's rows."""
+    return _mixed(spark, sf_dir).flip_opportunities()
+
+
+@_src
+def views_over_store(spark, sf_dir):
+    """W-4 and W-6: the stored fact table by the view's name, after a daily load and three
+    streamed refreshes, with the flips that each item has in the view of the opportunities."""
+    _mixed(spark, sf_dir)
+    flips = spark.table("agg_flip_opportunities").select("item_id", "profit_per_item")
+    return spark.table("fct_prices").select("item_id", "price_timestamp", "spread_gp").join(flips, "item_id", "left")
+
+
 @_src
 def stream_change_detect(spark, sf_dir):
     """T-3: the /latest poll log streamed through ``foreachBatch`` change
@@ -366,11 +395,14 @@ def stream_change_detect(spark, sf_dir):
     root = run_root(spark)
     polls = fixtures.poll_latest(spark, sf_dir).filter(
         F.col("high_price").isNotNull() | F.col("low_price").isNotNull())
-    (polls.withColumn("day", F.to_date("loaded_at")).write.partitionBy("day")
-     .parquet(f"{root}/landing/polls"))
+    # the polls arrive in order of time, a file and a micro-batch each
+    first, last = polls.agg(F.min("loaded_at"), F.max("loaded_at")).first()
+    cuts = [first + (last - first) * i / STREAM_FILES for i in range(STREAM_FILES)] + [last + dt.timedelta(seconds=1)]
+    for a, b in zip(cuts, cuts[1:]):
+        (polls.filter((F.col("loaded_at") >= F.lit(a).cast(T.TimestampNTZType())) & (F.col("loaded_at") < F.lit(b).cast(T.TimestampNTZType())))
+         .coalesce(1).write.mode("append").parquet(f"{root}/landing/polls"))
     r = _refresh(spark, sf_dir, root)
-    schema = polls.schema.add("day", T.DateType())
-    stream = spark.readStream.schema(schema).parquet(f"{root}/landing/polls")
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing/polls")
     q = (stream.writeStream.foreachBatch(lambda df, bid: r.store_latest_rows(df, bid))
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()

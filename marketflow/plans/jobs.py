@@ -10,8 +10,10 @@ Scale design (what each job reads):
   active hour) — updated from the batch alone.
 * Trailing windows (1 h volatility, 24 h liquidity) read only the date
   partitions they touch.
-* ``flip_opportunities`` stays a view (lazy DataFrame) over state + marts, as
-  in the reference; marts are written as new versions, never overwritten.
+* ``flip_opportunities`` stays a view over state + marts, redefined after every
+  refresh; marts are written as new versions, never overwritten.  ``fct_prices``
+  is appended by date from each 5-minute batch.
+* A batch is parsed once, into a scratch table that its steps share.
 
 Each ``refresh_*`` accepts the payload DataFrame of one batch and a batch id,
 so the same code runs from a schedule (batch read of a landing folder) and
@@ -63,11 +65,6 @@ PARTITION_PERIOD = {"prices_5m": "day", "prices_1h": "month", "prices_latest": "
                     "realized_fills": "month"}
 
 
-# A batch with more distinct payload timestamps than this (a backfill) relies on
-# period pruning alone.
-MAX_PUSHED_TIMESTAMPS = 1000
-
-
 def period_start(col, unit: str):
     """Start date of the partition period holding ``col``."""
     return F.trunc(F.to_date(instant(col)), unit) if unit != "day" else F.to_date(instant(col))
@@ -123,7 +120,17 @@ class Refresh:
         return self.store.read("marts/dim_items")
 
     # --- feed loaders ----------------------------------------------------------------
-    def _append(self, rows: DataFrame, name: str, batch_id, time_col: str,
+    @staticmethod
+    def batch_key(docs: DataFrame, batch_id) -> tuple[str, int]:
+        """(key, documents): the identity under which a batch is stored is its id *and* its
+        content, so two writers, or a stream with a new checkpoint, that use the same id for
+        other documents never share a folder, and a replay of the same documents does."""
+        cols = [c for c in ("payload_id", "value") if c in docs.columns] or docs.columns
+        row = docs.agg(F.count("*").alias("n"),
+                       F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).cast("string").alias("h")).first()
+        return f"{batch_id}-{row['n']}-{row['h'] or 0}", row["n"]
+
+    def _append(self, rows: DataFrame, name: str, key: str, time_col: str,
                 periods: list[str] | None = None) -> DataFrame:
         """Append one batch and return the committed rows, read back from the
         batch's directories.  The written batch is the lineage cut: the state
@@ -132,8 +139,8 @@ class Refresh:
         cols = [c for c in rows.columns if c != "event_date"]
         if "event_date" not in rows.columns:
             rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
-        self.store.append_batch(rows, f"raw/{name}", batch_id, "event_date")
-        written = self.store.read_batch(f"raw/{name}", batch_id, cols, periods)
+        self.store.append_batch(rows, f"raw/{name}", key, "event_date")
+        written = self.store.read_batch(f"raw/{name}", key, cols, periods)
         if written is None:
             return self.spark.createDataFrame([], rows.select(*cols).schema)
         if "loaded_at" in cols:
@@ -160,77 +167,104 @@ class Refresh:
             return None
         return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
 
-    def _quarantine(self, docs: DataFrame, feed: str, schema, batch_id) -> None:
-        """Dead-letter table of documents that did not parse (one batch
-        directory per load, like the raw feeds)."""
-        bad = pl.quarantined(docs, schema, envelope=self.landing_envelope)
-        bad = bad.select(F.lit(feed).alias("feed"), F.col("value"),
-                         F.current_date().alias("event_date"))
-        self.store.append_batch(bad, f"quarantine/{feed}", batch_id, "event_date")
-
-    def load_latest(self, docs: DataFrame, batch_id) -> None:
-        """S-1 + W-3: store /latest rows whose price pair changed; advance the state."""
-        self._quarantine(docs, "latest", schemas.LATEST_PAYLOAD, batch_id)
-        self.store_latest_rows(pl.parse_latest_payload(docs, loaded_at=self._load_time(),
-                                                       envelope=self.landing_envelope), batch_id)
-
-    def store_latest_rows(self, batch: DataFrame, batch_id) -> None:
-        """W-3 for flat /latest rows (T-3 calls this from ``foreachBatch``)."""
+    def _reject(self, rejected: DataFrame, table: str, key: str) -> None:
+        """Dead letters (feed, reason, value), by the date on which they were loaded; a
+        document without a readable load time goes to the epoch's, so a replay past midnight
+        replaces its own."""
+        at = F.coalesce(F.to_date(instant("loaded_at")), F.lit(dt.date(1970, 1, 1)))
+        self.store.append_batch(rejected.select(F.lit(table).alias("feed"), "reason", F.col("rejected").alias("value"),
+                                                at.alias("event_date")), f"quarantine/{table}", key, "event_date")
+
+    def load_latest(self, docs: DataFrame, batch_id) -> dict[str, int]:
+        """S-1 + W-3: store /latest rows whose price pair changed; advance the state.
+        Returns the counts of documents, rows attempted, inserted and rejected."""
+        key, n_docs = self.batch_key(docs, batch_id)
+        scratch = f"latest/{key}"
+        records = self.store.write_scratch(
+            pl.latest_records(docs, loaded_at=self._load_time(), envelope=self.landing_envelope), scratch)
+        rejected = records.filter(F.col("reason").isNotNull())
+        self._reject(rejected, "latest", key)
+        counts = self.store_latest_rows(records.filter(F.col("reason").isNull()), batch_id, key)
+        counts |= {"documents": n_docs, "rejected": rejected.count()}
+        self.store.drop_scratch(scratch)
+        return counts
+
+    def store_latest_rows(self, batch: DataFrame, batch_id, key: str | None = None) -> dict[str, int]:
+        """W-3 for flat /latest rows (T-3 calls this from ``foreachBatch``).
+
+        A replayed batch (its key is known) is compared with the state from before its first
+        run, so it stores the same rows again, in the same folders; the newest state takes
+        them in and never goes back."""
         batch = batch.select(*schemas.PRICES_LATEST.fieldNames())
+        key = key or self.batch_key(batch, batch_id)[0]
+        attempted = batch.count()
         periods = self._period_dirs(
             batch.select(period_start("loaded_at", PARTITION_PERIOD["prices_latest"]).alias("event_date")))
-        if self.store.exists("state/latest_price"):
-            state = self.store.read("state/latest_price")
+        base = self.store.base_version("state/latest_price", key)
+        if base:
+            state = self.store.read_version("state/latest_price", base)
             inserted = writers.changed_vs_state(state, batch.select(*state.columns))
         else:
-            state = None
             inserted = writers.changed_rows(batch)
-        inserted = self._append(inserted, "prices_latest", batch_id, "loaded_at", periods)
-        new_state = (latest_per_key(inserted, "item_id", "loaded_at") if state is None
-                     else writers.next_state(state, inserted))
-        self.store.write_version(new_state, "state/latest_price")
-
-    def load_window(self, feed: str, docs: DataFrame, batch_id) -> None:
-        """S-2 + W-2 for ``prices_5m`` / ``prices_1h``; advances the feed's latest-row state."""
+        inserted = self._append(inserted, "prices_latest", key, "loaded_at", periods)
+        newest = self._stored("state/latest_price", inserted.limit(0))
+        self.store.write_version(writers.next_state(newest, inserted), "state/latest_price")
+        return {"attempted": attempted, "inserted": inserted.count()}
+
+    def load_window(self, feed: str, docs: DataFrame, batch_id) -> dict[str, int]:
+        """S-2 + W-2 for ``prices_5m`` / ``prices_1h``; advances the feed's latest-row state
+        and, for the 5-minute feed, appends the batch to the stored fact table.  Returns the
+        counts of documents, rows attempted, inserted and rejected."""
         name = f"prices_{feed}"
-        self._quarantine(docs, feed, schemas.WINDOW_PAYLOAD, batch_id)
-        batch = pl.parse_window_payload(docs, loaded_at=self._load_time(), with_source=True,
-                                        envelope=self.landing_envelope)
-        # first write wins, also between documents of one batch (arrival order)
-        batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
-                                     drop=["payload_id"])
-        batch = batch.withColumn("event_date", period_start("timestamp", PARTITION_PERIOD[name]))
+        key, n_docs = self.batch_key(docs, batch_id)
+        scratch = f"{feed}/{key}"
+        records = self.store.write_scratch(
+            pl.window_records(docs, loaded_at=self._load_time(), envelope=self.landing_envelope)
+            .withColumn("event_date", period_start("timestamp", PARTITION_PERIOD[name])), scratch)
+        rejected = records.filter(F.col("reason").isNotNull())
+        self._reject(rejected, feed, key)
+        batch = records.filter(F.col("reason").isNull()).drop("reason", "rejected")
+        counts = {"documents": n_docs, "attempted": batch.count(), "rejected": rejected.count()}
         # stored keys of the batch's own periods only: the listing and the scan
         # never grow with the history
         periods = self._period_dirs(batch)
+        # first write wins, also between documents of one batch (arrival order)
+        batch = writers.dedupe_first(batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
+                                     drop=["payload_id"])
         target = self.store.read_appends_with_period(f"raw/{name}", periods)
         if target is not None:
-            # every row of a document shares its timestamp, so a batch has a few
-            # distinct ones: only stored rows at those instants can collide
-            # (pushed to the scan; a day of the 5m feed is ~7 M rows, a tick 25k)
-            stamps = [r[0] for r in batch.select("timestamp").distinct().limit(
-                MAX_PUSHED_TIMESTAMPS + 1).collect()]
-            if len(stamps) <= MAX_PUSHED_TIMESTAMPS:
-                target = target.filter(F.col("timestamp").isin(stamps))
-        new = (writers.insert_ignore(target, batch, ["item_id", "timestamp"])
-               if target is not None else batch)
-        new = self._append(new, name, batch_id, "timestamp", periods)
+            # every row of a document shares its timestamp: only stored rows at the
+            # batch's few instants can collide, and the semi-join keeps just those
+            stamps = records.filter(F.col("reason").isNull()).select("event_date", "timestamp").distinct()
+            target = target.join(stamps, ["event_date", "timestamp"], "left_semi")
+            batch = writers.insert_ignore(target, batch, ["item_id", "timestamp"])
+        new = self._append(batch, name, key, "timestamp", periods)
+        counts["inserted"] = new.count()
         staged = (staging.stg_prices_5m(new) if feed == "5m" else staging.stg_prices_1h(new))
+        if feed == "5m" and self.store.exists("marts/dim_items"):
+            fact = marts.fct_prices(staged, self.dim_items())
+            self.store.append_batch(fact.withColumn("event_date", period_start("price_timestamp", "day")),
+                                    "marts/fct_prices", key, "event_date")
         state_name = f"state/latest_{feed}"
         if self.store.exists(state_name):
             staged = self.store.read(state_name).unionByName(staged.select(*self.store.read(state_name).columns))
         self.store.write_version(latest_per_key(staged, "item_id", "price_timestamp"), state_name)
-
-    def load_mapping(self, docs: DataFrame) -> None:
-        """S-3 + W-1: upsert the mapping (new version) and rebuild dim_items."""
-        self._quarantine(docs, "mapping", schemas.MAPPING_PAYLOAD, "mapping")
-        invalid = pl.invalid_mapping_records(docs, envelope=self.landing_envelope)
-        self.store.append_batch(
-            invalid.select(F.lit("mapping-record").alias("feed"), F.to_json(F.struct("*")).alias("value"),
-                           F.current_date().alias("event_date")),
-            "quarantine/mapping_records", "mapping", "event_date")
+        self.store.drop_scratch(scratch)
+        return counts
+
+    def load_mapping(self, docs: DataFrame, batch_id="mapping") -> dict[str, int]:
+        """S-3 + W-1: upsert the mapping (new version) and rebuild dim_items.  Returns the
+        counts of documents, records processed and rejected."""
+        key, n_docs = self.batch_key(docs, batch_id)
+        at = pl.landed_at(docs, self._load_time(), self.landing_envelope)
+        bad = pl.quarantined(at, schemas.MAPPING_PAYLOAD, envelope=self.landing_envelope)
+        self._reject(bad.select("loaded_at", F.lit("document").alias("reason"), F.col("value").alias("rejected")), "mapping", key)
+        invalid = pl.invalid_mapping_records(docs, envelope=self.landing_envelope, loaded_at=self._load_time())
+        invalid = self.store.write_scratch(invalid, f"mapping/{key}")
+        self._reject(invalid, "mapping_records", key)
         batch = pl.parse_mapping_payload(docs, loaded_at=self._load_time(), keep_position=True,
                                          envelope=self.landing_envelope)
+        batch = self.store.write_scratch(batch, f"mapping_rows/{key}")
         position = ["payload_id", "pos"]
         if self.store.exists("raw/item_mapping"):
             table = writers.upsert(self.store.read("raw/item_mapping"), batch, "item_id", position)
@@ -238,16 +272,21 @@ class Refresh:
             table = writers.dedupe_last(batch, "item_id", position).select(
                 *schemas.ITEM_MAPPING.fieldNames())
         self.store.write_version(table, "raw/item_mapping")
+        counts = {"documents": n_docs, "processed": batch.count(), "rejected": invalid.count()}
+        for name in ("mapping", "mapping_rows"):
+            self.store.drop_scratch(f"{name}/{key}")
         self.rebuild_dim()
+        return counts
 
     def append_fill_events(self, events: DataFrame, batch_id) -> DataFrame:
         """W-5: append bot fill events, idempotent on ``event_uid``.
 
         The fill log is partitioned by the month of ``offer_placed_at`` — part
-        of the natural key — so a re-sent event always falls in the same
+        of the event's identity — so a re-sent event always falls in the same
         partition: the duplicate check reads only the batch's own months and
         stays exact.  The id high-water mark lives in a one-row state table.
         """
+        key = self.batch_key(events, batch_id)[0]
         events = events.withColumn("event_date", period_start("offer_placed_at", "month"))
         months = self._period_dirs(events)
         existing = self.store.read_appends_with_period("raw/realized_fills", months)
@@ -255,11 +294,9 @@ class Refresh:
             existing = self.spark.createDataFrame([], schemas.REALIZED_FILLS)
         base = (self.store.read("state/fill_ids").agg(F.max("max_event_id")).scalar()
                 if self.store.exists("state/fill_ids") else None)
-        rows = writers.append_fills(existing.select(*schemas.REALIZED_FILLS.fieldNames()),
-                                    events.drop("event_date"), self.params.as_of, id_base=base)
-        rows = rows.drop("event_uid").withColumn(
-            "event_date", period_start("offer_placed_at", "month"))
-        written = self._append(rows, "realized_fills", batch_id, "offer_placed_at", months)
+        rows = writers.append_fills(existing.drop("event_date"), events.drop("event_date"), self.params.as_of, id_base=base)
+        rows = rows.withColumn("event_date", period_start("offer_placed_at", "month"))
+        written = self._append(rows, "realized_fills", key, "offer_placed_at", months)
         high = written.agg(F.max("event_id").alias("max_event_id"))
         if base is not None:
             high = high.select(F.greatest(F.col("max_event_id"), base).alias("max_event_id"))
@@ -363,31 +400,49 @@ class Refresh:
                            marts.agg_item_volatility(marts.fct_prices(stg5, dim), self.params))
         return marts.flip_opportunities(current, recent, dim, liq, vol, self.params)
 
+    def publish(self) -> None:
+        """(Re)define the session's views over the newest stored tables: ``dim_items``,
+        ``fct_prices``, ``agg_item_liquidity``, ``agg_item_volatility``, ``realized_fills`` and
+        ``agg_flip_opportunities``.  Every refresh job ends with it, so a query by name always
+        shows the latest data."""
+        views = {"agg_flip_opportunities": self.flip_opportunities, "dim_items": self.dim_items}
+        for name in ("fct_prices", "agg_item_liquidity", "agg_item_volatility"):
+            if self.store.exists(f"marts/{name}"):
+                views[name] = lambda name=name: self.store.read(f"marts/{name}")
+        if self.store.exists("raw/realized_fills"):
+            views["realized_fills"] = lambda: marts.realized_fills(staging.stg_realized_fills(self.raw("realized_fills")), self.dim_items())
+        for name, view in views.items():
+            view().createOrReplaceTempView(name)
+
     # --- schedules ------------------------------------------------------------------------
     def refresh_latest(self, docs: DataFrame, batch_id) -> DataFrame:
         """B-1 (every minute): /latest → change detection → flips view."""
         self.load_latest(docs, batch_id)
+        self.publish()
         return self.flip_opportunities()
 
     def refresh_5m(self, docs: DataFrame, batch_id) -> DataFrame:
         """B-2 (every 5 minutes): /5m → fact rows → volatility → flips view."""
         self.load_window("5m", docs, batch_id)
         self.rebuild_volatility()
+        self.publish()
         return self.flip_opportunities()
 
     def refresh_1h(self, docs: DataFrame, batch_id) -> DataFrame:
         """B-3 (hourly): /1h → hourly rows → liquidity → flips view."""
         self.load_window("1h", docs, batch_id)
         self.rebuild_liquidity()
+        self.publish()
         return self.flip_opportunities()
 
     def refresh_daily(self, mapping: DataFrame, latest: DataFrame, five_min: DataFrame,
                       one_hour: DataFrame, batch_id) -> DataFrame:
         """B-4 (daily): the mapping, then all three feeds and every mart."""
-        self.load_mapping(mapping)
+        self.load_mapping(mapping, batch_id)
         self.load_latest(latest, batch_id)
         self.load_window("5m", five_min, batch_id)
         self.load_window("1h", one_hour, batch_id)
         self.rebuild_volatility()
         self.rebuild_liquidity()
+        self.publish()
         return self.flip_opportunities()

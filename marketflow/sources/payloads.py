@@ -1,33 +1,24 @@
 """S-1 … S-3: flatten landed API payloads (one JSON document per file).
 
-Files are read whole (``text(path, wholetext=True)`` — the reader *option* of
-the same name is ignored by ``text()``), parsed with a declared schema, and
-exploded to one row per item.  The same functions serve batch and streaming
-DataFrames.  A document that does not parse yields no rows here and is
-reported by ``quarantined``.
+Documents are parsed with a declared schema and exploded to one row per item.  The same
+functions serve batch and streaming DataFrames.  A document that does not parse yields no
+rows in ``parse_*`` and is reported by ``quarantined``.
+
+``latest_records`` and ``window_records`` are what the jobs load: one parse that gives the
+accepted rows and, with a ``reason``, everything that is not loadable: documents that do not
+parse, an explicit null timestamp, item ids and numbers that are no integers of the column's
+range.  Nothing becomes NULL that was sent as a value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow import schemas
 
 
-def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payload files as ``(payload_id, value)``: one row per file."""
-    return (spark.read.text(path, wholetext=True)
-            .select(F.input_file_name().alias("payload_id"), "value"))
-
-
-def read_payload_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 100) -> DataFrame:
-    return (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-            .text(path, wholetext=True)
-            .select(F.input_file_name().alias("payload_id"), "value"))
-
-
 def _loaded_at(loaded_at: str | Column | None) -> Column:
     if loaded_at is None:
         return F.current_timestamp()   # one value per query / micro-batch, like now()
@@ -78,7 +69,7 @@ def _last_per_key(data: Column) -> Column:
     return F.array_sort(tagged)
 
 
-def _explode_last_wins(df: DataFrame, data: str, keep: list[str]) -> DataFrame:
+def _explode_last_wins(df: DataFrame, data: str, keep: list[str], outer: bool = False) -> DataFrame:
     """One row per distinct key.  No lambda refers to the whole array (the
     optimizer may inline it into the lambda, making the step quadratic): the
     previous key comes from a shifted copy combined element-wise."""
@@ -88,7 +79,7 @@ def _explode_last_wins(df: DataFrame, data: str, keep: list[str]) -> DataFrame:
     prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), keys), 1, F.size(s))
     first = F.zip_with(s, prev, lambda x, p: F.when(p.isNull() | (p != x["key"]), x))
     kept = F.filter(first, lambda x: x.isNotNull())
-    return sorted_df.select(*keep, F.inline(kept)).drop("neg_pos")
+    return sorted_df.select(*keep, (F.inline_outer if outer else F.inline)(kept)).drop("neg_pos")
 
 
 def parse_latest_payload(payloads: DataFrame, value: str = "value",
@@ -156,11 +147,21 @@ def parse_mapping_payload(payloads: DataFrame, value: str = "value",
 
 
 def invalid_mapping_records(payloads: DataFrame, value: str = "value",
-                            envelope: bool = False) -> DataFrame:
-    """Mapping records missing a required field (``id`` or ``name``)."""
-    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, None, envelope)
-    x = parsed.select(F.explode("doc").alias("r"))
-    return x.filter(F.col("r.id").isNull() | F.col("r.name").isNull()).select("r.*")
+                            envelope: bool = False, loaded_at=None) -> DataFrame:
+    """(loaded_at, reason, rejected): mapping records missing a required field (``id`` or
+    ``name``), as JSON."""
+    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, loaded_at, envelope)
+    x = parsed.select("loaded_at", F.explode("doc").alias("r"))
+    return x.filter(F.col("r.id").isNull() | F.col("r.name").isNull()).select(
+        "loaded_at", F.lit("required").alias("reason"), F.to_json("r").alias("rejected"))
+
+
+def landed_at(payloads: DataFrame, loaded_at, envelope: bool) -> DataFrame:
+    """``payloads`` with the ``loaded_at`` of each document, NULL where the envelope has none."""
+    if not envelope:
+        return payloads.withColumn("loaded_at", _loaded_at(loaded_at))
+    return payloads.withColumn("loaded_at", F.timestamp_seconds(
+        F.get_json_object("value", "$.poll_time").try_cast("bigint")))
 
 
 def quarantined(payloads: DataFrame, schema=schemas.LATEST_PAYLOAD, value: str = "value",
@@ -172,3 +173,77 @@ def quarantined(payloads: DataFrame, schema=schemas.LATEST_PAYLOAD, value: str =
     doc = F.col("p.payload") if envelope else F.col("p")
     bad = doc["data"].isNull() if isinstance(schema, T.StructType) else doc.isNull()
     return p.filter(F.col("p").isNull() | bad).select(*cols, F.col(value))
+
+
+def _lenient(entry: T.StructType) -> T.StructType:
+    """The entry with every scalar as its JSON text, so that no value is lost in the parse."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in entry.fields])
+
+
+def _records(payloads: DataFrame, payload: T.StructType, value: str, loaded_at, envelope: bool,
+             with_timestamp: bool) -> DataFrame:
+    """(payload_id, loaded_at, ts, key, v, doc_reason, doc_text): entries as texts; a document
+    that cannot be loaded gives one row with its reason and text."""
+    entry = payload["data"].dataType.valueType
+    fields = [T.StructField("data", T.MapType(T.StringType(), _lenient(entry)))]
+    fields += [T.StructField("timestamp", T.StringType())] if with_timestamp else []
+    schema = T.StructType(fields)
+    pid = (F.col("payload_id") if "payload_id" in payloads.columns else F.lit(None).cast("string")).alias("payload_id")
+    if envelope:
+        e = payloads.select(pid, F.col(value).alias("text"), F.from_json(F.col(value), envelope_schema(schema)).alias("e"))
+        at = F.timestamp_seconds(F.col("e.poll_time")) if loaded_at is None else _loaded_at(loaded_at)
+        e = e.select("payload_id", "text", at.alias("loaded_at"), F.col("e.payload").alias("doc"))
+        inner = F.get_json_object("text", "$.payload")
+    else:
+        e = payloads.select(pid, F.col(value).alias("text"), _loaded_at(loaded_at).alias("loaded_at"),
+                            F.from_json(F.col(value), schema).alias("doc"))
+        inner = F.col("text")
+    reason = F.when(F.col("doc.data").isNull(), F.lit("document"))
+    if with_timestamp:
+        raw = F.col("doc.timestamp")
+        # a missing timestamp means the epoch; one sent as null, or as no integer, is an error
+        sent_null = raw.isNull() & F.coalesce(F.array_contains(F.json_object_keys(inner), "timestamp"), F.lit(False))
+        reason = reason.when(sent_null | (raw.isNotNull() & raw.try_cast("bigint").isNull()), F.lit("timestamp"))
+        e = e.withColumn("ts", F.timestamp_seconds(F.coalesce(raw.try_cast("bigint"), F.lit(0).cast("bigint"))))
+    else:
+        e = e.withColumn("ts", F.lit(None).cast("timestamp"))
+    e = e.withColumn("doc_reason", reason).withColumn("doc_text", F.when(F.col("doc_reason").isNotNull(), F.col("text")))
+    e = e.withColumn("data", F.when(F.col("doc_reason").isNull(), F.col("doc.data")))
+    x = _explode_last_wins(e, "data", ["payload_id", "loaded_at", "ts", "doc_reason", "doc_text"], outer=True)
+    return x.filter(F.col("key").isNotNull() | F.col("doc_reason").isNotNull())
+
+
+def _with_reasons(x: DataFrame, ints: dict[str, str], longs: tuple[str, ...] = ()) -> DataFrame:
+    """Typed columns, ``reason`` and ``rejected`` (the record's text) from ``_records`` rows."""
+    item = F.col("key").try_cast("int")
+    bad = [F.col(f"v.{raw}").isNotNull() & F.col(f"v.{raw}").try_cast("bigint" if raw in longs else "int").isNull()
+           for raw in [*ints.values(), *longs]]
+    any_bad = bad[0]
+    for b in bad[1:]:
+        any_bad = any_bad | b
+    reason = F.coalesce("doc_reason", F.when(item.isNull(), F.lit("item")).when(any_bad, F.lit("value")))
+    return x.select("*", item.alias("item_id"), reason.alias("reason"),
+                    F.coalesce("doc_text", F.to_json(F.struct("key", "v"))).alias("record"),
+                    *[F.col(f"v.{raw}").try_cast("int").alias(name) for name, raw in ints.items()])
+
+
+def latest_records(payloads: DataFrame, value: str = "value", loaded_at: str | Column | None = None,
+                   envelope: bool = False) -> DataFrame:
+    """S-1 with its rejects: raw.prices_latest rows plus payload_id, reason and rejected."""
+    x = _with_reasons(_records(payloads, schemas.LATEST_PAYLOAD, value, loaded_at, envelope, False),
+                      {"high_price": "high", "low_price": "low"}, ("highTime", "lowTime"))
+    x = x.select("item_id", "high_price", _epoch_or_null(F.col("v.highTime").try_cast("bigint")).alias("high_time"),
+                 "low_price", _epoch_or_null(F.col("v.lowTime").try_cast("bigint")).alias("low_time"), "loaded_at",
+                 "payload_id", "reason", F.when(F.col("reason").isNotNull(), F.col("record")).alias("rejected"))
+    return x.filter(F.col("reason").isNotNull() | F.col("high_price").isNotNull() | F.col("low_price").isNotNull())
+
+
+def window_records(payloads: DataFrame, value: str = "value", loaded_at: str | Column | None = None,
+                   envelope: bool = False) -> DataFrame:
+    """S-2 with its rejects: raw prices_5m / prices_1h rows plus payload_id, reason and rejected."""
+    x = _with_reasons(_records(payloads, schemas.WINDOW_PAYLOAD, value, loaded_at, envelope, True),
+                      {"avg_high_price": "avgHighPrice", "high_price_volume": "highPriceVolume",
+                       "avg_low_price": "avgLowPrice", "low_price_volume": "lowPriceVolume"})
+    return x.select("item_id", "avg_high_price", "high_price_volume", "avg_low_price", "low_price_volume",
+                    F.col("ts").alias("timestamp"), "loaded_at", "payload_id", "reason",
+                    F.when(F.col("reason").isNotNull(), F.col("record")).alias("rejected"))

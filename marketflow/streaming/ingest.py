@@ -1,22 +1,22 @@
-"""T-1 … T-5: streaming ingest and stream-side operators.
+"""T-1 … T-4: streaming ingest and stream-side operators.
 
 * **T-1** ``start_refresh_stream``: a file stream of landed payload documents
   drives a refresh job through ``foreachBatch``.  Exactly-once comes from the
   checkpoint (offsets) plus idempotent writes: each micro-batch writes only its
-  own ``batch=<epoch id>`` directory, so a replayed batch replaces itself.
-* **T-2** ``dedupe_within_watermark``: streaming first-write-wins on
-  ``(item_id, timestamp)`` with bounded state.
+  own directory, named by its id and its documents, so a replayed batch
+  replaces itself and no other.
+* **T-2** ``start_refresh_stream`` with ``Refresh.load_window``: first write wins
+  on ``(item_id, timestamp)`` against the stored keys, complete however late a
+  row comes.  ``dedupe_within_watermark`` is the option for a sink without
+  stored keys: bounded state, but rows beyond the watermark are dropped.
 * **T-3** change detection runs in ``Refresh.load_latest`` inside
   ``foreachBatch`` against the per-item state table (no Python per row).
 * **T-4** ``hopping_volatility`` / ``hopping_liquidity``: the trailing windows
   as hopping event-time windows (batch or streaming input).
-* **T-5** ``late_rows``: rows a watermarked stream would drop but the
-  reference (no watermark, first write wins) keeps.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +66,7 @@ def dedupe_within_watermark(rows: DataFrame, keys=("item_id", "timestamp"),
                             time_col: str = "timestamp", delay: str = "60 minutes") -> DataFrame:
     """T-2: drop repeats of a key; state is kept only while the event time is
     within ``delay`` of the watermark (rows older than that are dropped as
-    late — see ``late_rows``)."""
+    late)."""
     rows = rows.withColumn(time_col, instant(time_col))
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
@@ -111,26 +111,3 @@ def hopping_liquidity(stg_1h: DataFrame, size: str = "24 hours", slide: str = "1
                       F.col("w.end").alias("window_end"),
                       round_div("_s", "hours_observed").alias("avg_volume_per_hour"),
                       "hours_observed")
-
-
-def late_rows(rows: DataFrame, arrival_col: str, time_col: str,
-              delay: dt.timedelta, arrival_unit: str = "day") -> DataFrame:
-    """T-5: rows that arrive after a watermark of ``delay`` has passed them.
-
-    Each distinct arrival time is one micro-batch; the watermark for a batch is
-    the largest event time of all *earlier* batches minus ``delay`` (Spark's
-    global watermark).  Computed on one row per batch (a small window over the
-    batch maxima) joined back on the arrival time — never a global sort of the
-    rows.  The reference has no watermark: these rows still land there.
-    """
-    from pyspark.sql import Window
-
-    # arrival buckets (one per micro-batch): bounded by time span / unit
-    keyed = rows.withColumn("_batch", F.date_trunc(arrival_unit, instant(arrival_col)))
-    batches = keyed.groupBy("_batch").agg(F.max(time_col).alias("_max"))
-    w = Window.orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
-    marks = batches.select("_batch", F.max("_max").over(w).alias("_seen"))
-    delay_us = int(delay.total_seconds() * 1_000_000)
-    j = keyed.join(marks, "_batch", "inner")
-    late = F.unix_micros(instant(time_col)) < F.unix_micros(instant("_seen")) - F.lit(delay_us)
-    return j.filter(late).select(*rows.columns, F.col("_seen").alias("max_event_time_before"))

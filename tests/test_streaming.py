@@ -1,4 +1,4 @@
-"""Streaming operators: stream = batch equivalence and the late-data difference."""
+"""Streaming operators and refresh jobs: stream = batch, replays, late and bad data."""
 
 import datetime as dt
 import os
@@ -51,8 +51,8 @@ def test_stream_change_detection_over_micro_batches(spark, scratch):
 
 
 def test_watermark_drops_late_rows_reference_keeps_them(spark, scratch):
-    """T-2 vs T-5: a row older than the watermark is dropped by the stream;
-    the reference (no watermark, first write wins) would store it."""
+    """T-2: the watermarked option drops a row older than the watermark; the load
+    against stored keys (first write wins) stores it."""
     landing = os.path.join(scratch, "5m")
 
     def doc(ts, price):
@@ -72,12 +72,11 @@ def test_watermark_drops_late_rows_reference_keeps_them(spark, scratch):
         q.awaitTermination()
     got = sorted((r.timestamp, r.avg_high_price) for r in spark.read.parquet(out).collect())
     assert got == [(T0 + dt.timedelta(hours=3), 1)]   # repeat deduped, 00:00 row late
-    # the batch report names the row the stream dropped
-    flat = spark.createDataFrame(
-        [(1, T0 + dt.timedelta(hours=3), T0), (1, T0, T0 + dt.timedelta(days=1))],
-        "item_id int, timestamp timestamp, arrived timestamp")
-    late = ingest.late_rows(flat, "arrived", "timestamp", dt.timedelta(minutes=60))
-    assert [r.timestamp for r in late.collect()] == [T0]
+    # the stream that loads against the stored keys keeps it
+    r = Refresh(spark, TableStore(spark, os.path.join(scratch, "store")), MartParams(as_of=T0))
+    ingest.start_refresh_stream(spark, landing, os.path.join(scratch, "ckpt2"),
+                                lambda df, b: r.load_window("5m", df, b), max_files_per_trigger=1).awaitTermination()
+    assert {x.timestamp for x in r.raw("prices_5m").collect()} == {T0, T0 + dt.timedelta(hours=3)}
 
 
 def test_hopping_windows_cover_each_row(spark):
@@ -166,13 +165,95 @@ def test_hopping_liquidity_on_a_stream_equals_batch(spark, scratch):
     assert {w for w in want if w[2] < last - dt.timedelta(hours=6)} <= got
 
 
-def test_version_retention(spark, scratch):
-    store = TableStore(spark, scratch, keep_versions=2)
+def test_versions_stay_until_expired(spark, scratch):
+    store = TableStore(spark, scratch)
     df = spark.range(3)
     for _ in range(5):
         store.write_version(df, "state/x")
-    assert store.versions("state/x") == [4, 5]
-    assert store.read("state/x").count() == 3
+    assert store.versions("state/x") == [1, 2, 3, 4, 5]
+    assert store.expire("state/x", dt.timedelta(hours=1)) == []
+    assert store.expire("state/x", dt.timedelta(0)) == [1, 2, 3, 4]
+    assert store.versions("state/x") == [5] and store.read("state/x").count() == 3
+
+
+def _window_doc(at, items):
+    epoch = int(at.replace(tzinfo=dt.timezone.utc).timestamp())
+    inner = ", ".join(f'"{i}": {{"avgHighPrice": {p}}}' for i, p in items)
+    return f'{{"poll_time": {epoch}, "payload": {{"timestamp": {epoch}, "data": {{{inner}}}}}}}'
+
+
+def _latest_doc(at, items):
+    return f'{{"poll_time": {int(at.replace(tzinfo=dt.timezone.utc).timestamp())}, "payload": {_doc(items)}}}'
+
+
+def _docs(spark, *values):
+    return spark.createDataFrame([(str(hash(v)), v) for v in values], "payload_id string, value string")
+
+
+def test_a_reused_batch_id_keeps_the_other_rows(spark, scratch):
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    one = r.load_window("5m", _docs(spark, _window_doc(T0, [(1, 10), (2, 20)])), 1)
+    two = r.load_window("5m", _docs(spark, _window_doc(T0 + dt.timedelta(minutes=5), [(3, 30)])), 1)
+    assert one == {"documents": 1, "attempted": 2, "rejected": 0, "inserted": 2} and two["inserted"] == 1
+    assert sorted(x.item_id for x in r.raw("prices_5m").collect()) == [1, 2, 3]
+    r.load_window("5m", _docs(spark, _window_doc(T0, [(1, 10), (2, 20)])), 1)
+    assert r.raw("prices_5m").count() == 3
+
+
+def test_replayed_change_detection_stores_the_same_rows(spark, scratch):
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    minute = dt.timedelta(minutes=1)
+    first = _docs(spark, _latest_doc(T0, [(1, 10, 5)]))
+    second = _docs(spark, _latest_doc(T0 + minute, [(1, 10, 5)]), _latest_doc(T0 + 2 * minute, [(1, 11, 5)]))
+    third = _docs(spark, _latest_doc(T0 + 3 * minute, [(1, 12, 5)]))
+    rows = lambda: sorted((x.high_price, x.loaded_at) for x in r.raw("prices_latest").collect())
+    r.load_latest(first, 0)
+    assert r.load_latest(second, 1) == {"documents": 2, "attempted": 2, "inserted": 1, "rejected": 0}
+    want = rows()
+    r.load_latest(second, 1)  # the stream's commit was lost
+    assert rows() == want == [(10, T0), (11, T0 + 2 * minute)]
+    r.load_latest(third, 2)
+    r.load_latest(second, 1)
+    assert rows() == [*want, (12, T0 + 3 * minute)]
+    assert [x.high_price for x in r.store.read("state/latest_price").collect()] == [12]
+
+
+def test_a_late_poll_is_compared_with_the_latest_row(spark, scratch):
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    hour = dt.timedelta(hours=1)
+    r.load_latest(_docs(spark, _latest_doc(T0 + hour, [(1, 10, 5)])), 0)
+    r.load_latest(_docs(spark, _latest_doc(T0, [(1, 10, 5)])), 1)           # older and equal: nothing new
+    r.load_latest(_docs(spark, _latest_doc(T0 + hour / 2, [(1, 9, 5)])), 2)  # older and different: stored
+    assert sorted((x.high_price, x.loaded_at) for x in r.raw("prices_latest").collect()) == [(9, T0 + hour / 2), (10, T0 + hour)]
+    assert [x.high_price for x in r.store.read("state/latest_price").collect()] == [10]
+
+
+def test_values_that_do_not_fit_are_dead_letters(spark, scratch):
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0))
+    bad = '{"poll_time": 0, "payload": {"data": {"1": {"high": 3000000000}, "2": {"high": 12.5, "low": 3}, "x": {"high": 1}, "4": {"high": 5, "low": null}}}}'
+    assert r.load_latest(_docs(spark, bad, "{oops"), 0) == {"documents": 2, "attempted": 1, "inserted": 1, "rejected": 4}
+    letters = r.store.read_appends("quarantine/latest").collect()
+    assert sorted(x.reason for x in letters) == ["document", "item", "value", "value"]
+    assert any("3000000000" in x.value for x in letters)
+    null_time = '{"poll_time": 0, "payload": {"timestamp": null, "data": {"1": {"avgHighPrice": 1}}}}'
+    no_time = '{"poll_time": 0, "payload": {"data": {"2": {"avgHighPrice": 1}}}}'
+    counts = r.load_window("5m", _docs(spark, null_time, no_time), 0)
+    assert counts["rejected"] == 1 and [(x.item_id, x.timestamp) for x in r.raw("prices_5m").collect()] == [(2, dt.datetime(1970, 1, 1))]
+    for name in ("a", "b"):  # two mapping loads of one day keep both dead letters
+        r.load_mapping(_docs(spark, '{"poll_time": 0, "payload": [{"id": 1, "name": "%s"}, {"id": 2}]}' % name))
+    assert r.store.read_appends("quarantine/mapping_records").count() == 2
+
+
+def test_views_show_the_newest_data_and_old_reads_stay(spark, scratch):
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=T0 + dt.timedelta(days=1)))
+    r.load_mapping(_docs(spark, '{"poll_time": 0, "payload": [{"id": 1, "name": "a", "limit": 5}]}'))
+    r.refresh_5m(_docs(spark, _window_doc(T0, [(1, 10)])), 0)
+    held = r.store.read("state/latest_5m")
+    for i in range(1, 5):
+        r.refresh_5m(_docs(spark, _window_doc(T0 + dt.timedelta(minutes=5 * i), [(1, 10 + i)])), i)
+    assert spark.table("fct_prices").count() == 5
+    assert [x.avg_high_price for x in held.collect()] == [10]
+    assert spark.table("agg_flip_opportunities").count() == 0
 
 
 def test_raw_documents_get_one_load_time(spark, scratch):

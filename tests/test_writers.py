@@ -176,3 +176,17 @@ def test_insert_ignore_matches_first_write_replay(spark):
                                 ["item_id", "timestamp"], position="pos")
     out = tdf.unionByName(new.drop("pos"))
     assert sorted(map(tuple, out.collect())) == sorted(table.values())
+
+
+def test_distinct_fill_events_have_distinct_identities(spark):
+    """NULL is not skipped, every sent column counts, and a producer's uid wins."""
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.REALIZED_FILLS.fields
+                     if f.name in schemas.FILL_EVENT_COLUMNS)
+    base = ("f", "buy", 1, "v", "filled", 2, 2, 10, None, None, None, _t(1), None, 1, 1, 0)
+    swap = (*base[:11], None, _t(1), *base[13:])
+    relist, priced = (*base[:15], 1), (*base[:7], 11, *base[8:])
+    empty = spark.createDataFrame([], schemas.REALIZED_FILLS)
+    batch = spark.createDataFrame([base, swap, relist, priced, base], cols)
+    assert writers.append_fills(empty, batch, recorded_at=_t(10)).count() == 4
+    sent = batch.withColumn("event_uid", F.lit("same"))
+    assert [r.event_uid for r in writers.append_fills(empty, sent, recorded_at=_t(10)).collect()] == ["same"]
