@@ -1,34 +1,40 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL is written in the reference's own style (``DISTINCT ON``, CTE chains,
-inner joins) so it checks the Spark formulation rather than restating it.  It
-runs on the driver tables registered as views.  Exact rounding follows the
-integer recipe documented in ``marketflow.functions.exact``.
+It computes the same results by other means than the Spark code and imports nothing from
+it: keyed stacks (``union all by name`` and one ``group by``) instead of joins, ``max_by``
+structs instead of ranked windows, centred sums of squares instead of raw ones, quotient and
+remainder for rounding.  It runs on the driver tables registered as views.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from marketflow.plans.models import FIXTURE_PARAMS
-
-P = FIXTURE_PARAMS
+# The fixture's parameters (see FIXTURES.md).
+AS_OF_TIME = dt.datetime(2001, 11, 5)
+VOLATILITY_DAYS, LIQUIDITY_DAYS = 730, 365
+HIGH_VALUE_GP, STALE_SPREAD_PCT, STALE_VOLUME = 50000, 10, 30
+STANDARD_LANE = {"min_5m_volume": 20, "max_price_age_minutes": 300000}
+HIGH_VALUE_LANE = {"min_volume_per_hour": 10, "max_est_hours": 2.0, "max_price_age_minutes": 300000}
+# size and slide of the hopping windows, in days
+HOP_VOLATILITY, HOP_LIQUIDITY = (360, 90), (30, 10)
 
 
 def ts(value: dt.datetime) -> str:
     return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
 
 
-AS_OF = ts(P.as_of)
-VOL_FROM = ts(P.as_of - P.volatility_lookback)
-LIQ_FROM = ts(P.as_of - P.liquidity_lookback)
+AS_OF = ts(AS_OF_TIME)
+VOL_FROM = ts(AS_OF_TIME - dt.timedelta(days=VOLATILITY_DAYS))
+LIQ_FROM = ts(AS_OF_TIME - dt.timedelta(days=LIQUIDITY_DAYS))
 
 
 def rdiv(num: str, den: str) -> str:
-    """round(num / den) HALF_UP away from zero, on BIGINT."""
+    """num / den rounded half away from zero: the quotient, one more if twice the remainder
+    reaches the divisor, and the sign."""
     n, d = f"cast({num} as bigint)", f"cast({den} as bigint)"
-    return (f"((case when ({n} < 0) <> ({d} < 0) then -1 else 1 end)"
-            f" * ((2 * abs({n}) + abs({d})) // (2 * abs({d}))))")
+    return (f"(cast(sign({n}) * sign({d}) as bigint) * (abs({n}) // abs({d})"
+            f" + cast(2 * (abs({n}) % abs({d})) >= abs({d}) as bigint)))")
 
 
 def dec(n: str, scale: int, precision: int) -> str:
@@ -111,15 +117,14 @@ def _spread_sql(h: str, l: str) -> str:
     return f"{h} - {l}"   # NULL when either side is NULL
 
 
-def _stddev_sql(n: str, s1: str, s2: str) -> str:
-    """round(100 * stddev_samp(s / 2)) exactly, from count, Σs and Σs² (HUGEINT)."""
-    v = f"(cast({n} as hugeint) * {s2} - cast({s1} as hugeint) * {s1})"
-    d = f"cast(4 * {n} * ({n} - 1) as hugeint)"
-    r = f"cast(floor(sqrt(cast({v} as double) / cast({d} as double)) * 100 + 0.5) as bigint)"
-    return (f"case when {n} < 2 then null "
-            f"when 40000 * {v} >= cast(2 * {r} + 1 as hugeint) * (2 * {r} + 1) * {d} then {r} + 1 "
-            f"when {r} > 0 and 40000 * {v} < cast(2 * {r} - 1 as hugeint) * (2 * {r} - 1) * {d} then {r} - 1 "
-            f"else {r} end")
+def _stddev_sql(n: str, v: str) -> str:
+    """round(100 * stddev_samp(s / 2)) from the count and v = sum((n s - sum(s))^2), HUGEINT:
+    the largest k near the floating root with (2k - 1)^2 n^2 (n - 1) <= 10000 v."""
+    d = f"(cast({n} as hugeint) * {n} * ({n} - 1))"
+    root = f"cast(floor((sqrt(10000 * cast({v} as double) / cast({d} as double)) + 1) / 2) as bigint)"
+    near = ", ".join(f"case when cast(2 * ({root} + {k}) - 1 as hugeint) * (2 * ({root} + {k}) - 1) * {d} <= 10000 * {v} "
+                     f"then {root} + {k} end" for k in (-1, 0, 1))
+    return f"case when {n} >= 2 then case when {v} = 0 then 0 else greatest({near}) end end"
 
 
 STAGING = {
@@ -132,17 +137,17 @@ select item_id, avg_high_price, high_price_volume, avg_low_price, low_price_volu
   "timestamp" as price_timestamp, loaded_at,
   {_spread_sql('avg_high_price', 'avg_low_price')} as spread_gp,
   {spread_pct_sql('avg_high_price', 'avg_low_price')} as spread_pct
-from raw_prices_5m where coalesce(avg_high_price, avg_low_price) is not null""",
+from raw_prices_5m where avg_high_price is not null or avg_low_price is not null""",
     "stg_prices_latest": f"""
 select item_id, high_price, high_time, low_price, low_time, loaded_at,
   {_spread_sql('high_price', 'low_price')} as spread_gp,
   {spread_pct_sql('high_price', 'low_price')} as spread_pct
-from raw_prices_latest where coalesce(high_price, low_price) is not null""",
+from raw_prices_latest where high_price is not null or low_price is not null""",
     "stg_prices_1h": """
 select item_id, avg_high_price, high_price_volume, avg_low_price, low_price_volume,
   "timestamp" as price_timestamp, loaded_at,
   coalesce(high_price_volume, 0) + coalesce(low_price_volume, 0) as total_volume
-from raw_prices_1h where greatest(coalesce(high_price_volume, 0), coalesce(low_price_volume, 0)) > 0""",
+from raw_prices_1h where list_max([high_price_volume, low_price_volume]) > 0""",
     "stg_realized_fills": f"""
 select * exclude (us),
   case when requested_qty > 0 then {dec(rdiv('filled_qty * 10000', 'requested_qty'), 4, 14)} end as fill_ratio,
@@ -153,74 +158,78 @@ select * exclude (us),
 from (select *, epoch_us(filled_at) - epoch_us(offer_placed_at) as us from raw_realized_fills)""",
 }
 
+def _dim(exempt: str, limits: str) -> str:
+    """Items, exemptions and limits stacked and grouped by item; a group without an item goes."""
+    text = ["item_name", "examine", "low_alch_value", "high_alch_value", "shop_value", "icon"]
+    return f"""
+select item_id, {', '.join(f'max({c}) as {c}' for c in text)}, bool_or(is_members) as is_members,
+  coalesce(max(fixed_limit), max(buy_limit)) as buy_limit,
+  count(*) filter (where kind = 'exempt') > 0 as is_tax_exempt, max(loaded_at) as last_refreshed_at
+from (select *, 'item' as kind from stg_item_mapping
+      union all by name select item_id, 'exempt' as kind from {exempt}
+      union all by name select item_id, buy_limit as fixed_limit, 'limit' as kind from {limits})
+group by item_id having count(*) filter (where kind = 'item') > 0"""
+
+
+def _flips(latest: str) -> str:
+    """Each source as one struct per item, stacked and grouped by item."""
+    return f"""
+select item_id, d.item_name, d.buy_limit, d.is_members, q.high_price, q.low_price, q.spread_gp, q.spread_pct,
+  v.high_price_volume, v.low_price_volume, q.loaded_at as price_updated_at, v.price_timestamp as volume_timestamp,
+  tax_gp, q.spread_gp - tax_gp as profit_per_item,
+  (q.spread_gp - tax_gp) * coalesce(d.buy_limit, 0) as max_profit_per_limit, d.is_tax_exempt,
+  l.volume_per_hour, l.avg_volume_per_hour_24h,
+  case when l.volume_per_hour <> 0 then {dec(rdiv('d.buy_limit * 100', 'l.volume_per_hour'), 2, 12)} end as est_hours_to_fill_limit,
+  o.mid_volatility_1h, o.mid_volatility_pct_1h, q.high_price >= {HIGH_VALUE_GP} as is_high_value,
+  {dec(rdiv(f'epoch_us({AS_OF}) - epoch_us(list_min([q.high_time, q.low_time]))', '6000000'), 1, 18)} as price_age_minutes,
+  q.spread_pct > {STALE_SPREAD_PCT} and coalesce(l.volume_per_hour, 0) < {STALE_VOLUME} as is_stale
+from (
+  select *, list_min([q.high_price // 50, 5000000]) * cast(q.high_price >= 50 and not d.is_tax_exempt as bigint) as tax_gp
+  from (
+    select item_id, any_value(q) as q, any_value(d) as d, any_value(v) as v, any_value(l) as l, any_value(o) as o
+    from (select item_id, max_by(x, loaded_at) as q from {latest} x where loaded_at <= {AS_OF} group by item_id
+          union all by name select item_id, x as d from dim_items x
+          union all by name select item_id, max_by(x, price_timestamp) as v from fct_prices x
+            where price_timestamp <= {AS_OF} group by item_id
+          union all by name select item_id, x as l from agg_item_liquidity x
+          union all by name select item_id, x as o from agg_item_volatility x)
+    group by item_id having any_value(q) is not null and any_value(d) is not null))
+where q.spread_gp > tax_gp and q.low_price > 100 and l.volume_per_hour > 0"""
+
+
 MARTS = {
-    "dim_items": """
-select m.item_id, m.item_name, m.examine, m.is_members, m.low_alch_value, m.high_alch_value,
-  coalesce(o.buy_limit, m.buy_limit) as buy_limit, m.shop_value, m.icon,
-  coalesce(x.flag, false) as is_tax_exempt, m.loaded_at as last_refreshed_at
-from stg_item_mapping m
-left join (select item_id, true as flag from seed_tax_exempt_items) x on x.item_id = m.item_id
-left join seed_buy_limit_overrides o on o.item_id = m.item_id""",
+    "dim_items": _dim("seed_tax_exempt_items", "seed_buy_limit_overrides"),
     "fct_prices": """
 select item_id, price_timestamp, avg_high_price, high_price_volume, avg_low_price, low_price_volume,
   spread_gp, spread_pct, loaded_at
 from stg_prices_5m where item_id in (select item_id from dim_items)""",
     "agg_item_liquidity": f"""
-select l.item_id, l.price_timestamp as latest_hour_ts, l.total_volume as volume_per_hour,
-  l.high_price_volume as high_volume_per_hour, l.low_price_volume as low_volume_per_hour,
-  w.avg_volume_per_hour_24h, w.hours_observed_24h
-from (select * from stg_prices_1h where price_timestamp <= {AS_OF}
-      qualify row_number() over (partition by item_id order by price_timestamp desc) = 1) l
-left join (select item_id, {rdiv('sum(total_volume)', 'count(*)')} as avg_volume_per_hour_24h,
-             count(*) as hours_observed_24h
-           from stg_prices_1h where price_timestamp between {LIQ_FROM} and {AS_OF}
-           group by item_id) w on w.item_id = l.item_id""",
+select item_id, newest.price_timestamp as latest_hour_ts, newest.total_volume as volume_per_hour,
+  newest.high_price_volume as high_volume_per_hour, newest.low_price_volume as low_volume_per_hour,
+  case when hours > 0 then {rdiv('volume', 'hours')} end as avg_volume_per_hour_24h, nullif(hours, 0) as hours_observed_24h
+from (
+  select item_id, max_by(x, price_timestamp) as newest,
+    sum(total_volume) filter (where price_timestamp >= {LIQ_FROM}) as volume,
+    count(*) filter (where price_timestamp >= {LIQ_FROM}) as hours
+  from stg_prices_1h x where price_timestamp <= {AS_OF} group by item_id)""",
     "agg_item_volatility": f"""
 select item_id, latest_snapshot_ts, n as snapshots_used_1h, {dec('m', 2, 14)} as mid_mean_1h,
   {dec('sd', 2, 14)} as mid_volatility_1h,
   case when m > 0 and sd is not null then {dec(rdiv('sd * 100000', 'm'), 3, 16)} end as mid_volatility_pct_1h
 from (
-  select item_id, latest_snapshot_ts, n, {rdiv('s1 * 50', 'n')} as m, {_stddev_sql('n', 's1', 's2')} as sd
+  select item_id, latest_snapshot_ts, n, {rdiv('total * 50', 'n')} as m, {_stddev_sql('n', 'v')} as sd
   from (
-    select item_id, max(price_timestamp) as latest_snapshot_ts, count(*) as n,
-      cast(sum(cast(avg_high_price as bigint) + avg_low_price) as bigint) as s1,
-      cast(sum(cast(cast(avg_high_price as bigint) + avg_low_price as hugeint)
-               * (cast(avg_high_price as bigint) + avg_low_price)) as hugeint) as s2
-    from fct_prices
-    where avg_high_price is not null and avg_low_price is not null
-      and price_timestamp between {VOL_FROM} and {AS_OF}
+    select item_id, max(seen) as latest_snapshot_ts, any_value(n) as n, any_value(total) as total,
+      cast(sum(cast(n * s - total as hugeint) * (n * s - total)) as hugeint) as v
+    from (
+      select item_id, price_timestamp as seen, cast(avg_high_price as bigint) + avg_low_price as s,
+        count(*) over item as n, cast(sum(cast(avg_high_price as bigint) + avg_low_price) over item as bigint) as total
+      from fct_prices
+      where avg_high_price is not null and avg_low_price is not null
+        and price_timestamp between {VOL_FROM} and {AS_OF}
+      window item as (partition by item_id))
     group by item_id))""",
-    "flip_opportunities": f"""
-select item_id, item_name, buy_limit, is_members, high_price, low_price, spread_gp, spread_pct,
-  high_price_volume, low_price_volume, price_updated_at, volume_timestamp, tax_gp,
-  spread_gp - tax_gp as profit_per_item, (spread_gp - tax_gp) * coalesce(buy_limit, 0) as max_profit_per_limit,
-  is_tax_exempt, volume_per_hour, avg_volume_per_hour_24h,
-  case when volume_per_hour <> 0 then {dec(rdiv('buy_limit * 100', 'volume_per_hour'), 2, 12)} end
-    as est_hours_to_fill_limit,
-  mid_volatility_1h, mid_volatility_pct_1h, is_high_value, price_age_minutes, is_stale
-from (
-  select q.item_id, d.item_name, d.buy_limit, d.is_members, q.high_price, q.low_price,
-    q.spread_gp, q.spread_pct,
-    v5.high_price_volume, v5.low_price_volume, q.loaded_at as price_updated_at,
-    v5.price_timestamp as volume_timestamp,
-    cast(case when d.is_tax_exempt or q.high_price < 50 then 0
-              else least(q.high_price // 50, 5000000) end as bigint) as tax_gp,
-    d.is_tax_exempt, liq.volume_per_hour, liq.avg_volume_per_hour_24h,
-    vol.mid_volatility_1h, vol.mid_volatility_pct_1h,
-    q.high_price >= {P.high_value_threshold_gp} as is_high_value,
-    {dec(rdiv(f'epoch_us({AS_OF}) - epoch_us(least(q.high_time, q.low_time))', '6000000'), 1, 18)}
-      as price_age_minutes,
-    q.spread_pct > {P.stale_spread_pct} and coalesce(liq.volume_per_hour, 0) < {P.stale_volume_floor} as is_stale
-  from (select * from stg_prices_latest where loaded_at <= {AS_OF}
-        qualify row_number() over (partition by item_id order by loaded_at desc) = 1) q
-  join dim_items d on d.item_id = q.item_id
-  left join (select item_id, high_price_volume, low_price_volume, price_timestamp from fct_prices
-             where price_timestamp <= {AS_OF}
-             qualify row_number() over (partition by item_id order by price_timestamp desc) = 1) v5
-    on v5.item_id = q.item_id
-  left join agg_item_liquidity liq on liq.item_id = q.item_id
-  left join agg_item_volatility vol on vol.item_id = q.item_id)
-where spread_gp - tax_gp > 0 and low_price > 100 and coalesce(volume_per_hour, 0) > 0""",
+    "flip_opportunities": _flips("stg_prices_latest"),
     "realized_fills": f"""
 select f.event_id, f.flip_id, f.leg, f.item_id, d.item_name, f.bot_version, f.event, f.requested_qty,
   f.filled_qty, f.fill_ratio, f.offer_price, f.avg_fill_price, f.slippage_gp, f.tax_paid, f.realized_profit,
@@ -263,10 +272,30 @@ for _name in [*STAGING, *MARTS]:
 
 # --- operators and consumers ---------------------------------------------------
 
-from marketflow.operators import quality as _qy  # noqa: E402
-from marketflow.plans import catalog as _cat  # noqa: E402
-
-_LP, _HP = _cat.LANE_PARAMS, _cat.HIGH_VALUE_LANE_PARAMS
+_LP, _HP = STANDARD_LANE, HIGH_VALUE_LANE
+# The checks of every model and source.
+NOT_NULL = {
+    "dim_items": ["item_id", "item_name", "is_tax_exempt"],
+    "fct_prices": ["item_id", "price_timestamp"],
+    "agg_flip_opportunities": ["item_id"],
+    "agg_item_liquidity": ["item_id"],
+    "agg_item_volatility": ["item_id"],
+    "realized_fills": ["event_id", "flip_id", "item_id"],
+    "raw.item_mapping": ["item_id", "name"],
+    "raw.prices_5m": ["item_id", "timestamp"],
+    "raw.prices_latest": ["item_id", "loaded_at"],
+    "raw.prices_1h": ["item_id", "timestamp"],
+    "raw.realized_fills": ["flip_id", "item_id", "leg", "event"],
+}
+UNIQUE = {"dim_items": "item_id", "agg_flip_opportunities": "item_id", "agg_item_liquidity": "item_id",
+          "agg_item_volatility": "item_id", "realized_fills": "event_id", "raw.item_mapping": "item_id"}
+ACCEPTED_VALUES = {
+    ("raw.realized_fills", "leg"): ("buy", "sell"),
+    ("raw.realized_fills", "event"): ("filled", "partial", "cancelled_deadline", "cancelled_pricemove", "cancelled_manual"),
+}
+UNIQUE_COMBINATION = {"fct_prices": ("item_id", "price_timestamp")}
+# minutes after which a source warns and fails
+FRESHNESS = {"raw.prices_5m": (15, 60), "raw.prices_latest": (5, 30), "raw.prices_1h": (90, 180)}
 # model names used by the checks -> CTE names here
 _CTE = {"agg_flip_opportunities": "flip_opportunities", "raw.item_mapping": "raw_item_mapping",
         "raw.prices_5m": "raw_prices_5m", "raw.prices_latest": "raw_prices_latest",
@@ -287,35 +316,33 @@ def _rate(part: str) -> str:
 
 _NOT_NULL = "\nunion all\n".join(
     f"select '{m}' as model, '{c}' as column_name, count(*) filter (where \"{c}\" is null) as failures from {_t(m)}"
-    for m, cols in _qy.NOT_NULL.items() for c in cols)
+    for m, cols in NOT_NULL.items() for c in cols)
 _UNIQUE = "\nunion all\n".join(
     f"select '{m}' as model, '{c}' as column_name, count(*) as failures from "
     f"(select {c} from {_t(m)} where {c} is not null group by {c} having count(*) > 1)"
-    for m, c in _qy.UNIQUE.items())
+    for m, c in UNIQUE.items())
 _ACCEPTED = "\nunion all\n".join(
     f"select '{m}' as model, '{c}' as column_name, count(*) as failing_values, "
     f"cast(coalesce(sum(n), 0) as bigint) as failing_rows from "
     f"(select {c}, count(*) n from {_t(m)} where {c} not in ({', '.join(repr(v) for v in vals)}) group by {c})"
-    for (m, c), vals in _qy.ACCEPTED_VALUES.items())
+    for (m, c), vals in ACCEPTED_VALUES.items())
 _UNIQUE_COMB = "\nunion all\n".join(
     f"select '{m}' as model, '{','.join(cols)}' as column_name, count(*) as failures from "
     f"(select {', '.join(cols)} from {_t(m)} group by {', '.join(cols)} having count(*) > 1)"
-    for m, cols in _qy.UNIQUE_COMBINATION.items())
+    for m, cols in UNIQUE_COMBINATION.items())
 
 
-def _fresh_sql(src: str, lim) -> str:
-    warn_us = int(lim.warn_after.total_seconds() * 1_000_000)
-    err_us = int(lim.error_after.total_seconds() * 1_000_000)
+def _fresh_sql(src: str, limits: tuple[int, int]) -> str:
+    warn, error = limits
     age = _age_us("max(loaded_at)")
     return (f"select '{src}' as source_name, max(loaded_at) as max_loaded_at, "
             f"{dec(rdiv(age, '6000000'), 1, 18)} as age_minutes, "
-            f"{int(lim.warn_after.total_seconds() // 60)} as warn_after_minutes, "
-            f"{int(lim.error_after.total_seconds() // 60)} as error_after_minutes, "
-            f"case when {age} is null or {age} > {err_us} then 'error' when {age} > {warn_us} then 'warn' "
+            f"{warn} as warn_after_minutes, {error} as error_after_minutes, "
+            f"case when {age} is null or {age} > {error * 60_000_000} then 'error' when {age} > {warn * 60_000_000} then 'warn' "
             f"else 'pass' end as status from {_t(src)}")
 
 
-_FRESH = "\nunion all\n".join(_fresh_sql(s, lim) for s, lim in _qy.FRESHNESS.items())
+_FRESH = "\nunion all\n".join(_fresh_sql(s, lim) for s, lim in FRESHNESS.items())
 _INVERSIONS = """select item_id, price_timestamp, avg_high_price, avg_low_price from fct_prices
 where avg_high_price is not null and avg_low_price is not null and avg_high_price < avg_low_price"""
 _ORPHANS = """select item_id, count(*) as orphan_rows, min(price_timestamp) as first_price_timestamp,
@@ -532,12 +559,8 @@ def _hop(size_days: int, slide_days: int) -> tuple[int, int, int]:
     return size_days * _DAY_US, slide_days * _DAY_US, size_days // slide_days
 
 
-def _days(text: str) -> int:
-    return int(text.split()[0])
-
-
-_VS, _VL, _VK = _hop(_days(_cat.HOPPING_VOLATILITY["size"]), _days(_cat.HOPPING_VOLATILITY["slide"]))
-_LS, _LL, _LK = _hop(_days(_cat.HOPPING_LIQUIDITY["size"]), _days(_cat.HOPPING_LIQUIDITY["slide"]))
+_VS, _VL, _VK = _hop(*HOP_VOLATILITY)
+_LS, _LL, _LK = _hop(*HOP_LIQUIDITY)
 
 # change-detected /latest history, as the ingest jobs store it
 _CHAIN.append(("detected_latest", """
@@ -548,8 +571,7 @@ select item_id, high_price, high_time, low_price, low_time, loaded_at from (
 where rn = 1 or not (high_price is not distinct from ph and low_price is not distinct from pl)"""))
 _CHAIN.append(("stg_detected_latest",
                STAGING["stg_prices_latest"].replace("from raw_prices_latest", "from detected_latest")))
-_CHAIN.append(("refreshed_flips",
-               MARTS["flip_opportunities"].replace("from stg_prices_latest", "from stg_detected_latest")))
+_CHAIN.append(("refreshed_flips", _flips("stg_detected_latest")))
 
 STREAMS = {
     "hopping_volatility": f"""
@@ -557,14 +579,16 @@ select item_id, make_timestamp(ws) as window_start, make_timestamp(ws + {_VS}) a
   n as snapshots, {dec('m', 2, 14)} as mid_mean, {dec('sd', 2, 14)} as mid_volatility,
   case when m > 0 and sd is not null then {dec(rdiv('sd * 100000', 'm'), 3, 16)} end as mid_volatility_pct
 from (
-  select item_id, ws, n, {rdiv('s1 * 50', 'n')} as m, {_stddev_sql('n', 's1', 's2')} as sd
+  select item_id, ws, n, {rdiv('total * 50', 'n')} as m, {_stddev_sql('n', 'v')} as sd
   from (
-    select item_id, ws, count(*) as n,
-      cast(sum(s) as bigint) as s1, cast(sum(cast(s as hugeint) * s) as hugeint) as s2
-    from (select item_id, s, t - (t % {_VL}) - unnest(range(0, {_VK})) * {_VL} as ws
-          from (select item_id, epoch_us(price_timestamp) as t,
-                  cast(avg_high_price as bigint) + avg_low_price as s
-                from fct_prices where avg_high_price is not null and avg_low_price is not null))
+    select item_id, ws, any_value(n) as n, any_value(total) as total,
+      cast(sum(cast(n * s - total as hugeint) * (n * s - total)) as hugeint) as v
+    from (select *, count(*) over hop as n, cast(sum(s) over hop as bigint) as total
+          from (select item_id, s, t - (t % {_VL}) - unnest(range(0, {_VK})) * {_VL} as ws
+                from (select item_id, epoch_us(price_timestamp) as t,
+                        cast(avg_high_price as bigint) + avg_low_price as s
+                      from fct_prices where avg_high_price is not null and avg_low_price is not null))
+          window hop as (partition by item_id, ws))
     group by item_id, ws))""",
     "hopping_liquidity": f"""
 with win as (
@@ -592,24 +616,15 @@ for _name, _sql in STREAMS.items():
 
 # --- seeds and plain stream ingest ------------------------------------------------
 
-from marketflow.sources import seeds as _seeds  # noqa: E402
-
-
-def _values(rows) -> str:
-    def lit(v):
-        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+# The seed rows.
+TAX_EXEMPT = (13190, 1755, 5325, 1785, 2347, 1733, 233, 5341, 8794, 5329, 5343, 1735, 952, 5331)
+BUY_LIMITS = {13190: 1}
 
+_CHAIN.append(("packaged_exempt", f"select unnest({list(TAX_EXEMPT)}) as item_id"))
+_CHAIN.append(("packaged_limits", f"select unnest({list(BUY_LIMITS)}) as item_id, unnest({list(BUY_LIMITS.values())}) as buy_limit"))
 
 EXTRA = {
-    "seed_tax_exempt": f"""
-with te as (select cast(item_id as int) as item_id from (values {_values(_seeds.TAX_EXEMPT_ITEMS)}) t(item_id, item_name, reason)),
-blo as (select cast(item_id as int) as item_id, cast(buy_limit as int) as override_buy_limit
-        from (values {_values(_seeds.BUY_LIMIT_OVERRIDES)}) t(item_id, buy_limit, item_name, reason))
-select stg.item_id, stg.item_name, stg.examine, stg.is_members, stg.low_alch_value, stg.high_alch_value,
-  coalesce(blo.override_buy_limit, stg.buy_limit) as buy_limit, stg.shop_value, stg.icon,
-  (te.item_id is not null) as is_tax_exempt, stg.loaded_at as last_refreshed_at
-from stg_item_mapping stg left join te using (item_id) left join blo using (item_id)""",
+    "seed_tax_exempt": "select * from (" + _dim("packaged_exempt", "packaged_limits") + ")",
     "stream_ingest": "select * from raw_prices_5m",
 }
 

@@ -411,10 +411,14 @@ def stream_change_detect(spark, sf_dir):
 
 @_src
 def seed_tax_exempt(spark, sf_dir):
-    """S-5: the item dimension built with the packaged seed lists (the
-    reference's own exemptions and limit overrides) over the fixture mapping."""
+    """S-5: the item dimension with the packaged seed lists, maintained as CSV files and read
+    with their declared schemas, over the fixture mapping."""
+    root = run_root(spark)
+    seeds.tax_exempt_items(spark).write.option("header", True).csv(f"{root}/seeds/tax_exempt")
+    seeds.buy_limit_overrides(spark).write.option("header", True).csv(f"{root}/seeds/buy_limits")
     mapping = staging.stg_item_mapping(fixtures.raw_item_mapping(spark, sf_dir))
-    return marts.dim_items(mapping, seeds.tax_exempt_items(spark), seeds.buy_limit_overrides(spark))
+    return marts.dim_items(mapping, seeds.tax_exempt_items(spark, f"{root}/seeds/tax_exempt"),
+                           seeds.buy_limit_overrides(spark, f"{root}/seeds/buy_limits"))
 
 
 @_src
