@@ -3,8 +3,9 @@
 A check returns a small DataFrame of results, never the rows of the table:
 ``not_null`` computes every column's NULL count in one ``agg`` pass per table,
 uniqueness checks are one ``groupBy`` each (partial aggregation first), and
-``report`` unions them into ``(check_name, model, column_name, severity,
-failures, status)`` rows.  Semantics follow the generic tests the reference
+``report`` takes all checks of a table from one scan and unions them into
+``(check_name, model, column_name, severity, failures, status)`` rows.  Nothing
+runs before the result does.  Semantics follow the generic tests the reference
 declares: NULLs pass ``unique`` and ``accepted_values``; a warn-severity test
 never fails the run.
 """
@@ -132,50 +133,37 @@ def orphans(stg_5m: DataFrame, dim: DataFrame) -> DataFrame:
 
 # --- batched suites over a model graph ----------------------------------------
 
-def _small(df: DataFrame) -> DataFrame:
-    """Per-item marts (one row per item) are read by several checks; over lazy
-    views they are materialized once into the shared checkpoint folder instead
-    of being recomputed per check.  Fact and event tables stay lazy."""
-    if not getattr(df, "isStreaming", False) and df.sparkSession is not None:
-        from marketflow.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
-
-
-_SMALL = {"dim_items": "dim_items", "agg_flip_opportunities": "flip_opportunities",
-          "agg_item_liquidity": "agg_item_liquidity", "agg_item_volatility": "agg_item_volatility"}
-
-
-class _Tables(dict):
-    """Model name -> DataFrame; the small marts are materialized on first use
-    (and shared through ``models._quality_small`` when present)."""
-
-    def __init__(self, models):
-        super().__init__()
-        self.models = models
-        self.small = getattr(models, "_quality_small", None)
-        if self.small is None:
-            self.small = {}
-
-    def __missing__(self, name):
-        m = self.models
-        if name in _SMALL:
-            if name not in self.small:
-                self.small[name] = _small(getattr(m, _SMALL[name]))
-            value = self.small[name]
-        elif name == "fct_prices":
-            value = m.fct_prices
-        elif name == "realized_fills":
-            value = m.realized_fills
-        else:   # raw.<table>
-            value = getattr(m.raw, name.split(".", 1)[1])
-        self[name] = value
-        return value
+_MODELS = {"dim_items": "dim_items", "agg_flip_opportunities": "flip_opportunities",
+           "agg_item_liquidity": "agg_item_liquidity", "agg_item_volatility": "agg_item_volatility",
+           "fct_prices": "fct_prices", "realized_fills": "realized_fills"}
 
 
 def _tables(models) -> dict[str, DataFrame]:
-    return _Tables(models)
+    """Check name -> (lazy) table of a model graph."""
+    names = {*NOT_NULL, *UNIQUE, *UNIQUE_COMBINATION, *FRESHNESS, *(m for m, _ in ACCEPTED_VALUES)}
+    return {n: getattr(models, _MODELS[n]) if n in _MODELS else getattr(models.raw, n.split(".", 1)[1]) for n in names}
+
+
+def table_failures(df: DataFrame, model: str, columns: Sequence[str], unique_column: str | None = None,
+                   combination: Sequence[str] | None = None, rows_where: dict | None = None) -> DataFrame:
+    """(check_name, model, column_name, failures): NULL counts of ``columns``, values of
+    ``unique_column`` or key combinations that occur more than once, and rows for which a
+    named condition holds, all from one scan and at most one shuffle of the table."""
+    keys = list(combination or ([unique_column] if unique_column else []))
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in columns}
+    counts |= {k: F.count_if(c) for k, c in (rows_where or {}).items()}
+    named = {f"_f{i}": k for i, k in enumerate(counts)}
+    if keys:
+        # per key first: the counts of its rows, then sums over the keys
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in zip(named, counts.values())])
+        more = (F.col("_n") > 1) & (F.lit(True) if combination else F.col(keys[0]).isNotNull())
+        totals = groups.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in named], F.count_if(more).alias("_dup"))
+        named["_dup"] = ("unique_combination_of_columns" if combination else "unique", ",".join(keys))
+    else:
+        totals = df.agg(*[c.alias(n) for n, c in zip(named, counts.values())])
+    return totals.select(F.inline(F.array(*[F.struct(
+        F.lit(check).alias("check_name"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+        F.col(n).alias("failures")) for n, (check, column) in named.items()])))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -214,19 +202,7 @@ def freshness_suite(models, as_of: dt.datetime | None = None) -> DataFrame:
 
 def report(models, as_of: dt.datetime | None = None) -> DataFrame:
     """Q-8: every check as ``(check_name, model, column_name, severity, failures, status)``."""
-    from types import SimpleNamespace
-
-    # one set of materialized small marts for all check groups of this report
-    shared: dict[str, DataFrame] = dict(getattr(models, "_quality_small", None) or {})
-    t = _Tables(SimpleNamespace(**{k: getattr(models, k) for k in (
-        "dim_items", "flip_opportunities", "agg_item_liquidity", "agg_item_volatility",
-        "fct_prices", "realized_fills", "raw")}, _quality_small=shared))
-    models = SimpleNamespace(**{k: getattr(models, k) for k in (
-        "fct_prices", "stg_prices_5m", "realized_fills", "raw")},
-        dim_items=t["dim_items"], flip_opportunities=t["agg_flip_opportunities"],
-        agg_item_liquidity=t["agg_item_liquidity"], agg_item_volatility=t["agg_item_volatility"],
-        freshness_sources=getattr(models, "freshness_sources", None),
-        quarantine=getattr(models, "quarantine", None), _quality_small=shared)
+    t = _tables(models)
 
     def rows(df, check, severity, failures="failures"):
         f = F.col(failures).cast("long")
@@ -235,15 +211,14 @@ def report(models, as_of: dt.datetime | None = None) -> DataFrame:
                          F.lit(severity).alias("severity"), f.alias("failures"),
                          status.alias("status"))
 
+    inverted = {("assert_price_high_gte_low", "avg_high_price,avg_low_price"): F.col("avg_high_price") < F.col("avg_low_price")}
+    checks = _union([table_failures(t[m], m, cols, UNIQUE.get(m), UNIQUE_COMBINATION.get(m),
+                                    inverted if m == "fct_prices" else None) for m, cols in NOT_NULL.items()])
+    severity = F.when(F.col("check_name") == "assert_price_high_gte_low", "warn").otherwise("error")
     parts = [
-        rows(not_null_suite(models), "not_null", "error"),
-        rows(unique_suite(models), "unique", "error"),
+        checks.select("check_name", "model", "column_name", severity.alias("severity"), F.col("failures").cast("long").alias("failures"),
+                      F.when(F.col("failures") == 0, "pass").when(severity == "error", "fail").otherwise("warn").alias("status")),
         rows(accepted_values_suite(models), "accepted_values", "error", "failing_values"),
-        rows(unique_combination_suite(models), "unique_combination_of_columns", "error"),
-        rows(price_inversions(models.fct_prices).agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit("fct_prices").alias("model"),
-                     F.lit("avg_high_price,avg_low_price").alias("column_name"), "failures"),
-             "assert_price_high_gte_low", "warn"),
         rows(orphans(models.stg_prices_5m, models.dim_items)
              .agg(F.count(F.lit(1)).alias("failures"))
              .select(F.lit("fct_prices").alias("model"), F.lit("item_id").alias("column_name"),

@@ -243,20 +243,22 @@ from stg_realized_fills f left join dim_items d on d.item_id = f.item_id""",
 _CHAIN = [*RAW.items(), *STAGING.items(), *MARTS.items()]
 
 
-def with_models(body: str) -> str:
+def with_models(body: str, chain: list | None = None) -> str:
     """Prefix ``body`` with every model it (transitively) names, in order."""
     import re
 
+    chain = _CHAIN if chain is None else chain
+
     needed: set[str] = set()
 
     def visit(text: str):
-        for name, sql in _CHAIN:
+        for name, sql in chain:
             if name not in needed and re.search(rf"\b{name}\b", text):
                 needed.add(name)
                 visit(sql)
 
     visit(body)
-    ctes = [f"{name} as ({sql}\n)" for name, sql in _CHAIN if name in needed]
+    ctes = [f"{name} as ({sql}\n)" for name, sql in chain if name in needed]
     if not ctes:
         return body
     head = body.lstrip()
@@ -630,3 +632,28 @@ EXTRA = {
 
 for _name, _sql in EXTRA.items():
     QUERIES[_name] = with_models(_sql)
+
+
+# --- checks over raw tables with planted defects ----------------------------------
+
+_DIRTY = {
+    "raw_item_mapping": "select * replace (case when item_id % 60 <> 0 then name end as name) from sound_item_mapping",
+    "raw_prices_5m": """
+select * replace (TIMESTAMP '2001-11-04 23:50:00' as loaded_at)
+from (select * from sound_prices_5m union all select * from sound_prices_5m where item_id % 40 = 0)""",
+    "raw_prices_latest": """
+select * replace (case when loaded_at >= TIMESTAMP '2001-07-01 00:00:00' then TIMESTAMP '2001-11-04 23:50:00' else loaded_at end as loaded_at)
+from sound_prices_latest""",
+    "raw_realized_fills": """
+with f as (select * replace (case when event_id % 30 = 0 then 'hold' else leg end as leg,
+                             case when event_id % 45 = 0 then 'lost' else event end as event,
+                             case when event_id % 35 <> 0 then flip_id end as flip_id) from sound_realized_fills)
+select * from f union all select * from f where event_id % 50 = 0""",
+}
+_DIRTY_CHAIN = []
+for _name, _sql in _CHAIN:
+    if _name in _DIRTY:
+        _DIRTY_CHAIN += [(_name.replace("raw_", "sound_"), _sql), (_name, _DIRTY[_name])]
+    else:
+        _DIRTY_CHAIN.append((_name, _sql))
+QUERIES["dq_report_dirty"] = with_models(_REPORT, _DIRTY_CHAIN)

@@ -20,7 +20,7 @@ from marketflow.operators import quality, writers
 from marketflow.operators.store import TableStore
 from marketflow.plans import consumers, marts, staging
 from marketflow.plans.jobs import Refresh, read_landed
-from marketflow.plans.models import FIXTURE_PARAMS, Models, fixture_models
+from marketflow.plans.models import FIXTURE_PARAMS, Models, RawTables, fixture_models
 from marketflow.session import checkpoint_dir, configure
 from marketflow.sources import fixtures, payloads, seeds
 from marketflow.streaming import ingest
@@ -421,6 +421,15 @@ def seed_tax_exempt(spark, sf_dir):
                            seeds.buy_limit_overrides(spark, f"{root}/seeds/buy_limits"))
 
 
+@_src
+def dq_report_dirty(spark, sf_dir):
+    """Q-1 … Q-8 over raw tables with planted defects: every kind of check counts some."""
+    raw = fixtures.dirty_raw_tables(spark, sf_dir)
+    m = Models(RawTables(**raw, tax_exempt_items=fixtures.seed_tax_exempt_items(spark, sf_dir),
+                         buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir)), FIXTURE_PARAMS)
+    return quality.report(m, m.params.as_of)
+
+
 @_src
 def stream_ingest(spark, sf_dir):
     """T-1: landed /5m documents streamed into the raw table (``foreachBatch``

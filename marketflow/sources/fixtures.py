@@ -298,3 +298,25 @@ def fills_completion_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*cols))
     resent = fills.filter(F.col("event") == "filled").select(*cols)
     return done.unionByName(done).unionByName(resent)
+
+
+# --- raw tables with planted defects, for the checks -----------------------------------
+
+def dirty_raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables with defects that every kind of check must count: items without a name,
+    5-minute rows stored twice, fills stored twice, of an unknown leg or event or without a
+    flip, and feeds of different ages (fresh, late, overdue)."""
+    raw = {n: f(spark, sf_dir) for n, f in RAW_TABLES.items()}
+    item, five, fills = raw["item_mapping"], raw["prices_5m"], raw["realized_fills"]
+    raw["item_mapping"] = item.withColumn("name", F.when(F.col("item_id") % 60 != 0, F.col("name")))
+    raw["prices_5m"] = five.unionByName(five.filter("item_id % 40 = 0")).withColumn("loaded_at", F.lit(DIRTY_LOADED_AT["prices_5m"]).cast(NTZ))
+    raw["prices_latest"] = raw["prices_latest"].withColumn("loaded_at", F.when(
+        F.col("loaded_at") >= F.lit("2001-07-01 00:00:00").cast(NTZ), F.lit(DIRTY_LOADED_AT["prices_latest"]).cast(NTZ)).otherwise(F.col("loaded_at")))
+    fills = fills.withColumn("leg", F.when(F.col("event_id") % 30 == 0, "hold").otherwise(F.col("leg"))) \
+        .withColumn("event", F.when(F.col("event_id") % 45 == 0, "lost").otherwise(F.col("event"))) \
+        .withColumn("flip_id", F.when(F.col("event_id") % 35 != 0, F.col("flip_id")))
+    raw["realized_fills"] = fills.unionByName(fills.filter("event_id % 50 = 0"))
+    return raw
+
+
+DIRTY_LOADED_AT = {"prices_5m": "2001-11-04 23:50:00", "prices_latest": "2001-11-04 23:50:00"}
