@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marketflow.functions.exact import round_div, to_decimal
 from marketflow.functions.time import micros_between
+from marketflow.operators.latest import latest_per_key
 
 
 # --- sorts / limits ---------------------------------------------------------
@@ -159,14 +160,13 @@ _LEG_FIELDS = ["event_id", "item_id", "event", "filled_qty", "avg_fill_price",
 
 def flip_round_trips(fills: DataFrame) -> DataFrame:
     """C-8: both legs of a flip on one row.  Per leg the latest event (highest
-    ``event_id``) is kept.  ``hold_seconds`` runs from the buy offer to the sell
-    fill; complete means both legs ended ``filled``.  One ``groupBy(flip_id)``
-    with partial aggregation (no collect of a group's rows)."""
-    def leg(name):
-        return F.max(F.when(F.col("leg") == name, F.struct(*_LEG_FIELDS))).alias(name)
-
-    agg = fills.groupBy("flip_id").agg(leg("buy"), leg("sell"))
-    b, s = F.col("buy"), F.col("sell")
+    ``event_id``) is kept, limited before the shuffle, and the two legs are then put side by
+    side with primitive aggregates.  ``hold_seconds`` runs from the buy offer to the sell
+    fill; complete means both legs ended ``filled``."""
+    last = latest_per_key(fills, ["flip_id", "leg"], "event_id", _LEG_FIELDS)
+    agg = last.groupBy("flip_id").agg(*[F.max(F.when(F.col("leg") == leg, F.col(c))).alias(f"{leg}_{c}")
+                                        for leg in ("buy", "sell") for c in _LEG_FIELDS])
+    b, s = ({c: F.col(f"{leg}_{c}") for c in _LEG_FIELDS} for leg in ("buy", "sell"))
     hold = micros_between(s["filled_at"], b["offer_placed_at"])
     return agg.select(
         "flip_id",

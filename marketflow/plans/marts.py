@@ -176,20 +176,44 @@ def recent_volume(fct: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
             .withColumnRenamed("price_timestamp", "volume_timestamp"))
 
 
-def flip_opportunities(stg_latest: DataFrame, fct: DataFrame, dim: DataFrame,
-                       liquidity: DataFrame, volatility: DataFrame,
-                       params: MartParams = MartParams()) -> DataFrame:
-    """F-1: after-tax flip opportunities (24 columns, unordered; order at the consumer)."""
+def five_minute_summary(stg_5m: DataFrame, params: MartParams = MartParams()) -> DataFrame:
+    """Newest volumes (A-1) and trailing volatility (D-4) per item from one scan and one
+    aggregation of the 5-minute feed: the two 5-minute sides of the flip mart."""
+    h, l, at = F.col("avg_high_price"), F.col("avg_low_price"), F.col("price_timestamp")
+    s = h.cast("long") + l.cast("long")
+    used = s.isNotNull() & lower_bound(stg_5m, "price_timestamp", params.as_of, params.volatility_lookback)
+    square = s.cast("decimal(19,0)") * s.cast("decimal(19,0)")
+    agg = stg_5m.filter(upper_bound(stg_5m, "price_timestamp", params.as_of)).groupBy("item_id").agg(
+        F.max(at).alias("volume_timestamp"),
+        F.max_by("high_price_volume", at).alias("high_price_volume"),
+        F.max_by("low_price_volume", at).alias("low_price_volume"),
+        F.count_if(used).alias("n"), F.sum(F.when(used, s)).alias("S"), F.sum(F.when(used, square)).alias("Q"))
+    n, S, Q = F.col("n"), F.col("S"), F.col("Q")
+    v = agg.select("*", F.when(n > 0, round_div(S * 50, n)).alias("_m"), _stddev_hundredths(n, S, Q).alias("_v"))
+    return v.select(
+        "item_id", "high_price_volume", "low_price_volume", "volume_timestamp",
+        to_decimal("_v", 2, 14).alias("mid_volatility_1h"),
+        F.when((F.col("_m") > 0) & F.col("_v").isNotNull(),
+               to_decimal(round_div(F.col("_v") * 100_000, F.col("_m")), 3, 16)).alias("mid_volatility_pct_1h"))
+
+
+def flip_opportunities(stg_latest: DataFrame, fct: DataFrame | None, dim: DataFrame,
+                       liquidity: DataFrame, volatility: DataFrame | None,
+                       params: MartParams = MartParams(), summary: DataFrame | None = None) -> DataFrame:
+    """F-1: after-tax flip opportunities (24 columns, unordered; order at the consumer).
+
+    The 5-minute sides are either ``fct`` and ``volatility`` (the jobs' small stored tables)
+    or a ``five_minute_summary`` of the whole feed."""
     now = as_of_column(params.as_of)
     cp = current_prices(stg_latest, params.as_of)
-    rv = recent_volume(fct, params.as_of)
     items = dim.select("item_id", "item_name", "buy_limit", "is_members", "is_tax_exempt")
     liq = liquidity.select("item_id", "volume_per_hour", "avg_volume_per_hour_24h")
-    vol = volatility.select("item_id", "mid_volatility_1h", "mid_volatility_pct_1h")
-    j = (cp.join(items, "item_id", "inner")
-         .join(rv, "item_id", "left")
-         .join(liq, "item_id", "left")
-         .join(vol, "item_id", "left"))
+    j = cp.join(items, "item_id", "inner").join(liq, "item_id", "left")
+    if summary is not None:
+        j = j.join(summary, "item_id", "left")
+    else:
+        vol = volatility.select("item_id", "mid_volatility_1h", "mid_volatility_pct_1h")
+        j = j.join(recent_volume(fct, params.as_of), "item_id", "left").join(vol, "item_id", "left")
     tax = tax_gp("high_price", "is_tax_exempt")
     priced = j.select(
         "*",

@@ -116,9 +116,9 @@ class Models:
 
     @functools.cached_property
     def flip_opportunities(self) -> DataFrame:
-        return marts.flip_opportunities(self.stg_prices_latest, self.fct_prices, self.dim_items,
-                                        self.agg_item_liquidity, self.agg_item_volatility,
-                                        self.params)
+        return marts.flip_opportunities(self.stg_prices_latest, None, self.dim_items,
+                                        self.agg_item_liquidity, None, self.params,
+                                        summary=marts.five_minute_summary(self.stg_prices_5m, self.params))
 
     @functools.cached_property
     def realized_fills(self) -> DataFrame:
