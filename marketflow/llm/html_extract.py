@@ -7,8 +7,8 @@ smoothed ratios are clustered in two around a threshold; lines above it are cont
 
 Content lines decide which *region* of the page is the article: the main or article elements
 that hold a content line, or, on a page without such, the innermost element that holds most of
-the content text.  Every line of the region is kept, short ones too, but for those inside
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements
+the content text (there, lines of links below the threshold are menus).  Every other line of
+the region is kept, short ones too, but for those inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements
 and reader comments, which their elements' names, classes, ids and roles tell.
 
 Defined results: null or empty html, and a page without text, gives the empty text; broken
@@ -65,17 +65,18 @@ def name_words(value: str) -> set[str]:
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, element, kept) lines; elements are numbered, ``parent`` and
-    ``region`` tell each one's parent and the main or article element around it."""
+    """Collects (text, tags, element, kept, linked) lines, ``linked`` if links make up most of
+    the text; elements are numbered, ``parent`` and ``region`` tell each one's parent and the
+    main or article element around it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int, bool]] = []  # name, element, dropped
         self.parent, self.region = [-1], [-1]
         self.kind = ["main?"]
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.links = 0
 
     def element(self) -> int:
         return self.stack[-1][1] if self.stack else 0
@@ -88,11 +89,13 @@ class Lines(HTMLParser):
             return
         text = " ".join("".join(self.text).split())
         if text or self.tags:
-            self.lines.append((text, self.tags, self.element(), not (self.stack and self.stack[-1][2])))
-        self.text, self.tags = [], 0
+            self.lines.append((text, self.tags, self.element(), not (self.stack and self.stack[-1][2]), 5 * self.links >= 4 * len(text)))
+        self.text, self.tags, self.links = [], 0, 0
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if any(name == "a" for name, _, _ in self.stack[-3:]):
+            self.links += len(data.strip())
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -219,27 +222,30 @@ def extract(html: str | None) -> str:
         return ""
     # menus and the like stay in the sequence of ratios as what they are, tags with little text
     every = parser.lines
-    content = content_lines(np.array([len(t) / max(1, tags) if kept else 0.0 for t, tags, _, kept in every]))
+    content = content_lines(np.array([len(t) / max(1, tags) if kept else 0.0 for t, tags, _, kept, _ in every]))
     marked = [x for x, c in zip(every, content) if c and x[3] and x[0]] or lines
-    regions = {parser.region[e] for _, _, e, _ in marked} - {-1}
+    regions = {parser.region[x[2]] for x in marked} - {-1}
     if regions:
         mains = {r for r in regions if parser.kind[r] != "article"}
         wanted = mains or regions
-        return " ".join(t for t, _, e, _ in lines if parser.region[e] in wanted)
-    return " ".join(t for t, _, e, _ in lines if _inside(parser, e, _innermost(parser, marked)))
+        return " ".join(x[0] for x in lines if parser.region[x[2]] in wanted)
+    # no element tells the article from a menu here: lines of links below the threshold go too
+    chosen = {id(x) for x in marked}
+    region = _innermost(parser, marked)
+    return " ".join(x[0] for x in lines if _inside(parser, x[2], region) and (id(x) in chosen or not x[4]))
 
 
 def _innermost(parser: Lines, marked: list) -> int:
     """The deepest element that holds more than half of the marked text."""
     held: dict[int, int] = {}
-    for text, _, e, _ in marked:
+    for text, _, e, _, _ in marked:
         while e >= 0:
             held[e] = held.get(e, 0) + len(text)
             e = parser.parent[e]
     total = held[0]
     # children are numbered after their parents, so the last such element is the deepest;
     # a single line is no region
-    lines = {e for _, _, e, _ in marked}
+    lines = {x[2] for x in marked}
     deep = [e for e, n in held.items() if 2 * n > total and not (e in lines and parser.kind[e] in LEAVES)]
     return max(deep, default=0)
 

@@ -169,6 +169,14 @@ def test_article_without_its_surroundings(frame):
     assert html_extract.extract(PAGE % (frame % BODY)) == WANT
 
 
+def test_links_without_a_frame_are_a_menu():
+    body = "<h1>Title of it</h1><p>A paragraph of many words that goes on and on for a while.</p><p>Short.</p>"
+    menu = '<div><a href="/">Home</a> <a href="/b">News</a></div><ul><li><a href=c>More</a><li><a href=d>Less</a></ul>'
+    page = f"<html><body>{menu}{body}<p>Another paragraph, see <a href=e>this</a>, of many words and so on.</p>{menu}</body></html>"
+    assert html_extract.extract(page) == "Title of it A paragraph of many words that goes on and on for a while. Short. " \
+        "Another paragraph, see this, of many words and so on."
+
+
 def test_every_page_of_the_table(spark):
     import html
 
