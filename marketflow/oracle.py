@@ -52,34 +52,34 @@ select cast(p_partkey as int) item_id, p_name as name, p_brand examine, (p_size
   cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
   case when p_size % 10 = 0 then null else cast(p_size as int) end buy_limit,
   cast(floor(p_retailprice) as int) value, p_type icon, TIMESTAMP '2001-11-01 00:00:00' loaded_at
-from part where p_partkey % 7 <> 0""",
+from part""",
     "seed_tax_exempt_items": """
 select cast(p_partkey as int) item_id, p_name item_name, 'tool' reason from part where p_partkey % 97 = 0""",
     "seed_buy_limit_overrides": """
 select cast(p_partkey as int) item_id, 1 buy_limit, p_name item_name, 'x' reason from part where p_partkey % 89 = 0""",
     "raw_prices_5m": """
-select cast(l_partkey as int) item_id,
+select cast(l_partkey + case when l_partkey % 7 = 0 then 1000000000 else 0 end as int) item_id,
   cast(floor(sum(cast(floor(l_extendedprice) as int)) filter (where l_returnflag='A') / count(*) filter (where l_returnflag='A')) as int) avg_high_price,
   cast(sum(cast(l_quantity as int)) filter (where l_returnflag='A') as int) high_price_volume,
   cast(floor(sum(cast(floor(l_extendedprice) as int)) filter (where l_returnflag='R') / count(*) filter (where l_returnflag='R')) as int) avg_low_price,
   cast(sum(cast(l_quantity as int)) filter (where l_returnflag='R') as int) low_price_volume,
   cast(date_trunc('quarter', l_shipdate) as timestamp) as "timestamp",
   cast(date_trunc('quarter', l_shipdate) as timestamp) loaded_at
-from lineitem group by cast(l_partkey as int), cast(date_trunc('quarter', l_shipdate) as timestamp)""",
+from lineitem group by l_partkey, cast(date_trunc('quarter', l_shipdate) as timestamp)""",
     "raw_prices_1h": """
-select cast(l_partkey as int) item_id,
+select cast(l_partkey + case when l_partkey % 7 = 0 then 1000000000 else 0 end as int) item_id,
   cast(max(floor(l_extendedprice)) as int) avg_high_price,
   cast(sum(case when l_returnflag='A' then cast(l_quantity as int) else 0 end) as int) high_price_volume,
   cast(min(floor(l_extendedprice)) as int) avg_low_price,
   cast(sum(case when l_returnflag='R' then cast(l_quantity as int) else 0 end) as int) low_price_volume,
   l_shipdate as "timestamp", l_shipdate loaded_at
-from lineitem group by cast(l_partkey as int), l_shipdate""",
+from lineitem group by l_partkey, l_shipdate""",
     "raw_prices_latest": """
-select cast(l_partkey as int) item_id,
+select cast(l_partkey + case when l_partkey % 7 = 0 then 1000000000 else 0 end as int) item_id,
   cast(max(floor(l_extendedprice)) as int) high_price, max(l_shipdate) filter (where l_returnflag='A') high_time,
   cast(min(floor(l_extendedprice)) as int) low_price, max(l_shipdate) filter (where l_returnflag='R') low_time,
   cast(date_trunc('quarter', l_shipdate) as timestamp) loaded_at
-from lineitem group by cast(l_partkey as int), cast(date_trunc('quarter', l_shipdate) as timestamp)""",
+from lineitem group by l_partkey, cast(date_trunc('quarter', l_shipdate) as timestamp)""",
     "poll_latest": """
 select cast(user_id as int) item_id,
   case when event_type <> 'error' then cast(floor(value/40)*40+200 as int) end high_price,
@@ -485,15 +485,15 @@ def _uid_part(col: str) -> str:
 
 
 _UID = "sha256(concat_ws('|', " + ", ".join(_uid_part(c.strip()) for c in _FILL_COLS.split(",")) + "))"
-_MAP_A = """select cast(p_partkey as int) item_id, 'stale ' || p_name as name, p_brand examine,
+_MAP_A = """select cast(p_partkey + 100 as int) item_id, 'stale ' || p_name as name, p_brand examine,
   (p_size % 2 = 0) members, cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
   cast(p_size as int) buy_limit, cast(floor(p_retailprice) as int) value, p_type icon,
-  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'a' as pg from part where p_partkey % 5 = 0"""
-_MAP_B = """select cast(p_partkey as int) item_id, upper(p_name) as name,
-  case when p_size % 3 <> 0 then p_brand end examine,
+  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'a' as pg from part"""
+_MAP_B = """select cast(p_partkey + 200 as int) item_id, upper(p_name) as name,
+  case when p_size % 3 = 0 then p_brand end examine,
   (p_size % 2 = 0) members, cast(p_size as int) lowalch, cast(floor(p_retailprice) as int) highalch,
   cast(p_size as int) buy_limit, cast(floor(p_retailprice) as int) value, p_type icon,
-  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'b' as pg from part where p_partkey % 10 = 0"""
+  TIMESTAMP '2001-11-02 00:00:00' loaded_at, 'b' as pg from part"""
 
 WRITES = {
     "ingest_latest_payload": """
@@ -534,7 +534,7 @@ with done as (
   from raw_realized_fills where event = 'partial'),
 batch as (
   select * from done union all select * from done
-  union all select {_FILL_COLS} from raw_realized_fills where event = 'filled'),
+  union all select {_FILL_COLS} from raw_realized_fills),
 uid as (select *, {_UID} as event_uid from batch),
 stored as (select {_UID} as event_uid from raw_realized_fills),
 new as (

@@ -8,9 +8,9 @@ DataFrame expressions (one Spark job each, growing with the input):
 * ``events``    -> a stream of ``/latest`` polls (change-detection input)
 * ``orders``    -> the bot's fill-event log
 
-The modulo predicates below are part of the *data definition* (which parts are
-unmapped orphans, which are tax exempt, which fills are buys); they never subset
-the rows a query works on.  Timestamps stay ``timestamp_ntz`` as in the driver
+The modulo predicates below are part of the *data definition* (which prices come
+under an unknown item, which parts are tax exempt, which fills are buys); they never
+subset the rows a query works on.  Timestamps stay ``timestamp_ntz`` as in the driver
 Parquet, read as UTC wall time.
 """
 
@@ -24,7 +24,8 @@ NTZ = T.TimestampNTZType()
 
 # Fixed values of the fixture definition.
 MAPPING_LOADED_AT = "2001-11-01 00:00:00"
-UNMAPPED_PART_MODULUS = 7        # parts with key % 7 == 0 have no mapping row
+ORPHAN_PART_MODULUS = 7          # prices of parts with key % 7 == 0 come under an unknown item id
+ORPHAN_OFFSET = 1_000_000_000    # ... which is the key plus this
 TAX_EXEMPT_PART_MODULUS = 97     # parts with key % 97 == 0 are tax exempt
 LIMIT_OVERRIDE_PART_MODULUS = 89  # parts with key % 89 == 0 get buy limit 1
 
@@ -46,8 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_item_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     retail = F.floor("p_retailprice").cast("int")
-    return (p.filter(F.col("p_partkey") % UNMAPPED_PART_MODULUS != 0)
-            .select(F.col("p_partkey").cast("int").alias("item_id"),
+    return (p.select(F.col("p_partkey").cast("int").alias("item_id"),
                     F.col("p_name").alias("name"),
                     F.col("p_brand").alias("examine"),
                     (F.col("p_size") % 2 == 0).alias("members"),
@@ -75,8 +75,9 @@ def seed_buy_limit_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lineitem(spark, sf_dir):
+    part = F.col("l_partkey")
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").cast("int").alias("item_id"),
+        F.when(part % ORPHAN_PART_MODULUS == 0, part + ORPHAN_OFFSET).otherwise(part).cast("int").alias("item_id"),
         F.floor("l_extendedprice").alias("px"),
         F.col("l_quantity").cast("int").alias("qty"),
         F.col("l_returnflag").alias("flag"),
@@ -246,13 +247,17 @@ def mapping_payloads(raw_mapping: DataFrame, name: str = "mapping") -> DataFrame
 UPSERT_LOADED_AT = "2001-11-02 00:00:00"
 
 
+UPSERT_SHIFT = 100
+
+
 def mapping_update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mapping refresh for W-1, as two landed pages: page ``a`` renames every
-    5th part (some new: key % 7 == 0), page ``b`` — later in the batch —
-    renames every 10th part again and clears ``examine`` of sizes divisible by 3."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 5 == 0)
+    """A mapping refresh for W-1 over all parts, as two landed pages.  Page ``a`` holds every
+    part under an item id ``UPSERT_SHIFT`` higher, so the first items are absent from the batch
+    and the last are new; page ``b``, later in the batch, holds every part under an id twice as
+    much higher, in capitals, and clears ``examine`` of sizes not divisible by 3."""
+    p = table(spark, sf_dir, "part")
     retail = F.floor("p_retailprice").cast("int")
-    base = p.select(F.col("p_partkey").cast("int").alias("item_id"),
+    base = p.select((F.col("p_partkey") + UPSERT_SHIFT).cast("int").alias("item_id"),
                     F.concat(F.lit("stale "), F.col("p_name")).alias("name"),
                     F.col("p_brand").alias("examine"), (F.col("p_size") % 2 == 0).alias("members"),
                     F.col("p_size").cast("int").alias("lowalch"), retail.alias("highalch"),
@@ -260,9 +265,9 @@ def mapping_update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_type").alias("icon"),
                     F.lit(UPSERT_LOADED_AT).cast(NTZ).alias("loaded_at"),
                     F.col("p_size").alias("_size"))
-    later = (base.filter(F.col("item_id") % 10 == 0)
+    later = (base.withColumn("item_id", F.col("item_id") + UPSERT_SHIFT)
              .withColumn("name", F.upper(F.substring("name", 7, 1000)))
-             .withColumn("examine", F.when(F.col("_size") % 3 != 0, F.col("examine"))))
+             .withColumn("examine", F.when(F.col("_size") % 3 == 0, F.col("examine"))))
     a = mapping_payloads(base.drop("_size"), "mapping-a")
     b = mapping_payloads(later.drop("_size"), "mapping-b")
     return a.unionByName(b)
@@ -288,7 +293,7 @@ FILLS_BATCH_RECORDED_AT = "2001-11-05 00:00:00"
 
 def fills_completion_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill events a bot sends later (W-5): every partial leg completes; the
-    batch arrives twice (a retry), and also repeats events already stored."""
+    batch arrives twice (a retry), and also repeats every event already stored."""
     fills = raw_realized_fills(spark, sf_dir)
     cols = [c for c in fills.columns if c not in ("event_id", "recorded_at")]
     done = (fills.filter(F.col("event") == "partial")
@@ -296,7 +301,7 @@ def fills_completion_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("filled_qty", F.col("requested_qty"))
             .withColumn("filled_at", F.coalesce("filled_at", "offer_placed_at"))
             .select(*cols))
-    resent = fills.filter(F.col("event") == "filled").select(*cols)
+    resent = fills.select(*cols)
     return done.unionByName(done).unionByName(resent)
 
 
