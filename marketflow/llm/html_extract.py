@@ -50,6 +50,8 @@ BOILERPLATE_WORDS = frozenset(
     "masthead topbar toolbar share sharing social related recommended recommendations login search skip "
     "widget widgets".split())
 HEADER_WORDS = frozenset(["header"])
+# ... unless it is the article's own, such as "entry-header".
+ARTICLE_WORDS = frozenset("article post entry story".split())
 # Words that tell a page's or an article's frame, such as "content with-sidebar".
 FRAME_WORDS = frozenset("content main wrapper layout container page with has no".split())
 
@@ -190,7 +192,8 @@ def drops(tag: str, attrs: list, in_article: bool) -> bool:
         return True
     if words & FRAME_WORDS or tag in ("article", "main"):
         return False
-    return bool(words & BOILERPLATE_WORDS) or bool(words & HEADER_WORDS) and not in_article
+    header = bool(words & HEADER_WORDS) and not words & ARTICLE_WORDS
+    return bool(words & BOILERPLATE_WORDS) or header and not in_article
 
 
 def content_lines(ratios: np.ndarray) -> np.ndarray:

@@ -169,6 +169,12 @@ def test_article_without_its_surroundings(frame):
     assert html_extract.extract(PAGE % (frame % BODY)) == WANT
 
 
+def test_an_articles_own_header_stays():
+    page = '<body><div class="site-header">Site</div><div class="post"><div class="entry-header"><h1>Title</h1></div>' \
+           '<p>A paragraph of many words that goes on.</p></div><div id="postComments"><p>I think that this is wrong.</p></div></body>'
+    assert html_extract.extract(page) == "Title A paragraph of many words that goes on."
+
+
 def test_links_without_a_frame_are_a_menu():
     body = "<h1>Title of it</h1><p>A paragraph of many words that goes on and on for a while.</p><p>Short.</p>"
     menu = '<div><a href="/">Home</a> <a href="/b">News</a></div><ul><li><a href=c>More</a><li><a href=d>Less</a></ul>'
