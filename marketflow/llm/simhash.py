@@ -101,8 +101,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     if max_bits == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("a < b")
     # the few bytes of the fingerprints would be read by a task or two, which then make 66 rows
-    # of each: spread them first
-    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # of each: spread them first, by a key that the grouping before has not dealt them by
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     # bins of one fingerprint link nothing: they go before anything is joined
     bins = _variants(fps).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     index = stored(_variants(fps).join(bins, "key"), "simhash-index")
