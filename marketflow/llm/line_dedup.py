@@ -10,8 +10,8 @@ minimum and a count, summed up before the shuffle, and the units of the at most
 most frequent digests meet the table of repeated digests under a salt, their rows there once
 per salt.
 
-Units of fewer than ``MIN_WORDS`` words are no repeats: headings and closing words of unrelated
-texts agree by chance.
+By default units of fewer than ``MIN_WORDS`` words are left alone: headings and closing words
+of unrelated texts agree by chance.  With ``min_words`` 1 every unit that is not empty counts.
 
 Defined results: null and empty texts have no units; the whole of a repeated document is
 removed from the later copy; documents of equal id are ordered by their texts' hashes, and

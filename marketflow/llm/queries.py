@@ -40,6 +40,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "unit", "start", "end", "first_doc_id", "first_unit")
 
 
+def op5_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op5_line_dedup``, over every unit that is not empty, however short."""
+    found = line_dedup.repeated_units(table(spark, sf_dir, "documents"), min_words=1)
+    return found.select("doc_id", "unit", "start", "end", "first_doc_id", "first_unit")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(found["fp"]).alias("fingerprint"), "component_id")
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op5_line_dedup_all": op5_line_dedup_all,
     "op6_simhash": op6_simhash,
     "op7_chat_format": op7_chat_format,
     "op8_quality": op8_quality,
@@ -122,5 +129,23 @@ f as (
   from n where len(string_split(norm, ' ')) >= 8 and norm <> '')
 select doc_id, unit, cast(start as bigint) as start, cast(start + length(line) as bigint) as "end", first_doc_id, first_unit
 from f where place > 1
+""",
+    # every line that is not empty, beside the earliest of its group
+    "op5_line_dedup_all": r"""
+with d as (
+  select doc_id, text, md5(text) as h, string_split(text, chr(10)) as lines
+  from (select distinct doc_id, text from documents where text is not null)),
+u as (
+  select doc_id, h, k - 1 as unit, lines[k] as line,
+         coalesce(list_sum([length(x) + 1 for x in lines[1:k - 1]]), 0) as start,
+         trim(regexp_replace(lower(lines[k]), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
+  from (select *, unnest(range(1, len(lines) + 1)) as k from d)),
+g as (
+  select norm, min({'no_id': doc_id is null, 'id': coalesce(doc_id, 0), 'h': h, 'unit': unit}) as best
+  from u where norm <> '' group by norm having count(*) > 1)
+select u.doc_id, u.unit, cast(u.start as bigint) as start, cast(u.start + length(u.line) as bigint) as "end",
+       case when g.best.no_id then null else g.best.id end as first_doc_id, g.best.unit as first_unit
+from u join g using (norm)
+where not (u.doc_id is null = g.best.no_id and coalesce(u.doc_id, 0) = g.best.id and u.h = g.best.h and u.unit = g.best.unit)
 """,
 }

@@ -133,6 +133,30 @@ def test_lines_of_the_whole_table(spark):
     assert {tuple(r) for r in queries.op5_line_dedup(spark, SF).collect()} == brute_lines([tuple(d) for d in docs])
 
 
+def test_short_lines_of_the_whole_table(spark):
+    """Every line that is not empty counts, a license line of three words too."""
+    want, seen = set(), {}
+    docs = {tuple(d) for d in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    for i, t in sorted((d for d in docs if d[1]), key=lambda d: (d[0] is None, d[0] or 0)):
+        at = 0
+        for u, line in enumerate(t.split("\n")):
+            norm = " ".join(x for x in re.split(r"[\x20\x09-\x0D]+", line.lower()) if x)
+            if norm in seen:
+                want.add((i, u, at, at + len(line), *seen[norm]))
+            elif norm:
+                seen[norm] = (i, u)
+            at += len(line) + 1
+    long = {tuple(r) for r in queries.op5_line_dedup(spark, SF).collect()}
+    rows = queries.op5_line_dedup_all(spark, SF).collect()
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want) and long < want
+
+
+def test_short_line_edges(spark):
+    docs = [(1, "}\n\n  \nAll rights reserved.\nx"), (2, "\t}\nall  RIGHTS reserved.\n\n"), (None, "x"), (3, "x")]
+    rows = line_dedup.repeated_units(table(spark, docs), min_words=1).collect()
+    assert {tuple(r)[:1] + tuple(r)[2:] for r in rows} == {(2, 0, 0, 2, 1, 0), (2, 1, 3, 24, 1, 3), (3, 0, 0, 1, 1, 4), (None, 0, 0, 1, 1, 4)}
+
+
 def test_line_edges_and_hot_lines(spark, monkeypatch):
     hot = "this very common line has eight words here"
     docs = EDGES + [(100 + i, f"own line number {i} with enough words to count\n  {hot.upper()}  \nshort") for i in range(30)]
