@@ -395,17 +395,18 @@ def stream_change_detect(spark, sf_dir):
     root = run_root(spark)
     polls = fixtures.poll_latest(spark, sf_dir).filter(
         F.col("high_price").isNotNull() | F.col("low_price").isNotNull())
-    # the polls arrive in order of time, a file and a micro-batch each
+    # the polls arrive in order of time: landed in one scan, a folder and a pass of the stream for
+    # each slice, written and read by as many tasks as its rows need
     first, last = polls.agg(F.min("loaded_at"), F.max("loaded_at")).first()
-    cuts = [first + (last - first) * i / STREAM_FILES for i in range(STREAM_FILES)] + [last + dt.timedelta(seconds=1)]
-    for a, b in zip(cuts, cuts[1:]):
-        (polls.filter((F.col("loaded_at") >= F.lit(a).cast(T.TimestampNTZType())) & (F.col("loaded_at") < F.lit(b).cast(T.TimestampNTZType())))
-         .coalesce(1).write.mode("append").parquet(f"{root}/landing/polls"))
+    cuts = [F.lit(first + (last - first) * i / STREAM_FILES).cast(T.TimestampNTZType()) for i in range(1, STREAM_FILES)]
+    slices = sum((F.coalesce((F.col("loaded_at") >= c).cast("int"), F.lit(0)) for c in cuts), F.lit(0))
+    polls.withColumn("slice", slices).write.partitionBy("slice").parquet(f"{root}/landing/polls")
     r = _refresh(spark, sf_dir, root)
-    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing/polls")
-    q = (stream.writeStream.foreachBatch(lambda df, bid: r.store_latest_rows(df, bid))
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    for i in sorted(d.split("=")[1] for d in TableStore(spark, f"{root}/landing")._periods("polls")):
+        stream = spark.readStream.schema(polls.schema).parquet(f"{root}/landing/polls/slice={i}")
+        q = (stream.writeStream.foreachBatch(lambda df, bid, i=i: r.store_latest_rows(df, f"{i}-{bid}"))
+             .option("checkpointLocation", f"{root}/checkpoint/{i}").trigger(availableNow=True).start())
+        q.awaitTermination()
     return r.raw("prices_latest")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketflow import schemas
 from marketflow.operators import writers
 from marketflow.operators.store import TableStore
+from marketflow.plans import catalog
 from marketflow.plans.jobs import Refresh
 from marketflow.plans.marts import MartParams
 from marketflow.streaming import ingest
@@ -305,3 +306,21 @@ def test_mapping_load_quarantines_invalid_records(spark, scratch):
     assert r.store.read_appends("quarantine/mapping_records").count() == 2
     rep = {(x.check_name, x.model): x for x in r.quality_report().collect()}
     assert rep[("payload_quarantine", "quarantine.mapping_records")].failures == 2
+
+
+def test_poll_slices_spread_over_tasks(spark, scratch, monkeypatch):
+    """Every slice of the poll log is landed by several tasks, also with nearly all rows in one
+    slice, and the stored rows are those of one batch."""
+    start = dt.datetime(2024, 1, 1)
+    times = [start] * 5 + [start + dt.timedelta(days=100, minutes=i) for i in range(200)]
+    rows = [(i % 5, 100 + i // 20, at, 50, at, at) for i, at in enumerate(times)]
+    polls = spark.createDataFrame(rows, "item_id int, high_price int, high_time timestamp_ntz, low_price int, low_time timestamp_ntz, "
+                                        "loaded_at timestamp_ntz").repartition(4)
+    monkeypatch.setattr(catalog.fixtures, "poll_latest", lambda *_: polls)
+    monkeypatch.setattr(catalog, "run_root", lambda _: scratch)
+    stored = {(x.item_id, x.high_price, x.loaded_at) for x in catalog.QUERIES["stream_change_detect"](spark, "/root/testdata/sf0.001").collect()}
+    assert stored == {(x.item_id, x.high_price, x.loaded_at) for x in writers.changed_rows(polls, "item_id", "loaded_at").collect()}
+    landed = spark.read.parquet(f"{scratch}/landing/polls")
+    assert landed.count() == len(rows)
+    late = landed.filter(F.col("loaded_at") > start).select(F.input_file_name()).distinct().count()
+    assert late == 4
