@@ -18,12 +18,18 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import arrow_schema, map_batches
+
+# Conversations beyond these sizes never stand in one row: they are rendered turn by turn.
+RECORD_TURNS = 50_000
+RECORD_CHARS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -197,6 +203,10 @@ def as_records(conversations: DataFrame) -> DataFrame:
     return convs.select("conv_id", record.alias("record"))
 
 
+DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+           "formatted_chars bigint, layout string")
+
+
 def digests(formatted: DataFrame) -> DataFrame:
     """The contract columns of the registered query, read back from the formatted strings."""
 
@@ -214,9 +224,84 @@ def digests(formatted: DataFrame) -> DataFrame:
                 out[c].append(v)
         return {"conv_id": cols["conv_id"], "layout": cols["layout"]} | out
 
-    return map_batches(formatted.select("conv_id", "layout", "formatted", "loss_mask"), run,
-                       "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-                       "formatted_chars bigint, layout string")
+    return map_batches(formatted.select("conv_id", "layout", "formatted", "loss_mask"), run, DIGESTS)
+
+
+class _Running:
+    """The digests of one conversation whose turns come one by one."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.n, self.first, self.usual = conv_id, 0, [], True
+        self.said, self.loss, self.loss_chars, self.chars = hashlib.sha256(), hashlib.sha256(), 0, len(START)
+
+    def add(self, role: str, text: str) -> None:
+        piece, mask = render([(role, text)])
+        for r, x in read_back(piece):
+            self.said.update(f"{r}\n{x}\n".encode("utf-8", "surrogatepass"))
+        for a, b in mask:
+            kept = unescape(piece[a:b])
+            self.loss.update(kept.encode("utf-8", "surrogatepass"))
+            self.loss_chars += len(kept)
+        self.n += 1
+        self.chars += len(piece) - len(START)
+        self.usual &= role in ("user", "assistant", "system")
+        if len(self.first) < 4:
+            self.first.append(role)
+
+    def layout(self) -> str:
+        """The layout by the field paths of the record that ``as_records`` would make."""
+        if self.first == ["user", "assistant"]:
+            paths = ("prompt", "response")
+        elif self.first == ["system", "user", "assistant"]:
+            paths = ("instruction", "input", "output")
+        elif self.usual and self.first[0] == "user":
+            paths = ("conversations[].from", "conversations[].value")
+        else:
+            paths = ("messages[].role", "messages[].content")
+        return REGISTRY[fingerprint(paths)].name
+
+    def row(self) -> tuple:
+        return (self.conv_id, self.n, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.layout())
+
+
+def turn_digests(conversations: DataFrame) -> DataFrame:
+    """As ``digests`` of the formatted records of ``conversations`` (conv_id, turn, role, text),
+    but a task holds one batch of turns, however long a conversation is."""
+    out = arrow_schema(conversations.sparkSession, DIGESTS)
+
+    def made(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found) if found else ([] for _ in out)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, out)], schema=out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for batch in batches:
+            found = []
+            for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                if now is None or conv_id != now.conv_id:
+                    if now is not None:
+                        found.append(now.row())
+                    now = _Running(conv_id)
+                now.add(role, text)
+            yield made(found)
+        if now is not None:
+            yield made([now.row()])
+
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return dealt.select("conv_id", "role", "text").mapInArrow(run, DIGESTS)
+
+
+def conversation_digests(conversations: DataFrame) -> DataFrame:
+    """The contract columns for each conversation of (conv_id, turn, role, text): through its
+    record, or turn by turn if it is longer than ``RECORD_TURNS`` or ``RECORD_CHARS``."""
+    rows = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
+    chars = F.coalesce(F.length("role"), F.lit(0)).cast("bigint") + F.coalesce(F.length("text"), F.lit(0))
+    long = rows.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sum(chars).alias("chars")) \
+        .filter((F.col("turns") > RECORD_TURNS) | (F.col("chars") > RECORD_CHARS)).select(F.col("conv_id").alias("long_id"))
+    is_long = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    short = digests(format_records(as_records(rows.join(long, is_long, "left_anti"))))
+    return short.unionByName(turn_digests(rows.join(long, is_long, "left_semi")))
 
 
 def sha(text: str) -> str:

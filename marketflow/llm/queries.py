@@ -56,7 +56,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                   "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat_format.digests(chat_format.format_records(chat_format.as_records(rows)))
+    return chat_format.conversation_digests(rows)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,6 +230,20 @@ def test_record_edges(spark):
                    3: [("human", "z" * 100_000)]}
 
 
+def test_long_conversations_stay_out_of_one_row(spark, monkeypatch):
+    rows = [(1, 1, "assistant", None), (1, 0, None, "x"), (None, None, "user", "y"), (2, 0, "user", "b"), (2, 0, "user", "a"), (2, 0, "user", "a"),
+            (3, 0, "human", "z" * 100), (4, 0, "user", "</s>\\"), (4, 1, "assistant", "[INST]"), (5, 0, "system", "s"), (5, 1, "user", "u"),
+            (5, 2, "assistant", "a")] + [(6, i, ("user", "assistant")[i % 2], f"t{i} <s>") for i in range(2_500)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    want = sorted(map(str, chat_format.digests(chat_format.format_records(chat_format.as_records(df))).collect()))
+    gathered, as_records = [], chat_format.as_records
+    monkeypatch.setattr(chat_format, "as_records", lambda d: gathered.append(d.groupBy("conv_id").count().agg(F.max("count")).first()[0]) or as_records(d))
+    for limit in (2, 0):
+        monkeypatch.setattr(chat_format, "RECORD_TURNS", limit)
+        assert sorted(map(str, chat_format.conversation_digests(df).collect())) == want
+    assert gathered == [2, None]
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
