@@ -10,8 +10,9 @@ minimum and a count, summed up before the shuffle, and the units of the at most
 most frequent digests meet the table of repeated digests under a salt, their rows there once
 per salt.
 
-By default units of fewer than ``MIN_WORDS`` words are left alone: headings and closing words
-of unrelated texts agree by chance.  With ``min_words`` 1 every unit that is not empty counts.
+Every unit that is not empty counts, however short; a caller may ask for more words with
+``min_words``.  A passage is found where it is a unit: one that runs across the middle of other
+lines stays.
 
 Defined results: null and empty texts have no units; the whole of a repeated document is
 removed from the later copy; documents of equal id are ordered by their texts' hashes, and
@@ -22,15 +23,18 @@ an empty result; columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import documents, map_batches, packed, stored
 
-MIN_WORDS = 8
+MIN_WORDS = 1
 HOT_DIGESTS = 1_000
 SALTS = 64
 LINE = "\n"
@@ -95,10 +99,21 @@ def remove_repeats(docs: DataFrame, boundary: str = LINE, min_words: int = MIN_W
     gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_id").alias("gone_text"), "removed"), "line-removed")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "removed"])
     rows = packed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_text")), "left")
-    cut = F.udf(cutter(boundary), "string")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(cut("text", "removed"))
-    rest = [text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
-    return rows.select(*rest, F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"))
+    rows = rows.select("row", F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("removed"), "text")
+    schema = StructType([rows.schema["row"], rows.schema["removed"], StructField("text", StringType())])
+    arrow, cut = to_arrow_schema(schema), cutter(boundary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the whole row passes as Arrow has it, only the text is made anew
+        for batch in batches:
+            spans_of = [[(s["start"], s["end"]) for s in r] for r in batch.column("removed").to_pylist()]
+            left = [cut(t, r) for t, r in zip(batch.column("text").to_pylist(), spans_of)]
+            columns = [batch.column(c).cast(arrow.field(c).type) for c in ("row", "removed")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(left, pa.string())], schema=arrow)
+
+    left = rows.mapInArrow(run, schema)
+    rest = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return left.select(*rest, "removed")
 
 
 def cutter(boundary: str) -> Callable[[str | None, list | None], str | None]:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, html_extract, language_id, line_dedup, line_rules, merkle, packing, quality,
                secrets, simhash, spelling, weighted_sampling)
@@ -36,13 +37,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.repeated_units(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "unit", "start", "end", "first_doc_id", "first_unit")
+    """Every document with the text that is left of it and the (start, end) removed from the original."""
+    left = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"]))
+    return left.select("doc_id", "text", F.size("removed").cast("bigint").alias("n_removed"), F.array_join(spans, ",").alias("removed"))
 
 
 def op5_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``op5_line_dedup``, over every unit that is not empty, however short."""
-    found = line_dedup.repeated_units(table(spark, sf_dir, "documents"), min_words=1)
+    """The removed units one by one, each with its earliest occurrence."""
+    found = line_dedup.repeated_units(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "unit", "start", "end", "first_doc_id", "first_unit")
 
 
@@ -295,21 +298,26 @@ join c on c.item_id is not distinct from si.item_id and c.w = si.w
 group by sd.doc_id, sd.w, si.item_id, si.w
 having count(*) / any_value(c.n_shingles) >= 0.8
 """,
+    # the lines that are not a later occurrence, each with the line break after it
     "op5_line_dedup": r"""
-with d as (select distinct doc_id, text, string_split(text, chr(10)) as lines from documents where text is not null),
+with d as (
+  select doc_id, text, md5(text) as h, string_split(text, chr(10)) as lines
+  from (select distinct doc_id, text from documents where text is not null)),
 u as (
-  select doc_id, text, k - 1 as unit,
-         coalesce(list_sum([length(x) + 1 for x in lines[1:k - 1]]), 0) as start, lines[k] as line
+  select doc_id, h, k, lines[k] as line, len(lines) as last,
+         coalesce(list_sum([length(x) + 1 for x in lines[1:k - 1]]), 0) as start,
+         trim(regexp_replace(lower(lines[k]), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm
   from (select *, unnest(range(1, len(lines) + 1)) as k from d)),
-n as (
-  select *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm from u),
-f as (
-  select *, row_number() over (partition by norm order by doc_id nulls last, md5(text), unit) as place,
-         first_value(doc_id) over (partition by norm order by doc_id nulls last, md5(text), unit) as first_doc_id,
-         first_value(unit) over (partition by norm order by doc_id nulls last, md5(text), unit) as first_unit
-  from n where len(string_split(norm, ' ')) >= 8 and norm <> '')
-select doc_id, unit, cast(start as bigint) as start, cast(start + length(line) as bigint) as "end", first_doc_id, first_unit
-from f where place > 1
+p as (
+  select *, norm <> '' and row_number() over (partition by norm order by doc_id nulls last, h, k) > 1 as gone from u),
+a as (
+  select doc_id, h, string_agg(case when gone then '' else line || case when k < last then chr(10) else '' end end, '' order by k) as text,
+         count(*) filter (gone) as n_removed,
+         string_agg(cast(start as bigint) || ':' || cast(start + length(line) as bigint), ',' order by k) filter (gone) as removed
+  from p group by doc_id, h)
+select d.doc_id, case when d.text is null then null else a.text end as text, coalesce(a.n_removed, 0) as n_removed,
+       coalesce(a.removed, '') as removed
+from documents d left join a on a.doc_id is not distinct from d.doc_id and a.h = md5(d.text)
 """,
     # every line that is not empty, beside the earliest of its group
     "op5_line_dedup_all": r"""
