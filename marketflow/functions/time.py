@@ -33,6 +33,14 @@ def as_of_column(as_of: dt.datetime | None) -> Column:
         as_of.isoformat(sep=" ")).cast(T.TimestampType())
 
 
+def as_of_text(as_of: dt.datetime | None) -> str:
+    """The evaluation instant as SQL text."""
+    if as_of is None:
+        return "current_timestamp()"
+    utc = as_of.astimezone(dt.timezone.utc).replace(tzinfo=None) if as_of.tzinfo else as_of
+    return f"TIMESTAMP '{utc.isoformat(sep=' ')}+00:00'"
+
+
 def ts_literal(value: dt.datetime, dtype: T.DataType) -> Column:
     """A literal of the column's own timestamp type, so the comparison is pushed
     to the Parquet scan without a cast on the column side."""

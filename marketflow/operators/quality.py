@@ -7,7 +7,7 @@ uniqueness checks are one ``groupBy`` each (partial aggregation first), and
 ``(check_name, model, column_name, severity, failures, status)`` rows.  Nothing
 runs before the result does.  Semantics follow the generic tests the reference
 declares: NULLs pass ``unique`` and ``accepted_values``; a warn-severity test
-never fails the run.
+never fails the run.  ``failing_rows`` returns the rows behind the counts.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import dataclasses
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow.functions.exact import round_div, to_decimal
-from marketflow.functions.time import as_of_column, micros_between
+from marketflow.functions.time import as_of_column, instant, micros_between
 
 # The tests the reference declares -------------------------------
 NOT_NULL = {
@@ -200,39 +201,162 @@ def freshness_suite(models, as_of: dt.datetime | None = None) -> DataFrame:
     return _union([freshness(t[s], s, lim, as_of) for s, lim in FRESHNESS.items()])
 
 
-def report(models, as_of: dt.datetime | None = None) -> DataFrame:
-    """Q-8: every check as ``(check_name, model, column_name, severity, failures, status)``."""
-    t = _tables(models)
+INVERSION = ("assert_price_high_gte_low", "avg_high_price,avg_low_price")
+
+
+def _inverted() -> Column:
+    return F.col("avg_high_price") < F.col("avg_low_price")
 
-    def rows(df, check, severity, failures="failures"):
-        f = F.col(failures).cast("long")
-        status = F.when(f == 0, "pass").otherwise("fail" if severity == "error" else "warn")
-        return df.select(F.lit(check).alias("check_name"), "model", "column_name",
-                         F.lit(severity).alias("severity"), f.alias("failures"),
-                         status.alias("status"))
-
-    inverted = {("assert_price_high_gte_low", "avg_high_price,avg_low_price"): F.col("avg_high_price") < F.col("avg_low_price")}
-    checks = _union([table_failures(t[m], m, cols, UNIQUE.get(m), UNIQUE_COMBINATION.get(m),
-                                    inverted if m == "fct_prices" else None) for m, cols in NOT_NULL.items()])
-    severity = F.when(F.col("check_name") == "assert_price_high_gte_low", "warn").otherwise("error")
-    parts = [
-        checks.select("check_name", "model", "column_name", severity.alias("severity"), F.col("failures").cast("long").alias("failures"),
-                      F.when(F.col("failures") == 0, "pass").when(severity == "error", "fail").otherwise("warn").alias("status")),
-        rows(accepted_values_suite(models), "accepted_values", "error", "failing_values"),
-        rows(orphans(models.stg_prices_5m, models.dim_items)
-             .agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit("fct_prices").alias("model"), F.lit("item_id").alias("column_name"),
-                     "failures"), "orphan_prices", "warn"),
-    ]
-    fresh = freshness_suite(models, as_of).select(
+
+def _severity(check: Column) -> Column:
+    return F.when(check.isin(INVERSION[0], "orphan_prices", "payload_quarantine"), "warn").otherwise("error")
+
+
+def assemble(counts: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The report from (check_name, model, column_name, failures) and the freshness rows."""
+    severity, failures = _severity(F.col("check_name")), F.col("failures").cast("long")
+    status = F.when(failures == 0, "pass").when(severity == "error", "fail").otherwise("warn")
+    fresh = fresh.select(
         F.lit("source_freshness").alias("check_name"), F.col("source_name").alias("model"),
         F.lit("loaded_at").alias("column_name"),
         F.when(F.col("status") == "error", "error").otherwise("warn").alias("severity"),
         F.when(F.col("status") == "pass", 0).otherwise(1).cast("long").alias("failures"),
         F.when(F.col("status") == "error", "fail").otherwise(F.col("status")).alias("status"))
-    for name, rows_df in (getattr(models, "quarantine", None) or {}).items():
-        # documents / records that could not be loaded (dead-letter tables)
-        parts.append(rows(rows_df.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(name).alias("model"), F.lit("value").alias("column_name"), "failures"),
-            "payload_quarantine", "warn"))
-    return _union(parts + [fresh])
+    return counts.select("check_name", "model", "column_name", severity.alias("severity"), failures.alias("failures"),
+                         status.alias("status")).unionByName(fresh)
+
+
+def counted(rows: DataFrame, check: str, model: str, column: str) -> DataFrame:
+    """One row of the report: how many rows ``rows`` has."""
+    return rows.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(check).alias("check_name"), F.lit(model).alias("model"), F.lit(column).alias("column_name"), "failures")
+
+
+def report(models, as_of: dt.datetime | None = None) -> DataFrame:
+    """Q-8: every check as ``(check_name, model, column_name, severity, failures, status)``."""
+    t = _tables(models)
+    checks = [table_failures(t[m], m, cols, UNIQUE.get(m), UNIQUE_COMBINATION.get(m),
+                             {INVERSION: _inverted()} if m == "fct_prices" else None) for m, cols in NOT_NULL.items()]
+    accepted = accepted_values_suite(models).select(
+        F.lit("accepted_values").alias("check_name"), "model", "column_name", F.col("failing_values").alias("failures"))
+    lost = counted(orphans(models.stg_prices_5m, models.dim_items), "orphan_prices", "fct_prices", "item_id")
+    return assemble(_union([*checks, accepted, lost]), freshness_suite(models, as_of))
+
+
+# --- the rows behind the counts -------------------------------------------------------
+
+def row_text(df: DataFrame) -> Column:
+    """A row as ``name=value`` pairs: instants as epoch microseconds, NULL as ``NULL``."""
+    def text(f: T.StructField) -> Column:
+        c = F.col(f.name)
+        c = F.unix_micros(instant(c)) if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else c
+        return F.concat(F.lit(f"{f.name}="), F.coalesce(c.cast("string"), F.lit("NULL")))
+
+    return F.concat_ws("|", *[text(f) for f in df.schema.fields])
+
+
+def table_failing_rows(df: DataFrame, model: str, checks: dict[tuple[str, str], Column],
+                       key: Sequence[str] = (), key_check: str = "") -> DataFrame:
+    """(check_name, model, column_name, row): each row of ``df`` once for every check it fails.
+
+    Row conditions are tagged in one pass.  ``key`` names columns whose repeated combinations
+    fail ``key_check``: the repeated keys come from a partial aggregation and are joined to the
+    rows, so a key that a third of all rows share is no group in one task."""
+    found = df.select(row_text(df).alias("row"), *[F.coalesce(c, F.lit(False)).alias(f"_c{i}") for i, c in enumerate(checks.values())],
+                      *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+    named = [F.when(F.col(f"_c{i}"), F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name")))
+             for i, (check, column) in enumerate(checks)]
+    if key:
+        again = df.groupBy(*key).count().filter("count > 1").select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(key)],
+                                                                     F.lit(True).alias("_again"))
+        same = F.lit(True)
+        for i in range(len(key)):
+            same = same & F.col(f"_k{i}").eqNullSafe(F.col(f"_d{i}"))
+        found = found.join(again, same, "left")
+        missing = F.col("_k0").isNull() if key_check == "unique" else F.lit(False)  # NULL passes unique
+        named.append(F.when(F.col("_again") & ~missing, F.struct(F.lit(key_check).alias("check_name"), F.lit(",".join(key)).alias("column_name"))))
+    failed = F.filter(F.array(*named), lambda x: x.isNotNull())
+    return found.select("row", F.inline(failed)).select("check_name", F.lit(model).alias("model"), "column_name", "row")
+
+
+def failing_rows(models) -> DataFrame:
+    """Q-8 in rows: ``(check_name, model, column_name, severity, row)`` for every row-level check
+    (not null, accepted values, unique, unique combination, price inversions, orphan prices)."""
+    t = _tables(models)
+    parts = []
+    for m, cols in NOT_NULL.items():
+        checks = {("not_null", c): F.col(c).isNull() for c in cols}
+        checks |= {("accepted_values", c): ~F.col(c).isin(*v) for (model, c), v in ACCEPTED_VALUES.items() if model == m}
+        checks |= {INVERSION: _inverted()} if m == "fct_prices" else {}
+        if m in UNIQUE_COMBINATION:
+            parts.append(table_failing_rows(t[m], m, checks, UNIQUE_COMBINATION[m], "unique_combination_of_columns"))
+        else:
+            parts.append(table_failing_rows(t[m], m, checks, [UNIQUE[m]] if m in UNIQUE else (), "unique"))
+    lost = models.stg_prices_5m.join(models.dim_items.select("item_id"), "item_id", "left_anti")
+    parts.append(lost.select(F.lit("orphan_prices").alias("check_name"), F.lit("fct_prices").alias("model"),
+                             F.lit("item_id").alias("column_name"), row_text(lost).alias("row")))
+    found = _union(parts)
+    return found.select("check_name", "model", "column_name", _severity(F.col("check_name")).alias("severity"), "row")
+
+
+# --- check states: what a report needs of a table's part, kept until the part changes ------
+
+STATE = "model string, unit string, content string, check_name string, column_name string, item string, failures bigint"
+
+
+def part_states(rows: DataFrame, model: str, unit: str, columns: Sequence[str], combination: Sequence[str] = (),
+                unique_id: str | None = None, accepted: dict | None = None, inversions: bool = False) -> DataFrame:
+    """(model, unit, check_name, column_name, item, failures) of each part (``unit``, a column) of
+    an append-only table, in one aggregation or two.  ``item`` holds what the parts cannot just
+    add up: a value that is not accepted, or the range of ids of the part."""
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in columns}
+    if inversions:
+        counts[INVERSION] = F.count_if(_inverted())
+    names = {f"_f{i}": k for i, k in enumerate(counts)}
+    keys = list(combination or ([unique_id] if unique_id else []))
+    groups = rows.groupBy(unit, *keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in zip(names, counts.values())])
+    totals = [F.sum(n).alias(n) for n in names]
+    if combination:
+        totals.append(F.count_if(F.col("_n") > 1).alias("_dup"))
+        names["_dup"] = ("unique_combination_of_columns", ",".join(keys))
+    if unique_id:
+        totals += [F.count_if((F.col("_n") > 1) & F.col(unique_id).isNotNull()).alias("_dup"),
+                   F.concat_ws(":", F.min(unique_id), F.max(unique_id)).alias("_range")]
+        names["_dup"] = ("unique", unique_id)
+    agg = groups.groupBy(unit).agg(*totals)
+    nothing = F.lit(None).cast("string")
+    parts = [agg.select(F.col(unit).cast("string").alias("unit"), F.inline(F.array(*[F.struct(
+        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
+        (F.col("_range") if check == "unique" else nothing).alias("item"), F.col(n).cast("long").alias("failures"))
+        for n, (check, column) in names.items()])))]
+    for column, values in (accepted or {}).items():
+        odd = rows.filter(~F.col(column).isin(*values)).groupBy(unit, column).agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(odd.select(F.col(unit).cast("string").alias("unit"), F.lit("accepted_values").alias("check_name"),
+                                F.lit(column).alias("column_name"), F.col(column).alias("item"), "failures"))
+    return _union(parts).select(F.lit(model).alias("model"), "unit", "check_name", "column_name", "item", "failures")
+
+
+def from_states(states: DataFrame, model: str, columns: Sequence[str], unique: str | None = None,
+                combination: Sequence[str] = (), accepted: Sequence[str] = (), inversions: bool = False) -> DataFrame:
+    """(check_name, model, column_name, failures) of a table from the states of its parts, a row for
+    every check, also where no part is stored.  Ids of parts whose ranges meet are counted as
+    failures of ``unique`` even if no id is in both: ids rise from part to part."""
+    spark = states.sparkSession
+    due = [("not_null", c) for c in columns] + ([("unique", unique)] if unique else [])
+    due += [("unique_combination_of_columns", ",".join(combination))] if combination else []
+    due += [INVERSION] if inversions else []
+    due += [("accepted_values", c) for c in accepted]
+    wanted = spark.createDataFrame([(model, *d) for d in due], "model string, check_name string, column_name string")
+    summed = states.groupBy("check_name", "column_name").agg(
+        F.sum("failures").alias("n"), F.count_distinct("item").alias("values"))
+    failures = F.when(F.col("check_name") == "accepted_values", F.coalesce("values", F.lit(0))).otherwise(F.coalesce("n", F.lit(0)))
+    out = wanted.join(summed, ["check_name", "column_name"], "left").select("check_name", "model", "column_name", failures.alias("failures"))
+    if not unique:
+        return out
+    first = F.substring_index("item", ":", 1).cast("long")
+    ranges = states.filter("check_name = 'unique' and item <> ''").select(first.alias("low"), F.substring_index("item", ":", -1).cast("long").alias("high"))
+    # a row for each part; a running maximum needs them in one order
+    ranges = ranges.select("low", F.expr("max(high) over (order by low, high rows between unbounded preceding and 1 preceding)").alias("before"))
+    met = ranges.filter("before >= low").agg(F.count(F.lit(1)).alias("met"))
+    return out.join(F.broadcast(met)).select("check_name", "model", "column_name", F.when(
+        F.col("check_name") == "unique", F.col("failures") + F.col("met")).otherwise(F.col("failures")).alias("failures"))

@@ -5,7 +5,10 @@ Without a table format there is no MERGE and no multi-file atomic commit, so:
 * **Rebuilt tables** (marts, the upserted mapping, state tables) are written to
   a new ``version=<n>`` directory; readers take the highest version whose
   ``_SUCCESS`` marker exists (Spark's job-commit marker).  A failed or running
-  write is never visible and nothing being read is ever overwritten.
+  write is never visible and nothing being read is ever overwritten.  With a
+  ``database``, each version is a table of the Spark catalog (bucketed where a
+  key is given) and a persistent view of the table's own name selects the newest:
+  readers of every session resolve that name when they read.
 * **Append-only tables** (raw feeds, fill events) are laid out
   ``<period col>=<period>/batch=<id>/``, written with *dynamic* partition
   overwrite: a retried batch replaces exactly its own ``(period, batch)``
@@ -17,8 +20,9 @@ Without a table format there is no MERGE and no multi-file atomic commit, so:
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +31,14 @@ class TableStore:
     """Tables under one root folder.  A write never removes anything: old versions go with
     ``expire``, a maintenance call of its own."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None, buckets: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = database
+        # files of a bucketed table: as many as tasks that should read it at once
+        self.buckets = buckets
+        if database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_catalog'")
 
     # --- filesystem --------------------------------------------------------------
     def _fs_path(self, path: str):
@@ -67,26 +76,68 @@ class TableStore:
         return [d for d in self._children(self.path(name), "")
                 if "=" in d and not d.startswith(("_", ".", "version="))]
 
-    def write_version(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
+    def write_version(self, df: DataFrame, name: str, bucket_by: str | None = None) -> int:
         taken = [int(c.split("=", 1)[1]) for c in self._children(self.path(name), "version=")]
         version = (max(taken) + 1) if taken else 1
-        if partition_by:
-            df = df.hint("rebalance", *partition_by)
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path(name)}/version={version}")
+        path = f"{self.path(name)}/version={version}"
+        if self.database and bucket_by:
+            # one file a bucket; a table of that version that is there already is an error
+            (df.repartition(self.buckets, bucket_by).write.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
+             .option("path", path).mode("errorifexists").saveAsTable(self._table(name, version)))
+            self.point_view(name, version)
+        else:
+            df.write.mode("errorifexists").parquet(path)
         return version
 
+    # --- catalog --------------------------------------------------------------------
+    def view(self, name: str) -> str:
+        """The catalog name of a table: ``marts/dim_items`` is ``<database>.dim_items``."""
+        return f"{self.database}.{name.split('/', 1)[-1].replace('/', '_')}"
+
+    def _table(self, name: str, version: int) -> str:
+        return f"{self.view(name)}__v{version}"
+
+    def point_view(self, name: str, version: int) -> None:
+        """The table's view shows this version from now on, in every session."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view(name)} AS SELECT * FROM {self._table(name, version)}")
+
+    def define_view(self, name: str, select: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS {select}")
+
+    def in_catalog(self, name: str) -> bool:
+        return bool(self.database) and self.spark.catalog.tableExists(name)
+
+    def attach(self, name: str, schema: T.StructType, bucket_by: str) -> None:
+        """Enter the newest stored version into a catalog that does not know it, such as that of a
+        new application without a shared metastore."""
+        version = (self.versions(name) or [0])[-1]
+        if not version or self.in_catalog(self._table(name, version)):
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE {self._table(name, version)} ({columns}) USING parquet CLUSTERED BY ({bucket_by}) "
+                       f"SORTED BY ({bucket_by}) INTO {self.buckets} BUCKETS LOCATION '{self.path(name)}/version={version}'")
+        self.point_view(name, version)
+
     def expire(self, name: str, older_than: dt.timedelta) -> list[int]:
         """Maintenance: remove versions that a newer one replaced longer than ``older_than``
-        ago; no reader or replay may be older than that."""
+        ago, and the pins of batches that old; no reader or replay may be older than that.  A
+        version that a younger pin names stays."""
+        limit = dt.datetime.now(dt.timezone.utc).timestamp() * 1000 - older_than.total_seconds() * 1000
+        base = f"{self.path(name)}/_base"
+        pinned = set()
+        for key in self._children(base, ""):
+            fs, folder = self._fs_path(f"{base}/{key}")
+            if fs.getFileStatus(folder).getModificationTime() < limit:
+                fs.delete(folder, True)
+            else:
+                pinned |= {int(v) for v in self._children(f"{base}/{key}", "")}
         committed = self.versions(name)
-        now_ms = dt.datetime.now(dt.timezone.utc).timestamp() * 1000
         removed = []
         for version, newer in zip(committed, committed[1:]):
             fs, done = self._fs_path(f"{self.path(name)}/version={newer}/_SUCCESS")
-            if now_ms - fs.getFileStatus(done).getModificationTime() > older_than.total_seconds() * 1000:
+            if fs.getFileStatus(done).getModificationTime() < limit and version not in pinned:
+                if self.in_catalog(self._table(name, version)):
+                    self.spark.sql(f"DROP TABLE {self._table(name, version)}")
                 fs.delete(self._fs_path(f"{self.path(name)}/version={version}")[1], True)
                 removed.append(version)
         return removed
@@ -105,12 +156,18 @@ class TableStore:
     def read_version(self, name: str, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path(name)}/version={version}")
 
-    def write_scratch(self, df: DataFrame, name: str) -> DataFrame:
+    def write_scratch(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """A table of one load: written once, read by the load's steps, dropped after it."""
         path = f"{self.root}/_scratch/{name}"
-        df.write.mode("overwrite").parquet(path)
+        w = df.write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def scratch_periods(self, name: str) -> list[str]:
+        """Period directories of a scratch table, without that of rows without a period."""
+        return sorted(d for d in self._children(f"{self.root}/_scratch/{name}", "")
+                      if "=" in d and not d.endswith("=__HIVE_DEFAULT_PARTITION__"))
+
     def drop_scratch(self, name: str) -> None:
         fs, p = self._fs_path(f"{self.root}/_scratch/{name}")
         fs.delete(p, True)
@@ -120,6 +177,8 @@ class TableStore:
         append-only table."""
         versions = self.versions(name)
         if versions:
+            if schema is None and self.in_catalog(self._table(name, versions[-1])):
+                return self.spark.table(self._table(name, versions[-1]))
             r = self.spark.read
             if schema is not None:
                 r = r.schema(schema)
@@ -127,35 +186,40 @@ class TableStore:
         return self.read_appends(name, schema)
 
     # --- append-only tables ---------------------------------------------------------
-    def append_batch(self, df: DataFrame, name: str, batch_id: str | int,
-                     partition_col: str) -> None:
-        """Write one batch under ``<partition_col>=<period>/batch=<id>``."""
-        out = (df.withColumn("batch", F.lit(str(batch_id)))
-               # one file per period instead of one per (task, period); AQE
-               # still splits a period that is too large
-               .hint("rebalance", partition_col))
+    def append_batch(self, df: DataFrame, name: str, batch_id: str | int, partition_cols: str | Sequence[str],
+                     metrics: dict | None = None, rebalance: bool = True) -> dict:
+        """Write one batch under ``<partition_col>=<period>/batch=<id>``.  ``metrics`` (name →
+        aggregate) are taken from the rows as they are written, without a scan of their own."""
+        cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+        out = df.withColumn("batch", F.lit(str(batch_id)))
+        if rebalance:
+            # one file per period instead of one per (task, period); AQE
+            # still splits a period that is too large
+            out = out.hint("rebalance", *cols)
+        seen = None
+        if metrics:
+            seen = Observation()
+            out = out.observe(seen, *[m.alias(n) for n, m in metrics.items()])
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col, "batch").parquet(self.path(name)))
+         .partitionBy(*cols, "batch").parquet(self.path(name)))
+        return seen.get if seen else {}
 
-    def batch_periods(self, name: str, batch_id: str | int) -> list[str]:
-        fs, p = self._fs_path(f"{self.path(name)}/*/batch={batch_id}")
-        found = fs.globStatus(p) or []
-        return sorted(s.getPath().getParent().getName() for s in found)
+    def batch_periods(self, name: str, batch_id: str | int, periods: list[str] | None = None) -> list[str]:
+        """Periods in which a batch has a folder; ``periods``, when the job knows them, avoids
+        globbing every period directory of the table."""
+        if periods is None:
+            fs, p = self._fs_path(f"{self.path(name)}/*/batch={batch_id}")
+            return sorted(s.getPath().getParent().getName() for s in fs.globStatus(p) or [])
+        fs, _ = self._fs_path(self.path(name))
+        return [d for d in periods if fs.exists(self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[1])]
 
     def read_batch(self, name: str, batch_id: str | int, columns: list[str],
-                   periods: list[str] | None = None) -> DataFrame:
+                   periods: list[str] | None = None) -> DataFrame | None:
         """The rows one ``append_batch`` wrote (a lineage cut: later steps of a
-        job read back exactly what was committed).  ``periods``, when the job
-        knows them, avoids globbing every period directory of the table."""
-        if periods is None:
-            periods = self.batch_periods(name, batch_id)
-        else:
-            periods = [d for d in periods
-                       if self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[0].exists(
-                           self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[1])]
-        if not periods:
+        job read back exactly what was committed)."""
+        paths = [f"{self.path(name)}/{d}/batch={batch_id}" for d in self.batch_periods(name, batch_id, periods)]
+        if not paths:
             return None
-        paths = [f"{self.path(name)}/{d}/batch={batch_id}" for d in periods]
         return (self.spark.read.option("basePath", self.path(name)).parquet(*paths)
                 .select(*columns))
 
@@ -176,12 +240,12 @@ class TableStore:
             c for c in df.columns if c not in ("batch",) and c != present[0].split("=")[0]]
         return df.select(*keep)
 
-    def read_appends_with_period(self, name: str, periods: list[str] | None = None) -> DataFrame:
-        """Like ``read_appends`` but keeps the period column (for pruning joins)."""
+    def read_appends_with_period(self, name: str, periods: list[str] | None = None) -> DataFrame | None:
+        """Like ``read_appends`` but keeps the period and batch columns (for pruning)."""
         present = self._periods(name)
         if periods is not None:
             present = [d for d in present if d in set(periods)]
         if not present:
             return None
-        return (self.spark.read.option("basePath", self.path(name))
-                .parquet(*[f"{self.path(name)}/{d}" for d in present]).drop("batch"))
+        df = self.spark.read.option("basePath", self.path(name)).parquet(*[f"{self.path(name)}/{d}" for d in present])
+        return df.withColumn("batch", F.col("batch").cast("string"))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from marketflow.functions.time import as_of_column, instant
 from marketflow.operators.latest import latest_per_key
 from marketflow.schemas import FILL_EVENT_COLUMNS
-from marketflow.session import checkpoint_dir
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -46,6 +45,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys="item_id",
     return kept.unionByName(batch)
 
 
+def upsert_newest(target: DataFrame, batch: DataFrame, keys="item_id", time_col: str = "loaded_at",
+                  position: Sequence[str] = ()) -> DataFrame:
+    """W-1 for documents that arrive in any order: of a key's stored row and its batch rows the one
+    of the latest ``time_col`` stays; among equal times a batch row replaces the stored one, and
+    ``position`` orders the batch.  A rank-1 window: one shuffle, limited before it."""
+    keys = _cols(keys)
+    stored = target.select(*target.columns, F.lit(0).alias("_sent"))
+    sent = batch.select(*target.columns, F.lit(1).alias("_sent"), *position)
+    both = stored.unionByName(sent, allowMissingColumns=True)
+    return latest_per_key(both, keys, [time_col, "_sent", *position]).select(*target.columns)
+
+
 # --- W-2: insert-ignore -----------------------------------------------------------
 
 def dedupe_first(batch: DataFrame, keys, position, drop: Sequence[str] = ()) -> DataFrame:
@@ -150,9 +161,6 @@ def next_state(state: DataFrame, inserted: DataFrame, key: str = "item_id",
 
 # --- W-5: append fill events -----------------------------------------------------------
 
-NATURAL_KEY = ["flip_id", "leg", "event", "filled_qty", "offer_placed_at", "filled_at"]
-
-
 def event_uid(df: DataFrame) -> Column:
     """Idempotency key of a fill event: the ``event_uid`` that the producer sends, where it
     does; else SHA-256 of every sent column, each with its length, and a mark for NULL, so
@@ -167,27 +175,30 @@ def event_uid(df: DataFrame) -> Column:
     return F.coalesce(F.col("event_uid"), computed) if "event_uid" in df.columns else computed
 
 
-def dense_index(df: DataFrame, order: Sequence[str], name: str = "_idx") -> DataFrame:
-    """1-based row number over the global ``order`` without a single-task window.
+# Ranges of the id space that a batch of events is dealt to: each is numbered by itself, so a
+# batch may hold this many times the rows of one task.
+ID_RANGES = 4096
+
+
+def ranged_index(df: DataFrame, key: str, name: str = "_idx", ranges: int = ID_RANGES) -> DataFrame:
+    """1-based row number over the rows in order of the hash of ``key`` (a unique text).
 
-    The sort range-partitions the rows; each partition's size is counted (one
-    row per partition), the running offsets come from a window over those
-    counts, and each row adds its position inside the partition.  Equal to
-    ``row_number() over (order by ...)`` for a unique ``order``.
+    Rows fall into ``ranges`` equal parts of the hash space.  One aggregation counts the rows of
+    each part, a running sum over these few counts gives where its numbers begin, and each row is
+    numbered within its part.  No global sort and nothing written: the numbers depend on the keys
+    alone, so a retried task or a second evaluation gives the same ones.
     """
-    ranked = (df.orderBy(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    checkpoint_dir(df.sparkSession)
-    # fixes the partition contents between the two reads below (and cuts the
-    # lineage, so a lost executor cannot renumber rows)
-    ranked = ranked.checkpoint(eager=True)
-    sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    offsets = sizes.select("_pid", "_m0", (F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    return (ranked.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + (F.col("_mid") - F.col("_m0")) + 1)
-            .drop("_pid", "_mid", "_m0", "_off"))
+    hashed = df.withColumn("_h", F.sha2(F.col(key).cast("binary"), 256))
+    # the leading 32 bits of the hash, scaled to the number of parts: in order of the hash
+    part = F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") * ranges / (1 << 32)).cast("int")
+    hashed = hashed.withColumn("_part", part)
+    counts = hashed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # at most ``ranges`` rows meet in this window
+    begins = counts.select("_part", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_begin"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_h"))
+    return (hashed.withColumn("_place", place).join(F.broadcast(begins), "_part")
+            .withColumn(name, (F.col("_begin") + F.col("_place")).cast("long")).drop("_h", "_part", "_place", "_begin"))
 
 
 def append_fills(existing: DataFrame, batch: DataFrame,
@@ -195,9 +206,10 @@ def append_fills(existing: DataFrame, batch: DataFrame,
     """W-5: new fill events to append, with ``event_id`` and ``recorded_at``
     stamped on write.  Events already stored (same ``event_uid``) and repeats
     inside the batch are dropped, so a retried batch appends nothing twice.
-    ``event_id`` continues from the stored maximum (or ``id_base``), densely,
-    in natural-key order.  ``existing`` only needs the partitions a re-sent
-    event can be in (see ``Refresh.append_fill_events``).
+    ``event_id`` continues from the stored maximum (or ``id_base``), densely, so
+    ids rise from batch to batch; within a batch they follow the hash of the
+    ``event_uid``.  ``existing`` only needs the partitions a re-sent event can be
+    in (see ``Refresh.append_fill_events``).
     """
     b = batch.withColumn("event_uid", event_uid(batch)).dropDuplicates(["event_uid"])
     stored = existing.withColumn("event_uid", event_uid(existing)).select("event_uid")
@@ -206,7 +218,7 @@ def append_fills(existing: DataFrame, batch: DataFrame,
     # high-water mark) avoids scanning the log for its maximum.
     base = (id_base if id_base is not None
             else existing.agg(F.coalesce(F.max("event_id"), F.lit(0)).cast("long")).scalar())
-    indexed = dense_index(new, [*NATURAL_KEY, "event_uid"])
+    indexed = ranged_index(new, "event_uid")
     return indexed.select(
         (base + F.col("_idx")).alias("event_id"),
         *[c for c in batch.columns if c not in ("event_id", "recorded_at", "event_uid")],

@@ -88,7 +88,7 @@ select cast(user_id as int) item_id,
   case when event_type in ('click','view') then ts end low_time, ts loaded_at
 from events""",
     "raw_realized_fills": """
-select o_orderkey event_id, concat('f', cast(cast(floor(o_orderkey/2) as bigint) as varchar)) flip_id,
+select o_orderkey event_id, concat('f', cast(o_orderkey // 8 as varchar)) flip_id,
   case when o_orderkey % 2 = 0 then 'buy' else 'sell' end leg, cast(o_custkey as int) item_id,
   concat('v1.', cast(o_custkey % 3 as varchar)) bot_version,
   case when o_orderstatus='F' then 'filled' when o_orderstatus='P' then 'partial'
@@ -541,9 +541,7 @@ new as (
   select distinct on (event_uid) * from uid
   where event_uid not in (select event_uid from stored) order by event_uid)
 select (select coalesce(max(event_id), 0) from raw_realized_fills)
-    + row_number() over (order by flip_id nulls first, leg nulls first, event nulls first,
-      filled_qty nulls first, offer_placed_at nulls first, filled_at nulls first, event_uid nulls first)
-    as event_id,
+    + row_number() over (order by sha256(event_uid)) as event_id,
   {_FILL_COLS}, TIMESTAMP '2001-11-05 00:00:00' as recorded_at, event_uid
 from new""",
 }
@@ -657,3 +655,97 @@ for _name, _sql in _CHAIN:
     else:
         _DIRTY_CHAIN.append((_name, _sql))
 QUERIES["dq_report_dirty"] = with_models(_REPORT, _DIRTY_CHAIN)
+
+
+# --- the rows behind the counts: name=value pairs, instants as epoch microseconds -------
+
+_FEED = "item_id avg_high_price high_price_volume avg_low_price low_price_volume timestamp@ loaded_at@"
+_FILL = ("event_id flip_id leg item_id {0}bot_version event requested_qty filled_qty {1}offer_price avg_fill_price {2}tax_paid "
+         "realized_profit offer_placed_at@ filled_at@ {3}monitor_ms tolerance_ms relist_count {4}recorded_at@")
+# The columns of every model and source, @ marks instants.
+ROW_COLUMNS = {
+    "dim_items": "item_id item_name examine is_members low_alch_value high_alch_value buy_limit shop_value icon is_tax_exempt last_refreshed_at@",
+    "fct_prices": "item_id price_timestamp@ avg_high_price high_price_volume avg_low_price low_price_volume spread_gp spread_pct loaded_at@",
+    "agg_flip_opportunities": "item_id item_name buy_limit is_members high_price low_price spread_gp spread_pct high_price_volume "
+                              "low_price_volume price_updated_at@ volume_timestamp@ tax_gp profit_per_item max_profit_per_limit is_tax_exempt "
+                              "volume_per_hour avg_volume_per_hour_24h est_hours_to_fill_limit mid_volatility_1h mid_volatility_pct_1h "
+                              "is_high_value price_age_minutes is_stale",
+    "agg_item_liquidity": "item_id latest_hour_ts@ volume_per_hour high_volume_per_hour low_volume_per_hour avg_volume_per_hour_24h hours_observed_24h",
+    "agg_item_volatility": "item_id latest_snapshot_ts@ snapshots_used_1h mid_mean_1h mid_volatility_1h mid_volatility_pct_1h",
+    "realized_fills": _FILL.format("item_name ", "fill_ratio ", "slippage_gp ", "time_to_fill_seconds time_to_fill_hours ", "is_filled is_partial is_cancelled "),
+    "raw.item_mapping": "item_id name examine members lowalch highalch buy_limit value icon loaded_at@",
+    "raw.prices_5m": _FEED, "raw.prices_1h": _FEED,
+    "raw.prices_latest": "item_id high_price high_time@ low_price low_time@ loaded_at@",
+    "raw.realized_fills": _FILL.format("", "", "", "", ""),
+    "stg_prices_5m": "item_id avg_high_price high_price_volume avg_low_price low_price_volume price_timestamp@ loaded_at@ spread_gp spread_pct",
+}
+
+
+def _row_text(model: str) -> str:
+    def text(c: str) -> str:
+        value = f'cast(epoch_us("{c[:-1]}") as varchar)' if c.endswith("@") else f'cast("{c}" as varchar)'
+        return f"'{c.rstrip('@')}=' || coalesce({value}, 'NULL')"
+    return "concat_ws('|', " + ", ".join(text(c) for c in ROW_COLUMNS[model].split()) + ")"
+
+
+def _failing(check: str, model: str, column: str, where: str, severity: str = "error", table: str | None = None) -> str:
+    return (f"select '{check}' as check_name, '{model}' as model, '{column}' as column_name, '{severity}' as severity, "
+            f"{_row_text(table or model)} as row from {_t(table or model)} t where {where}")
+
+
+_FAILING = "\nunion all\n".join(
+    [_failing("not_null", m, c, f'"{c}" is null') for m, cols in NOT_NULL.items() for c in cols]
+    + [_failing("accepted_values", m, c, f"{c} not in ({', '.join(map(repr, v))})") for (m, c), v in ACCEPTED_VALUES.items()]
+    + [_failing("unique", m, c, f"{c} in (select {c} from {_t(m)} group by {c} having count(*) > 1)") for m, c in UNIQUE.items()]
+    + [_failing("unique_combination_of_columns", m, ",".join(cols),
+                f"({', '.join(cols)}) in (select ({', '.join(cols)}) from {_t(m)} group by {', '.join(cols)} having count(*) > 1)")
+       for m, cols in UNIQUE_COMBINATION.items()]
+    + [_failing("assert_price_high_gte_low", "fct_prices", "avg_high_price,avg_low_price", "avg_high_price < avg_low_price", "warn"),
+       _failing("orphan_prices", "fct_prices", "item_id", "not exists (select 1 from dim_items d where d.item_id = t.item_id)", "warn", "stg_prices_5m")])
+QUERIES["dq_failing_rows"] = with_models(_FAILING, _DIRTY_CHAIN)
+
+
+# --- stored tables over several loads ----------------------------------------------
+
+# A second session looks after the documents before each of these times are loaded, and after all.
+VIEW_CUTS = ("1997-01-01 00:00:00", "2000-01-01 00:00:00", "9999-01-01 00:00:00")
+
+
+def _seen_by_then(load: int, cut: str) -> str:
+    chain = []
+    for name, sql in _CHAIN:
+        if name in ("raw_prices_5m", "raw_prices_1h", "raw_prices_latest"):
+            whole = name.replace("raw_", "whole_")
+            chain += [(whole, sql), (name, f"select * from {whole} where loaded_at < TIMESTAMP '{cut}'")]
+        else:
+            chain.append((name, sql))
+    return with_models(f"""
+select {load} as load, p.item_id, p.price_timestamp, p.spread_gp, f.profit_per_item, f.volume_per_hour
+from fct_prices p left join refreshed_flips f on f.item_id = p.item_id""", chain)
+
+
+QUERIES["views_two_sessions"] = "\nunion all\n".join(f"select * from ({_seen_by_then(i, cut)})" for i, cut in enumerate(VIEW_CUTS))
+
+LOADS = {
+    "fct_prices_incremental": "select * from fct_prices",
+    "flip_from_buckets": "select * from refreshed_flips",
+    "dq_report_incremental": _REPORT,
+    "hopping_liquidity_stream": STREAMS["hopping_liquidity"],
+    "upsert_any_order": f"""
+with polls as (
+  select * from raw_item_mapping
+  union all by name select * exclude (pg) from ({_MAP_A})
+  union all by name select * exclude (pg) replace (TIMESTAMP '2001-11-03 00:00:00' as loaded_at) from ({_MAP_B}))
+select p.item_id, p.name, p.examine, p.members, p.lowalch, p.highalch, p.buy_limit, p.value, p.icon, p.loaded_at
+from polls p join (select item_id, max(loaded_at) as newest from polls group by item_id) n
+  on n.item_id = p.item_id and n.newest = p.loaded_at""",
+    "ingest_mapping_dirty": """
+select cast(p_partkey as int) as item_id, reason, case when reason is null then p_name end as name,
+  case when reason is null then p_size % 2 = 0 end as members, case when reason is null then cast(p_size as int) end as buy_limit,
+  case when reason is null then cast(floor(p_retailprice) as int) end as highalch,
+  case when reason is null then cast(floor(p_retailprice) as int) end as value
+from (select *, case when p_partkey % 50 in (1, 2, 3) then 'value' when p_partkey % 50 = 4 then 'required' end as reason from part)""",
+}
+
+for _name, _sql in LOADS.items():
+    QUERIES[_name] = with_models(_sql)

@@ -8,6 +8,7 @@ twin of every key is in ``marketflow.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 
@@ -211,6 +212,15 @@ def ingest_mapping_payload(spark, sf_dir):
     return payloads.parse_mapping_payload(docs, loaded_at="loaded_at")
 
 
+@_src
+def ingest_mapping_dirty(spark, sf_dir):
+    """S-3 with dead letters: every record once, typed or with the reason why it is not loaded."""
+    rows = payloads.mapping_records(fixtures.dirty_mapping_payloads(spark, sf_dir), loaded_at="loaded_at")
+    sent = F.coalesce("item_id", F.get_json_object("rejected", "$.id").cast("int"))
+    return rows.select(sent.alias("item_id"), "reason", *[F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in (
+        "name", "members", "buy_limit", "highalch", "value")])
+
+
 @_src
 def upsert_items(spark, sf_dir):
     target = fixtures.raw_item_mapping(spark, sf_dir)
@@ -287,7 +297,8 @@ def stream_dedupe(spark, sf_dir):
 
 
 def _refresh(spark, sf_dir, root) -> Refresh:
-    return Refresh(spark, TableStore(spark, f"{root}/store"), FIXTURE_PARAMS,
+    database = "run_" + re.sub(r"\W", "_", root.rstrip("/").rsplit("/", 1)[-1])
+    return Refresh(spark, TableStore(spark, f"{root}/store", database), FIXTURE_PARAMS,
                    tax_exempt=fixtures.seed_tax_exempt_items(spark, sf_dir),
                    buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir))
 
@@ -383,9 +394,120 @@ def refresh_mixed(spark, sf_dir):
 def views_over_store(spark, sf_dir):
     """W-4 and W-6: the stored fact table by the view's name, after a daily load and three
     streamed refreshes, with the flips that each item has in the view of the opportunities."""
-    _mixed(spark, sf_dir)
-    flips = spark.table("agg_flip_opportunities").select("item_id", "profit_per_item")
-    return spark.table("fct_prices").select("item_id", "price_timestamp", "spread_gp").join(flips, "item_id", "left")
+    r = _mixed(spark, sf_dir)
+    flips = r.table("agg_flip_opportunities").select("item_id", "profit_per_item")
+    return r.table("fct_prices").select("item_id", "price_timestamp", "spread_gp").join(flips, "item_id", "left")
+
+
+@_src
+def views_two_sessions(spark, sf_dir):
+    """W-6: a second session reads the facts and the opportunities by name after each of three
+    loads of all feeds; nothing is published in between, there or here."""
+    root = run_root(spark)
+    r = _refresh(spark, sf_dir, root)
+    r.load_mapping(_landed(spark, root, "mapping", fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir))))
+    reader = configure(spark.newSession())
+    feeds = {"latest": fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf_dir)),
+             "5m": fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m"),
+             "1h": fixtures.window_payloads(fixtures.raw_prices_1h(spark, sf_dir), "1h")}
+    bounds = [None, *VIEW_CUTS, None]
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        for feed, docs in feeds.items():
+            at = F.col("loaded_at")
+            cut = [c for c in (low and (at >= _ntz(low)), high and (at < _ntz(high))) if c is not None]
+            for c in cut:
+                docs = docs.filter(c)
+            getattr(r, f"refresh_{feed}")(_landed(spark, root, f"{feed}-{i}", docs), i)
+        flips = r.table("agg_flip_opportunities", reader).select("item_id", "profit_per_item", "volume_per_hour")
+        seen = r.table("fct_prices", reader).select("item_id", "price_timestamp", "spread_gp").join(flips, "item_id", "left")
+        seen.select(F.lit(i).alias("load"), "*").write.parquet(f"{root}/seen/load-{i}")
+    return spark.read.parquet(*[f"{root}/seen/load-{i}" for i in range(len(bounds) - 1)])
+
+
+# The loads that a second session looks at end at these times.
+VIEW_CUTS = ["1997-01-01 00:00:00", "2000-01-01 00:00:00"]
+
+
+def _ntz(text: str):
+    return F.lit(text).cast(T.TimestampNTZType())
+
+
+def _landed(spark, root: str, name: str, docs: DataFrame) -> DataFrame:
+    ingest.land_payloads(docs, f"{root}/landing/{name}")
+    return read_landed(spark, f"{root}/landing/{name}")
+
+
+@_src
+def fct_prices_incremental(spark, sf_dir):
+    """W-4 / D-2 maintained as a join: prices before any mapping, two mapping loads that each name
+    a part of the items, prices between and after them."""
+    root = run_root(spark)
+    r = _refresh(spark, sf_dir, root)
+    prices = fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m")
+    mapping = fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir))
+    page = F.substring_index("payload_id", "/", -1).cast("int")
+    at = F.col("loaded_at")
+    first, second = (_ntz(c) for c in VIEW_CUTS)
+    r.load_window("5m", _landed(spark, root, "5m-0", prices.filter(at < first)), 0)
+    r.load_mapping(_landed(spark, root, "mapping-0", mapping.filter(page == 0)), 0)
+    r.load_window("5m", _landed(spark, root, "5m-1", prices.filter((at >= first) & (at < second))), 1)
+    r.load_mapping(_landed(spark, root, "mapping-1", mapping.filter(page > 0)), 1)
+    r.load_window("5m", _landed(spark, root, "5m-2", prices.filter(at >= second)), 2)
+    return r.fct_prices()
+
+
+@_src
+def upsert_any_order(spark, sf_dir):
+    """W-1 in the job path: three polls of the mapping, of which the newest is loaded first and the
+    oldest stands behind a newer one in its file; the newest document of an item wins."""
+    root = run_root(spark)
+    r = _refresh(spark, sf_dir, root)
+    polls = fixtures.mapping_versions(spark, sf_dir)
+    r.load_mapping(_landed(spark, root, "0", polls["third"]), 0)
+    # one task writes both polls to a file, the newer first
+    late = polls["second"].unionByName(polls["first"]).coalesce(1).sortWithinPartitions(F.col("loaded_at").desc())
+    r.load_mapping(_landed(spark, root, "1", late), 1)
+    return r.raw("item_mapping")
+
+
+@_src
+def flip_from_buckets(spark, sf_dir):
+    """J-5: the opportunities from state and mart tables bucketed by item, read by the view's name;
+    with them as they lie, no join and no window of the view shuffles."""
+    root = run_root(spark)
+    land = _land_all(spark, sf_dir, root)
+    r = _refresh(spark, sf_dir, root)
+    r.refresh_daily(*(read_landed(spark, land[f]) for f in ("mapping", "latest", "5m", "1h")), batch_id=1)
+    return r.table("agg_flip_opportunities")
+
+
+@_src
+def dq_failing_rows(spark, sf_dir):
+    """Q-8 in rows: each row of the tables with planted defects, once for every check it fails."""
+    return quality.failing_rows(_dirty_models(spark, sf_dir))
+
+
+@_src
+def dq_report_incremental(spark, sf_dir):
+    """Q-8 from check states: a report after the first half of all feeds, and one after the rest,
+    which reads only the parts that changed."""
+    root = run_root(spark)
+    r = _refresh(spark, sf_dir, root)
+    feeds = {"latest": fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf_dir)),
+             "5m": fixtures.window_payloads(fixtures.raw_prices_5m(spark, sf_dir), "5m"),
+             "1h": fixtures.window_payloads(fixtures.raw_prices_1h(spark, sf_dir), "1h")}
+    fills = fixtures.raw_realized_fills(spark, sf_dir).drop("event_id", "recorded_at")
+    r.load_mapping(_landed(spark, root, "mapping", fixtures.mapping_payloads(fixtures.raw_item_mapping(spark, sf_dir))))
+    cut = _ntz(MIXED_CUT)
+    for i, late in enumerate((False, True)):
+        for feed, docs in feeds.items():
+            docs = _landed(spark, root, f"{feed}-{i}", docs.filter((F.col("loaded_at") >= cut) == late))
+            r.load_latest(docs, i) if feed == "latest" else r.load_window(feed, docs, i)
+        r.append_fill_events(fills.filter((F.col("offer_placed_at") >= cut) == late), i)
+        r.rebuild_volatility()
+        r.rebuild_liquidity()
+        report = r.quality_report()
+    return report
 
 
 @_src
@@ -425,12 +547,38 @@ def seed_tax_exempt(spark, sf_dir):
 @_src
 def dq_report_dirty(spark, sf_dir):
     """Q-1 … Q-8 over raw tables with planted defects: every kind of check counts some."""
-    raw = fixtures.dirty_raw_tables(spark, sf_dir)
-    m = Models(RawTables(**raw, tax_exempt_items=fixtures.seed_tax_exempt_items(spark, sf_dir),
-                         buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir)), FIXTURE_PARAMS)
+    m = _dirty_models(spark, sf_dir)
     return quality.report(m, m.params.as_of)
 
 
+def _dirty_models(spark, sf_dir) -> Models:
+    raw = fixtures.dirty_raw_tables(spark, sf_dir)
+    return Models(RawTables(**raw, tax_exempt_items=fixtures.seed_tax_exempt_items(spark, sf_dir),
+                            buy_limit_overrides=fixtures.seed_buy_limit_overrides(spark, sf_dir)), FIXTURE_PARAMS)
+
+
+@_src
+def hopping_liquidity_stream(spark, sf_dir):
+    """T-4 on a stream: the hourly feed in slices of time, every tenth item's rows a slice late,
+    through stateful panes in update mode; returns the upserted windows."""
+    root = run_root(spark)
+    hours = fixture_models(spark, sf_dir).stg_prices_1h
+    at = F.col("price_timestamp")
+    slices = sum(((at >= _ntz(c)).cast("int") for c in (MIXED_CUT, *VIEW_CUTS[1:])), F.lit(0))
+    arrives = slices + (F.pmod("item_id", F.lit(10)) == 0).cast("int")
+    hours.withColumn("slice", arrives).write.partitionBy("slice").parquet(f"{root}/slices")
+    store = TableStore(spark, f"{root}/store")
+    for i in range(4):
+        spark.read.schema(hours.schema).parquet(f"{root}/slices/slice={i}").write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(hours.schema).parquet(f"{root}/landing")
+        ingest.start_hopping_liquidity(stream, store, f"{root}/checkpoint", **HOPPING_LIQUIDITY, delay=LATE_WITHIN).awaitTermination()
+    return ingest.liquidity_windows(store)
+
+
+# How late the hourly rows of the streamed fixture come, a slice at most.
+LATE_WITHIN = "2000 days"
+
+
 @_src
 def stream_ingest(spark, sf_dir):
     """T-1: landed /5m documents streamed into the raw table (``foreachBatch``

@@ -21,6 +21,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # of a key that a JSON object repeats the last value counts, as in a dict
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -28,6 +28,7 @@ ORPHAN_PART_MODULUS = 7          # prices of parts with key % 7 == 0 come under
 ORPHAN_OFFSET = 1_000_000_000    # ... which is the key plus this
 TAX_EXEMPT_PART_MODULUS = 97     # parts with key % 97 == 0 are tax exempt
 LIMIT_OVERRIDE_PART_MODULUS = 89  # parts with key % 89 == 0 get buy limit 1
+ORDERS_PER_FLIP = 8              # this many consecutive order keys are the events of one flip
 
 
 _READS: dict[tuple[int, str, str], DataFrame] = {}
@@ -145,7 +146,8 @@ def poll_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_realized_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One fill/cancel event per order; even keys are buy legs, odd keys sell legs."""
+    """One fill/cancel event per order; even keys are buy legs, odd keys sell legs, and a run of
+    keys is one flip, so a leg has several events and the latest one counts."""
     o = table(spark, sf_dir, "orders")
     ship = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
             .agg(F.max("l_shipdate").alias("ship")))
@@ -155,7 +157,7 @@ def raw_realized_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     sell = k % 2 == 1
     return j.select(
         k.alias("event_id"),
-        F.concat(F.lit("f"), F.floor(k / 2).cast("long").cast("string")).alias("flip_id"),
+        F.concat(F.lit("f"), F.floor(k / ORDERS_PER_FLIP).cast("long").cast("string")).alias("flip_id"),
         F.when(k % 2 == 0, "buy").otherwise("sell").alias("leg"),
         F.col("o_custkey").cast("int").alias("item_id"),
         F.concat(F.lit("v1."), (F.col("o_custkey") % 3).cast("string")).alias("bot_version"),
@@ -273,6 +275,39 @@ def mapping_update_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
+MAPPING_VERSIONS = {"second": "2001-11-02 00:00:00", "third": "2001-11-03 00:00:00"}
+
+
+def mapping_versions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Three polls of the mapping at different times, each with items that the others lack: the
+    mapping itself, and the two pages of its update, a day apart."""
+    update = mapping_update_batch(spark, sf_dir)
+    out = {"first": mapping_payloads(raw_item_mapping(spark, sf_dir))}
+    for (name, at), page in zip(MAPPING_VERSIONS.items(), ("mapping-a", "mapping-b")):
+        out[name] = update.filter(F.col("payload_id").startswith(page)).withColumn("loaded_at", F.lit(at).cast(NTZ))
+    return out
+
+
+def dirty_mapping_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping as documents in which some records hold values that their columns do not take:
+    a number beyond the integers, a fraction, a text, and records without a name."""
+    p = table(spark, sf_dir, "part")
+    key, number = F.col("p_partkey"), F.floor("p_retailprice").cast("int").cast("string")
+    name = F.regexp_extract(F.to_json(F.struct(F.col("p_name").alias("v"))), '^\\{"v":(.*)\\}$', 1)  # as a JSON text
+    record = F.concat(
+        F.lit('{"id":'), key.cast("string"),
+        F.when(key % 50 != 4, F.concat(F.lit(',"name":'), name)).otherwise(F.lit("")),
+        F.lit(',"members":'), (F.col("p_size") % 2 == 0).cast("string"),
+        F.lit(',"limit":'), F.when(key % 50 == 1, F.lit("3000000000")).otherwise(F.col("p_size").cast("string")),
+        F.lit(',"highalch":'), F.when(key % 50 == 2, F.concat(number, F.lit(".5"))).otherwise(number),
+        F.lit(',"value":'), F.when(key % 50 == 3, F.lit('"x"')).otherwise(number), F.lit("}"))
+    rows = p.select(key.alias("item_id"), record.alias("record"))
+    docs = rows.groupBy(_page().alias("page")).agg(F.concat(
+        F.lit("["), F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("item_id", "record"))), lambda r: r["record"])), F.lit("]")).alias("value"))
+    return docs.select(F.concat_ws("/", F.lit("dirty"), F.col("page").cast("string")).alias("payload_id"), "value",
+                       F.lit(MAPPING_LOADED_AT).cast(NTZ).alias("loaded_at"))
+
+
 def prices_5m_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored 5-minute history before 2000 (W-2 target)."""
     raw = raw_prices_5m(spark, sf_dir)

@@ -4,10 +4,11 @@ Documents are parsed with a declared schema and exploded to one row per item.  T
 functions serve batch and streaming DataFrames.  A document that does not parse yields no
 rows in ``parse_*`` and is reported by ``quarantined``.
 
-``latest_records`` and ``window_records`` are what the jobs load: one parse that gives the
-accepted rows and, with a ``reason``, everything that is not loadable: documents that do not
-parse, an explicit null timestamp, item ids and numbers that are no integers of the column's
-range.  Nothing becomes NULL that was sent as a value.
+``latest_records``, ``window_records`` and ``mapping_records`` are what the jobs load: one parse
+that gives the accepted rows and, with a ``reason``, everything that is not loadable: documents
+that do not parse, an explicit null timestamp, item ids and numbers that are no integers of the
+column's range, mapping records without a required field.  Nothing becomes NULL that was sent
+as a value.
 """
 
 from __future__ import annotations
@@ -124,44 +125,79 @@ def parse_window_payload(payloads: DataFrame, value: str = "value",
                     *(["payload_id"] if with_source else []))
 
 
+# Mapping fields by the JSON type that their column takes.
+_MAPPING_INTS = {"item_id": "id", "lowalch": "lowalch", "highalch": "highalch", "buy_limit": "limit", "value": "value"}
+_MAPPING_TEXTS = {"name": "name", "examine": "examine", "icon": "icon"}
+
+
+def mapping_records(payloads: DataFrame, value: str = "value", loaded_at: str | Column | None = None,
+                    envelope: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """S-3 with its rejects: ``[{id, name, examine, members, lowalch, highalch, limit, value,
+    icon}]`` → raw.item_mapping rows (``id``→``item_id``, ``limit``→``buy_limit``) plus payload_id,
+    pos, reason and rejected.
+
+    A document is parsed once, into VARIANT, and every field is typed from it: a number that is no
+    integer of the column's range, a text where a number is due, or an object or array where a
+    text is due rejects the record (``value``), as does a missing ``id`` or ``name``
+    (``required``) and a record that is no object (``record``).  A document that does not parse or
+    holds no array is rejected as a whole (``document``), one without a load time too
+    (``load_time``).  ``keep`` names columns of ``payloads`` to carry along.
+    """
+    pid = F.col("payload_id") if "payload_id" in payloads.columns else F.lit(None).cast("string")
+    docs = payloads.select(pid.alias("payload_id"), *keep, F.col(value).alias("_text"), F.try_parse_json(value).alias("_v"),
+                           *([] if loaded_at is None and envelope else [_loaded_at(loaded_at).alias("loaded_at")]))
+    if envelope and loaded_at is None:
+        docs = docs.withColumn("loaded_at", F.timestamp_seconds(F.try_variant_get("_v", "$.poll_time", "bigint")))
+    docs = docs.withColumn("_records", F.try_variant_get("_v", "$.payload" if envelope else "$", "array<variant>"))
+    docs = docs.withColumn("_reason", F.when(F.col("_records").isNull(), "document").when(F.col("loaded_at").isNull(), "load_time"))
+    rows = docs.select("payload_id", *keep, "loaded_at", "_reason", F.when(F.col("_reason").isNotNull(), F.col("_text")).alias("_text"),
+                       F.posexplode_outer(F.when(F.col("_reason").isNull(), F.col("_records"))).alias("pos", "_r"))
+    # an empty array has no records
+    rows = rows.filter(F.col("pos").isNotNull() | F.col("_reason").isNotNull())
+
+    def kind(field: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get("_r", f"$.{field}", "variant"))
+
+    def sent(field: str) -> Column:
+        return F.coalesce(kind(field) != "VOID", F.lit(False))
+
+    def integer(field: str) -> Column:
+        """The field as an integer, NULL where it is another type or value."""
+        exact = F.try_variant_get("_r", f"$.{field}", "decimal(38,10)")
+        number = kind(field).isin("BIGINT", "DOUBLE") | kind(field).startswith("DECIMAL")
+        whole = exact.try_cast("int")
+        return F.when(number & (exact == whole), whole)
+
+    bad = sent("members") & (kind("members") != "BOOLEAN")
+    for field in _MAPPING_INTS.values():
+        bad = bad | (sent(field) & integer(field).isNull())
+    for field in _MAPPING_TEXTS.values():
+        bad = bad | (sent(field) & (kind(field).startswith("OBJECT") | kind(field).startswith("ARRAY")))
+    reason = (F.when(~F.schema_of_variant("_r").startswith("OBJECT"), "record")
+              .when(~sent("id") | ~sent("name"), "required").when(bad, "value"))
+    typed = {c: integer(f) for c, f in _MAPPING_INTS.items()}
+    typed |= {c: F.try_variant_get("_r", f"$.{f}", "string") for c, f in _MAPPING_TEXTS.items()}
+    typed["members"] = F.when(kind("members") == "BOOLEAN", F.try_variant_get("_r", "$.members", "boolean"))
+    rows = rows.withColumn("reason", F.coalesce("_reason", reason))
+    return rows.select(*[typed[c].alias(c) for c in schemas.ITEM_MAPPING.fieldNames() if c != "loaded_at"], "loaded_at",
+                       "payload_id", "pos", *keep, "reason",
+                       F.when(F.col("reason").isNotNull(), F.coalesce("_text", F.to_json("_r"))).alias("rejected"))
+
+
 def parse_mapping_payload(payloads: DataFrame, value: str = "value",
                           loaded_at: str | Column | None = None,
                           keep_position: bool = False, envelope: bool = False) -> DataFrame:
-    """S-3: ``[{id, name, examine, members, lowalch, highalch, limit, value, icon}]``
-    → raw.item_mapping rows (``id``→``item_id``, ``limit``→``buy_limit``).
-
-    Records without ``id`` or ``name`` are not loadable; they are left out here
-    and counted by ``invalid_mapping_records``.  ``keep_position`` adds
-    ``(payload_id, pos)`` so an upsert can apply "last record wins".
-    """
-    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, loaded_at, envelope)
-    x = parsed.select("payload_id", "loaded_at", F.posexplode("doc").alias("pos", "r"))
-    x = x.filter(F.col("r.id").isNotNull() & F.col("r.name").isNotNull())
-    out = x.select(F.col("r.id").alias("item_id"), F.col("r.name").alias("name"),
-                   F.col("r.examine").alias("examine"), F.col("r.members").alias("members"),
-                   F.col("r.lowalch").alias("lowalch"), F.col("r.highalch").alias("highalch"),
-                   F.col("r.limit").alias("buy_limit"), F.col("r.value").alias("value"),
-                   F.col("r.icon").alias("icon"), "loaded_at",
-                   *(["payload_id", "pos"] if keep_position else []))
-    return out
+    """S-3: the accepted rows of ``mapping_records``.  ``keep_position`` adds ``(payload_id, pos)``
+    so an upsert can apply "last record wins"."""
+    rows = mapping_records(payloads, value, loaded_at, envelope).filter(F.col("reason").isNull())
+    return rows.select(*schemas.ITEM_MAPPING.fieldNames(), *(["payload_id", "pos"] if keep_position else []))
 
 
 def invalid_mapping_records(payloads: DataFrame, value: str = "value",
                             envelope: bool = False, loaded_at=None) -> DataFrame:
-    """(loaded_at, reason, rejected): mapping records missing a required field (``id`` or
-    ``name``), as JSON."""
-    parsed = _parse(payloads, schemas.MAPPING_PAYLOAD, value, loaded_at, envelope)
-    x = parsed.select("loaded_at", F.explode("doc").alias("r"))
-    return x.filter(F.col("r.id").isNull() | F.col("r.name").isNull()).select(
-        "loaded_at", F.lit("required").alias("reason"), F.to_json("r").alias("rejected"))
-
-
-def landed_at(payloads: DataFrame, loaded_at, envelope: bool) -> DataFrame:
-    """``payloads`` with the ``loaded_at`` of each document, NULL where the envelope has none."""
-    if not envelope:
-        return payloads.withColumn("loaded_at", _loaded_at(loaded_at))
-    return payloads.withColumn("loaded_at", F.timestamp_seconds(
-        F.get_json_object("value", "$.poll_time").try_cast("bigint")))
+    """(loaded_at, reason, rejected): the rejects of ``mapping_records``, as JSON."""
+    rows = mapping_records(payloads, value, loaded_at, envelope)
+    return rows.filter(F.col("reason").isNotNull()).select("loaded_at", "reason", "rejected")
 
 
 def quarantined(payloads: DataFrame, schema=schemas.LATEST_PAYLOAD, value: str = "value",

@@ -53,3 +53,25 @@ def test_mapping_required_fields(spark):
     out = {r.item_id: r for r in pl.parse_mapping_payload(docs).collect()}
     assert set(out) == {1, 3} and out[1].buy_limit == 5 and out[3].members is True
     assert pl.invalid_mapping_records(docs).count() == 2
+
+
+def test_mapping_values_that_do_not_fit(spark):
+    """One parse types every field; nothing sent as a value becomes NULL."""
+    doc = ('[{"id": 1, "name": "a", "limit": 3000000000}, {"id": 2, "name": "b", "highalch": 12.5},'
+           ' {"id": 3, "name": "c", "lowalch": "x"}, {"id": 4, "limit": 1}, {"id": "5", "name": "e"}, 6,'
+           ' {"id": 7, "name": "g", "members": 1}, {"id": 8, "name": ["h"]}, {"id": 9, "id": 10, "name": "i", "value": 7.0},'
+           ' {"id": 11, "name": "k", "limit": null, "members": false, "more": {"x": 1}}, {"id": null, "name": "m"}]')
+    rows = pl.mapping_records(_docs(spark, doc, "{oops", '{"id": 1}', "[]")).collect()
+    bad = sorted((r.payload_id, r.pos, r.reason) for r in rows if r.reason and r.payload_id == "doc0")
+    assert [(p, why) for _, p, why in bad] == [(0, "value"), (1, "value"), (2, "value"), (3, "required"), (4, "value"),
+                                               (5, "record"), (6, "value"), (7, "value"), (10, "required")]
+    assert sorted(r.payload_id for r in rows if r.reason == "document") == ["doc1", "doc2"]
+    assert "3000000000" in next(r.rejected for r in rows if r.pos == 0)
+    good = {r.item_id: r for r in rows if not r.reason}
+    assert set(good) == {10, 11} and good[10].value == 7 and good[11].members is False and good[11].buy_limit is None
+
+
+def test_mapping_documents_without_a_load_time(spark):
+    lines = ('{"poll_time": 0, "payload": [{"id": 1, "name": "a"}]}', '{"payload": [{"id": 2, "name": "b"}]}')
+    rows = pl.mapping_records(_docs(spark, *lines), envelope=True).collect()
+    assert sorted((r.item_id or 0, r.reason or "") for r in rows) == [(0, "load_time"), (1, "")]

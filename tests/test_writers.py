@@ -2,6 +2,7 @@
 rows 12, 14, 15) plus idempotence and the skew-safe bucketing."""
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,15 +106,36 @@ def test_append_fills_idempotent_and_dense(spark):
     appended = writers.append_fills(existing, batch, recorded_at=_t(10))
     out = appended.collect()
     assert sorted(r.event_id for r in out) == [42, 43]
-    assert [r.flip_id for r in sorted(out, key=lambda r: r.event_id)] == ["f1", "f2"]
+    assert [r.event_uid for r in sorted(out, key=lambda r: r.event_id)] == sorted(
+        (r.event_uid for r in out), key=lambda u: hashlib.sha256(u.encode()).hexdigest())
     stored = existing.unionByName(appended.drop("event_uid").select(*existing.columns))
     assert writers.append_fills(stored, batch).count() == 0   # a retried batch adds nothing
 
 
-def test_dense_index_matches_row_number(spark):
-    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k")).repartition(7)
-    idx = writers.dense_index(df, ["k"]).collect()
-    assert sorted((r.k, r._idx) for r in idx) == [(k, i + 1) for i, k in enumerate(sorted(r.k for r in idx))]
+def test_ranged_index_matches_row_number(spark):
+    """Numbers follow the hash of the key, without gaps, whatever the partitions; nothing runs and
+    nothing is sorted globally when the result is built."""
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).cast("string").alias("k"))
+    want = sorted((str(i * 7919 % 5003) for i in range(5000)), key=lambda k: hashlib.sha256(k.encode()).hexdigest())
+    for parts, ranges in ((7, 4096), (3, 5), (1, 1)):
+        idx = writers.ranged_index(df.repartition(parts), "k", ranges=ranges)
+        assert "rangepartitioning" not in idx._jdf.queryExecution().executedPlan().toString()
+        assert [r.k for r in sorted(idx.collect(), key=lambda r: r._idx)] == want
+        assert sorted(r._idx for r in idx.collect()) == list(range(1, 5001))
+
+
+def test_upsert_newest_in_any_order(spark):
+    """The newest document of an item wins, whichever load or line it comes by."""
+    rows = [(1, f"v{m}", None, None, None, None, None, None, None, _t(m)) for m in range(4)]
+    target = spark.createDataFrame(rows[2:3], schemas.ITEM_MAPPING)
+    for order in ([0, 3, 1], [3, 1, 0], [0, 1], [2]):
+        batch = spark.createDataFrame([(*rows[m], i) for i, m in enumerate(order)],
+                                      T.StructType(schemas.ITEM_MAPPING.fields + [T.StructField("line", T.IntegerType())]))
+        got = writers.upsert_newest(target, batch, position=["line"]).collect()
+        assert [r.name for r in got] == [f"v{max(2, *order)}" if len(order) > 1 else "v2"]
+    same = spark.createDataFrame([(1, n, *[None] * 7, _t(2), i) for i, n in enumerate("ab")],
+                                 T.StructType(schemas.ITEM_MAPPING.fields + [T.StructField("line", T.IntegerType())]))
+    assert [r.name for r in writers.upsert_newest(target, same, position=["line"]).collect()] == ["b"]
 
 
 def test_change_detection_matches_sequential_replay(spark):
