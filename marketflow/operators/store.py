@@ -153,8 +153,22 @@ class TableStore:
             fs.mkdirs(p)
         return int(pinned[0])
 
-    def read_version(self, name: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path(name)}/version={version}")
+    def read_version(self, name: str, version: int, schema: T.StructType | None = None) -> DataFrame:
+        r = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return r.parquet(f"{self.path(name)}/version={version}")
+
+    # --- marks: one number per name, kept as the name of an empty folder -----------------
+    def mark(self, name: str) -> int | None:
+        found = self._children(self.path(name), "")
+        return max(map(int, found)) if found else None
+
+    def advance_mark(self, name: str, value: int) -> None:
+        """The mark never goes back; lower ones are removed."""
+        fs, p = self._fs_path(f"{self.path(name)}/{value}")
+        fs.mkdirs(p)
+        for old in map(int, self._children(self.path(name), "")):
+            if old < self.mark(name):
+                fs.delete(self._fs_path(f"{self.path(name)}/{old}")[1], True)
 
     def write_scratch(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """A table of one load: written once, read by the load's steps, dropped after it."""
@@ -213,15 +227,16 @@ class TableStore:
         fs, _ = self._fs_path(self.path(name))
         return [d for d in periods if fs.exists(self._fs_path(f"{self.path(name)}/{d}/batch={batch_id}")[1])]
 
-    def read_batch(self, name: str, batch_id: str | int, columns: list[str],
-                   periods: list[str] | None = None) -> DataFrame | None:
+    def read_batch(self, name: str, batch_id: str | int, schema: T.StructType,
+                   periods: list[str] | None = None) -> DataFrame:
         """The rows one ``append_batch`` wrote (a lineage cut: later steps of a
         job read back exactly what was committed)."""
         paths = [f"{self.path(name)}/{d}/batch={batch_id}" for d in self.batch_periods(name, batch_id, periods)]
         if not paths:
-            return None
-        return (self.spark.read.option("basePath", self.path(name)).parquet(*paths)
-                .select(*columns))
+            return self.spark.createDataFrame([], schema)
+        # a given schema spares the job that would look for it in the files
+        return (self.spark.read.option("basePath", self.path(name)).schema(schema).parquet(*paths)
+                .select(*schema.fieldNames()))
 
     def read_appends(self, name: str, schema: T.StructType | None = None,
                      periods: list[str] | None = None) -> DataFrame:
@@ -240,12 +255,14 @@ class TableStore:
             c for c in df.columns if c not in ("batch",) and c != present[0].split("=")[0]]
         return df.select(*keep)
 
-    def read_appends_with_period(self, name: str, periods: list[str] | None = None) -> DataFrame | None:
+    def read_appends_with_period(self, name: str, periods: list[str] | None = None,
+                                 schema: T.StructType | None = None) -> DataFrame | None:
         """Like ``read_appends`` but keeps the period and batch columns (for pruning)."""
         present = self._periods(name)
         if periods is not None:
             present = [d for d in present if d in set(periods)]
         if not present:
             return None
-        df = self.spark.read.option("basePath", self.path(name)).parquet(*[f"{self.path(name)}/{d}" for d in present])
+        r = self.spark.read.option("basePath", self.path(name))
+        df = (r if schema is None else r.schema(schema)).parquet(*[f"{self.path(name)}/{d}" for d in present])
         return df.withColumn("batch", F.col("batch").cast("string"))

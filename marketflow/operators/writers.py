@@ -97,36 +97,37 @@ def _changed(cur_h: Column, cur_l: Column, prev_h: Column, prev_l: Column, has_p
 
 def changed_rows(history: DataFrame, key: str = "item_id", time_col: str = "loaded_at",
                  compare: Sequence[str] = ("high_price", "low_price"),
-                 bucket_unit: str = "day", before: Sequence[str] = ()) -> DataFrame:
+                 bucket_unit: str = "day", before: Sequence[str] = (), apart: Sequence[str] = (),
+                 always: Column | None = None) -> DataFrame:
     """W-3 over a batch of history: keep a row when its compared columns differ
     (null-safely) from the item's previous row; an item's first row always stays.
 
     Equal to replaying the polls one by one against the stored table, because a
     skipped poll always equals the stored row it was compared with.  Rows of one time are
-    ordered by ``before`` and then by their values.
+    ordered by ``before`` and then by their values.  Rows that differ in ``apart`` are no
+    neighbours; rows of ``always`` stay.
 
     Skew: a key's rows are split into time buckets.  One window per ``(key, bucket)`` finds
-    each row's predecessor and marks the bucket's last row; the first row of a bucket
-    compares with the last row of the key's previous non-empty bucket, taken from those marks
-    (one row per bucket), so no task ever holds a whole hot key.
+    each row's predecessor and marks the bucket's first and last row; of these edges, two rows
+    a bucket, a second window gives the first ones theirs.  No task ever holds a whole hot key,
+    and the history is shuffled once.
     """
     h, l = compare
+    keys = [key, *apart]
+    kept = F.lit(False) if always is None else always
     order = [time_col, *before, *[c for c in history.columns if c not in (key, time_col, *before)]]
     rows = history.withColumn("_b", F.date_trunc(bucket_unit, instant(time_col)))
-    w = Window.partitionBy(key, "_b").orderBy(*order)
+    w = Window.partitionBy(*keys, "_b").orderBy(*order)
     rows = rows.select("*", F.lag(h).over(w).alias("_ph"), F.lag(l).over(w).alias("_pl"),
                        (F.row_number().over(w) == 1).alias("_first"),
                        F.lead(F.lit(True), 1, False).over(w).alias("_more"))
-    last = rows.filter(~F.col("_more")).select(key, "_b", F.col(h).alias("_bh"), F.col(l).alias("_bl"))
-    wb = Window.partitionBy(key).orderBy("_b")
-    boundary = last.select(key, "_b", F.lag("_bh").over(wb).alias("_ph0"),
-                           F.lag("_bl").over(wb).alias("_pl0"),
-                           (F.row_number().over(wb) > 1).alias("_has0"))
-    firsts = rows.filter("_first").join(boundary, [key, "_b"], "inner")
-    firsts = firsts.filter(_changed(F.col(h), F.col(l), F.col("_ph0"), F.col("_pl0"),
-                                    F.col("_has0")))
+    edges = rows.filter(F.col("_first") | ~F.col("_more"))
+    we = Window.partitionBy(*keys).orderBy("_b", F.col("_first").desc())
+    edges = edges.select("*", F.lag(h).over(we).alias("_ph0"), F.lag(l).over(we).alias("_pl0"),
+                         (F.row_number().over(we) > 1).alias("_has0"))
+    firsts = edges.filter("_first").filter(kept | _changed(F.col(h), F.col(l), F.col("_ph0"), F.col("_pl0"), F.col("_has0")))
     rest = rows.filter(~F.col("_first")).filter(
-        _changed(F.col(h), F.col(l), F.col("_ph"), F.col("_pl"), F.lit(True)))
+        kept | _changed(F.col(h), F.col(l), F.col("_ph"), F.col("_pl"), F.lit(True)))
     cols = history.columns
     return firsts.select(*cols).unionByName(rest.select(*cols))
 
@@ -144,13 +145,12 @@ def changed_vs_state(state: DataFrame, batch: DataFrame, key: str = "item_id",
     cols = batch.columns
     h, l = compare
     marks = state.select(key, F.col(time_col).alias("_at"), F.col(h).alias("_sh"), F.col(l).alias("_sl"))
-    placed = batch.join(marks, key, "left")
-    old = F.coalesce(F.col(time_col) < F.col("_at"), F.lit(False))
-    late = placed.filter(old & _changed(F.col(h), F.col(l), F.col("_sh"), F.col("_sl"), F.lit(True))).select(*cols)
-    both = (state.select(*cols).withColumn("_after", F.lit(0))
-            .unionByName(placed.filter(~old).select(*cols).withColumn("_after", F.lit(1))))
-    chain = changed_rows(both, key, time_col, compare, before=["_after"]).filter("_after = 1").select(*cols)
-    return chain.unionByName(late)
+    late = F.coalesce(F.col(time_col) < F.col("_at"), F.lit(False))
+    differs = _changed(F.col(h), F.col(l), F.col("_sh"), F.col("_sl"), F.lit(True))
+    sent = batch.join(marks, key, "left").select(*cols, F.lit(1).alias("_after"), late.alias("_late"), (late & differs).alias("_kept"))
+    known = state.select(*cols, F.lit(0).alias("_after"), F.lit(False).alias("_late"), F.lit(False).alias("_kept"))
+    found = changed_rows(known.unionByName(sent), key, time_col, compare, before=["_after"], apart=["_late"], always=F.col("_kept"))
+    return found.filter((F.col("_after") == 1) & (~F.col("_late") | F.col("_kept"))).select(*cols)
 
 
 def next_state(state: DataFrame, inserted: DataFrame, key: str = "item_id",

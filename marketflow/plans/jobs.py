@@ -36,6 +36,7 @@ from typing import ClassVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow import schemas
 from marketflow.functions.time import instant, ts_literal
@@ -163,38 +164,22 @@ class Refresh:
         counts = {"documents": seen.get["n"], **parsed.get}
         return table, scratch, self._key(batch_id, seen.get), counts, self.store.scratch_periods(scratch)
 
-    def _append(self, rows: DataFrame, name: str, key: str, time_col: str, periods: list[str] | None = None,
-                metrics: dict | None = None) -> tuple[DataFrame, dict]:
+    def _append(self, rows: DataFrame, name: str, key: str, time_col: str,
+                periods: list[str] | None = None) -> tuple[DataFrame, dict]:
         """Append one batch and return the committed rows, read back from the
         batch's directories, with the write's metrics.  The written batch is the
         lineage cut: the state update sees exactly the stored rows (and the same
         load time), and a lost executor never recomputes the change detection."""
-        cols = [c for c in rows.columns if c != "event_date"]
+        schema = rows.drop("event_date").schema
         if "event_date" not in rows.columns:
             rows = rows.withColumn("event_date", period_start(time_col, PARTITION_PERIOD[name]))
         seen = self.store.append_batch(rows, f"raw/{name}", key, "event_date", {
-            "inserted": F.count(F.lit(1)), "loaded": F.max(F.unix_micros(instant("loaded_at"))), **(metrics or {})}
-            if "loaded_at" in cols else metrics)
-        written = self.store.read_batch(f"raw/{name}", key, cols, periods)
-        if written is None:
-            written = self.spark.createDataFrame([], rows.select(*cols).schema)
-        if seen.get("loaded") is not None:
-            self._advance_load_mark(name, seen["loaded"])
-        return written, seen
-
-    def _advance_load_mark(self, name: str, micros: int) -> None:
-        """Per-feed high-water mark of ``loaded_at`` (one row per feed), so the
-        freshness check reads a tiny table instead of scanning the feed."""
-        # one table per feed: each has a single writer, so feeds refreshed by
-        # concurrent streams never race on it
-        table = f"state/load_marks/{name}"
-        new = self.spark.range(0, 1, 1, 1).select(
-            F.lit(f"raw.{name}").alias("source_name"), F.timestamp_micros(F.lit(micros)).alias("max_loaded_at"))
-        if self.store.exists(table):
-            new = self.store.read(table).unionByName(new)
-        # a row or two: one task, no shuffle
-        marks = new.coalesce(1).groupBy("source_name").agg(F.max("max_loaded_at").alias("max_loaded_at"))
-        self.store.write_version(marks, table)
+            "inserted": F.count(F.lit(1)), "loaded": F.max(F.unix_micros(instant("loaded_at")))})
+        # per-feed high-water mark of loaded_at, so the freshness check never scans a feed; each
+        # feed has a mark of its own and a single writer
+        if seen["loaded"] is not None:
+            self.store.advance_mark(f"state/load_marks/{name}", seen["loaded"])
+        return self.store.read_batch(f"raw/{name}", key, schema, periods), seen
 
     def _load_time(self):
         """Load time of raw (non-envelope) documents: one value per load, fixed
@@ -241,7 +226,7 @@ class Refresh:
         batch = batch.select(*schemas.PRICES_LATEST.fieldNames())
         base = self.store.base_version("state/latest_price", key)
         if base:
-            state = self.store.read_version("state/latest_price", base)
+            state = self.store.read_version("state/latest_price", base, schemas.PRICES_LATEST)
             changed = writers.changed_vs_state(state, batch.select(*state.columns))
         else:
             changed = writers.changed_rows(batch)
@@ -269,7 +254,7 @@ class Refresh:
                                      drop=["payload_id"])
         # stored keys of the batch's own periods and range of times only: neither the listing nor
         # the scan grows with the history
-        target = self.store.read_appends_with_period(f"raw/{name}", periods)
+        target = self.store.read_appends_with_period(f"raw/{name}", periods, schemas.WINDOW_PRICES)
         if target is not None:
             at = F.col("timestamp")
             between = (at >= F.timestamp_micros(F.lit(counts["first"]))) & (at <= F.timestamp_micros(F.lit(counts["last"])))
@@ -313,7 +298,7 @@ class Refresh:
 
     def _facts(self, periods: list[str], without: str) -> DataFrame | None:
         """(item_id, price_timestamp) of the facts of some periods that other batches stored."""
-        facts = self.store.read_appends_with_period(self.FACTS, periods)
+        facts = self.store.read_appends_with_period(self.FACTS, periods, self._fact_schema())
         return None if facts is None else facts.filter(F.col("batch") != without).select("item_id", "price_timestamp")
 
     def _catch_up_facts(self, key: str) -> list[str]:
@@ -327,11 +312,11 @@ class Refresh:
             done = self._stored("state/fact_items", items.limit(0))
             new_items = self.store.write_scratch(items.join(done, "item_id", "left_anti"), f"fact_items/{key}")
         if pending and not new_items.isEmpty():
-            waiting = self.store.read_appends_with_period(self.PENDING, pending).join(new_items, "item_id", "left_semi")
+            waiting = self.store.read_appends_with_period(self.PENDING, pending, self._fact_schema()).join(new_items, "item_id", "left_semi")
             # the periods that hold a row of a new item, at most as many as there are folders
             touched = [f"event_date={r[0].isoformat()}" for r in waiting.select("event_date").distinct().collect()]
             if touched:
-                rows = self.store.read_appends_with_period(self.PENDING, touched).join(new_items, "item_id", "left_semi")
+                rows = self.store.read_appends_with_period(self.PENDING, touched, self._fact_schema()).join(new_items, "item_id", "left_semi")
                 facts = self._facts(touched, without=key)
                 if facts is not None:
                     rows = rows.join(facts, ["item_id", "price_timestamp"], "left_anti")
@@ -342,11 +327,12 @@ class Refresh:
         self.store.write_version(items, "state/fact_items")
         return touched
 
+    def _fact_schema(self):
+        return staging.stg_prices_5m(self._empty(schemas.WINDOW_PRICES)).select(*self.FACT_COLUMNS).schema
+
     def fct_prices(self) -> DataFrame:
         """The stored fact table."""
-        if not self.store._periods(self.FACTS):
-            return marts.fct_prices(staging.stg_prices_5m(self._empty(schemas.WINDOW_PRICES)), self._empty_dim())
-        return self.store.read_appends(self.FACTS).select(*self.FACT_COLUMNS)
+        return self.store.read_appends(self.FACTS, self._fact_schema())
 
     def load_mapping(self, docs: DataFrame, batch_id="mapping") -> dict[str, int]:
         """S-3 + W-1: upsert the mapping (new version), rebuild dim_items and complete the facts.
@@ -377,33 +363,28 @@ class Refresh:
         The fill log is partitioned by the month of ``offer_placed_at`` — part
         of the event's identity — so a re-sent event always falls in the same
         partition: the duplicate check reads only the batch's own months and
-        stays exact.  The id high-water mark lives in a one-row state table.
+        stays exact.  The id high-water mark is kept beside the log.
         """
         sent = events.columns
         batch, scratch, key, _, months = self._land(
             events, lambda d: d.withColumn("reason", F.lit(None).cast("string")), "fills", batch_id, "offer_placed_at", "month")
         # events without a time of the offer have the folder of no period
         undated = "event_date=__HIVE_DEFAULT_PARTITION__"
-        existing = self.store.read_appends_with_period("raw/realized_fills", [*months, undated])
+        log = T.StructType([*schemas.REALIZED_FILLS.fields, T.StructField("event_uid", T.StringType())])
+        existing = self.store.read_appends_with_period("raw/realized_fills", [*months, undated], log)
         if existing is None:
-            existing = self.spark.createDataFrame([], schemas.REALIZED_FILLS)
+            existing = self._empty(log)
         # the ids of a load that failed half-way are stored, though its mark is not
-        base = F.greatest(*[x.agg(F.coalesce(F.max(c), F.lit(0)).cast("long")).scalar() for x, c in (
-            (existing, "event_id"), (self._stored("state/fill_ids", self._empty("max_event_id long")), "max_event_id"))])
+        base = F.greatest(existing.agg(F.coalesce(F.max("event_id"), F.lit(0)).cast("long")).scalar(),
+                          F.lit(self.store.mark("state/fill_ids") or 0))
         rows = writers.append_fills(existing.drop("event_date", "batch"), batch.select(*sent), self.params.as_of, id_base=base)
         rows = rows.withColumn("event_date", period_start("offer_placed_at", "month"))
-        written, seen = self._append_fills(rows, key, [*months, undated])
-        high = self.spark.range(0, 1, 1, 1).select(F.greatest(F.lit(seen["high"] or 0), base).cast("long").alias("max_event_id"))
-        self.store.write_version(high, "state/fill_ids")
-        self.store.drop_scratch(scratch)
-        return written
-
-    def _append_fills(self, rows: DataFrame, key: str, months: list[str]) -> tuple[DataFrame, dict]:
         seen = self.store.append_batch(rows, "raw/realized_fills", key, "event_date", {"high": F.max("event_id")})
+        if seen["high"] is not None:
+            self.store.advance_mark("state/fill_ids", seen["high"])
         self._publish_folder("fill_events")
-        cols = [c for c in rows.columns if c != "event_date"]
-        written = self.store.read_batch("raw/realized_fills", key, cols, months)
-        return (self.spark.createDataFrame([], rows.select(*cols).schema) if written is None else written), seen
+        self.store.drop_scratch(scratch)
+        return self.store.read_batch("raw/realized_fills", key, rows.drop("event_date").schema, [*months, undated])
 
     # --- mart rebuilds -------------------------------------------------------------------
     def rebuild_dim(self) -> None:
@@ -518,10 +499,8 @@ class Refresh:
                 parts.append(q.counted(self.store.read_appends(f"quarantine/{name}"), "payload_quarantine", f"quarantine.{name}", "value"))
 
         def mark(src):
-            table = f"state/load_marks/{src.split('.', 1)[1]}"
-            if not self.store.exists(table):
-                return self.spark.createDataFrame([], "loaded_at timestamp")
-            return self.store.read(table).select(F.col("max_loaded_at").alias("loaded_at"))
+            micros = self.store.mark(f"state/load_marks/{src.split('.', 1)[1]}")
+            return self.spark.range(0, 1, 1, 1).select(F.timestamp_micros(F.lit(micros)).alias("loaded_at"))
 
         fresh = q.freshness_suite(SimpleNamespace(freshness_sources={s: mark(s) for s in q.FRESHNESS}), self.params.as_of)
         return q.assemble(q._union(parts), fresh)
@@ -594,9 +573,9 @@ class Refresh:
 
     def maintain(self, older_than: dt.timedelta) -> dict[str, list[int]]:
         """Remove versions and pins that nothing can need any more."""
-        names = ["raw/item_mapping", "state/latest_price", "state/latest_5m", "state/latest_1h", "state/fact_items", "state/fill_ids",
+        names = ["raw/item_mapping", "state/latest_price", "state/latest_5m", "state/latest_1h", "state/fact_items",
                  "marts/dim_items", "marts/agg_item_liquidity", "marts/agg_item_volatility",
-                 *[f"state/load_marks/{f}" for f in PARTITION_PERIOD]]
+                 *[f"state/checks/{m.replace('.', '_')}" for m in self.CHECKED]]
         return {n: self.store.expire(n, older_than) for n in names if self.store.versions(n)}
 
     # --- schedules ------------------------------------------------------------------------

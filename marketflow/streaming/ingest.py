@@ -200,7 +200,7 @@ def upsert_windows(store: TableStore, changed: DataFrame, batch_id: int, size: s
     near = store.read_appends_with_period(PANES, periods).filter(
         (F.col("event_date") >= low) & (F.col("event_date") <= high) & (F.col("batch") <= key))
     newest = latest_per_key(near.drop("event_date"), ["item_id", "pane"], "batch").drop("batch")
-    mine = store.read_batch(PANES, key, ["item_id", "pane"])
+    mine = store.read_batch(PANES, key, changed.select("item_id", "pane").schema)
     touched = windows_over(mine, size, slide).select("item_id", F.timestamp_micros("_start").alias("window_start")).distinct()
     windows = combine_panes(newest, size, slide, list(_VOLUME)).join(touched, ["item_id", "window_start"], "left_semi")
     store.append_batch(_average_volume(windows).withColumn("event_date", period_start("window_start", unit)), WINDOWS, key, "event_date")
