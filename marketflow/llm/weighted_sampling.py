@@ -9,9 +9,14 @@ values r, c ~ Gamma(2, 1) and b ~ Uniform(0, 1) that belong to (i, k), and
 and keeps the (term, t) of the smallest a.  Two bags agree in a sample with a probability that
 is their generalised Jaccard similarity, sum of min over sum of max of the weights.
 
-The draws come from pools of ``POOL`` values made from a fixed seed; a term's hash picks the
-place where its draws for k = 0, 1, .. stand, so every worker agrees and nothing is kept per
-term.
+All draws are hashes of (term, k), so every worker agrees and nothing is kept per term.  They are
+made in an order that leaves most of them undrawn: a bag's a for weight 1, a1 = c / exp(r (1 - b)),
+is exponential, and given a1 the others follow from two more exponential values E and F,
+
+    c = a1 + E,   r (1 - b) = ln(c / a1),   r = r (1 - b) + F,
+
+which gives r, c and b the same joint law as above.  A term of weight 1 needs a1 alone.  One of
+weight w has a >= a1 exp(-F) / w, and E is drawn only where that is below the smallest a found.
 
 A fingerprint is the ``SAMPLES`` samples at 16 bits each in hexadecimal; the likeness of two is
 the share of equal samples.
@@ -39,12 +44,12 @@ from pyspark.sql import functions as F
 from .common import ARROW_ROWS, arrow_schema, documents, map_batches, with_text_key
 
 SAMPLES = 128
-POOL_BITS = 20
-POOL = 1 << POOL_BITS
 SEED = 7
 # Rows of one place, about: documents of neighbouring ids that one task walks along.
 NEIGHBOURS = 2_000
-MAX_PLACES = 20_000
+# Cut points and first rows that the driver holds; beyond, a place takes an even share of the rows
+# and streams through its task.
+MOST_PLACES = 200_000
 # Terms of a text that are sampled at a time: bounds memory for very long texts.
 _TERMS = 4_096
 # Words whose hash a worker remembers.
@@ -52,14 +57,34 @@ CACHED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=8)
-def _pools(samples: int) -> tuple[np.ndarray, ...]:
-    """r, ln c, b, and ln a for weight 1 (where t is 0): row p holds a term's draws at place p."""
-    rng = np.random.default_rng(SEED)
-    size = POOL + samples
-    r, c = (np.maximum(rng.gamma(2.0, 1.0, size).astype(np.float32), np.float32(1e-6)) for _ in range(2))
-    b = rng.random(size, dtype=np.float32)
-    return tuple(np.lib.stride_tricks.sliding_window_view(x, samples) for x in (r, np.log(c), b, np.log(c) - r * (1 - b)))
+@lru_cache(maxsize=16)
+def _salts(samples: int, draw: int) -> np.ndarray:
+    return np.random.default_rng([SEED, draw]).integers(0, 1 << 63, (samples + 1) // 2, dtype=np.uint64) << np.uint64(1)
+
+
+def scrambled(hashes: np.ndarray) -> np.ndarray:
+    """Terms whose hashes are alike get draws that are not."""
+    x = hashes ^ (hashes >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def uniforms(hashes: np.ndarray, samples: int, draw: int) -> np.ndarray:
+    """32 bits for each (term, sample); ``draw`` numbers the values that belong to one."""
+    x = hashes[:, None] ^ _salts(samples, draw)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x.view("<u4")[:, :samples]
+
+
+def exponential(bits: np.ndarray) -> np.ndarray:
+    """Rises with the bits."""
+    return -np.log1p(-(bits + 0.5) * 2.0**-32)
 
 
 class _Hashes(dict):
@@ -91,31 +116,40 @@ def signature(text: str | None, samples: int = SAMPLES) -> np.ndarray:
     hashes, weights = terms(text or "")
     if not len(hashes):
         return np.zeros(0, dtype=np.uint16)
-    r, ln_c, b, single = _pools(samples)
-    best = np.full(samples, np.inf, dtype=np.float32)
+    best = np.full(samples, np.inf)
     value = np.zeros(samples, dtype=np.uint64)
     column = np.arange(samples)
+
+    def offer(k: np.ndarray, a: np.ndarray, term: np.ndarray, t: np.ndarray) -> None:
+        """Take those of the values that are smaller than the best of their sample."""
+        order = np.lexsort((term, a, k))
+        order = order[np.r_[True, k[order][1:] != k[order][:-1]]] if len(k) else order
+        order = order[a[order] < best[k[order]]]
+        best[k[order]] = a[order]
+        value[k[order]] = (term[order] ^ (t[order].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))) * _MIX >> np.uint64(48)
+
     for first in range(0, len(hashes), _TERMS):
-        h, w = hashes[first:first + _TERMS], weights[first:first + _TERMS]
-        place = (h >> np.uint64(64 - POOL_BITS)).astype(np.intp)
-        a = single[place]
-        often = np.flatnonzero(w > 1)
-        steps = np.zeros((len(often), samples), dtype=np.float32)
-        if len(often):
-            at = place[often]
-            ln_w = np.log(w[often].astype(np.float32))[:, None]
-            steps = np.floor(ln_w / r[at] + b[at])
-            a[often] = ln_c[at] - r[at] * (steps - b[at] + 1)
-        least = a.argmin(axis=0)
-        smallest = a[least, column]
-        t = np.zeros(samples, dtype=np.uint64)
+        h, w = scrambled(hashes[first:first + _TERMS]), weights[first:first + _TERMS]
+        once, often = h[w == 1], np.flatnonzero(w > 1)
+        if len(once):
+            bits = uniforms(once, samples, 0)
+            least = bits.argmin(axis=0)  # a1 rises with its bits: no logarithm but the least one's
+            offer(column, exponential(bits[least, column]), once[least], np.zeros(samples))
         if len(often):
-            row = np.searchsorted(often, least)
-            many = often[np.minimum(row, len(often) - 1)] == least
-            t[many] = steps[row[many], column[many]].astype(np.int64).astype(np.uint64)
-        better = smallest < best
-        best = np.where(better, smallest, best)
-        value = np.where(better, (h[least] ^ (t * np.uint64(0xC2B2AE3D27D4EB4F))) * _MIX >> np.uint64(48), value)
+            term, ln_w = h[often], np.log(w[often].astype(np.float64))
+            a1, survival = exponential(uniforms(term, samples, 0)), 1 - (uniforms(term, samples, 1) + 0.5) * 2.0**-32
+            bound = a1 * survival / w[often][:, None]
+
+            def exact(i: np.ndarray, k: np.ndarray) -> None:
+                e = exponential(uniforms(term[i], samples, 2)[np.arange(len(i)), k])
+                rise = np.log1p(e / a1[i, k])
+                r = rise - np.log(survival[i, k])
+                t = np.floor(ln_w[i] / r + 1 - rise / r)
+                offer(k, a1[i, k] * np.exp(-r * t), term[i], t)
+
+            # the term of the lowest bound gives a value that few other bounds are below
+            exact(bound.argmin(axis=0), column)
+            exact(*np.nonzero(bound <= best))
     return value.astype(np.uint16)
 
 
@@ -149,7 +183,7 @@ def in_places(docs: DataFrame) -> DataFrame:
     copies that only end a place.
 
     Quantiles of the ids cut the rows into places of about ``NEIGHBOURS`` rows, at most
-    ``MAX_PLACES``; an id that spans several quantiles is cut by its texts' digests.  A copy of
+    ``MOST_PLACES``; an id that spans several quantiles is cut by its texts' digests.  A copy of
     each place's first row goes to the place before it, that of the very first to the very
     last.  So the texts are shuffled once, by place, and the driver sees one row a place.
     """
@@ -160,7 +194,7 @@ def in_places(docs: DataFrame) -> DataFrame:
     # ascending rank is descending id
     rows = with_text_key(documents(docs)).withColumn("rank", F.bitwise_not(F.coalesce("doc_id", lowest)))
     rows = rows.withColumn("near", F.col("rank").cast("double"))
-    places = max(1, min(MAX_PLACES, -(-rows.count() // NEIGHBOURS)))
+    places = max(1, min(MOST_PLACES, -(-rows.count() // NEIGHBOURS)))
     cuts = Counter(rows.approxQuantile("near", [(i + 1) / places for i in range(places - 1)], 0.2 / places) if places > 1 else [])
     wide = {v: n for v, n in cuts.items() if n > 1}  # ids that fill places of their own
     bounds = sorted({*cuts, *(math.nextafter(v, math.inf) for v in wide)})
