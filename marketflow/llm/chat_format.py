@@ -1,16 +1,22 @@
 """Chat formatting: schema fingerprinting.
 
 Chat data comes as JSON records of many layouts.  A record's *schema fingerprint* is the hash
-of its sorted nested field paths (``messages[].role`` and so on); it selects a declarative
-mapping that says where roles and texts lie, and the record becomes canonical turns.  A
-template marks the turns in one string; control strings inside texts are escaped, so the turns
-can be read back exactly, and a loss mask gives the spans of the assistant's texts.
+of its sorted nested field paths (``messages[].role`` and so on), of which those that some layout
+uses select a declarative mapping that says where roles and texts lie; other fields of a record
+do not matter.  A content may be a text or a list of parts with texts.  The record becomes
+canonical turns.  A template marks the turns in one string; control strings inside texts are
+escaped, so the turns can be read back exactly, and a loss mask gives the spans of the
+assistant's texts.
+
+Rows by turn become records of at most ``PART_TURNS`` turns each: a conversation is a sequence of
+parts, one for most, and goes the same way whatever its length.  A task holds one part.
 
 Defined results: a null text is the empty text and a null role the empty role; a record that
 is null, not JSON or of an unknown layout gives a row without layout, turns or output, never an
 error; a conversation without turns formats to the start mark alone; repeated records are
 formatted each; an empty table gives an empty table.  In ``as_records`` turns of equal number
-are ordered by role and text, and columns other than those named are ignored.
+are ordered by role and text, rows of null conv_id are one conversation, and columns other than
+those named are ignored.
 """
 
 from __future__ import annotations
@@ -27,18 +33,18 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, map_batches
 
-# Conversations beyond these sizes never stand in one row: they are rendered turn by turn.
-RECORD_TURNS = 50_000
-RECORD_CHARS = 4_000_000
+# Turns that one record holds.
+PART_TURNS = 64
 
 
 @dataclass(frozen=True)
 class Mapping:
-    """Where a layout keeps its turns: fixed (role, field) pairs, or a list of entries with a
-    role and a text field; ``roles`` renames roles."""
+    """Where a layout keeps its turns: ``fixed`` pairs of a role and the fields whose texts make its
+    turn (joined by a blank line, empty ones left out), or a list of entries with a role and a
+    text field; ``roles`` renames roles."""
 
     name: str
-    fixed: tuple[tuple[str, str], ...] = ()
+    fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
     each: str = ""
     role: str = ""
     text: str = ""
@@ -46,33 +52,42 @@ class Mapping:
     optional: tuple[str, ...] = ()
 
     def paths(self) -> list[frozenset[str]]:
-        """Field paths of every variant of the layout (with and without optional fields)."""
+        """Field paths of every variant of the layout: with and without optional fields, with
+        texts, lists of parts, or both."""
         if self.each:
-            return [frozenset([f"{self.each}[].{self.role}", f"{self.each}[].{self.text}"]), frozenset([f"{self.each}[]"])]
-        every = [f for _, f in self.fixed]
+            role, text, part = (f"{self.each}[].{x}" for x in (self.role, self.text, f"{self.text}[].text"))
+            return [frozenset(v) for v in ([role, text], [role, part], [role, text, part], [f"{self.each}[]"])]
         variants = [[]]
-        for name in every:
+        for name in (f for _, fields in self.fixed for f in fields):
             variants = [v + [name] for v in variants] + ([v for v in variants] if name in self.optional else [])
         return [frozenset(v) for v in variants]
 
     def turns(self, record: dict) -> list[tuple[str, str]]:
         if self.each:
-            pairs = [(m.get(self.role), m.get(self.text)) for m in record[self.each]]
+            pairs = [(m.get(self.role), joined(m.get(self.text))) for m in record[self.each]]
         else:
-            pairs = [(role, record[name]) for role, name in self.fixed if name in record]
+            pairs = [(role, "\n\n".join(t for f in fields if (t := record.get(f) or "")) if len(fields) > 1 else record[fields[0]])
+                     for role, fields in self.fixed if any(f in record for f in fields)]
         return [(self.roles.get(role or "", role or ""), text or "") for role, text in pairs]
 
 
+def joined(content):
+    """The text of a content that may be a list of parts."""
+    if isinstance(content, list):
+        return "".join(p["text"] for p in content if isinstance(p, dict) and isinstance(p.get("text"), str))
+    return content
+
+
 SPEAKERS = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 MAPPINGS = (
     Mapping("messages", each="messages", role="role", text="content"),
     Mapping("share", each="conversations", role="from", text="value", roles=SPEAKERS),
     Mapping("dialog", each="dialog", role="speaker", text="text", roles=SPEAKERS),
-    Mapping("prompt", fixed=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
-    Mapping("completion", fixed=(("user", "prompt"), ("assistant", "completion"))),
-    Mapping("question", fixed=(("user", "question"), ("assistant", "answer"))),
-    Mapping("instruction", fixed=(("system", "instruction"), ("user", "input"), ("assistant", "output"))),
-    Mapping("instruction only", fixed=(("user", "instruction"), ("assistant", "output"))),
+    Mapping("prompt", fixed=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))), optional=("system",)),
+    Mapping("completion", fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
+    Mapping("question", fixed=(("user", ("question",)), ("assistant", ("answer",)))),
+    # a task and what it is to be done on are one turn of the user
+    Mapping("instruction", fixed=(("user", ("instruction", "input")), ("assistant", ("output",))), optional=("input",)),
 )
 
 
@@ -90,6 +105,14 @@ def fingerprint(paths) -> str:
 
 
 REGISTRY = {fingerprint(p): m for m in MAPPINGS for p in m.paths()}
+USED = frozenset().union(*(p for m in MAPPINGS for p in m.paths()))
+
+
+def mapping_of(paths: set[str]) -> Mapping | None:
+    """The layout of a record with these field paths, by the fingerprint of those that layouts use;
+    a record with the fields of two layouts has the first one that it holds whole."""
+    found = REGISTRY.get(fingerprint(paths & USED))
+    return found or next((m for m in MAPPINGS if any(p <= paths for p in m.paths())), None)
 
 
 def canonical(record: str | None) -> tuple[str | None, str | None, list[tuple[str, str]] | None]:
@@ -98,11 +121,14 @@ def canonical(record: str | None) -> tuple[str | None, str | None, list[tuple[st
         value = json.loads(record or "")
     except ValueError:
         return None, None, None
-    key = fingerprint(field_paths(value))
-    mapping = REGISTRY.get(key)
+    paths = field_paths(value)
+    key, mapping = fingerprint(paths), mapping_of(paths)
     if mapping is None or not isinstance(value, dict):
         return key, None, None
-    turns = mapping.turns(value)
+    try:
+        turns = mapping.turns(value)
+    except (AttributeError, TypeError):  # entries that are no objects beside some that are
+        return key, None, None
     if not all(isinstance(x, str) for turn in turns for x in turn):
         return key, None, None
     return key, mapping.name, turns
@@ -166,7 +192,8 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def format_records(records: DataFrame, id_col: str = "conv_id", record_col: str = "record") -> DataFrame:
-    """(conv_id, fingerprint, layout, turns, formatted, loss_mask): one row per record."""
+    """(conv_id, fingerprint, layout, turns, formatted, loss_mask): one row per record, in the
+    records' order."""
     rows = records.select(F.col(id_col).cast("bigint").alias("conv_id"), F.col(record_col).cast("string").alias("record"))
 
     def run(cols: dict) -> dict:
@@ -181,128 +208,102 @@ def format_records(records: DataFrame, id_col: str = "conv_id", record_col: str
                                   "formatted string, loss_mask array<struct<start:bigint,end:bigint>>")
 
 
+def as_record(turns: list[tuple[str, str]]) -> str:
+    """A part as a JSON record of the layout that its roles suggest."""
+    roles, texts = [r for r, _ in turns], [t for _, t in turns]
+    if roles == ["user", "assistant"]:
+        record = dict(zip(("prompt", "response"), texts))
+    elif roles == ["system", "user", "assistant"]:
+        record = dict(zip(("system", "prompt", "response"), texts))
+    elif roles[0] == "user" and {*roles} <= {"user", "assistant", "system"}:
+        names = {"user": "human", "assistant": "gpt"}
+        record = {"conversations": [{"from": names.get(r, r), "value": t} for r, t in turns]}
+    else:
+        record = {"messages": [{"role": r, "content": t} for r, t in turns]}
+    return json.dumps(record, ensure_ascii=False)
+
+
 def as_records(conversations: DataFrame) -> DataFrame:
-    """(conv_id, record): each conversation's rows (conv_id, turn, role, text) as one JSON record
-    of the layout that its turns suggest.  A conversation is one row of the result, so its own
-    size is what one task holds."""
-    said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    convs = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), said.alias("said")) \
-        .groupBy("conv_id").agg(F.array_sort(F.collect_list("said")).alias("said"))
-    roles = F.transform("said", lambda s: s["role"])
-    text = lambda i: F.col("said")[i]["text"]
-    names = F.create_map(*[F.lit(x) for x in ("user", "human", "assistant", "gpt", "system", "system")])
-    is_pair = roles == F.array(F.lit("user"), F.lit("assistant"))
-    is_task = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
-    usual = F.forall("said", lambda s: s["role"].isin("user", "assistant", "system"))
-    record = F.when(is_pair, F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response")))) \
-        .when(is_task, F.to_json(F.struct(text(0).alias("instruction"), text(1).alias("input"), text(2).alias("output")))) \
-        .when(usual & (F.get(F.col("said"), F.lit(0))["role"] == "user"), F.to_json(F.struct(F.transform("said", lambda s: F.struct(
-            names[s["role"]].alias("from"), s["text"].alias("value"))).alias("conversations")))) \
-        .otherwise(F.to_json(F.struct(F.transform("said", lambda s: F.struct(
-            s["role"].alias("role"), s["text"].alias("content"))).alias("messages"))))
-    return convs.select("conv_id", record.alias("record"))
+    """(conv_id, part, record): each conversation's rows (conv_id, turn, role, text) as JSON records
+    of up to ``PART_TURNS`` turns.  A conversation's parts follow each other in one partition."""
+    rows = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"),
+                                F.coalesce("text", F.lit("")).alias("text"))
+    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    schema = "conv_id bigint, part bigint, record string"
+    out = arrow_schema(conversations.sparkSession, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, part, turns = None, 0, []
+        for batch in batches:
+            found = []
+            for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                if turns and (conv_id != now or len(turns) == PART_TURNS):
+                    found.append((now, part, as_record(turns)))
+                    part, turns = (part + 1 if conv_id == now else 0), []
+                now = conv_id
+                turns.append((role, text))
+            yield made(found, out)
+        if turns:
+            yield made([(now, part, as_record(turns))], out)
 
+    return dealt.select("conv_id", "role", "text").mapInArrow(run, schema)
 
-DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-           "formatted_chars bigint, layout string")
 
+def made(found: list[tuple], out: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*found) if found else ([] for _ in out)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, out)], schema=out)
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """The contract columns of the registered query, read back from the formatted strings."""
 
-    def run(cols: dict) -> dict:
-        out: dict[str, list] = {c: [] for c in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
-        for text, mask in zip(cols["formatted"], cols["loss_mask"]):
-            if text is None:
-                for c in out:
-                    out[c].append(None)
-                continue
-            turns = read_back(text)
-            loss = "".join(unescape(text[m["start"]:m["end"]]) for m in mask)
-            said = "".join(f"{role}\n{x}\n" for role, x in turns)
-            for c, v in zip(out, (len(turns), sha(said), len(loss), sha(loss), len(text))):
-                out[c].append(v)
-        return {"conv_id": cols["conv_id"], "layout": cols["layout"]} | out
-
-    return map_batches(formatted.select("conv_id", "layout", "formatted", "loss_mask"), run, DIGESTS)
+DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+           "formatted_chars bigint, layout string")
 
 
 class _Running:
-    """The digests of one conversation whose turns come one by one."""
+    """The digests of one conversation whose formatted parts come one by one."""
 
-    def __init__(self, conv_id: int | None):
-        self.conv_id, self.n, self.first, self.usual = conv_id, 0, [], True
+    def __init__(self, conv_id: int | None, layout: str | None):
+        self.conv_id, self.layout, self.n = conv_id, layout, 0
         self.said, self.loss, self.loss_chars, self.chars = hashlib.sha256(), hashlib.sha256(), 0, len(START)
 
-    def add(self, role: str, text: str) -> None:
-        piece, mask = render([(role, text)])
-        for r, x in read_back(piece):
-            self.said.update(f"{r}\n{x}\n".encode("utf-8", "surrogatepass"))
-        for a, b in mask:
-            kept = unescape(piece[a:b])
+    def add(self, formatted: str, mask: list[dict]) -> None:
+        for role, text in read_back(formatted):
+            self.said.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+            self.n += 1
+        for m in mask:
+            kept = unescape(formatted[m["start"]:m["end"]])
             self.loss.update(kept.encode("utf-8", "surrogatepass"))
             self.loss_chars += len(kept)
-        self.n += 1
-        self.chars += len(piece) - len(START)
-        self.usual &= role in ("user", "assistant", "system")
-        if len(self.first) < 4:
-            self.first.append(role)
-
-    def layout(self) -> str:
-        """The layout by the field paths of the record that ``as_records`` would make."""
-        if self.first == ["user", "assistant"]:
-            paths = ("prompt", "response")
-        elif self.first == ["system", "user", "assistant"]:
-            paths = ("instruction", "input", "output")
-        elif self.usual and self.first[0] == "user":
-            paths = ("conversations[].from", "conversations[].value")
-        else:
-            paths = ("messages[].role", "messages[].content")
-        return REGISTRY[fingerprint(paths)].name
+        # the parts' strings are one string, whose start mark is that of the first
+        self.chars += len(formatted) - len(START)
 
     def row(self) -> tuple:
-        return (self.conv_id, self.n, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.layout())
-
+        return (self.conv_id, self.n, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.layout)
 
-def turn_digests(conversations: DataFrame) -> DataFrame:
-    """As ``digests`` of the formatted records of ``conversations`` (conv_id, turn, role, text),
-    but a task holds one batch of turns, however long a conversation is."""
-    out = arrow_schema(conversations.sparkSession, DIGESTS)
 
-    def made(found: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*found) if found else ([] for _ in out)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, out)], schema=out)
+def digests(formatted: DataFrame) -> DataFrame:
+    """The contract columns of the registered query, read back from the formatted strings of
+    neighbouring rows of a conversation; a record without output has a row without digests."""
+    out = arrow_schema(formatted.sparkSession, DIGESTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
         for batch in batches:
             found = []
-            for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+            for conv_id, layout, text, mask in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "layout", "formatted", "loss_mask"))):
+                if text is None:
+                    found.append((conv_id, *[None] * (len(out) - 1)))
+                    continue
                 if now is None or conv_id != now.conv_id:
-                    if now is not None:
-                        found.append(now.row())
-                    now = _Running(conv_id)
-                now.add(role, text)
-            yield made(found)
+                    found += [now.row()] if now else []
+                    now = _Running(conv_id, layout)
+                now.add(text, mask)
+            yield made(found, out)
         if now is not None:
-            yield made([now.row()])
+            yield made([now.row()], out)
 
-    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.select("conv_id", "role", "text").mapInArrow(run, DIGESTS)
+    return formatted.select("conv_id", "layout", "formatted", "loss_mask").mapInArrow(run, DIGESTS)
 
 
 def conversation_digests(conversations: DataFrame) -> DataFrame:
-    """The contract columns for each conversation of (conv_id, turn, role, text): through its
-    record, or turn by turn if it is longer than ``RECORD_TURNS`` or ``RECORD_CHARS``."""
-    rows = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
-    chars = F.coalesce(F.length("role"), F.lit(0)).cast("bigint") + F.coalesce(F.length("text"), F.lit(0))
-    long = rows.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sum(chars).alias("chars")) \
-        .filter((F.col("turns") > RECORD_TURNS) | (F.col("chars") > RECORD_CHARS)).select(F.col("conv_id").alias("long_id"))
-    is_long = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    short = digests(format_records(as_records(rows.join(long, is_long, "left_anti"))))
-    return short.unionByName(turn_digests(rows.join(long, is_long, "left_semi")))
-
-
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    """The contract columns for each conversation of (conv_id, turn, role, text)."""
+    return digests(format_records(as_records(conversations)))
