@@ -51,9 +51,13 @@ _LOGIN = re.compile(
 _SHORT = re.compile(
     r"""\b(?:pwd|pass|auth|private_?key|credential)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+""",
     re.ASCII | re.IGNORECASE)
-_ENDPOINT = re.compile(
-    r"""\b[a-z][a-z0-9+]*://[^\s"'<>]+|\b(?:host|endpoint|server|base_?url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]+""",
+_HOST = re.compile(
+    r"""\b(?:host|endpoint|server|base_?url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]+""",
     re.ASCII | re.IGNORECASE)
+# A scheme is looked for from the start of a run of its characters only: each run is read once.
+_URL = re.compile(r"""(?<![A-Za-z0-9+])[A-Za-z0-9+]+://[^\s"'<>]""", re.ASCII)
+_SCHEME = re.compile(r"\b[A-Za-z]", re.ASCII)
+_URL_REST = re.compile(r"""[^\s"'<>]+""", re.ASCII)
 _BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 MIN_ASSIGN = 8
@@ -72,10 +76,38 @@ def find_parts(text: str) -> list[tuple[str, int, int]]:
     if assigned:
         parts += [("login", *m.span()) for m in _LOGIN.finditer(text)]
         parts += [("short", *m.span()) for m in _SHORT.finditer(text)]
-        parts += [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)]
+        parts += [("endpoint", *span) for span in find_endpoints(text)]
     return parts
 
 
+def find_endpoints(text: str) -> list[tuple[int, int]]:
+    """Addresses (scheme, ``://`` and what follows) and named hosts, leftmost first, none
+    overlapping."""
+    out, at = [], 0
+    host, url = _HOST.search(text), _URL.search(text)
+    while host or url:
+        start = len(text)
+        if url:
+            # the scheme begins with the first letter that starts a word in its run
+            colon = url.end() - 4
+            m = _SCHEME.search(text, max(at, url.start()), colon)
+            if m is None:
+                url = _URL.search(text, url.end() - 1)
+                continue
+            start = m.start()
+        if host and host.start() < start:
+            at = host.end()
+            out.append(host.span())
+        else:
+            at = _URL_REST.match(text, url.end() - 1).end()
+            out.append((start, at))
+        if host and host.start() < at:
+            host = _HOST.search(text, at)
+        if url and url.end() - 4 < at:
+            url = _URL.search(text, max(at, url.end() - 3))
+    return out
+
+
 def _scopes(text: str, starts: list[int]) -> list[int]:
     from bisect import bisect_right
 
