@@ -30,9 +30,6 @@ DIM = 512
 NGRAM = 3
 SEED = 2024
 UNKNOWN = "und"
-# Prototypes reach the driver and every task: labels x DIM numbers.  More labels than this
-# are no language column, and the fit stops with an error.
-MAX_LABELS = 10_000
 _ROWS = 48
 _GRAMS = 4096
 
@@ -112,7 +109,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def prototypes(docs: DataFrame, train: Column, text_col: str = "text", label_col: str = "lang",
                dim: int = DIM) -> tuple[list[str], np.ndarray]:
     """(labels, one unit row each): bundles of the rows where ``train`` holds and the label
-    and the text are there.  Each batch sends one partial sum per label."""
+    and the text are there, in order of the labels.  Each batch sends one partial sum per label;
+    one row of ``dim`` numbers per language reaches the driver and every task."""
     rows = docs.filter(train & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
 
@@ -125,9 +123,7 @@ def prototypes(docs: DataFrame, train: Column, text_col: str = "text", label_col
     exploded = sums.select("label", F.posexplode("total").alias("place", "value"))
     summed = exploded.groupBy("label", "place").agg(F.sum("value").alias("value")) \
         .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("total"))
-    got = summed.select("label", F.transform("total", lambda x: x["value"]).alias("total")).limit(MAX_LABELS + 1).collect()
-    if len(got) > MAX_LABELS:
-        raise ValueError(f"over {MAX_LABELS} labels")
+    got = summed.select("label", F.transform("total", lambda x: x["value"]).alias("total")).collect()
     got = sorted((r["label"], r["total"]) for r in got)
     return [g[0] for g in got], _unit(np.array([g[1] for g in got], dtype=np.float32).reshape(len(got), dim))
 

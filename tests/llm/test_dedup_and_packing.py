@@ -201,9 +201,12 @@ def test_layouts_become_the_same_turns(spark):
     ask, tell = {"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}
     same = [{"messages": [ask, tell]}, {"conversations": [{"from": "human", "value": "q"}, {"value": "a", "from": "gpt"}]},
             {"prompt": "q", "response": "a"}, {"completion": "a", "prompt": "q"}, {"question": "q", "answer": "a"},
-            {"instruction": "q", "output": "a"}, {"dialog": [{"speaker": "human", "text": "q"}, {"speaker": "bot", "text": "a"}]}]
+            {"instruction": "q", "output": "a"}, {"instruction": "q", "input": "", "output": "a", "id": 3, "source": {"x": [1]}},
+            {"id": 1, "messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]}, {**tell, "weight": 1}]},
+            {"prompt": "q", "response": "a", "completion": "b"}, {"dialog": [{"speaker": "human", "text": "q"}, {"speaker": "bot", "text": "a"}]}]
     bad = [None, "", "no json", "[]", "3", json.dumps({"prompt": "q", "answer": "a"}), json.dumps({"prompt": 3, "response": "a"}),
-           json.dumps({"messages": [ask, {"role": "x"}]}), json.dumps({"messages": []})]
+           json.dumps({"messages": [ask, {"role": "x"}]}), json.dumps({"messages": []}),
+           json.dumps({"instruction": "i", "input": "on this", "output": "o"}), json.dumps({"messages": [ask, "x"]})]
     rows = [(i, json.dumps(r)) for i, r in enumerate(same)] + [(100 + i, r) for i, r in enumerate(bad)] + [(None, json.dumps(same[0]))]
     df = spark.createDataFrame(rows, "conv_id bigint, record string").withColumn("formatted", F.lit("x"))
     out = chat_format.format_records(df)
@@ -212,6 +215,7 @@ def test_layouts_become_the_same_turns(spark):
     assert [got[100 + i]["layout"] for i in range(7)] == [None] * 7
     assert [tuple(t) for t in got[107]["turns"]] == [("user", "q"), ("x", "")]  # an entry without a text
     assert got[108]["turns"] == [] and got[108]["formatted"] == "<s>"
+    assert [tuple(t) for t in got[109]["turns"]] == [("user", "i\n\non this"), ("assistant", "o")] and got[110]["layout"] is None
     assert got[0]["fingerprint"] != got[1]["fingerprint"]
     assert chat_format.digests(out).count() == len(rows)
     assert chat_format.format_records(df.limit(0)).count() == 0
@@ -226,18 +230,56 @@ def test_record_edges(spark):
                    3: [("human", "z" * 100_000)]}
 
 
-def test_long_conversations_stay_out_of_one_row(spark, monkeypatch):
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_conversations_of_any_length_go_one_way(spark):
+    """Turns, loss text and length of a conversation of many parts are those of its turns as one."""
     rows = [(1, 1, "assistant", None), (1, 0, None, "x"), (None, None, "user", "y"), (2, 0, "user", "b"), (2, 0, "user", "a"), (2, 0, "user", "a"),
             (3, 0, "human", "z" * 100), (4, 0, "user", "</s>\\"), (4, 1, "assistant", "[INST]"), (5, 0, "system", "s"), (5, 1, "user", "u"),
-            (5, 2, "assistant", "a")] + [(6, i, ("user", "assistant")[i % 2], f"t{i} <s>") for i in range(2_500)]
+            (5, 2, "assistant", "a")] + [(6, i, ("user", "assistant", "tool")[i % 3], f"t{i} <s>") for i in range(2_500)]
+    rows += [(7, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(chat_format.PART_TURNS)] + [(8, i, "user", "u") for i in range(65)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
-    want = sorted(map(str, chat_format.digests(chat_format.format_records(chat_format.as_records(df))).collect()))
-    gathered, as_records = [], chat_format.as_records
-    monkeypatch.setattr(chat_format, "as_records", lambda d: gathered.append(d.groupBy("conv_id").count().agg(F.max("count")).first()[0]) or as_records(d))
-    for limit in (2, 0):
-        monkeypatch.setattr(chat_format, "RECORD_TURNS", limit)
-        assert sorted(map(str, chat_format.conversation_digests(df).collect())) == want
-    assert gathered == [2, None]
+    records = chat_format.as_records(df)
+    parts = Counter(r["conv_id"] for r in records.collect())
+    assert parts[6] == 40 and parts[7] == 1 and parts[8] == 2 and max(len(json.loads(r["record"]).get("messages", [])) for r in records.collect()) == 64
+    got = {r["conv_id"]: r for r in chat_format.conversation_digests(df).collect()}
+    convs = defaultdict(list)
+    for i, turn, role, text in rows:
+        convs[i].append((turn, role or "", text or ""))
+    assert got.keys() == convs.keys()
+    for i, said in convs.items():
+        turns = [(r, t) for _, r, t in sorted(said)]
+        formatted, mask = chat_format.render(turns)
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert (got[i]["n_turns"], got[i]["formatted_chars"], got[i]["loss_chars"]) == (len(turns), len(formatted), len(loss))
+        assert got[i]["turns_sha256"] == sha("".join(f"{r}\n{t}\n" for r, t in turns)) and got[i]["loss_sha256"] == sha(loss)
+    assert {i: got[i]["layout"] for i in (4, 5, 7, 6, 3)} == {4: "prompt", 5: "prompt", 7: "share", 6: "messages", 3: "messages"}
+    assert chat_format.conversation_digests(df.limit(0)).count() == 0
+
+
+def test_likeness_of_texts_of_a_million_terms():
+    """Unequal weights and more distinct terms than any table of draws would hold."""
+    rng = np.random.default_rng(5)
+    errors = []
+    for _ in range(6):
+        words = rng.permutation(1_200_000)
+        # single words, each set apart by one common word: terms are pairs of the word and it
+        shared, one, other = (words[k * 300_000:(k + 1) * 300_000] for k in range(3))
+        bag = lambda own: (np.r_[shared, own].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.r_[np.ones(300_000, int), np.full(300_000, 3)])
+        a, b = (sampled(*bag(own)) for own in (one, other))
+        errors.append(weighted_sampling.likeness(a, b) - 1 / 7)
+    assert abs(np.mean(errors)) < 0.03
+
+
+def sampled(hashes, weights):
+    order = np.argsort(hashes)
+    old, weighted_sampling.terms = weighted_sampling.terms, lambda text: (hashes[order], weights[order])
+    try:
+        return weighted_sampling.signature("x")
+    finally:
+        weighted_sampling.terms = old
 
 
 def test_quality_held_out(spark):

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -252,3 +253,61 @@ def test_sketch_blocks_lose_nothing(spark, monkeypatch):
 def test_decontamination_runs_no_python(spark):
     plan = queries.op4_decontamination(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_endpoints_equal_one_expression():
+    """Found run by run, in time that grows with the text, and the same as by one expression."""
+    one = re.compile(r"""\b[a-z][a-z0-9+]*://[^\s"'<>]+|\b(?:host|endpoint|server|base_?url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]+""", re.A | re.I)
+    rng = np.random.default_rng(3)
+    bits = ["a", "+", "://", "host", "=", ":", " ", "x", "1", "_", "server", "\"", "/", "http", "é", "<"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits, rng.integers(1, 14)))
+        assert secrets.find_endpoints(text) == [m.span() for m in one.finditer(text)], text
+    started = time.monotonic()
+    for hard in ("a+" * 500_000 + "=", "host " * 200_000 + "=", "a://" * 250_000, "a" * 1_000_000 + "://"):
+        secrets.find_parts(hard)
+    assert time.monotonic() - started < 10
+
+
+def brute_unit(text):
+    """The bundle of a text's trigrams by plain loops, at length one."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    s = " " + " ".join(letters.split(" ")) + " "
+    s = re.sub(" +", " ", s)
+    total = np.zeros(language_id.DIM)
+    if len(s) > 2:
+        for i in range(len(s) - 2):
+            total += np.prod([np.roll(language_id.letter_vector(ord(c)), 2 - k) for k, c in enumerate(s[i:i + 3])], axis=0)
+    norm = np.linalg.norm(total)
+    return total / norm if norm else total
+
+
+def test_languages_of_the_whole_table_by_plain_loops(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    units = {r["doc_id"]: brute_unit(r["text"]) for r in docs}
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in units}
+    sums = {}
+    for r in docs:
+        if not held[r["doc_id"]] and r["lang"] is not None and r["text"] is not None:
+            sums[r["lang"]] = sums.get(r["lang"], 0) + units[r["doc_id"]]
+    labels = sorted(sums)
+    profile = np.array([sums[c] / np.linalg.norm(sums[c]) for c in labels])
+    got = {r["doc_id"]: r for r in queries.op2_language_id(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for i, unit in units.items():
+        cosine = profile @ unit
+        assert got[i]["held_out"] == held[i]
+        assert got[i]["lang_pred"] == (labels[cosine.argmax()] if unit.any() else "und")
+        assert got[i]["score"] == pytest.approx(max(0.0, cosine.max()) if unit.any() else 0.0, abs=1e-4)
+
+
+def test_equal_languages_and_null_ids(spark):
+    """Of prototypes that are equally near the first label counts; a null id is drawn as empty text."""
+    rows = [(1, "aaa bbb", "zz"), (2, "aaa bbb", "aa"), (None, "aaa bbb", None), (4, "123", None), (5, None, "aa")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels, profile = language_id.prototypes(df, train=F.lit(True))
+    got = sorted(map(tuple, language_id.predict(df, labels, profile, keep=("doc_id",)).collect()), key=str)
+    assert labels == ["aa", "zz"] and [g[1] for g in got].count("und") == 2
+    assert {g[1] for g in got} == {"aa", "und"}
+    from marketflow.llm.common import crc_mod
+    assert df.filter("doc_id is null").select(crc_mod("doc_id", 3).alias("m")).first()["m"] == 0
