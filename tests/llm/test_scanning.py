@@ -184,6 +184,43 @@ def test_links_without_a_frame_are_a_menu():
         "Another paragraph, see this, of many words and so on."
 
 
+LONG_P = "<p>" + "A long paragraph of prose that goes on for a while, as articles do, with commas and clauses. " * 3 + "</p>"
+LONG_T = " ".join(["A long paragraph of prose that goes on for a while, as articles do, with commas and clauses."] * 3)
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div id='social-science'>{LONG_P * 3}</div><div>© 2020 Company</div>", [LONG_T] * 3),
+    (f"<div class='post-alert'><h2>Head</h2>{LONG_P * 3}</div><p>Imprint</p>", ["Head"] + [LONG_T] * 3),
+    (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div class='alert'>{LONG_P * 3}</div><div>Imprint</div>", [LONG_T] * 3),
+    (f"<article><h1>T</h1>{LONG_P * 3}<p>End.</p></article><div id='comments'><p>{'I like this very much. ' * 9}</p></div>", ["T"] + [LONG_T] * 3 + ["End."]),
+    (f"<article><h1>T</h1>{LONG_P}<div class='ad'>Buy now, this is the best offer of the whole year, do not wait!</div>{LONG_P}</article>", ["T"] + [LONG_T] * 2),
+    (f"<div><a href=x>Home</a> <a href=y>About</a></div><div><h1>Title</h1>{LONG_P * 2}<p>Short.</p>{LONG_P}</div><div><a href=z>Imprint</a></div><div>© 2020</div>",
+     ["Title", LONG_T, LONG_T, "Short.", LONG_T]),
+    (f"<div><a href=x>Home</a></div><h1>Title</h1>{LONG_P * 2}<p>Short.</p>{LONG_P}<div>© 2020</div>", ["Title", LONG_T, LONG_T, "Short.", LONG_T]),
+    (f"<nav>{LONG_P}</nav>", []),
+])
+def test_lines_are_chosen_by_the_clustered_ratio(page, want):
+    assert html_extract.extract(f"<html><body>{page}</body></html>") == " ".join(want)
+
+
+def test_the_clustering_decides(monkeypatch):
+    """With every line, or none, in the upper cluster most pages come out otherwise."""
+    import pyarrow.parquet as pq
+    pages = pq.read_table(f"{SF}/pages.parquet").column("html").to_pylist()
+    want = [html_extract.extract(p) for p in pages]
+    for off in (lambda s: s == s, lambda s: s != s):
+        monkeypatch.setattr(html_extract, "clustered", off)
+        assert sum(html_extract.extract(p) != w for p, w in zip(pages, want)) > 0.9 * len(pages)
+
+
+def test_stray_and_deep_tags_take_linear_time():
+    started = time.monotonic()
+    for page in ("<p>" + "<b>" * 20_000 + "x" + "</i>" * 20_000, "<div>" * 5000 + "<b>x" + "</b>" * 20_000, "<b>" * 20_000 + "<p>x" * 20_000,
+                 "".join(f"<div>text {i} and so on" for i in range(20_000)), "<b>" + "<div>" * 10_000 + "</b>" * 20_000):
+        html_extract.extract(page)
+    assert time.monotonic() - started < 10
+
+
 def test_every_page_of_the_table(spark):
     import html
 
