@@ -37,7 +37,9 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 # Pieces of one length and salt bucket that are ranked in one group, about.
-RANK_BUCKET = 1_000
+RANK_BUCKET = 256
+# Salts whose offsets one window adds up; the blocks of a length are a row for each million pieces.
+SALT_BLOCK = 4_096
 
 
 class Encoder:
@@ -212,8 +214,13 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     salts = [(n, max(1, -(-c // RANK_BUCKET))) for n, c in counts.items()]
     salts = F.broadcast(cutted.sparkSession.createDataFrame(salts, "length bigint, salts bigint"))
     salted = cutted.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "piece"), "salts"))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    base = sizes.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
+    # where the ranks of a salt begin, in two levels: the salts of a block, and the blocks of a length
+    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).withColumn("block", F.floor(F.col("salt") / SALT_BLOCK))
+    blocks = sizes.groupBy("length", "block").agg(F.sum("n").alias("all"))
+    blocks = blocks.select("length", "block", (F.sum("all").over(Window.partitionBy("length").orderBy("block")) - F.col("all")).alias("before"))
+    within = F.sum("n").over(Window.partitionBy("length", "block").orderBy("salt")) - F.col("n")
+    base = sizes.withColumn("within", within).join(blocks, ["length", "block"]).select(
+        "length", "salt", (F.col("before") + F.col("within")).alias("base"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "text_key", "piece")
     ranked = salted.withColumn("rank", F.row_number().over(order) - 1).join(base, ["length", "salt"]) \
         .withColumn("rank", F.col("rank") + F.col("base"))
