@@ -115,7 +115,9 @@ def normal_sums(train: DataFrame, model: Model) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], type=pa.binary())], names=["total"])
 
     sums = train.select("x", "y").mapInArrow(add, "total binary").rdd.map(lambda r: np.frombuffer(r["total"]))
-    return sums.treeReduce(np.add).reshape(size, size)
+    # so many levels that the driver adds up 16 matrices or fewer of many partitions
+    depth = max(2, math.ceil(math.log(max(2, sums.getNumPartitions()), 16)))
+    return sums.treeReduce(np.add, depth).reshape(size, size)
 
 
 def isotonic(at: np.ndarray, mean: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -296,6 +296,39 @@ def test_quality_held_out(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
 
 
+def test_quality_of_the_whole_table_by_plain_numpy(spark):
+    """The contract's split, explicit random features, a ridge system and pooling by repeated scans."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    held = {d["doc_id"]: zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0 for d in docs}
+    x = {d["doc_id"]: np.array(quality.statistics(d["text"])) for d in docs}
+    train = [i for i in x if not held[i] and i in labels]
+    X, y = np.array([x[i] for i in train]), np.array([labels[i] for i in train], dtype=float)
+    model = quality.Model(X.mean(axis=0), np.maximum(X.std(axis=0), 1e-9))
+
+    def features(rows):
+        z = np.clip((rows - X.mean(axis=0)) / np.maximum(X.std(axis=0), 1e-9), -5, 5)
+        return np.c_[np.cos(z @ model.omega + model.phase) * np.sqrt(2 / 512), np.ones(len(rows))]
+
+    Z = features(X)
+    penalty = np.eye(513) * 1e-3 * len(X) / 512
+    penalty[-1, -1] = 0
+    weights = np.linalg.solve(Z.T @ Z + penalty, Z.T @ y)
+    raw = np.clip(Z @ weights, -0.5, 1.5)
+    bins = np.floor(raw * 1000)
+    blocks = [[raw[bins == b].mean(), y[bins == b].mean(), (bins == b).sum()] for b in np.unique(bins)]
+    while bad := [k for k in range(len(blocks) - 1) if blocks[k][1] >= blocks[k + 1][1]]:
+        (a, p, n), (b, q, m) = blocks[bad[0]], blocks[bad[0] + 1]
+        blocks[bad[0]:bad[0] + 2] = [[(a * n + b * m) / (n + m), (p * n + q * m) / (n + m), n + m]]
+    at, value, _ = map(np.array, zip(*blocks))
+    want = dict(zip(x, np.clip(np.interp(np.clip(features(np.array(list(x.values()))) @ weights, -0.5, 1.5), at, value), 0, 1)))
+    got = queries.op8_quality(spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r["held_out"] == held[r["doc_id"]] and r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-5)
+        assert r["predicted"] == (r["score"] >= 0.3)
+
+
 def test_quality_edges(spark):
     docs = table(spark, EDGES)
     stats = quality.document_statistics(docs)
