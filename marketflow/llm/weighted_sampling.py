@@ -59,7 +59,16 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @lru_cache(maxsize=16)
 def _salts(samples: int, draw: int) -> np.ndarray:
-    return np.random.default_rng([SEED, draw]).integers(0, 1 << 63, (samples + 1) // 2, dtype=np.uint64) << np.uint64(1)
+    return np.random.default_rng([SEED, draw]).integers(0, 1 << 63, samples, dtype=np.uint64) << np.uint64(1)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def scrambled(hashes: np.ndarray) -> np.ndarray:
@@ -71,20 +80,16 @@ def scrambled(hashes: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def uniforms(hashes: np.ndarray, samples: int, draw: int) -> np.ndarray:
-    """32 bits for each (term, sample); ``draw`` numbers the values that belong to one."""
-    x = hashes[:, None] ^ _salts(samples, draw)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x.view("<u4")[:, :samples]
+def lanes(hashes: np.ndarray, samples: int, draw: int) -> np.ndarray:
+    """The leading 16 bits of each (term, sample)'s uniform value; ``draw`` numbers the values that
+    belong to one."""
+    return mixed(hashes[:, None] ^ _salts((samples + 3) // 4, draw)).view("<u2")[:, :samples]
 
 
-def exponential(bits: np.ndarray) -> np.ndarray:
-    """Rises with the bits."""
-    return -np.log1p(-(bits + 0.5) * 2.0**-32)
+def uniform(lane: np.ndarray, hashes: np.ndarray, sample: np.ndarray, samples: int, draw: int) -> np.ndarray:
+    """The whole value, 48 bits, of terms and samples in pairs."""
+    rest = mixed(hashes ^ _salts(samples, draw + 10)[sample]) >> np.uint64(32)
+    return (lane.astype(np.float64) * 2.0**32 + rest + 0.5) * 2.0**-48
 
 
 class _Hashes(dict):
@@ -120,39 +125,60 @@ def signature(text: str | None, samples: int = SAMPLES) -> np.ndarray:
     value = np.zeros(samples, dtype=np.uint64)
     column = np.arange(samples)
 
-    def offer(k: np.ndarray, a: np.ndarray, term: np.ndarray, t: np.ndarray) -> None:
-        """Take those of the values that are smaller than the best of their sample."""
-        order = np.lexsort((term, a, k))
-        order = order[np.r_[True, k[order][1:] != k[order][:-1]]] if len(k) else order
-        order = order[a[order] < best[k[order]]]
-        best[k[order]] = a[order]
-        value[k[order]] = (term[order] ^ (t[order].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))) * _MIX >> np.uint64(48)
+    def offer(k: np.ndarray, a: np.ndarray, term: np.ndarray, t: np.ndarray | float) -> None:
+        """Take the values that are smaller than the best of their sample; each sample once."""
+        better = np.flatnonzero(a < best[k])
+        if len(better):
+            k, term = k[better], term[better]
+            steps = t[better].astype(np.uint64) if isinstance(t, np.ndarray) else np.uint64(t)
+            best[k] = a[better]
+            value[k] = (term ^ (steps * np.uint64(0xC2B2AE3D27D4EB4F))) * _MIX >> np.uint64(48)
 
     for first in range(0, len(hashes), _TERMS):
         h, w = scrambled(hashes[first:first + _TERMS]), weights[first:first + _TERMS]
         once, often = h[w == 1], np.flatnonzero(w > 1)
         if len(once):
-            bits = uniforms(once, samples, 0)
-            least = bits.argmin(axis=0)  # a1 rises with its bits: no logarithm but the least one's
-            offer(column, exponential(bits[least, column]), once[least], np.zeros(samples))
+            # a1 rises with its uniform value: only the terms of the least leading bits can be least
+            lane = lanes(once, samples, 0)
+            i, k = np.divmod(np.flatnonzero(lane == lane.min(axis=0)), samples)
+            u = uniform(lane[i, k], once[i], k, samples, 0)
+            i, k, u = least(i, k, u, once)
+            offer(k, -np.log1p(-u), once[i], 0)
         if len(often):
             term, ln_w = h[often], np.log(w[often].astype(np.float64))
-            a1, survival = exponential(uniforms(term, samples, 0)), 1 - (uniforms(term, samples, 1) + 0.5) * 2.0**-32
-            bound = a1 * survival / w[often][:, None]
-
-            def exact(i: np.ndarray, k: np.ndarray) -> None:
-                e = exponential(uniforms(term[i], samples, 2)[np.arange(len(i)), k])
-                rise = np.log1p(e / a1[i, k])
-                r = rise - np.log(survival[i, k])
+            first_lane, last_lane = lanes(term, samples, 0), lanes(term, samples, 1)
+            # an exponential value is at least the uniform one, and that at least its leading bits
+            bound = first_lane.astype(np.float32) * last_lane * (np.float32(2.0**-32) / w[often][:, None].astype(np.float32))
+
+            def exact(i: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                """a and t of terms i in samples k."""
+                a1 = -np.log1p(-uniform(first_lane[i, k], term[i], k, samples, 0))
+                e = -np.log(uniform(lanes(term[i], 4, 2)[:, 0], term[i], k, samples, 2))
+                rise = np.log1p(e / a1)
+                r = rise - np.log(uniform(last_lane[i, k], term[i], k, samples, 1))
                 t = np.floor(ln_w[i] / r + 1 - rise / r)
-                offer(k, a1[i, k] * np.exp(-r * t), term[i], t)
-
-            # the term of the lowest bound gives a value that few other bounds are below
-            exact(bound.argmin(axis=0), column)
-            exact(*np.nonzero(bound <= best))
+                return a1 * np.exp(-r * t), t
+
+            if not len(once):
+                # the term of the lowest bound gives a value that few other bounds are below
+                lowest = bound.argmin(axis=0)
+                a, t = exact(lowest, column)
+                offer(column, a, term[lowest], t)
+            i, k = np.divmod(np.flatnonzero(bound <= (best * 1.0001).astype(np.float32)), samples)
+            a, t = exact(i, k)
+            i, k, a, t = least(i, k, a, term, t)
+            offer(k, a, term[i], t)
     return value.astype(np.uint16)
 
 
+def least(i: np.ndarray, k: np.ndarray, a: np.ndarray, term: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of (i, k, a, *more) the row of the least a for each k, the term of the least hash if equal."""
+    order = np.lexsort((term[i], a, k))
+    if len(order):
+        order = order[np.r_[True, k[order][1:] != k[order][:-1]]]
+    return tuple(x[order] for x in (i, k, a, *more))
+
+
 def hexadecimal(sig: np.ndarray) -> str:
     return sig.astype(">u2").tobytes().hex()
 
