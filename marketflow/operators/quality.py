@@ -325,13 +325,14 @@ def part_states(rows: DataFrame, model: str, unit: str, columns: Sequence[str],
         names["_dup"] = ("unique", unique_id)
     agg = groups.groupBy(unit).agg(*totals)
     nothing = F.lit(None).cast("string")
-    parts = [agg.select(F.col(unit).cast("string").alias("unit"), F.inline(F.array(*[F.struct(
+    named = F.coalesce(F.col(unit).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("unit")  # as its folder
+    parts = [agg.select(named, F.inline(F.array(*[F.struct(
         F.lit(check).alias("check_name"), F.lit(column).alias("column_name"),
         (F.col("_range") if check == "unique" else nothing).alias("item"), F.col(n).cast("long").alias("failures"))
         for n, (check, column) in names.items()])))]
     for column, values in (accepted or {}).items():
         odd = rows.filter(~F.col(column).isin(*values)).groupBy(unit, column).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(odd.select(F.col(unit).cast("string").alias("unit"), F.lit("accepted_values").alias("check_name"),
+        parts.append(odd.select(named, F.lit("accepted_values").alias("check_name"),
                                 F.lit(column).alias("column_name"), F.col(column).alias("item"), "failures"))
     return _union(parts).select(F.lit(model).alias("model"), "unit", "check_name", "column_name", "item", "failures")
 

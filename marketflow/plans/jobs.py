@@ -449,22 +449,26 @@ class Refresh:
         folder, unit, what = self.CHECKED[model]
         table = f"state/checks/{model.replace('.', '_')}"
         parts = self._parts(folder, unit)
-        rows = [(p, content) for p, (content, _) in parts.items()]
-        current = self.spark.createDataFrame(rows, "unit string, content string")
         known = self._stored(table, self._empty(quality.STATE))
-        have = known.select("unit", "content").distinct()
-        stale = [r["unit"] for r in current.join(have, ["unit", "content"], "left_anti").collect()]
+        # a row for each part, as many as its folders that were listed just now
+        have = {(r["unit"], r["content"]) for r in known.select("unit", "content").distinct().collect()}
+        stale = [(p, content) for p, (content, _) in parts.items() if (p, content) not in have]
         if stale:
-            read = self.spark.read.option("basePath", self.store.path(folder)).parquet(
-                *[f"{self.store.path(folder)}/{f}" for p in stale for f in parts[p][1]])
+            changed = F.broadcast(self.spark.createDataFrame(stale, "unit string, content string"))
+            read = self.spark.read.option("basePath", self.store.path(folder)).schema(self._checked_schema(model)).parquet(
+                *[f"{self.store.path(folder)}/{f}" for p, _ in stale for f in parts[p][1]])
             read = read.withColumn("batch", F.col("batch").cast("string"))
             columns = sorted({*quality.NOT_NULL[model], *(quality.NOT_NULL["realized_fills"] if unit == "batch" else ())})
-            new = quality.part_states(read, model, unit, columns, **what).join(F.broadcast(current), "unit")
             names = self._empty(quality.STATE).columns
-            kept = known.join(F.broadcast(current.filter(~F.col("unit").isin(stale))), ["unit", "content"], "left_semi")
+            new = quality.part_states(read, model, unit, columns, **what).join(changed, "unit")
+            kept = known.join(changed.select("unit"), "unit", "left_anti")
             self.store.write_version(kept.select(*names).unionByName(new.select(*names)), table)
             known = self.store.read(table)
-        return known.join(F.broadcast(current), ["unit", "content"], "left_semi")
+        return known
+
+    def _checked_schema(self, model: str):
+        return {"fct_prices": self._fact_schema(), "raw.prices_latest": schemas.PRICES_LATEST,
+                "raw.realized_fills": schemas.REALIZED_FILLS}.get(model, schemas.WINDOW_PRICES)
 
     def quality_report(self) -> DataFrame:
         """Q-8 over the stored tables: the rows of ``quality.report``, the feeds' from the states of
