@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from marketflow import schemas
 from marketflow.operators import writers
+from marketflow.plans.catalog import QUERIES
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -112,6 +113,24 @@ def test_append_fills_idempotent_and_dense(spark):
     assert writers.append_fills(stored, batch).count() == 0   # a retried batch adds nothing
 
 
+def test_append_fills_numbers_by_natural_key(spark):
+    """The query's ids follow the whole natural key, over all events, as its SQL says."""
+    out = QUERIES["append_fills"](spark, "/root/testdata/sf0.001").collect()
+    first = min(r.event_id for r in out)
+    low = dt.datetime.min  # NULL comes first
+    want = sorted(out, key=lambda r: (r.flip_id, r.leg, r.event, r.filled_qty, r.offer_placed_at, r.filled_at or low, r.event_uid))
+    assert [(r.event_id, r.event_uid) for r in want] == [(first + i, r.event_uid) for i, r in enumerate(want)]
+    assert len(out) > 50
+
+
+def test_ordered_index_matches_row_number(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 5003).alias("k")).repartition(7)
+    got = sorted(writers.ordered_index(df, ["g", "k"]).collect(), key=lambda r: r._idx)
+    assert [(r.g, r.k) for r in got] == sorted((r.g, r.k) for r in got)
+    assert [r._idx for r in got] == list(range(1, 5001))
+    assert writers.ordered_index(df.limit(0), ["g", "k"]).count() == 0
+
+
 def test_ranged_index_matches_row_number(spark):
     """Numbers follow the hash of the key, without gaps, whatever the partitions; nothing runs and
     nothing is sorted globally when the result is built."""
