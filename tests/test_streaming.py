@@ -9,8 +9,9 @@ from marketflow import schemas
 from marketflow.operators import writers
 from marketflow.operators.store import TableStore
 from marketflow.plans import catalog
-from marketflow.plans.jobs import Refresh
+from marketflow.plans.jobs import Refresh, read_landed
 from marketflow.plans.marts import MartParams
+from marketflow.sources import fixtures, payloads
 from marketflow.streaming import ingest
 
 T0 = dt.datetime(2024, 1, 1)
@@ -325,3 +326,29 @@ def test_poll_slices_spread_over_tasks(spark, scratch, monkeypatch):
     assert landed.count() == len(rows)
     late = landed.filter(F.col("loaded_at") > start).select(F.input_file_name()).distinct().count()
     assert late == 4
+
+
+def test_documents_are_built_in_one_shuffle_and_landed_compressed(spark, scratch):
+    """The entries of a page's document are where its rows are aggregated; landed text is small."""
+    sf = "/root/testdata/sf0.001"
+    raw = {"5m": fixtures.raw_prices_5m(spark, sf), "1h": fixtures.raw_prices_1h(spark, sf)}
+    docs = {f: fixtures.window_payloads(r, f) for f, r in raw.items()} | {"latest": fixtures.latest_payloads(fixtures.raw_prices_latest(spark, sf))}
+    for df in docs.values():
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    ingest.land_payloads(docs["5m"], f"{scratch}/land")
+    files = spark.read.text(f"{scratch}/land").inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    columns = [c for c in schemas.WINDOW_PRICES.fieldNames() if c not in ("timestamp", "loaded_at")]
+    rows = payloads.parse_window_payload(read_landed(spark, f"{scratch}/land"), envelope=True)
+    assert sorted(map(str, rows.select(*columns).collect())) == sorted(map(str, raw["5m"].select(*columns).collect()))
+
+
+def test_repolled_stream_is_landed_by_as_many_tasks_as_needed(spark, monkeypatch):
+    landed, asked = [], []
+    monkeypatch.setattr(ingest, "land_payloads", lambda docs, path, mode="errorifexists", land=ingest.land_payloads: (
+        landed.append(docs._jdf.queryExecution().executedPlan().toString()), land(docs, path, mode)))
+    monkeypatch.setattr(ingest, "start_refresh_stream", lambda *a, start=ingest.start_refresh_stream, **k: (
+        asked.append(k["max_files_per_trigger"]), start(*a, **k))[1])
+    rows = catalog.QUERIES["stream_dedupe"](spark, "/root/testdata/sf0.001")
+    assert rows.count() == fixtures.raw_prices_5m(spark, "/root/testdata/sf0.001").count()
+    assert len(landed) == 2 and not any("REPARTITION_BY_NUM" in p for p in landed) and asked[0] >= 1
