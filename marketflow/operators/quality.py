@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -262,10 +263,9 @@ def table_failing_rows(df: DataFrame, model: str, checks: dict[tuple[str, str],
     Row conditions are tagged in one pass.  ``key`` names columns whose repeated combinations
     fail ``key_check``: the repeated keys come from a partial aggregation and are joined to the
     rows, so a key that a third of all rows share is no group in one task."""
-    found = df.select(row_text(df).alias("row"), *[F.coalesce(c, F.lit(False)).alias(f"_c{i}") for i, c in enumerate(checks.values())],
+    found = df.select("*", *[F.coalesce(c, F.lit(False)).alias(f"_c{i}") for i, c in enumerate(checks.values())],
                       *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
-    named = [F.when(F.col(f"_c{i}"), F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name")))
-             for i, (check, column) in enumerate(checks)]
+    fails = {(check, column): F.col(f"_c{i}") for i, (check, column) in enumerate(checks)}
     if key:
         again = df.groupBy(*key).count().filter("count > 1").select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(key)],
                                                                      F.lit(True).alias("_again"))
@@ -274,9 +274,12 @@ def table_failing_rows(df: DataFrame, model: str, checks: dict[tuple[str, str],
             same = same & F.col(f"_k{i}").eqNullSafe(F.col(f"_d{i}"))
         found = found.join(again, same, "left")
         missing = F.col("_k0").isNull() if key_check == "unique" else F.lit(False)  # NULL passes unique
-        named.append(F.when(F.col("_again") & ~missing, F.struct(F.lit(key_check).alias("check_name"), F.lit(",".join(key)).alias("column_name"))))
-    failed = F.filter(F.array(*named), lambda x: x.isNotNull())
-    return found.select("row", F.inline(failed)).select("check_name", F.lit(model).alias("model"), "column_name", "row")
+        fails[(key_check, ",".join(key))] = F.coalesce("_again", F.lit(False)) & ~missing
+    failed = F.filter(F.array(*[F.when(c, F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name")))
+                                for (check, column), c in fails.items()]), lambda x: x.isNotNull())
+    # only rows that fail are made into text, after the join
+    found = found.filter(functools.reduce(Column.__or__, fails.values())).select(row_text(df).alias("row"), failed.alias("_failed"))
+    return found.select("row", F.inline("_failed")).select("check_name", F.lit(model).alias("model"), "column_name", "row")
 
 
 def failing_rows(models) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from marketflow import schemas
 from marketflow.operators import quality
 
@@ -32,3 +34,16 @@ def test_unique_ignores_nulls(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "k int")
     assert quality.unique(df, "m", "k").first().failures == 1
     assert quality.unique_combination(df, "m", ["k"]).first().failures == 2
+
+
+def test_only_failing_rows_are_made_into_text(spark):
+    """The text of a row is made above the join with the repeated keys, of the rows that fail."""
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "c"), (None, "d"), (3, None)], "k int, v string")
+    rows = quality.table_failing_rows(df, "m", {("not_null", "v"): F.col("v").isNull()}, ["k"], "unique")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "concat_ws" in above and "concat_ws" not in below
+    assert sorted((r.check_name, r.column_name, r.row) for r in rows.collect()) == [
+        ("not_null", "v", "k=1|v=NULL"), ("not_null", "v", "k=3|v=NULL"), ("unique", "k", "k=1|v=NULL"), ("unique", "k", "k=1|v=a")]
+    plain = quality.table_failing_rows(df, "m", {("not_null", "v"): F.col("v").isNull()}).collect()
+    assert sorted(r.row for r in plain) == ["k=1|v=NULL", "k=3|v=NULL"]
