@@ -352,3 +352,24 @@ def test_repolled_stream_is_landed_by_as_many_tasks_as_needed(spark, monkeypatch
     rows = catalog.QUERIES["stream_dedupe"](spark, "/root/testdata/sf0.001")
     assert rows.count() == fixtures.raw_prices_5m(spark, "/root/testdata/sf0.001").count()
     assert len(landed) == 2 and not any("REPARTITION_BY_NUM" in p for p in landed) and asked[0] >= 1
+
+
+def test_a_streamed_batch_writes_few_files_a_period(spark, scratch):
+    """T-4 on a stream: the state's tasks do not each write a file for every period, and of the
+    windows only those over changed panes are written again."""
+    store = TableStore(spark, f"{scratch}/store", buckets=2)
+    for batch in range(2):
+        # the second slice has every third item
+        rows = [(i, T0 + dt.timedelta(days=31 * m + batch), i + batch) for m in range(4) for i in range(0, 60, 1 + 2 * batch)]
+        spark.createDataFrame(rows, "item_id int, price_timestamp timestamp_ntz, total_volume int").write.mode("append").parquet(f"{scratch}/rows")
+        stream = spark.readStream.schema("item_id int, price_timestamp timestamp_ntz, total_volume int").parquet(f"{scratch}/rows")
+        ingest.start_hopping_liquidity(stream, store, f"{scratch}/ckpt", "20 days", "10 days", delay="400 days").awaitTermination()
+    panes = store.read_appends_with_period(ingest.PANES)
+    files = panes.select("event_date", "batch", F.input_file_name().alias("f")).distinct().groupBy("event_date", "batch").count()
+    assert max(r["count"] for r in files.collect()) <= 2
+    windows = store.read_appends_with_period(ingest.WINDOWS)
+    late = {r["item_id"] for r in windows.filter(F.col("batch") != windows.agg(F.min("batch")).first()[0]).collect()}
+    assert late == set(range(0, 60, 3))
+    batch = ingest.hopping_liquidity(spark.read.parquet(f"{scratch}/rows"), "20 days", "10 days")
+    got = ingest.liquidity_windows(store)
+    assert {tuple(r) for r in got.select(*batch.columns).collect()} == {tuple(r) for r in batch.collect()}
