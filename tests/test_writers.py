@@ -231,3 +231,47 @@ def test_distinct_fill_events_have_distinct_identities(spark):
     assert writers.append_fills(empty, batch, recorded_at=_t(10)).count() == 4
     sent = batch.withColumn("event_uid", F.lit("same"))
     assert [r.event_uid for r in writers.append_fills(empty, sent, recorded_at=_t(10)).collect()] == ["same"]
+
+
+def test_insert_first_matches_replay_in_one_shuffle(spark):
+    """W-2 as the jobs do it: repeats within a batch and stored keys go in the same shuffle, and the
+    rows come as they are stored, so the write needs none of its own."""
+    schema = "item_id int, ts int, price int, pos int"
+    stored = [(i, t, 1, 0) for i in range(0, 40, 3) for t in (1, 2)]
+    batch = [(i, t, 10 * i + pos, pos) for pos in (2, 1, 3) for i in range(40) for t in (1, 2, 3) if (i + t + pos) % 2]
+    want = {}
+    for r in sorted(batch, key=lambda r: r[3]):
+        if (r[0], r[1]) not in {s[:2] for s in stored}:
+            want.setdefault(r[:2], r)
+    target = spark.createDataFrame(stored, schema).select("item_id", "ts")
+    block = F.pmod(F.xxhash64(F.shiftright("item_id", 2)), F.lit(3))
+    new = writers.insert_first(target, spark.createDataFrame(batch, schema), ["item_id", "ts"], ["pos"], [F.col("ts"), block])
+    assert {tuple(r) for r in new.collect()} == set(want.values()) and new.count() == len(want)
+    assert new._jdf.queryExecution().sparkPlan().toString().count("Exchange") <= 1
+    assert new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange ") == 1
+    alone = writers.insert_first(None, spark.createDataFrame(batch, schema), ["item_id", "ts"], ["pos"], [F.col("ts")])
+    assert alone.count() == len({r[:2] for r in batch})
+
+
+def test_window_batches_are_stored_by_the_shuffle_that_finds_repeats(spark, scratch, monkeypatch):
+    """A load deals its rows once, by period and items: the write that follows moves none."""
+    from marketflow.operators.store import TableStore
+    from marketflow.plans.jobs import Refresh
+    from marketflow.plans.marts import MartParams
+
+    moved, append = [], TableStore.append_batch
+
+    def spied(self, df, name, *args, **kwargs):
+        if name == "raw/prices_5m":
+            plan = df.hint("rebalance", "event_date") if (args[3:] or [kwargs.get("rebalance", True)])[0] else df
+            moved.append(plan._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return append(self, df, name, *args, **kwargs)
+
+    monkeypatch.setattr(TableStore, "append_batch", spied)
+    r = Refresh(spark, TableStore(spark, scratch), MartParams(as_of=dt.datetime(2024, 1, 2)))
+    line = '{"poll_time": %d, "payload": {"timestamp": %d, "data": {"1": {"avgHighPrice": 5}, "2": {"avgHighPrice": 6}}}}'
+    for batch_id in range(2):
+        docs = spark.createDataFrame([(line % (t, t), f"{batch_id}-{t}") for t in (1704067200, 1704067500)], "value string, payload_id string")
+        r.load_mapping(spark.createDataFrame([], "value string, payload_id string"), batch_id)
+        r.load_window("5m", docs, batch_id)
+    assert moved == [1, 1] and r.raw("prices_5m").count() == 4
