@@ -29,8 +29,6 @@ from pyspark.sql import types as T
 
 # Most of what a load writes are its tables: the smaller codec pays at every size.
 CODEC = "zstd"
-# A file of a period's rows, about: some half a million rows of a price feed.
-SLICE_BYTES = 4 << 20
 
 
 class TableStore:
@@ -176,26 +174,12 @@ class TableStore:
             if old < self.mark(name):
                 fs.delete(self._fs_path(f"{self.path(name)}/{old}")[1], True)
 
-    def write_scratch(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def write_scratch(self, df: DataFrame, name: str) -> DataFrame:
         """A table of one load: written once, read by the load's steps, dropped after it."""
         path = f"{self.root}/_scratch/{name}"
-        w = df.write.mode("overwrite").option("compression", CODEC)
-        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def scratch_periods(self, name: str) -> list[str]:
-        """Period directories of a scratch table, without that of rows without a period."""
-        return sorted(d for d in self._children(f"{self.root}/_scratch/{name}", "")
-                      if "=" in d and not d.endswith("=__HIVE_DEFAULT_PARTITION__"))
-
-    def scratch_slices(self, name: str, periods: list[str]) -> int:
-        """In how many slices the largest of some periods should be dealt and stored."""
-        most = 0
-        for period in periods:
-            fs, p = self._fs_path(f"{self.root}/_scratch/{name}/{period}")
-            most = max(most, fs.getContentSummary(p).getLength())
-        return -(-most // SLICE_BYTES) or 1
-
     def drop_scratch(self, name: str) -> None:
         fs, p = self._fs_path(f"{self.root}/_scratch/{name}")
         fs.delete(p, True)

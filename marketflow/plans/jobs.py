@@ -77,7 +77,9 @@ PARTITION_PERIOD = {"prices_5m": "day", "prices_1h": "month", "prices_latest": "
                     "realized_fills": "month"}
 
 
-# Items whose rows stay together when a window feed is dealt to tasks: 2 to this power.
+# A window feed is dealt to tasks, and stored, in slices of a period of about so many rows; 2 to the
+# power of ITEM_BLOCK_BITS neighbouring items stay together.
+SLICE_ROWS = 500_000
 ITEM_BLOCK_BITS = 8
 
 
@@ -151,7 +153,7 @@ class Refresh:
         return f"{batch_id}-{seen['n']}-{seen['h'] or 0}"
 
     def _land(self, docs: DataFrame, parse, feed: str, batch_id, time_col: str, unit: str):
-        """Parse a batch once, into a scratch table laid out by the period of ``time_col``.
+        """Parse a batch once, into a scratch table with the period (``event_date``) of ``time_col``.
         Returns the table, its name, the batch's key, its metrics and the periods it touches, all
         from the one write."""
         seen, parsed = Observation(), Observation()
@@ -162,11 +164,22 @@ class Refresh:
         records = records.withColumn("event_date", F.when(good, period_start(time_col, unit))).observe(
             parsed, F.count_if(good).alias("attempted"), F.count_if(~good).alias("rejected"),
             F.min(F.when(good, F.unix_micros(instant(time_col)))).alias("first"),
-            F.max(F.when(good, F.unix_micros(instant(time_col)))).alias("last"))
+            F.max(F.when(good, F.unix_micros(instant(time_col)))).alias("last"),
+            F.transform(F.collect_set("event_date"), lambda d: d.cast("string")).alias("periods"))
         scratch = f"{feed}/{uuid.uuid4().hex}"
-        table = self.store.write_scratch(records, scratch, "event_date")
+        table = self.store.write_scratch(records, scratch)
         counts = {"documents": seen.get["n"], **parsed.get}
-        return table, scratch, self._key(batch_id, seen.get), counts, self.store.scratch_periods(scratch)
+        # written as it is parsed: no task sorts its rows by period for the sake of the folders
+        periods = sorted(f"event_date={d}" for d in counts.pop("periods"))
+        return table, scratch, self._key(batch_id, seen.get), counts, periods
+
+    @staticmethod
+    def _slices(records: DataFrame, rows: int) -> int:
+        """In how many slices the largest period of a batch should be dealt and stored."""
+        if rows <= SLICE_ROWS:
+            return 1
+        most = records.groupBy("event_date").count().agg(F.max("count")).first()[0]
+        return -(-most // SLICE_ROWS)
 
     def _append(self, rows: DataFrame, name: str, key: str, time_col: str,
                 periods: list[str] | None = None, rebalance: bool = True) -> tuple[DataFrame, dict]:
@@ -263,7 +276,8 @@ class Refresh:
             target = target.filter(between & (F.col("batch") != key)).select("item_id", "timestamp", "event_date")
         # first write wins, also between documents of one batch (arrival order); dealt by period and
         # blocks of items, as the rows are stored, so the one shuffle serves the write too
-        block = F.pmod(F.xxhash64(F.shiftright("item_id", ITEM_BLOCK_BITS)), F.lit(self.store.scratch_slices(scratch, periods)))
+        slices = self._slices(batch, counts["attempted"])
+        block = F.pmod(F.xxhash64(F.shiftright("item_id", ITEM_BLOCK_BITS)), F.lit(slices))
         batch = writers.insert_first(target, batch, ["item_id", "timestamp"], ["loaded_at", "payload_id"],
                                      [F.col("event_date"), block]).drop("payload_id")
         replayed = bool(self.store.batch_periods(f"raw/{name}", key, periods))

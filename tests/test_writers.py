@@ -275,3 +275,25 @@ def test_window_batches_are_stored_by_the_shuffle_that_finds_repeats(spark, scra
         r.load_mapping(spark.createDataFrame([], "value string, payload_id string"), batch_id)
         r.load_window("5m", docs, batch_id)
     assert moved == [1, 1] and r.raw("prices_5m").count() == 4
+
+
+def test_a_batch_is_parsed_into_as_many_files_as_tasks(spark, scratch, monkeypatch):
+    """The scratch table of a load has no folder and file of its own for each period and task."""
+    import os
+
+    from marketflow.operators.store import TableStore
+    from marketflow.plans import jobs
+    from marketflow.plans.marts import MartParams
+
+    monkeypatch.setattr(TableStore, "drop_scratch", lambda *a: None)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 10)
+    r = jobs.Refresh(spark, TableStore(spark, scratch), MartParams(as_of=dt.datetime(2024, 1, 2)))
+    line = '{"poll_time": %d, "payload": {"timestamp": %d, "data": {%s}}}'
+    entries = ", ".join(f'"{i}": {{"avgHighPrice": 5}}' for i in range(0, 10_000, 250))
+    times = [1704067200 + 86400 * d for d in range(12)]
+    docs = spark.createDataFrame([(line % (t, t, entries), str(t)) for t in times], "value string, payload_id string").coalesce(1)
+    counts = r.load_window("1h", docs, 0)
+    files = [f for _, _, names in os.walk(f"{scratch}/_scratch/1h") for f in names if f.endswith(".parquet")]
+    assert counts["inserted"] == 12 * 40 and len(files) == 1
+    # 480 rows of one month in slices of about 10
+    assert r._slices(r.raw("prices_1h").withColumn("event_date", F.lit("m")), 480) == 48
