@@ -297,3 +297,21 @@ def test_a_batch_is_parsed_into_as_many_files_as_tasks(spark, scratch, monkeypat
     assert counts["inserted"] == 12 * 40 and len(files) == 1
     # 480 rows of one month in slices of about 10
     assert r._slices(r.raw("prices_1h").withColumn("event_date", F.lit("m")), 480) == 48
+
+
+def test_fill_events_are_sorted_without_the_text_of_their_uid(spark, monkeypatch):
+    """A uid that is computed is no column of the sorted rows; ties still follow it, and a uid that
+    the producer sent stays."""
+    events = QUERIES["stg_realized_fills"](spark, "/root/testdata/sf0.001").limit(200)
+    cols = [c for c in schemas.FILL_EVENT_COLUMNS if c in events.columns]
+    batch = events.select(*cols).withColumn("filled_qty", F.lit(1)).withColumn("flip_id", F.lit("f")).withColumn("leg", F.lit("buy"))
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    seen, index = [], writers.ordered_index
+    monkeypatch.setattr(writers, "ordered_index", lambda df, order: (seen.append(df.columns), index(df, order))[1])
+    log = spark.createDataFrame([], schemas.REALIZED_FILLS)
+    new = writers.append_fills(log, batch, T0, order=writers.NATURAL_KEY).collect()
+    assert "event_uid" not in seen[0] and len(new) > 50
+    key = [(tuple((r[c] is not None, r[c]) for c in writers.NATURAL_KEY), r["event_uid"]) for r in sorted(new, key=lambda r: r["event_id"])]
+    assert key == sorted(key)
+    sent = batch.limit(3).withColumn("event_uid", F.lit("A"))
+    assert [r["event_uid"] for r in writers.append_fills(log, sent, T0, order=writers.NATURAL_KEY).collect()] == ["A"]
