@@ -103,12 +103,14 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     # the few bytes of the fingerprints would be read by a task or two, which then make 66 rows
     # of each: spread them first, by a key that the grouping before has not dealt them by
     fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
-    # bins of one fingerprint link nothing: they go before anything is joined
-    bins = _variants(fps).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # bins of one fingerprint link nothing: they go before anything is joined.  Merged by hint, as
+    # Spark sizes the 66 rows of a fingerprint as the one they are made of, and the index by its
+    # encoded file, and would broadcast either
+    bins = _variants(fps).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").hint("merge")
     index = stored(_variants(fps).join(bins, "key"), "simhash-index")
     small, large = (_unpacked(index.filter(c)) for c in (F.col("n") <= PAIR_BIN, F.col("n") > PAIR_BIN))
     a = small.select("key", "seg", "bit", F.col("fp").alias("a"))
-    b = small.select("key", F.col("fp").alias("b"))
+    b = small.select("key", F.col("fp").alias("b")).hint("merge")
     place = F.when(F.col("bit") < 0, F.lit(0).cast("bigint")).otherwise(_one(F.greatest(F.col("bit"), F.lit(0))))
     low = F.lit((1 << SEGMENT) - 1)
     within = F.when(F.col("seg") == 0, low).otherwise(F.bitwise_not(low))

@@ -98,6 +98,24 @@ def test_long_chain_of_links(spark):
     assert {r["root"] for r in simhash.components(edges).collect()} == {min(chain)}
 
 
+def test_simhash_index_is_merged_not_broadcast(spark, monkeypatch):
+    # 66 index rows of a fingerprint are sized as the one they come from: no plan may rely on it
+    plans = []
+
+    def store(df, name, put=simhash.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return put(df, name)
+
+    monkeypatch.setattr(simhash, "stored", store)
+    fps = spark.createDataFrame([(f,) for f in (0, 1, 3, 7, 1 << 40, 5 << 50)], "fp bigint")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    found = simhash.links(fps)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
+    assert {(r["a"], r["b"]) for r in found.collect()} == {
+        (0, 1), (0, 3), (1, 3), (1, 7), (3, 7), (0, 1 << 40), (1, 1 << 40), (0, 5 << 50)}
+
+
 def test_simhash_edges_and_keep_one(spark):
     docs = table(spark, EDGES)
     rows = simhash.near_duplicates(docs).collect()
