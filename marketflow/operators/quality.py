@@ -269,9 +269,11 @@ def table_failing_rows(df: DataFrame, model: str, checks: dict[tuple[str, str],
     if key:
         again = df.groupBy(*key).count().filter("count > 1").select(*[F.col(k).alias(f"_d{i}") for i, k in enumerate(key)],
                                                                      F.lit(True).alias("_again"))
+        # NULL passes unique, so there it need not meet NULL and rows that lie by their key are joined so
         same = F.lit(True)
         for i in range(len(key)):
-            same = same & F.col(f"_k{i}").eqNullSafe(F.col(f"_d{i}"))
+            k, d = F.col(f"_k{i}"), F.col(f"_d{i}")
+            same = same & (k == d if key_check == "unique" else k.eqNullSafe(d))
         found = found.join(again, same, "left")
         missing = F.col("_k0").isNull() if key_check == "unique" else F.lit(False)  # NULL passes unique
         fails[(key_check, ",".join(key))] = F.coalesce("_again", F.lit(False)) & ~missing
