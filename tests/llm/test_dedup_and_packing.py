@@ -116,6 +116,21 @@ def test_simhash_index_is_merged_not_broadcast(spark, monkeypatch):
         (0, 1), (0, 3), (1, 3), (1, 7), (3, 7), (0, 1 << 40), (1, 1 << 40), (0, 5 << 50)}
 
 
+def test_pipeline_stage_broadcasts_no_index_rows(spark, monkeypatch):
+    # every table that the near-dedup stage writes on the way to its groups, by name
+    plans = {}
+
+    def store(df, name, put=simhash.stored):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return put(df, name)
+
+    monkeypatch.setattr(simhash, "stored", store)
+    docs = table(spark, [(1, "a b c d e"), (2, "a b c d e"), (3, "f g h i j k"), (4, None)])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert "BroadcastHashJoin" not in plans["simhash-index"] and "BroadcastHashJoin" not in plans["simhash-links"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
+
+
 def test_simhash_edges_and_keep_one(spark):
     docs = table(spark, EDGES)
     rows = simhash.near_duplicates(docs).collect()
